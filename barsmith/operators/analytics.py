@@ -35,8 +35,10 @@ def with_variation(
     symbol's rows are its monthly bars, bounded by the calendar, so each
     window partition stays small however large the table grows.
     """
-    prev = F.lag(value).over(series_window(partition, order))
-    return df.withColumn(out, pct_change(F.col(value), prev))
+    prev = "__barsmith_prev"
+    return (df.withColumn(prev, F.lag(value).over(series_window(partition, order)))
+              .withColumn(out, pct_change(F.col(value), F.col(prev)))
+              .drop(prev))
 
 
 def symbol_extremes(df: DataFrame, value: str = "close", date: str = "date_from",

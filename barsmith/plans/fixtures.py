@@ -56,28 +56,42 @@ def notice_symbols(symbol="symbol", every: int = 10):
 
 
 def payload_documents(bars: DataFrame, notice_every: int = 10) -> DataFrame:
-    """Bars -> ``symbol, value`` JSON documents, one per symbol and year.
+    """Bars -> payload documents ``symbol, `Monthly Time Series`, Note``.
 
-    Entries are newest first with every measure as ``decimal(18,4)`` text,
-    like the monthly-series API.  A document holds at most twelve entries
-    (one bar per month), so no group grows with the data.  Symbols picked by
-    :func:`notice_symbols` carry ``{"Note": ...}`` instead of a series.
+    One document per symbol and year, entries newest first, every measure
+    as ``decimal(18,4)`` text, like the monthly-series API.  A document
+    holds at most twelve entries (one bar per month), so no group grows
+    with the data.  Symbols picked by :func:`notice_symbols` carry only a
+    ``Note`` instead of a series.
     """
     fields = F.struct(
         *[F.col(m).cast("decimal(18,4)").cast("string").alias(f)
           for m, f in zip(MEASURES, PAYLOAD_FIELDS)]
     )
     entry = F.struct(F.date_format("date_from", "yyyy-MM-dd").alias("k"), fields.alias("v"))
-    docs = bars.groupBy("symbol", F.year("date_from").alias("_year")).agg(
+    # Hash-partition by symbol once: the per-(symbol, year) aggregate reuses
+    # it (no second exchange) and each symbol folder is written by one task.
+    n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = bars.repartition(n, "symbol").groupBy("symbol", F.year("date_from").alias("_year")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries")
     )
-    series_doc = F.to_json(F.struct(F.map_from_entries("entries").alias(SERIES_KEY)))
-    notice_doc = F.to_json(F.struct(F.lit("x").alias("Note")))
-    value = F.when(notice_symbols("symbol", notice_every), notice_doc).otherwise(series_doc)
-    return docs.select("symbol", value.alias("value"))
+    notice = notice_symbols("symbol", notice_every)
+    return docs.select(
+        "symbol",
+        F.when(~notice, F.map_from_entries("entries")).alias(SERIES_KEY),
+        F.when(notice, F.lit("x")).alias("Note"),
+    )
+
 
+def land_payloads(bars: DataFrame, path: str, notice_every: int = 10,
+                  symbol_folders: bool = False) -> str:
+    """Write payload documents as JSON Lines under ``path``.
 
-def land_payloads(bars: DataFrame, path: str, notice_every: int = 10) -> str:
-    """Write payload documents as JSON Lines under ``path/symbol=<SYM>/``."""
-    payload_documents(bars, notice_every).write.partitionBy("symbol").text(path)
+    By default each document carries its ``symbol`` (flat files, splittable,
+    nothing to list per symbol); ``symbol_folders=True`` writes
+    ``symbol=<SYM>/`` folders of documents without it instead.  NULL fields
+    are omitted, so a notice document has only ``symbol`` and ``Note``.
+    """
+    w = payload_documents(bars, notice_every).write
+    (w.partitionBy("symbol") if symbol_folders else w).json(path)
     return path

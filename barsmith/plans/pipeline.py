@@ -23,7 +23,7 @@ from barsmith.operators.quality import duplicate_check
 from barsmith.operators.transforms import normalize
 from barsmith.schema import PROCESS_DATE
 from barsmith.sinks.tables import create_bars_table, reload_process_date
-from barsmith.sources.payloads import parse_payloads, read_payloads, split_payloads, explode_series
+from barsmith.sources.payloads import explode_series, read_payloads, split_payloads
 
 REJECT_DDL = "symbol STRING, reason STRING, value STRING, process_date STRING"
 
@@ -78,7 +78,7 @@ def run(
 ) -> RunReport:
     """Extract -> transform -> load one batch (JOB-1)."""
     d = resolve_process_date(spark, process_date)
-    parsed = parse_payloads(read_payloads(spark, payload_path, wholetext=wholetext, symbols=symbols))
+    parsed = read_payloads(spark, payload_path, wholetext=wholetext, symbols=symbols)
     accepted, rejected = split_payloads(parsed)
     if fail_if_empty and accepted.limit(1).count() == 0:
         raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")

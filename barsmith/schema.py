@@ -19,11 +19,6 @@ PAYLOAD_TYPE = T.StructType(
     [T.StructField(SERIES_KEY, T.MapType(T.StringType(), ENTRY_TYPE))]
 )
 
-# Landed payload files: one text value per document, symbol from `symbol=` dirs.
-LANDED_SCHEMA = T.StructType(
-    [T.StructField("value", T.StringType()), T.StructField("symbol", T.StringType())]
-)
-
 # flattened raw rows (all text, as received) plus payload position.
 RAW_SCHEMA = T.StructType(
     [T.StructField("symbol", T.StringType()), T.StructField("date_from", T.StringType())]

@@ -4,7 +4,6 @@ from barsmith.sources.jdbc import jdbc_read_options, read_jdbc
 from barsmith.sources.payloads import (
     explode_series,
     ingest_payloads,
-    parse_payloads,
     read_payloads,
     split_payloads,
 )
@@ -14,7 +13,6 @@ __all__ = [
     "explode_series",
     "ingest_payloads",
     "jdbc_read_options",
-    "parse_payloads",
     "preview",
     "read_jdbc",
     "read_payloads",

@@ -1,16 +1,19 @@
 """Landed monthly-series payloads -> raw bar rows (SRC-1..3, 5..7, SCL-6).
 
-A landing directory holds ``symbol=<SYM>/`` folders of text files.  Two
-layouts are read:
-
-* ``wholetext=False`` (default): JSON Lines, one document per line.  Files
-  split across tasks like any text input.
-* ``wholetext=True``: one document per file, e.g. a saved API response that
-  may be pretty-printed over many lines.
-
-Everything after the scan is narrow (no shuffle): ``from_json`` into a typed
-map, duplicate-key resolution inside each document with higher-order array
-functions, then ``explode``.
+Two landing layouts are read by the same code:
+
+* JSON Lines where each document names its symbol next to its series
+  (``{"symbol": "IBM", "Monthly Time Series": {...}}``), many documents per
+  file.  Files split across tasks like any text input and no per-symbol
+  folder has to be listed -- the layout for many symbols.
+* ``symbol=<SYM>/`` folders holding documents without a symbol field, the
+  way single API responses are saved; ``symbol`` is then the partition
+  column.  With ``wholetext=True`` each file is one (possibly pretty-printed)
+  document.
+
+The JSON source parses each document once into a typed map; everything
+after the scan is narrow (no shuffle): duplicate-key resolution inside each
+document with higher-order array functions, then ``explode``.
 """
 
 from __future__ import annotations
@@ -19,9 +22,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.schema import (
-    LANDED_SCHEMA,
     MEASURES,
     PAYLOAD_FIELDS,
     PAYLOAD_TYPE,
@@ -35,6 +38,9 @@ REASON_MISSING = "missing_series"
 REASON_EMPTY = "empty_series"
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_payloads(
     spark: SparkSession,
     path: str,
@@ -42,35 +48,37 @@ def read_payloads(
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Scan every ``symbol=*`` folder under ``path`` in one distributed read.
-
-    ``symbols`` restricts the scan to those folders; the predicate is on the
-    partition column, so it prunes directories (``PartitionFilters``).
-    The schema is explicit so symbol text such as ``0001`` stays a string.
+    """Scan all landed documents under ``path`` in one distributed read.
+
+    Returns ``symbol, series, _corrupt_record``: ``series`` is the typed
+    MAP<date string, STRUCT<five strings>> or NULL when the document has
+    none; ``_corrupt_record`` holds the text of a document that is not JSON.
+    The JSON source parses each document once, during the scan, and reads
+    only the fields of the explicit schema (so symbol text such as ``0001``
+    stays a string).  ``symbols`` restricts the scan; with symbol folders
+    the predicate prunes directories (``PartitionFilters``), with JSON Lines
+    it is pushed into the JSON parser.
     """
-    df = spark.read.schema(LANDED_SCHEMA).option("wholetext", wholetext).text(path)
+    schema = (
+        T.StructType(list(PAYLOAD_TYPE.fields))
+        .add(CORRUPT, T.StringType())
+        .add("symbol", T.StringType())
+    )
+    df = (
+        spark.read.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", wholetext)
+        .json(path)
+    )
     if symbols is not None:
         df = df.where(F.col("symbol").isin(list(symbols)))
-    return df
-
-
-def _series(doc: Column) -> Column:
-    return doc.getField(SERIES_KEY)
-
-
-def parse_payloads(raw: DataFrame) -> DataFrame:
-    """Add ``series``: MAP<date string, STRUCT<five strings>>, NULL if absent.
-
-    Input rows with blank values (e.g. empty lines) are dropped here.
-    """
-    return raw.where(F.trim("value") != "").withColumn(
-        "series", _series(F.from_json("value", PAYLOAD_TYPE))
-    )
+    return df.select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT)
 
 
 def _reject_reason() -> Column:
     return (
-        F.when(F.get_json_object("value", "$").isNull(), F.lit(REASON_MALFORMED))
+        F.when(F.col(CORRUPT).isNotNull(), F.lit(REASON_MALFORMED))
         .when(F.col("series").isNull(), F.lit(REASON_MISSING))
         .when(F.size("series") == 0, F.lit(REASON_EMPTY))
     )
@@ -79,20 +87,24 @@ def _reject_reason() -> Column:
 def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted documents, reject rows ``symbol, reason, value``) (SRC-6).
 
-    A document is accepted when it holds a non-empty series.  Request
-    failures of a live API have no landed file and therefore no row.
+    A document is accepted when it holds a non-empty series; ``value`` keeps
+    the text of malformed documents for inspection.  Request failures of a
+    live API have no landed file and therefore no row.
     """
-    ok = F.col("series").isNotNull() & (F.size("series") > 0)
+    ok = F.col("series").isNotNull() & (F.size("series") > 0) & F.col(CORRUPT).isNull()
     accepted = parsed.where(ok)
     rejected = parsed.where(~ok).select(
-        "symbol", _reject_reason().alias("reason"), "value"
+        "symbol", _reject_reason().alias("reason"), F.col(CORRUPT).alias("value")
     ).select(*REJECT_COLUMNS)
     return accepted, rejected
 
 
-def explode_series(accepted: DataFrame) -> DataFrame:
+def explode_series(parsed: DataFrame) -> DataFrame:
     """One row per (symbol, date) entry: F2 raw rows, all values text.
 
+    Documents without a series yield no row, so the parsed frame can be
+    passed whole (no separate accept filter that would re-read it).
+
     Inside a JSON object a repeated date keeps its last entry, as a parsed
     dictionary would.  Entries are tagged with their position, sorted by
     (date, position) and an entry survives only when the next one has
@@ -115,7 +127,7 @@ def explode_series(accepted: DataFrame) -> DataFrame:
     # explode_outer + explicit filter: a plain explode lets the optimizer
     # infer a size() filter that would re-run the sort inside the lambda.
     return (
-        accepted.select("symbol", tagged.alias("entries"))
+        parsed.select("symbol", tagged.alias("entries"))
         .select("symbol", F.explode_outer(last_wins).alias("e"))
         .where(F.col("e").isNotNull())
         .select(
@@ -134,7 +146,7 @@ def ingest_payloads(
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """read -> parse -> split -> explode: (raw rows, reject rows)."""
-    parsed = parse_payloads(read_payloads(spark, path, wholetext=wholetext, symbols=symbols))
-    accepted, rejected = split_payloads(parsed)
-    return explode_series(accepted), rejected
+    """read -> explode, and the reject rows of the same documents."""
+    parsed = read_payloads(spark, path, wholetext=wholetext, symbols=symbols)
+    _, rejected = split_payloads(parsed)
+    return explode_series(parsed), rejected

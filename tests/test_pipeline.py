@@ -1,0 +1,58 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from barsmith.plans.pipeline import resolve_process_date, run
+from barsmith.session import work_table
+
+DOC_A = ('{"Monthly Time Series": {"2023-05-31": {"1. open": "1", "2. high": "2", "3. low": "0.5", '
+         '"4. close": "15", "5. volume": "100"}, "2023-04-28": {"1. open": "1", "2. high": "2", '
+         '"3. low": "0.5", "4. close": "10", "5. volume": "90"}}}')
+
+
+def test_resolve_process_date(spark):
+    today = spark.sql("SELECT date_format(current_date(), 'yyyy-MM-dd')").first()[0]
+    assert resolve_process_date(spark, None) == today
+    assert resolve_process_date(spark, "2023-07-11") == "2023-07-11"
+
+
+def test_run_loads_batch_and_rejects(spark, landing):
+    path = landing({"A": [DOC_A], "N": ['{"Note": "x"}']})
+    t, r = work_table(spark, "bars"), work_table(spark, "rejects")
+    rep = run(spark, path, t, "2023-07-11", reject_table=r)
+    assert (rep.loaded_rows, rep.distinct_rows, rep.has_duplicates, rep.rejected_documents) == (2, 2, False, 1)
+    got = spark.table(t).orderBy("date_from").collect()
+    assert [x.monthly_variation for x in got] == [None, 50.0]
+    assert {x.process_date for x in got} == {"2023-07-11"}
+    # rerun for the same date replaces the batch rather than appending
+    rep2 = run(spark, path, t, "2023-07-11", reject_table=r)
+    assert rep2.loaded_rows == 2 and spark.table(t).count() == 2
+    assert spark.table(r).count() == 1
+
+
+def test_run_null_date_means_today(spark, landing):
+    path = landing({"A": [DOC_A]})
+    t = work_table(spark, "bars")
+    rep = run(spark, path, t, None)
+    assert rep.process_date == dt.date.today().isoformat() or len(rep.process_date) == 10
+    assert spark.table(t).where(F.col("process_date") == rep.process_date).count() == 2
+
+
+def test_run_all_bad_raises_and_keeps_table(spark, landing):
+    good = landing({"A": [DOC_A]})
+    bad = landing({"N": ['{"Note": "x"}']})
+    t = work_table(spark, "bars")
+    run(spark, good, t, "2023-07-11")
+    with pytest.raises(ValueError, match="no accepted payload"):
+        run(spark, bad, t, "2023-07-11")
+    assert spark.table(t).count() == 2
+
+
+def test_run_strict_fails_on_malformed_number(spark, landing):
+    doc = '{"Monthly Time Series": {"2023-05-31": {"4. close": "x"}}}'
+    t = work_table(spark, "bars")
+    with pytest.raises(Exception, match="malformed number"):
+        run(spark, landing({"A": [doc]}), t, "2023-07-11")
+    run(spark, landing({"A": [doc]}), t, "2023-07-11", strict=False)
+    assert spark.table(t).first().close is None
