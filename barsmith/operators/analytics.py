@@ -27,18 +27,62 @@ def with_previous_close(
 def with_variation(
     df: DataFrame, value: str = "close", out: str = VARIATION,
     partition: str = "symbol", order: str = "date_from",
+    collapse_copies: bool = False, chunk_rows: int = 100_000,
 ) -> DataFrame:
     """Month-over-month change in percent (WIN-3).
 
     NULL for a symbol's first month and when the previous close is 0 or NULL.
-    One shuffle by symbol (none when the input is bucketed by symbol); a
-    symbol's rows are its monthly bars, bounded by the calendar, so each
-    window partition stays small however large the table grows.
+    Plain form: one shuffle by symbol (none when the input is bucketed by
+    symbol).  Use it on frames that hold one row per (symbol, month), such
+    as aggregated bars: a symbol's rows are bounded by the calendar.
+
+    ``collapse_copies=True`` is for raw input that may repeat rows, where a
+    group of identical copies could hold a large share of all rows.  Copies
+    are first counted by an aggregate with map-side combine, the window then
+    runs over distinct rows only, and the rows are expanded back: the first
+    copy is compared with the previous distinct row, every further copy
+    with its twin (0, or NULL for a zero/NULL close) -- what a window over
+    the repeated rows yields.  Copy groups above ``chunk_rows`` are expanded
+    in chunks spread over tasks, so no task emits a hot group alone.
     """
+    if not collapse_copies:
+        prev = "__barsmith_prev"
+        return (df.withColumn(prev, F.lag(value).over(series_window(partition, order)))
+                  .withColumn(out, pct_change(F.col(value), F.col(prev)))
+                  .drop(prev))
+    return _variation_over_copies(df, value, out, partition, order, chunk_rows)
+
+
+def _variation_over_copies(df, value, out, partition, order, chunk_rows):
+    cols = df.columns
+    n, first, rest, chunk, i = ("__barsmith_n", "__barsmith_first", "__barsmith_rest",
+                                "__barsmith_chunk", "__barsmith_i")
+    tiebreak = [c for c in cols if c not in (partition, order)]
+    w = Window.partitionBy(partition).orderBy(order, *tiebreak)
     prev = "__barsmith_prev"
-    return (df.withColumn(prev, F.lag(value).over(series_window(partition, order)))
-              .withColumn(out, pct_change(F.col(value), F.col(prev)))
-              .drop(prev))
+    distinct = (
+        df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+        .withColumn(prev, F.lag(value).over(w))
+        .withColumn(first, pct_change(F.col(value), F.col(prev)))
+        .withColumn(rest, pct_change(F.col(value), F.col(value)))
+        .drop(prev)
+    )
+    pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
+
+    small = (distinct.where(F.col(n) <= chunk_rows)
+             .select(*cols, first, rest, F.explode(F.sequence(F.lit(1), F.col(n))).alias(i)))
+    k = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    big = (
+        distinct.where(F.col(n) > chunk_rows)
+        .select(*cols, n, first, rest,
+                F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk))
+        .repartition(k, partition, chunk)
+        .select(*cols, first, rest, F.explode(F.sequence(
+            F.col(chunk) * chunk_rows + 1,
+            F.least((F.col(chunk) + 1) * chunk_rows, F.col(n)),
+        )).alias(i))
+    )
+    return small.unionByName(big).select(*cols, pick)
 
 
 def symbol_extremes(df: DataFrame, value: str = "close", date: str = "date_from",

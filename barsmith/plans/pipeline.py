@@ -47,8 +47,12 @@ def resolve_process_date(spark: SparkSession, param=None) -> str:
 
 
 def transform(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Raw text rows -> typed bars with ``monthly_variation`` (JOB-4, JOB-5)."""
-    return raw.transform(normalize, strict=strict).transform(with_variation)
+    """Raw text rows -> typed bars with ``monthly_variation`` (JOB-4, JOB-5).
+
+    Landed input may repeat documents, so copies are collapsed before the
+    window and expanded after it (duplicates are kept, as they were read).
+    """
+    return raw.transform(normalize, strict=strict).transform(with_variation, collapse_copies=True)
 
 
 def load_batch(df: DataFrame, table: str, process_date: str, buckets: int | None = None) -> None:

@@ -140,3 +140,28 @@ def test_schema_rows(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     got = [tuple(r) for r in schema_rows(spark, df).collect()]
     assert got == [(0, "a", "int", True), (1, "b", "string", True)]
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 2, 100_000])
+def test_variation_over_copies_equals_plain_window(spark, chunk_rows):
+    rows = ([("A", D(2020, 1, 31), 10.0)] * 3 + [("A", D(2020, 2, 29), 15.0)] * 2
+            + [("A", D(2020, 3, 31), 0.0)] * 2 + [("A", D(2020, 4, 30), 5.0)]
+            + [("B", D(2020, 1, 31), None)] * 2 + [("B", D(2020, 2, 29), 4.0)])
+    df = bars(spark, rows)
+    got = sorted(
+        ((r.symbol, r.date_from, r.close, r.monthly_variation)
+         for r in with_variation(df, collapse_copies=True, chunk_rows=chunk_rows).collect()),
+        key=str)
+    plain = sorted(((r.symbol, r.date_from, r.close, r.monthly_variation)
+                    for r in with_variation(df).collect()), key=str)
+    assert got == plain
+    assert len(got) == len(rows)
+    assert sorted(r[3] for r in got if r[0] == "A" and r[3] is not None) == [-100.0, 0.0, 0.0, 0.0, 50.0]
+
+
+def test_variation_over_copies_aggregates_before_window(spark):
+    df = bars(spark, [("A", D(2020, 1, 31), 10.0)])
+    plan = plan_text(with_variation(df, collapse_copies=True))
+    # partial count runs before the first exchange; the window sees distinct rows
+    assert plan.index("partial_count") > plan.index("Window (")
+    assert "Generate" in plan
