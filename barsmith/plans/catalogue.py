@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,25 +145,41 @@ def q_preview_top_n(spark, sf_dir):
     return preview(_bars(spark, sf_dir), 10, ["symbol", "date_from"])
 
 
-def _two_batches(spark, sf_dir) -> tuple[str, DataFrame]:
-    bars = _bars(spark, sf_dir).transform(with_variation)
+def _two_batches(spark, sf_dir, bars: DataFrame) -> str:
     table = work_table(spark, "loaded")
     create_bars_table(spark, table)
     reload_process_date(bars.where(F.col("date_from") < F.lit(SPLIT_DATE).cast("date")), table, D1)
     reload_process_date(bars.where(F.col("date_from") >= F.lit(SPLIT_DATE).cast("date")), table, D2)
-    return table, bars
+    return table
+
+
+def _varied_bars(spark, sf_dir) -> DataFrame:
+    """Bars with variation, kept for the several loads of one query.
+
+    A lost cached block is recomputed from lineage; the loaded table is on
+    storage, so the cache is dropped before the result is returned.
+    """
+    return _bars(spark, sf_dir).transform(with_variation).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def q_process_date_reload(spark, sf_dir):
     """Load D1 and D2, then reload D2 with fewer rows: D2 holds only those."""
-    table, bars = _two_batches(spark, sf_dir)
-    later = bars.where((F.col("date_from") >= F.lit(SPLIT_DATE).cast("date")) & (F.col("volume") > 50))
-    reload_process_date(later, table, D2)
+    bars = _varied_bars(spark, sf_dir)
+    try:
+        table = _two_batches(spark, sf_dir, bars)
+        later = bars.where((F.col("date_from") >= F.lit(SPLIT_DATE).cast("date")) & (F.col("volume") > 50))
+        reload_process_date(later, table, D2)
+    finally:
+        bars.unpersist()
     return spark.table(table)
 
 
 def q_clear_process_date(spark, sf_dir):
-    table, _ = _two_batches(spark, sf_dir)
+    bars = _varied_bars(spark, sf_dir)
+    try:
+        table = _two_batches(spark, sf_dir, bars)
+    finally:
+        bars.unpersist()
     clear_process_date(spark, table, D2)
     clear_process_date(spark, table, D2)  # a missing batch is not an error
     return spark.table(table)
@@ -170,12 +187,16 @@ def q_clear_process_date(spark, sf_dir):
 
 def q_append_load(spark, sf_dir):
     """Appending the same batch twice keeps both copies."""
-    bars = _bars(spark, sf_dir).transform(with_variation).transform(tag, PROCESS_DATE, D1)
+    cached = _varied_bars(spark, sf_dir)
+    bars = cached.transform(tag, PROCESS_DATE, D1)
     table = work_table(spark, "appended")
     create_bars_table(spark, table)
     create_bars_table(spark, table)  # idempotent
-    append_table(bars, table)
-    append_table(bars, table)
+    try:
+        append_table(bars, table)
+        append_table(bars, table)
+    finally:
+        cached.unpersist()
     return spark.table(table)
 
 

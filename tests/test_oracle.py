@@ -45,3 +45,9 @@ def test_queries_read_whole_tables():
         for banned in (".limit(", ".sample(", "monotonically_increasing_id"):
             assert banned not in src, (name, banned)
     assert "preview" in inspect.getsource(cat.q_preview_top_n)  # top-k is the feature
+
+
+def test_queries_leave_no_cache(spark):
+    for name in ("process_date_reload", "clear_process_date", "append_load"):
+        E.queries()[name](spark, "/root/testdata/sf0.001").count()
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
