@@ -28,6 +28,7 @@ def with_variation(
     df: DataFrame, value: str = "close", out: str = VARIATION,
     partition: str = "symbol", order: str = "date_from",
     collapse_copies: bool = False, chunk_rows: int = 100_000,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Month-over-month change in percent (WIN-3).
 
@@ -44,24 +45,33 @@ def with_variation(
     with its twin (0, or NULL for a zero/NULL close) -- what a window over
     the repeated rows yields.  Copy groups above ``chunk_rows`` are expanded
     in chunks spread over tasks, so no task emits a hot group alone.
+
+    ``partitions`` fixes the window's exchange to exactly that many hash
+    partitions by symbol -- the bucket count of the target table -- so each
+    write task then fills one bucket file instead of one file per bucket.
     """
     if not collapse_copies:
+        if partitions:
+            df = df.repartition(partitions, partition)
         prev = "__barsmith_prev"
         return (df.withColumn(prev, F.lag(value).over(series_window(partition, order)))
                   .withColumn(out, pct_change(F.col(value), F.col(prev)))
                   .drop(prev))
-    return _variation_over_copies(df, value, out, partition, order, chunk_rows)
+    return _variation_over_copies(df, value, out, partition, order, chunk_rows, partitions)
 
 
-def _variation_over_copies(df, value, out, partition, order, chunk_rows):
+def _variation_over_copies(df, value, out, partition, order, chunk_rows, partitions):
     cols = df.columns
     n, first, rest, chunk, i = ("__barsmith_n", "__barsmith_first", "__barsmith_rest",
                                 "__barsmith_chunk", "__barsmith_i")
     tiebreak = [c for c in cols if c not in (partition, order)]
     w = Window.partitionBy(partition).orderBy(order, *tiebreak)
     prev = "__barsmith_prev"
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+    if partitions:
+        counted = counted.repartition(partitions, partition)
     distinct = (
-        df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
+        counted
         .withColumn(prev, F.lag(value).over(w))
         .withColumn(first, pct_change(F.col(value), F.col(prev)))
         .withColumn(rest, pct_change(F.col(value), F.col(value)))

@@ -22,7 +22,7 @@ from barsmith.operators.analytics import with_variation
 from barsmith.operators.quality import duplicate_check
 from barsmith.operators.transforms import normalize
 from barsmith.schema import PROCESS_DATE
-from barsmith.sinks.tables import create_bars_table, reload_process_date
+from barsmith.sinks.tables import create_bars_table, reload_process_date, table_buckets
 from barsmith.sources.payloads import explode_series, read_payloads, split_payloads
 
 REJECT_DDL = "symbol STRING, reason STRING, value STRING, process_date STRING"
@@ -46,13 +46,15 @@ def resolve_process_date(spark: SparkSession, param=None) -> str:
     return d
 
 
-def transform(raw: DataFrame, strict: bool = True) -> DataFrame:
+def transform(raw: DataFrame, strict: bool = True, partitions: int | None = None) -> DataFrame:
     """Raw text rows -> typed bars with ``monthly_variation`` (JOB-4, JOB-5).
 
     Landed input may repeat documents, so copies are collapsed before the
     window and expanded after it (duplicates are kept, as they were read).
+    ``partitions``: the target table's bucket count (see ``with_variation``).
     """
-    return raw.transform(normalize, strict=strict).transform(with_variation, collapse_copies=True)
+    return raw.transform(normalize, strict=strict).transform(
+        with_variation, collapse_copies=True, partitions=partitions)
 
 
 def load_batch(df: DataFrame, table: str, process_date: str, buckets: int | None = None) -> None:
@@ -61,6 +63,12 @@ def load_batch(df: DataFrame, table: str, process_date: str, buckets: int | None
     reload_process_date(df, table, process_date)
 
 
+def prepare_table(spark: SparkSession, table: str, buckets: int | None = None) -> int | None:
+    """Create the table if missing; return its bucket count."""
+    create_bars_table(spark, table, buckets)
+    return table_buckets(spark, table)
+
+
 def quality_report(spark: SparkSession, table: str, process_date: str) -> DataFrame:
     """Duplicate report over one loaded batch (reads that partition only)."""
     batch = spark.table(table).where(F.col(PROCESS_DATE) == process_date).drop(PROCESS_DATE)
@@ -87,7 +95,8 @@ def run(
     if fail_if_empty and accepted.limit(1).count() == 0:
         raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")
 
-    load_batch(transform(explode_series(accepted), strict), table, d, buckets)
+    n = prepare_table(spark, table, buckets)
+    reload_process_date(transform(explode_series(accepted), strict, partitions=n), table, d)
 
     n_rejected = None
     if reject_table is not None:

@@ -35,6 +35,23 @@ def create_bars_table(
     )
 
 
+def table_buckets(spark: SparkSession, name: str) -> int | None:
+    """The bucket count of a catalog table, None when it is not bucketed."""
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+            .where("col_name = 'Num Buckets'").select("data_type").take(1))
+    return int(rows[0][0]) if rows else None
+
+
+def cluster_for_table(df: DataFrame, name: str, column: str = "symbol") -> DataFrame:
+    """Hash-partition ``df`` by the bucket column into the table's bucket count.
+
+    Each write task then holds exactly one bucket and writes one file per
+    partition; without it every task writes one file per bucket.
+    """
+    n = table_buckets(df.sparkSession, name)
+    return df.repartition(n, column) if n else df
+
+
 def _in_table_order(spark: SparkSession, df: DataFrame, name: str,
                     exclude: tuple[str, ...] = ()) -> DataFrame:
     cols = [c for c in spark.table(name).columns if c not in exclude]
@@ -80,14 +97,20 @@ def clear_process_date(spark: SparkSession, name: str, process_date: str) -> Non
 
 def write_bucketed(df: DataFrame, name: str, buckets: int | None = None,
                    mode: str = "overwrite") -> None:
-    """Save ``df`` as a table bucketed by symbol, sorted by date (SRT-2)."""
+    """Save ``df`` as a table bucketed by symbol, sorted by date (SRT-2).
+
+    Rows are first hash-partitioned into the bucket count (the same hash as
+    bucketing), so each task writes a single bucket file.
+    """
     n = buckets or _default_buckets(df.sparkSession)
-    (df.write.format("parquet").mode(mode)
+    (df.repartition(n, "symbol").write.format("parquet").mode(mode)
        .bucketBy(n, "symbol").sortBy("date_from").saveAsTable(name))
 
 
 __all__ = [
     "append_table",
+    "cluster_for_table",
+    "table_buckets",
     "clear_process_date",
     "create_bars_table",
     "reload_process_date",

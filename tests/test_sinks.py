@@ -112,3 +112,25 @@ def test_jdbc_options():
         jdbc_read_options("jdbc:x://h/db")
     with pytest.raises(ValueError):
         jdbc_read_options("jdbc:x://h/db", table="t", partition_column="id")
+
+
+def test_bucket_aligned_load_writes_one_file_per_bucket(spark, landing):
+    import glob
+    import json
+
+    from barsmith.plans.pipeline import run
+    from barsmith.sinks.tables import table_buckets
+
+    docs = [json.dumps({"symbol": f"S{i:03d}", "Monthly Time Series": {
+        f"2020-{m:02d}-28": {"4. close": str(m)} for m in range(1, 13)}}) for i in range(40)]
+    path = landing({})
+    import os
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write("\n".join(docs))
+    t = work_table(spark, "aligned")
+    run(spark, path, t, "2023-07-11", buckets=4)
+    assert table_buckets(spark, t) == 4
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").first()[1]
+    files = glob.glob(loc.replace("file:", "") + "/process_date=2023-07-11/*.parquet")
+    assert len(files) <= 4 and spark.table(t).count() == 480
