@@ -94,3 +94,18 @@ def test_explode_has_no_inlined_sort_filter(spark, landing):
     plan = plan_text(raw)
     # array_sort runs once per document: only in the projection feeding Generate
     assert plan.count("array_sort") == 1
+
+
+def test_symbol_filter_pushed_into_json_lines_scan(spark, landing):
+    lines = "\n".join(
+        json.dumps({"symbol": s, "Monthly Time Series": {"2020-01-31": {"4. close": "1"}}})
+        for s in ("A", "B", "C"))
+    path = landing({})
+    import os
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write(lines)
+    df = read_payloads(spark, path, symbols=["B", "C"])
+    assert "PushedFilters: [In(symbol, [B,C])]" in plan_text(df)
+    raw = explode_series(df)
+    assert sorted(r.symbol for r in raw.collect()) == ["B", "C"]
