@@ -4,7 +4,8 @@ The bars table is Parquet, partitioned by ``process_date`` (one partition per
 load batch) and bucketed by ``symbol``, sorted by ``date_from`` inside each
 bucket: a later per-symbol window reads it without an Exchange.
 Writes are Spark jobs whose output committer publishes the files only when
-the job succeeds, so a lost executor means a retried task, not a half batch.
+the job succeeds, so a lost executor means a retried task, never half-written
+files.
 """
 
 from __future__ import annotations
@@ -72,9 +73,11 @@ def reload_process_date(df: DataFrame, name: str, process_date: str) -> None:
     """Replace exactly one batch: INSERT OVERWRITE of a static partition (SNK-6).
 
     The partition is cleared even when ``df`` is empty (a dynamic overwrite
-    would leave the old rows), other batches are untouched, and the swap is
-    one Spark job: there is no window where the batch is deleted but not yet
-    reloaded.
+    would leave the old rows) and other batches are untouched.  Spark drops
+    the old batch when the command starts and publishes the new files when
+    the job commits; failed tasks and lost executors are retried inside the
+    job.  Should the whole job fail, the batch stays empty until the next
+    run, and re-running is idempotent.
     """
     d = process_date_literal(process_date)
     spark = df.sparkSession
