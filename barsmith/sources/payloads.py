@@ -36,6 +36,7 @@ from barsmith.schema import (
 REASON_MALFORMED = "malformed_json"
 REASON_MISSING = "missing_series"
 REASON_EMPTY = "empty_series"
+REASON_NO_SYMBOL = "missing_symbol"
 
 
 CORRUPT = "_corrupt_record"
@@ -81,17 +82,23 @@ def _reject_reason() -> Column:
         F.when(F.col(CORRUPT).isNotNull(), F.lit(REASON_MALFORMED))
         .when(F.col("series").isNull(), F.lit(REASON_MISSING))
         .when(F.size("series") == 0, F.lit(REASON_EMPTY))
+        .when(F.col("symbol").isNull(), F.lit(REASON_NO_SYMBOL))
     )
 
 
+def _accepted() -> Column:
+    return (F.col("series").isNotNull() & (F.size("series") > 0)
+            & F.col(CORRUPT).isNull() & F.col("symbol").isNotNull())
+
+
 def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted documents, reject rows ``symbol, reason, value``) (SRC-6).
 
-    A document is accepted when it holds a non-empty series; ``value`` keeps
-    the text of malformed documents for inspection.  Request failures of a
-    live API have no landed file and therefore no row.
+    A document is accepted when it holds a non-empty series and a symbol;
+    ``value`` keeps the text of malformed documents for inspection.  Request
+    failures of a live API have no landed file and therefore no row.
     """
-    ok = F.col("series").isNotNull() & (F.size("series") > 0) & F.col(CORRUPT).isNull()
+    ok = _accepted()
     accepted = parsed.where(ok)
     rejected = parsed.where(~ok).select(
         "symbol", _reject_reason().alias("reason"), F.col(CORRUPT).alias("value")
@@ -102,8 +109,7 @@ def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def explode_series(parsed: DataFrame) -> DataFrame:
     """One row per (symbol, date) entry: F2 raw rows, all values text.
 
-    Documents without a series yield no row, so the parsed frame can be
-    passed whole (no separate accept filter that would re-read it).
+    Documents without a series yield no row.
 
     Inside a JSON object a repeated date keeps its last entry, as a parsed
     dictionary would.  Entries are tagged with their position, sorted by
@@ -146,7 +152,7 @@ def ingest_payloads(
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """read -> explode, and the reject rows of the same documents."""
-    parsed = read_payloads(spark, path, wholetext=wholetext, symbols=symbols)
-    _, rejected = split_payloads(parsed)
-    return explode_series(parsed), rejected
+    """read -> explode accepted documents, and the reject rows."""
+    accepted, rejected = split_payloads(
+        read_payloads(spark, path, wholetext=wholetext, symbols=symbols))
+    return explode_series(accepted), rejected

@@ -63,6 +63,24 @@ def test_rejects(spark, landing):
     }
 
 
+def test_json_lines_rejects(spark, landing):
+    import os
+    lines = "\n".join([
+        json.dumps({"symbol": "A", "Monthly Time Series": {"2020-01-31": {"4. close": "1"}}}),
+        json.dumps({"Monthly Time Series": {"2020-01-31": {"4. close": "2"}}}),
+        json.dumps({"symbol": "B", "Monthly Time Series": "oops"}),
+        '{"symbol": "C", "Monthly',
+    ])
+    path = landing({})
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write(lines)
+    raw, rej = ingest_payloads(spark, path)
+    assert [(r.symbol, r.close) for r in raw.collect()] == [("A", "1")]
+    got = sorted((str(r.symbol), r.reason) for r in rej.collect())
+    assert got == [("B", "malformed_json"), ("None", "malformed_json"), ("None", "missing_symbol")]
+
+
 def test_json_lines_many_documents_per_file(spark, landing):
     lines = "\n".join(
         json.dumps({"Monthly Time Series": {f"20{y}-01-31": {"4. close": str(y)}}})
