@@ -23,7 +23,7 @@ from barsmith.operators.analytics import (
 )
 from barsmith.operators.quality import drop_duplicates, duplicate_check
 from barsmith.operators.transforms import normalize, tag, union_all, wide_to_long
-from barsmith.plans.fixtures import bars_from_lineitem, land_payloads
+from barsmith.plans.fixtures import bars_from_lineitem, land_payloads, lines_of
 from barsmith.plans.pipeline import run
 from barsmith.schema import MEASURES, PROCESS_DATE
 from barsmith.session import scratch_path, work_table
@@ -110,14 +110,18 @@ def q_lenient_cast(spark, sf_dir):
 
 
 def q_union_symbols(spark, sf_dir):
-    """Three frames with different column sets and orders, matched by name."""
-    bars = _bars(spark, sf_dir)
-    y = F.year("date_from")
-    early = bars.where(y < 1997).transform(tag, "batch", "early")
-    middle = (bars.where((y >= 1997) & (y < 2000))
+    """Three frames with different column sets and orders, matched by name.
+
+    Each frame derives its bars from its own date range of ``lineitem``; the
+    range predicates reach the scan, so together they read the table once.
+    """
+    li = _read(spark, sf_dir, "lineitem")
+    early = bars_from_lineitem(lines_of(li, end="1997-01-01")).transform(tag, "batch", "early")
+    middle = (bars_from_lineitem(lines_of(li, start="1997-01-01", end="2000-01-01"))
               .select("volume", "close", "low", "high", "open", "date_from", "symbol")
               .transform(tag, "batch", "middle"))
-    late = bars.where(y >= 2000).drop("volume").transform(tag, "batch", "late")
+    late = (bars_from_lineitem(lines_of(li, start="2000-01-01")).drop("volume")
+            .transform(tag, "batch", "late"))
     return union_all([early, middle, late])
 
 
@@ -138,7 +142,10 @@ def q_symbol_list(spark, sf_dir):
 
 
 def q_symbol_series(spark, sf_dir):
-    return symbol_series(_bars(spark, sf_dir), "S000001")
+    """One symbol's closes; the symbol predicate is pushed into the scan."""
+    symbol = "S000001"
+    li = lines_of(_read(spark, sf_dir, "lineitem"), symbols=[symbol])
+    return symbol_series(bars_from_lineitem(li), symbol)
 
 
 def q_preview_top_n(spark, sf_dir):

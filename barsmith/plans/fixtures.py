@@ -24,6 +24,31 @@ from barsmith.schema import MEASURES, PAYLOAD_FIELDS, SERIES_KEY
 LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def symbol_key(symbol: str, prefix: str = "S") -> int:
+    """Inverse of ``symbol_from_key`` for one symbol: ``S000001`` -> 1."""
+    if not symbol.startswith(prefix) or not symbol[len(prefix):].isdigit():
+        raise ValueError(f"not a derived symbol: {symbol!r}")
+    return int(symbol[len(prefix):])
+
+
+def lines_of(lineitem: DataFrame, symbols=None, start: str | None = None,
+             end: str | None = None) -> DataFrame:
+    """Restrict ``lineitem`` before the bar aggregation.
+
+    Symbols map one-to-one to supplier keys and a month never straddles a
+    year boundary, so these predicates select whole bars; written on the
+    raw columns they reach the Parquet scan (``PushedFilters``) instead of
+    running after the aggregation.
+    """
+    if symbols is not None:
+        lineitem = lineitem.where(F.col("l_suppkey").isin([symbol_key(s) for s in symbols]))
+    if start is not None:
+        lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        lineitem = lineitem.where(F.col("l_shipdate") < F.lit(end).cast("timestamp_ntz"))
+    return lineitem
+
+
 def bars_from_lineitem(lineitem: DataFrame) -> DataFrame:
     first_last = F.struct(*LINE_ORDER)
     month = F.trunc(F.to_date("l_shipdate"), "MM")
