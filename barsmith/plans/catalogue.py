@@ -89,6 +89,14 @@ def q_json_series_ingest(spark, sf_dir):
     return raw.drop("pos")
 
 
+def q_json_folder_ingest(spark, sf_dir):
+    """Same ingest from ``symbol=<SYM>/`` folders: symbol from the directory."""
+    landing = land_payloads(_bars(spark, sf_dir), scratch_path(spark, "folders"),
+                            symbol_folders=True)
+    raw, _ = ingest_payloads(spark, landing)
+    return raw.drop("pos")
+
+
 def q_payload_rejects(spark, sf_dir):
     _, rejected = ingest_payloads(spark, _landed(spark, sf_dir))
     return rejected.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("documents"))
@@ -213,6 +221,7 @@ QUERIES: dict[str, Query] = {
     "previous_close": q_previous_close,
     "bucketed_variation": q_bucketed_variation,
     "json_series_ingest": q_json_series_ingest,
+    "json_folder_ingest": q_json_folder_ingest,
     "payload_rejects": q_payload_rejects,
     "normalize_types": q_normalize_types,
     "wide_to_long": q_wide_to_long,
@@ -268,6 +277,10 @@ ORACLES: dict[str, str] = {
     + "SELECT symbol, strftime(date_from, '%Y-%m-%d') AS date_from, "
     + ", ".join(_dec(m) for m in MEASURES)
     + f" FROM bars WHERE {_ACCEPTED}",
+    "json_folder_ingest": _with(_BARS)
+    + "SELECT symbol, strftime(date_from, '%Y-%m-%d') AS date_from, "
+    + ", ".join(_dec(m) for m in MEASURES)
+    + f" FROM bars WHERE {_ACCEPTED}",
     "payload_rejects": _with(_BARS)
     + "SELECT symbol, 'missing_series' AS reason, count(DISTINCT year(date_from)) AS documents "
     + f"FROM bars WHERE NOT ({_ACCEPTED}) GROUP BY symbol",
