@@ -71,16 +71,18 @@ def symbol_number(symbol="symbol"):
     return F.expr(f"try_cast(substr({symbol}, 2) AS BIGINT)")
 
 
-def notice_symbols(symbol="symbol", every: int = 10):
+def notice_symbols(symbol="symbol", every: int | None = 10):
     """Fault injection for the landed fixture: these symbols get notice bodies.
 
     All symbols are landed and processed; this only chooses which payloads
-    are malformed so the reject path sees real traffic.
+    are malformed so the reject path sees real traffic.  ``None``: none.
     """
+    if not every:
+        return F.lit(False)
     return (symbol_number(symbol) % every) == 0
 
 
-def payload_documents(bars: DataFrame, notice_every: int = 10) -> DataFrame:
+def payload_documents(bars: DataFrame, notice_every: int | None = 10) -> DataFrame:
     """Bars -> payload documents ``symbol, `Monthly Time Series`, Note``.
 
     One document per symbol and year, entries newest first, every measure
@@ -108,7 +110,7 @@ def payload_documents(bars: DataFrame, notice_every: int = 10) -> DataFrame:
     )
 
 
-def land_payloads(bars: DataFrame, path: str, notice_every: int = 10,
+def land_payloads(bars: DataFrame, path: str, notice_every: int | None = 10,
                   symbol_folders: bool = False) -> str:
     """Write payload documents as JSON Lines under ``path``.
 
