@@ -54,9 +54,9 @@ def with_variation(
         if partitions:
             df = df.repartition(partitions, partition)
         prev = "__barsmith_prev"
-        return (df.withColumn(prev, F.lag(value).over(series_window(partition, order)))
-                  .withColumn(out, pct_change(F.col(value), F.col(prev)))
-                  .drop(prev))
+        cols = df.columns
+        return (df.select(*cols, F.lag(value).over(series_window(partition, order)).alias(prev))
+                  .select(*cols, pct_change(F.col(value), F.col(prev)).alias(out)))
     return _variation_over_copies(df, value, out, partition, order, chunk_rows, partitions)
 
 
@@ -70,12 +70,10 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
     if partitions:
         counted = counted.repartition(partitions, partition)
-    distinct = (
-        counted
-        .withColumn(prev, F.lag(value).over(w))
-        .withColumn(first, pct_change(F.col(value), F.col(prev)))
-        .withColumn(rest, pct_change(F.col(value), F.col(value)))
-        .drop(prev)
+    distinct = counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
+        *cols, n,
+        pct_change(F.col(value), F.col(prev)).alias(first),
+        pct_change(F.col(value), F.col(value)).alias(rest),
     )
     pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
 

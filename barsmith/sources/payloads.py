@@ -28,7 +28,6 @@ from barsmith.schema import (
     MEASURES,
     PAYLOAD_FIELDS,
     PAYLOAD_TYPE,
-    REJECT_COLUMNS,
     SERIES_KEY,
 )
 
@@ -101,8 +100,7 @@ def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = _accepted()
     accepted = parsed.where(ok)
     rejected = parsed.where(~ok).select(
-        "symbol", _reject_reason().alias("reason"), F.col(CORRUPT).alias("value")
-    ).select(*REJECT_COLUMNS)
+        "symbol", _reject_reason().alias("reason"), F.col(CORRUPT).alias("value"))
     return accepted, rejected
 
 
