@@ -68,6 +68,25 @@ def q_etl_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).where(F.col(PROCESS_DATE) == D1)
 
 
+def _landed_twice(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The same payloads landed on two days: every bar arrives twice."""
+    bars = _bars(spark, sf_dir)
+    return [land_payloads(bars, scratch_path(spark, f"landing-day{i}")) for i in (1, 2)]
+
+
+def q_etl_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ETL over two landings: copies are kept, each compared like a window would."""
+    table = work_table(spark, "relanded")
+    run(spark, _landed_twice(spark, sf_dir), table, D1)
+    return spark.table(table).where(F.col(PROCESS_DATE) == D1)
+
+
+def q_relanded_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate report over the raw rows of two landings (AGG-1, AGG-3)."""
+    raw, _ = ingest_payloads(spark, _landed_twice(spark, sf_dir))
+    return duplicate_check(raw.drop("pos"))
+
+
 def q_monthly_variation(spark, sf_dir):
     return _bars(spark, sf_dir).transform(with_variation)
 
@@ -217,6 +236,8 @@ def q_append_load(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "etl_monthly": q_etl_monthly,
+    "etl_relanded": q_etl_relanded,
+    "relanded_duplicates": q_relanded_duplicates,
     "monthly_variation": q_monthly_variation,
     "previous_close": q_previous_close,
     "bucketed_variation": q_bucketed_variation,
@@ -269,6 +290,19 @@ def _dec(c: str) -> str:
 ORACLES: dict[str, str] = {
     "etl_monthly": _with(_BARS, _VARIATION)
     + f"SELECT *, '{D1}' AS process_date FROM varied WHERE {_ACCEPTED}",
+    "etl_relanded": _with(_BARS, "twice AS (SELECT * FROM bars UNION ALL SELECT * FROM bars)",
+                          _VARIATION.replace("FROM bars WINDOW", "FROM twice WINDOW"))
+    + f"SELECT *, '{D1}' AS process_date FROM varied WHERE {_ACCEPTED}",
+    "relanded_duplicates": _with(
+        _BARS,
+        "raw AS (SELECT symbol, strftime(date_from, '%Y-%m-%d') AS date_from, "
+        + ", ".join(_dec(m) for m in MEASURES) + f" FROM bars WHERE {_ACCEPTED})",
+        "twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw)",
+    )
+    + "SELECT count(*) AS total_rows, "
+    "(SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS distinct_rows, "
+    "count(*) <> (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS has_duplicates "
+    "FROM twice",
     "monthly_variation": _with(_BARS, _VARIATION) + "SELECT * FROM varied",
     "previous_close": _with(_BARS)
     + "SELECT symbol, date_from, close, lag(close) OVER (PARTITION BY symbol ORDER BY date_from) AS prev_close FROM bars",

@@ -21,7 +21,7 @@ from barsmith.functions.columns import process_date_literal
 from barsmith.operators.analytics import with_variation
 from barsmith.operators.quality import duplicate_check
 from barsmith.operators.transforms import normalize
-from barsmith.schema import PROCESS_DATE
+from barsmith.schema import BAR_COLUMNS, PROCESS_DATE
 from barsmith.sinks.tables import create_bars_table, reload_process_date, table_buckets
 from barsmith.sources.payloads import explode_series, read_payloads, split_payloads
 
@@ -70,14 +70,18 @@ def prepare_table(spark: SparkSession, table: str, buckets: int | None = None) -
 
 
 def quality_report(spark: SparkSession, table: str, process_date: str) -> DataFrame:
-    """Duplicate report over one loaded batch (reads that partition only)."""
-    batch = spark.table(table).where(F.col(PROCESS_DATE) == process_date).drop(PROCESS_DATE)
-    return duplicate_check(batch)
+    """Duplicate report over one loaded batch (reads that partition only).
+
+    Only the bar columns count: copies of a bar differ in the computed
+    variation, so including it would hide them.
+    """
+    batch = spark.table(table).where(F.col(PROCESS_DATE) == process_date)
+    return duplicate_check(batch.select(*BAR_COLUMNS))
 
 
 def run(
     spark: SparkSession,
-    payload_path: str,
+    payload_path: str | list[str],
     table: str,
     process_date=None,
     *,

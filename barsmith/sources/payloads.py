@@ -19,6 +19,7 @@ document with higher-order array functions, then ``explode``.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +44,13 @@ CORRUPT = "_corrupt_record"
 
 def read_payloads(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Scan all landed documents under ``path`` in one distributed read.
+    """Scan all landed documents under ``path`` (one or several landings)
+    in one distributed read.
 
     Returns ``symbol, series, _corrupt_record``: ``series`` is the typed
     MAP<date string, STRUCT<five strings>> or NULL when the document has
@@ -64,13 +66,18 @@ def read_payloads(
         .add(CORRUPT, T.StringType())
         .add("symbol", T.StringType())
     )
-    df = (
+    reader = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", wholetext)
-        .json(path)
     )
+    # Each landing root is its own scan: roots holding symbol= folders cannot
+    # share one partition discovery.
+    roots = [path] if isinstance(path, str) else list(path)
+    if not roots:
+        raise ValueError("no landing path given")
+    df = reduce(DataFrame.unionByName, [reader.json(p) for p in roots])
     if symbols is not None:
         df = df.where(F.col("symbol").isin(list(symbols)))
     return df.select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT)
@@ -145,7 +152,7 @@ def explode_series(parsed: DataFrame) -> DataFrame:
 
 def ingest_payloads(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,

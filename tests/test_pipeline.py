@@ -75,3 +75,15 @@ def test_round_trip_through_landed_files(spark):
         assert rej.count() == 0
         assert back.count() == bars.count() == 826
         assert back.exceptAll(bars).count() == 0 and bars.exceptAll(back).count() == 0
+
+
+def test_run_reports_copies_across_landings(spark, landing):
+    """Two landings of the same document: rows kept, duplicates reported."""
+    day1, day2 = landing({"A": [DOC_A]}), landing({"A": [DOC_A]})
+    t = work_table(spark, "bars")
+    rep = run(spark, [day1, day2], t, "2023-07-11")
+    assert (rep.loaded_rows, rep.distinct_rows, rep.has_duplicates) == (4, 2, True)
+    got = sorted(((r.date_from.month, r.monthly_variation) for r in spark.table(t).collect()),
+                 key=lambda x: (x[0], x[1] is not None, x[1] or 0.0))
+    # April: first month twice (NULL, then 0 vs its twin); May: +50% then 0
+    assert got == [(4, None), (4, 0.0), (5, 0.0), (5, 50.0)]
