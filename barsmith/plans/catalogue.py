@@ -70,8 +70,11 @@ def q_etl_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_twice(spark: SparkSession, sf_dir: str) -> list[str]:
     """The same payloads landed on two days: every bar arrives twice."""
-    bars = _bars(spark, sf_dir)
-    return [land_payloads(bars, scratch_path(spark, f"landing-day{i}")) for i in (1, 2)]
+    bars = _bars(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return [land_payloads(bars, scratch_path(spark, f"landing-day{i}")) for i in (1, 2)]
+    finally:
+        bars.unpersist()
 
 
 def q_etl_relanded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,6 @@ def test_queries_read_whole_tables():
 
 
 def test_queries_leave_no_cache(spark):
-    for name in ("process_date_reload", "clear_process_date", "append_load"):
+    for name in ("process_date_reload", "clear_process_date", "append_load", "etl_relanded"):
         E.queries()[name](spark, "/root/testdata/sf0.001").count()
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
