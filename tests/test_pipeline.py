@@ -87,3 +87,15 @@ def test_run_reports_copies_across_landings(spark, landing):
                  key=lambda x: (x[0], x[1] is not None, x[1] or 0.0))
     # April: first month twice (NULL, then 0 vs its twin); May: +50% then 0
     assert got == [(4, None), (4, 0.0), (5, 0.0), (5, 50.0)]
+
+
+def test_command_line_run(spark, landing, capsys):
+    import json as _json
+
+    from barsmith.__main__ import main
+
+    t = work_table(spark, "cli")
+    assert main(["run", "--payloads", landing({"A": [DOC_A]}), "--table", t,
+                 "--process-date", "2023-07-11", "--buckets", "2"]) == 0
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["loaded_rows"] == 2 and out["process_date"] == "2023-07-11"
