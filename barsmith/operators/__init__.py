@@ -9,6 +9,7 @@ from barsmith.operators.analytics import (
 )
 from barsmith.operators.quality import drop_duplicates, duplicate_check, last_per_key
 from barsmith.operators.transforms import (
+    cluster_by,
     long_to_wide,
     normalize,
     rename,
@@ -18,6 +19,7 @@ from barsmith.operators.transforms import (
 )
 
 __all__ = [
+    "cluster_by",
     "drop_duplicates",
     "duplicate_check",
     "last_per_key",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.functions.columns import pct_change
+from barsmith.operators.transforms import cluster_by
 from barsmith.schema import VARIATION
 
 
@@ -52,7 +53,7 @@ def with_variation(
     """
     if not collapse_copies:
         if partitions:
-            df = df.repartition(partitions, partition)
+            df = cluster_by(df, partition, partitions)
         prev = "__barsmith_prev"
         cols = df.columns
         return (df.select(*cols, F.lag(value).over(series_window(partition, order)).alias(prev))
@@ -69,7 +70,7 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
     prev = "__barsmith_prev"
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
     if partitions:
-        counted = counted.repartition(partitions, partition)
+        counted = cluster_by(counted, partition, partitions)
     distinct = counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
         *cols, n,
         pct_change(F.col(value), F.col(prev)).alias(first),
@@ -79,12 +80,11 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
 
     small = (distinct.where(F.col(n) <= chunk_rows)
              .select(*cols, first, rest, F.explode(F.sequence(F.lit(1), F.col(n))).alias(i)))
-    k = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     big = (
         distinct.where(F.col(n) > chunk_rows)
         .select(*cols, n, first, rest,
                 F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk))
-        .repartition(k, partition, chunk)
+        .repartition(partition, chunk)
         .select(*cols, first, rest, F.explode(F.sequence(
             F.col(chunk) * chunk_rows + 1,
             F.least((F.col(chunk) + 1) * chunk_rows, F.col(n)),

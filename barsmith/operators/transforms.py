@@ -12,6 +12,21 @@ from barsmith.functions.columns import as_date, as_double
 from barsmith.schema import MEASURES
 
 
+def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``column`` into ``partitions`` partitions.
+
+    Rows hashed this way line up with Spark's buckets of the same count.
+    When the count equals the session's shuffle partition count, the
+    exchange is left to AQE, which may merge neighbouring small partitions:
+    every key still lands in exactly one task, so bucket files stay one per
+    bucket while tiny tasks disappear.  Other counts are fixed.
+    """
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None or partitions == default:
+        return df.repartition(column)
+    return df.repartition(partitions, column)
+
+
 def tag(df: DataFrame, column: str, value) -> DataFrame:
     """Add a constant column (PRJ-1)."""
     return df.withColumn(column, F.lit(value))

@@ -24,7 +24,7 @@ from barsmith.operators.analytics import (
 from barsmith.operators.quality import drop_duplicates, duplicate_check
 from barsmith.operators.transforms import normalize, tag, union_all, wide_to_long
 from barsmith.plans.fixtures import bars_from_lineitem, land_payloads, lines_of
-from barsmith.plans.pipeline import run
+from barsmith.plans.pipeline import prepare_table, run
 from barsmith.schema import MEASURES, PROCESS_DATE
 from barsmith.session import scratch_path, work_table
 from barsmith.sinks.tables import (
@@ -182,28 +182,33 @@ def q_preview_top_n(spark, sf_dir):
     return preview(_bars(spark, sf_dir), 10, ["symbol", "date_from"])
 
 
-def _two_batches(spark, sf_dir, bars: DataFrame) -> str:
-    table = work_table(spark, "loaded")
-    create_bars_table(spark, table)
+def _two_batches(table: str, bars: DataFrame) -> None:
     reload_process_date(bars.where(F.col("date_from") < F.lit(SPLIT_DATE).cast("date")), table, D1)
     reload_process_date(bars.where(F.col("date_from") >= F.lit(SPLIT_DATE).cast("date")), table, D2)
-    return table
 
 
-def _varied_bars(spark, sf_dir) -> DataFrame:
+def _loaded_table(spark, label: str) -> tuple[str, int | None]:
+    table = work_table(spark, label)
+    return table, prepare_table(spark, table)
+
+
+def _varied_bars(spark, sf_dir, buckets: int | None) -> DataFrame:
     """Bars with variation, kept for the several loads of one query.
 
-    A lost cached block is recomputed from lineage; the loaded table is on
-    storage, so the cache is dropped before the result is returned.
+    The window's exchange matches the table's buckets (one file per bucket
+    and batch).  A lost cached block is recomputed from lineage; the loaded
+    table is on storage, so the cache is dropped before the result returns.
     """
-    return _bars(spark, sf_dir).transform(with_variation).persist(StorageLevel.MEMORY_AND_DISK)
+    return (_bars(spark, sf_dir).transform(with_variation, partitions=buckets)
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def q_process_date_reload(spark, sf_dir):
     """Load D1 and D2, then reload D2 with fewer rows: D2 holds only those."""
-    bars = _varied_bars(spark, sf_dir)
+    table, buckets = _loaded_table(spark, "loaded")
+    bars = _varied_bars(spark, sf_dir, buckets)
     try:
-        table = _two_batches(spark, sf_dir, bars)
+        _two_batches(table, bars)
         later = bars.where((F.col("date_from") >= F.lit(SPLIT_DATE).cast("date")) & (F.col("volume") > 50))
         reload_process_date(later, table, D2)
     finally:
@@ -212,9 +217,10 @@ def q_process_date_reload(spark, sf_dir):
 
 
 def q_clear_process_date(spark, sf_dir):
-    bars = _varied_bars(spark, sf_dir)
+    table, buckets = _loaded_table(spark, "loaded")
+    bars = _varied_bars(spark, sf_dir, buckets)
     try:
-        table = _two_batches(spark, sf_dir, bars)
+        _two_batches(table, bars)
     finally:
         bars.unpersist()
     clear_process_date(spark, table, D2)
@@ -224,11 +230,10 @@ def q_clear_process_date(spark, sf_dir):
 
 def q_append_load(spark, sf_dir):
     """Appending the same batch twice keeps both copies."""
-    cached = _varied_bars(spark, sf_dir)
+    table, buckets = _loaded_table(spark, "appended")
+    create_bars_table(spark, table)  # a second create changes nothing
+    cached = _varied_bars(spark, sf_dir, buckets)
     bars = cached.transform(tag, PROCESS_DATE, D1)
-    table = work_table(spark, "appended")
-    create_bars_table(spark, table)
-    create_bars_table(spark, table)  # idempotent
     try:
         append_table(bars, table)
         append_table(bars, table)

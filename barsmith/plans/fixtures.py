@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.functions.columns import symbol_from_key
+from barsmith.operators.transforms import cluster_by
 from barsmith.schema import MEASURES, PAYLOAD_FIELDS, SERIES_KEY
 
 LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -98,8 +99,7 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10) -> DataFra
     entry = F.struct(F.date_format("date_from", "yyyy-MM-dd").alias("k"), fields.alias("v"))
     # Hash-partition by symbol once: the per-(symbol, year) aggregate reuses
     # it (no second exchange) and each symbol folder is written by one task.
-    n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = bars.repartition(n, "symbol").groupBy("symbol", F.year("date_from").alias("_year")).agg(
+    docs = cluster_by(bars, "symbol").groupBy("symbol", F.year("date_from").alias("_year")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries")
     )
     notice = notice_symbols("symbol", notice_every)

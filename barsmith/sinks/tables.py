@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from barsmith.functions.columns import process_date_literal
+from barsmith.operators.transforms import cluster_by
 from barsmith.schema import LOADED_DDL, PROCESS_DATE
 
 
@@ -50,7 +51,7 @@ def cluster_for_table(df: DataFrame, name: str, column: str = "symbol") -> DataF
     partition; without it every task writes one file per bucket.
     """
     n = table_buckets(df.sparkSession, name)
-    return df.repartition(n, column) if n else df
+    return cluster_by(df, column, n) if n else df
 
 
 def _in_table_order(spark: SparkSession, df: DataFrame, name: str,
@@ -106,7 +107,7 @@ def write_bucketed(df: DataFrame, name: str, buckets: int | None = None,
     bucketing), so each task writes a single bucket file.
     """
     n = buckets or _default_buckets(df.sparkSession)
-    (df.repartition(n, "symbol").write.format("parquet").mode(mode)
+    (cluster_by(df, "symbol", n).write.format("parquet").mode(mode)
        .bucketBy(n, "symbol").sortBy("date_from").saveAsTable(name))
 
 

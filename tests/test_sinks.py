@@ -134,3 +134,22 @@ def test_bucket_aligned_load_writes_one_file_per_bucket(spark, landing):
     loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").first()[1]
     files = glob.glob(loc.replace("file:", "") + "/process_date=2023-07-11/*.parquet")
     assert len(files) <= 4 and spark.table(t).count() == 480
+
+
+def test_bucket_count_equal_to_shuffle_partitions_stays_one_file_per_bucket(spark):
+    import glob
+
+    from barsmith.operators.transforms import cluster_by
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(f"S{i:03d}", D(2020, m, 1), 1.0, 2.0, 0.5, float(m), 10.0)
+            for i in range(50) for m in range(1, 13)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert "REPARTITION_BY_COL" in plan_text(cluster_by(df, "symbol", n))
+    assert "REPARTITION_BY_NUM" in plan_text(cluster_by(df, "symbol", n + 1))
+    t = work_table(spark, "b")
+    write_bucketed(df, t, buckets=n)
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").first()[1]
+    files = glob.glob(loc.replace("file:", "") + "/*.parquet")
+    assert len(files) <= n and spark.table(t).count() == 600
+    assert "Exchange" not in plan_text(with_variation(spark.table(t)))
