@@ -1,4 +1,4 @@
-"""barsmith: monthly OHLCV bar pipelines written with Spark DataFrames.
+"""barsmith: monthly OHLCV bar jobs written with Spark DataFrames.
 
 Subpackages
 -----------

@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     from pyspark.sql import SparkSession
 
-    from barsmith.plans.pipeline import run
+    from barsmith.plans.etl import run
 
     spark = SparkSession.builder.appName("barsmith-daily").getOrCreate()
     report = run(

@@ -24,7 +24,7 @@ from barsmith.operators.analytics import (
 from barsmith.operators.quality import drop_duplicates, duplicate_check
 from barsmith.operators.transforms import normalize, tag, union_all, wide_to_long
 from barsmith.plans.fixtures import bars_from_lineitem, land_payloads, lines_of
-from barsmith.plans.pipeline import prepare_table, run
+from barsmith.plans.etl import prepare_table, run
 from barsmith.schema import MEASURES, PROCESS_DATE
 from barsmith.session import scratch_path, work_table
 from barsmith.sinks.tables import (

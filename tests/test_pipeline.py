@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from barsmith.plans.pipeline import resolve_process_date, run
+from barsmith.plans.etl import resolve_process_date, run
 from barsmith.session import work_table
 
 DOC_A = ('{"Monthly Time Series": {"2023-05-31": {"1. open": "1", "2. high": "2", "3. low": "0.5", '

@@ -118,7 +118,7 @@ def test_bucket_aligned_load_writes_one_file_per_bucket(spark, landing):
     import glob
     import json
 
-    from barsmith.plans.pipeline import run
+    from barsmith.plans.etl import run
     from barsmith.sinks.tables import table_buckets
 
     docs = [json.dumps({"symbol": f"S{i:03d}", "Monthly Time Series": {
