@@ -48,3 +48,33 @@ def test_duplicate_check_matches_model(spark, rows):
     r = duplicate_check(df).first()
     assert (r.total_rows, r.distinct_rows, r.has_duplicates) == (
         len(rows), len(set(rows)), len(rows) != len(set(rows)))
+
+
+entries = st.lists(st.tuples(st.sampled_from(["2020-01-31", "2020-02-29", "2020-03-31", "2021-01-29"]),
+                             st.integers(0, 999)), min_size=1, max_size=10)
+
+
+@SETTINGS
+@given(st.lists(entries, min_size=1, max_size=4))
+def test_repeated_dates_keep_last_entry_like_a_json_parser(spark, docs):
+    import json
+    import os
+
+    from barsmith.session import scratch_path
+    from barsmith.sources.payloads import ingest_payloads
+
+    root = scratch_path(spark, "prop")
+    os.makedirs(root)
+    lines, expected = [], set()
+    for d, doc in enumerate(docs):
+        sym = f"S{d}"
+        body = ", ".join(f'"{k}": {{"4. close": "{v}"}}' for k, v in doc)
+        lines.append(f'{{"symbol": "{sym}", "Monthly Time Series": {{{body}}}}}')
+        parsed = json.loads(lines[-1])["Monthly Time Series"]  # a dict keeps the last value
+        last_pos = {k: i for i, (k, _) in enumerate(doc)}
+        expected |= {(sym, k, v["4. close"], last_pos[k]) for k, v in parsed.items()}
+    with open(os.path.join(root, "part-0.json"), "w") as f:
+        f.write("\n".join(lines))
+    raw, _ = ingest_payloads(spark, root)
+    got = {(r.symbol, r.date_from, r.close, r.pos) for r in raw.collect()}
+    assert got == expected
