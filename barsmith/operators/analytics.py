@@ -80,11 +80,14 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
 
     small = (distinct.where(F.col(n) <= chunk_rows)
              .select(*cols, first, rest, F.explode(F.sequence(F.lit(1), F.col(n))).alias(i)))
+    # A fixed partition count: the chunk rows are tiny, and an exchange AQE
+    # may coalesce would merge them back into one task.
+    k = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     big = (
         distinct.where(F.col(n) > chunk_rows)
         .select(*cols, n, first, rest,
                 F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk))
-        .repartition(partition, chunk)
+        .repartition(k, partition, chunk)
         .select(*cols, first, rest, F.explode(F.sequence(
             F.col(chunk) * chunk_rows + 1,
             F.least((F.col(chunk) + 1) * chunk_rows, F.col(n)),

@@ -165,3 +165,21 @@ def test_variation_over_copies_aggregates_before_window(spark):
     # partial count runs before the first exchange; the window sees distinct rows
     assert plan.index("partial_count") > plan.index("Window (")
     assert "Generate" in plan
+
+
+def test_hot_copy_group_is_expanded_across_tasks(spark):
+    """One row repeated as a third of the input is not emitted by one task."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(30_000).select(F.lit("HOT").alias("symbol"),
+                                     F.lit(D(2020, 1, 31)).alias("date_from"),
+                                     F.lit(1.0).alias("close"))
+    rest = spark.range(60_000).select(F.concat(F.lit("S"), (F.col("id") % 500).cast("string")).alias("symbol"),
+                                      F.date_add(F.lit(D(2000, 1, 31)), (F.col("id") / 500).cast("int")).alias("date_from"),
+                                      F.col("id").cast("double").alias("close"))
+    out = with_variation(hot.unionByName(rest), collapse_copies=True, chunk_rows=1_000)
+    per_task = (out.where("symbol = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count()
+                .collect())
+    assert sum(r["count"] for r in per_task) == 30_000
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) <= 15_000
+    assert out.count() == 90_000
