@@ -44,8 +44,10 @@ def with_variation(
     runs over distinct rows only, and the rows are expanded back: the first
     copy is compared with the previous distinct row, every further copy
     with its twin (0, or NULL for a zero/NULL close) -- what a window over
-    the repeated rows yields.  Copy groups above ``chunk_rows`` are expanded
-    in chunks spread over tasks, so no task emits a hot group alone.
+    the repeated rows yields.  Rows without copies leave the window task
+    as they are; copied rows are expanded in chunks of at most
+    ``chunk_rows``, spread over tasks by row identity, so no task emits a
+    hot group -- or a symbol's many copied rows -- alone.
 
     ``partitions`` fixes the window's exchange to exactly that many hash
     partitions by symbol -- the bucket count of the target table -- so each
@@ -78,22 +80,26 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
     )
     pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
 
-    small = (distinct.where(F.col(n) <= chunk_rows)
-             .select(*cols, first, rest, F.explode(F.sequence(F.lit(1), F.col(n))).alias(i)))
-    # A fixed partition count: the chunk rows are tiny, and an exchange AQE
-    # may coalesce would merge them back into one task.
+    # Rows without copies -- the usual case -- leave the window task as they are.
+    single = distinct.where(F.col(n) == 1).select(*cols, F.col(first).alias(out))
+    # Copied rows become chunk descriptors (at most chunk_rows copies each),
+    # hashed on the whole row and the chunk number with a fixed partition
+    # count (AQE would merge the tiny descriptors back into one task), so
+    # neither one hot row nor one symbol's many copied rows expand in a
+    # single task.
     k = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    big = (
-        distinct.where(F.col(n) > chunk_rows)
+    copied = (
+        distinct.where(F.col(n) > 1)
         .select(*cols, n, first, rest,
                 F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk))
-        .repartition(k, partition, chunk)
+        .repartition(k, *cols, chunk)
         .select(*cols, first, rest, F.explode(F.sequence(
             F.col(chunk) * chunk_rows + 1,
             F.least((F.col(chunk) + 1) * chunk_rows, F.col(n)),
         )).alias(i))
+        .select(*cols, pick)
     )
-    return small.unionByName(big).select(*cols, pick)
+    return single.unionByName(copied)
 
 
 def symbol_extremes(df: DataFrame, value: str = "close", date: str = "date_from",

@@ -183,3 +183,17 @@ def test_hot_copy_group_is_expanded_across_tasks(spark):
     assert sum(r["count"] for r in per_task) == 30_000
     assert len(per_task) >= 4 and max(r["count"] for r in per_task) <= 15_000
     assert out.count() == 90_000
+
+
+def test_symbol_with_many_copied_rows_is_expanded_across_tasks(spark):
+    """Each row copied below the chunk size, but the symbol's total is hot."""
+    from pyspark.sql import functions as F
+
+    hot = spark.range(30_000).select(
+        F.lit("HOT").alias("symbol"),
+        F.date_add(F.lit(D(2000, 1, 31)), (F.col("id") % 100).cast("int")).alias("date_from"),
+        (F.col("id") % 100).cast("double").alias("close"))
+    out = with_variation(hot, collapse_copies=True, chunk_rows=1_000)
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == 30_000
+    assert max(r["count"] for r in per_task) <= 15_000
