@@ -82,17 +82,25 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
 
     # Rows without copies -- the usual case -- leave the window task as they are.
     single = distinct.where(F.col(n) == 1).select(*cols, F.col(first).alias(out))
-    # Copied rows become chunk descriptors (at most chunk_rows copies each),
-    # hashed on the whole row and the chunk number with a fixed partition
-    # count (AQE would merge the tiny descriptors back into one task), so
-    # neither one hot row nor one symbol's many copied rows expand in a
-    # single task.
+    # Copied rows become chunk descriptors (at most chunk_rows copies each)
+    # spread over a fixed number of tasks (AQE would merge the tiny
+    # descriptors back into one task), so neither one hot row nor one
+    # symbol's many copied rows expand in a single task.  Spread by row
+    # identity; with a target bucket count, by range over (bucket id, row,
+    # chunk) instead, so each task also writes only one or two bucket files.
     k = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copied = (
+    descriptors = (
         distinct.where(F.col(n) > 1)
         .select(*cols, n, first, rest,
                 F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / chunk_rows))).alias(chunk))
-        .repartition(k, *cols, chunk)
+    )
+    if partitions:
+        bucket = F.pmod(F.hash(F.col(partition)), F.lit(partitions))
+        spread = descriptors.repartitionByRange(k, bucket, partition, order, *tiebreak, chunk)
+    else:
+        spread = descriptors.repartition(k, *cols, chunk)
+    copied = (
+        spread
         .select(*cols, first, rest, F.explode(F.sequence(
             F.col(chunk) * chunk_rows + 1,
             F.least((F.col(chunk) + 1) * chunk_rows, F.col(n)),

@@ -167,7 +167,8 @@ def test_variation_over_copies_aggregates_before_window(spark):
     assert "Generate" in plan
 
 
-def test_hot_copy_group_is_expanded_across_tasks(spark):
+@pytest.mark.parametrize("partitions", [None, 4])
+def test_hot_copy_group_is_expanded_across_tasks(spark, partitions):
     """One row repeated as a third of the input is not emitted by one task."""
     from pyspark.sql import functions as F
 
@@ -177,7 +178,8 @@ def test_hot_copy_group_is_expanded_across_tasks(spark):
     rest = spark.range(60_000).select(F.concat(F.lit("S"), (F.col("id") % 500).cast("string")).alias("symbol"),
                                       F.date_add(F.lit(D(2000, 1, 31)), (F.col("id") / 500).cast("int")).alias("date_from"),
                                       F.col("id").cast("double").alias("close"))
-    out = with_variation(hot.unionByName(rest), collapse_copies=True, chunk_rows=1_000)
+    out = with_variation(hot.unionByName(rest), collapse_copies=True, chunk_rows=1_000,
+                         partitions=partitions)
     per_task = (out.where("symbol = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count()
                 .collect())
     assert sum(r["count"] for r in per_task) == 30_000
@@ -185,7 +187,8 @@ def test_hot_copy_group_is_expanded_across_tasks(spark):
     assert out.count() == 90_000
 
 
-def test_symbol_with_many_copied_rows_is_expanded_across_tasks(spark):
+@pytest.mark.parametrize("partitions", [None, 4])
+def test_symbol_with_many_copied_rows_is_expanded_across_tasks(spark, partitions):
     """Each row copied below the chunk size, but the symbol's total is hot."""
     from pyspark.sql import functions as F
 
@@ -193,7 +196,7 @@ def test_symbol_with_many_copied_rows_is_expanded_across_tasks(spark):
         F.lit("HOT").alias("symbol"),
         F.date_add(F.lit(D(2000, 1, 31)), (F.col("id") % 100).cast("int")).alias("date_from"),
         (F.col("id") % 100).cast("double").alias("close"))
-    out = with_variation(hot, collapse_copies=True, chunk_rows=1_000)
+    out = with_variation(hot, collapse_copies=True, chunk_rows=1_000, partitions=partitions)
     per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in per_task) == 30_000
     assert max(r["count"] for r in per_task) <= 15_000

@@ -153,3 +153,31 @@ def test_bucket_count_equal_to_shuffle_partitions_stays_one_file_per_bucket(spar
     files = glob.glob(loc.replace("file:", "") + "/*.parquet")
     assert len(files) <= n and spark.table(t).count() == 600
     assert "Exchange" not in plan_text(with_variation(spark.table(t)))
+
+
+def test_copied_rows_load_writes_few_files_per_task(spark, landing):
+    import glob
+    import json
+    import os
+
+    from barsmith.operators.analytics import with_variation as wv
+    from barsmith.plans.etl import run
+
+    docs = "\n".join(json.dumps({"symbol": f"S{i:03d}", "Monthly Time Series": {
+        f"2020-{m:02d}-28": {"4. close": str(m)} for m in range(1, 13)}}) for i in range(40))
+    roots = []
+    for _ in range(2):  # the same landing twice: every row has a copy
+        root = landing({})
+        os.makedirs(root)
+        with open(os.path.join(root, "part-0.json"), "w") as f:
+            f.write(docs)
+        roots.append(root)
+    t = work_table(spark, "copied")
+    rep = run(spark, roots, t, "2023-07-11", buckets=4)
+    assert (rep.loaded_rows, rep.distinct_rows) == (960, 480)
+    loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").first()[1]
+    files = glob.glob(loc.replace("file:", "") + "/process_date=2023-07-11/*.parquet")
+    k = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= k + 4  # hashing rows instead would allow k * 4
+    df = spark.table(t).drop("monthly_variation", "process_date")
+    assert "rangepartitioning" in plan_text(wv(df, collapse_copies=True, partitions=4)).lower()
