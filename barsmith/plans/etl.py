@@ -57,10 +57,14 @@ def transform(raw: DataFrame, strict: bool = True, partitions: int | None = None
         with_variation, collapse_copies=True, partitions=partitions)
 
 
-def load_batch(df: DataFrame, table: str, process_date: str, buckets: int | None = None) -> None:
-    """Create the table if missing, then replace the batch (JOB-3)."""
-    create_bars_table(df.sparkSession, table, buckets)
-    reload_process_date(df, table, process_date)
+def load_batch(raw: DataFrame, table: str, process_date: str, *, strict: bool = True,
+               buckets: int | None = None) -> None:
+    """Create the table if missing, then replace one batch with ``raw``
+    transformed (JOB-3).  The variation's exchange takes the table's
+    bucket count, so the write needs no further shuffle.
+    """
+    n = prepare_table(raw.sparkSession, table, buckets)
+    reload_process_date(transform(raw, strict, partitions=n), table, process_date)
 
 
 def prepare_table(spark: SparkSession, table: str, buckets: int | None = None) -> int | None:
@@ -99,8 +103,7 @@ def run(
     if fail_if_empty and accepted.limit(1).count() == 0:
         raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")
 
-    n = prepare_table(spark, table, buckets)
-    reload_process_date(transform(explode_series(accepted), strict, partitions=n), table, d)
+    load_batch(explode_series(accepted), table, d, strict=strict, buckets=buckets)
 
     n_rejected = None
     if reject_table is not None:

@@ -25,12 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.schema import (
-    MEASURES,
-    PAYLOAD_FIELDS,
-    PAYLOAD_TYPE,
-    SERIES_KEY,
-)
+from barsmith.schema import FIELD_RENAMES, PAYLOAD_TYPE, SERIES_KEY
 
 # Reject reasons.
 REASON_MALFORMED = "malformed_json"
@@ -144,7 +139,7 @@ def explode_series(parsed: DataFrame) -> DataFrame:
         .select(
             "symbol",
             F.col("e.date_from").alias("date_from"),
-            *[F.col("e.v").getField(f).alias(m) for f, m in zip(PAYLOAD_FIELDS, MEASURES)],
+            *[F.col("e.v").getField(f).alias(m) for f, m in FIELD_RENAMES.items()],
             F.col("e.pos").alias("pos"),
         )
     )

@@ -127,3 +127,13 @@ def test_symbol_filter_pushed_into_json_lines_scan(spark, landing):
     assert "PushedFilters: [In(symbol, [B,C])]" in plan_text(df)
     raw = explode_series(df)
     assert sorted(r.symbol for r in raw.collect()) == ["B", "C"]
+
+
+def test_raw_and_reject_schemas(spark, landing):
+    from barsmith.schema import RAW_SCHEMA, REJECT_COLUMNS
+
+    path = landing({"A": ['{"Monthly Time Series": {"2023-05-31": {"4. close": "1"}}}'],
+                    "N": ['{"Note": "x"}']})
+    raw, rej = ingest_payloads(spark, path)
+    assert raw.schema.simpleString() == RAW_SCHEMA.simpleString()
+    assert tuple(rej.columns) == REJECT_COLUMNS

@@ -181,3 +181,19 @@ def test_copied_rows_load_writes_few_files_per_task(spark, landing):
     assert len(files) <= k + 4  # hashing rows instead would allow k * 4
     df = spark.table(t).drop("monthly_variation", "process_date")
     assert "rangepartitioning" in plan_text(wv(df, collapse_copies=True, partitions=4)).lower()
+
+
+def test_table_preview_and_cluster_for_table(spark):
+    from barsmith.schema import LOADED_COLUMNS
+    from barsmith.sinks.tables import cluster_for_table
+    from barsmith.sources.tables import table_preview
+
+    t = work_table(spark, "t")
+    create_bars_table(spark, t, buckets=3)
+    assert tuple(spark.table(t).columns) == LOADED_COLUMNS
+    df = sample(spark, 5)
+    assert "hashpartitioning(symbol" in plan_text(cluster_for_table(df, t)) and \
+        ", 3)" in plan_text(cluster_for_table(df, t))
+    reload_process_date(cluster_for_table(df, t), t, "2023-07-11")
+    got = [r.date_from.month for r in table_preview(spark, t, 2, ["date_from"]).collect()]
+    assert got == [1, 2]
