@@ -3,8 +3,9 @@
 Library code never builds a session or picks a master; the caller passes
 one.  Intermediate tables and landed test payloads go under the folder the
 cluster names in ``spark.checkpoint.dir`` (shared storage on a cluster).
-Only when that setting is absent -- local tests -- do we fall back to the
-session's warehouse directory and register it as the checkpoint folder.
+Only when that setting is absent -- local tests -- do we fall back to a
+folder under the session's warehouse directory and register it as the
+context's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        # Unset (local tests): a folder derived from the warehouse directory,
+        # the same on every call.  spark.checkpoint.dir is a core setting that
+        # cannot change at runtime; the context's checkpoint folder can.
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")

@@ -68,3 +68,29 @@ def test_no_python_udfs_in_library():
     for banned in ("@udf", "F.udf(", "pandas_udf", ".collect()", ".rdd", "localCheckpoint"):
         assert banned not in text, banned
     assert F is not None
+
+
+def test_shared_dir_fallback_without_setting_or_context():
+    from barsmith.session import scratch_path, shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.sql.warehouse.dir": "file:/x/wh/"}.get(key, default)
+
+    class ConnectLike:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no SparkContext in Spark Connect")
+
+    s = ConnectLike()
+    assert shared_dir(s) == "file:/x/wh/_checkpoints"
+    a, b = scratch_path(s, "x"), scratch_path(s, "x")
+    assert a != b and a.startswith("file:/x/wh/_checkpoints/barsmith/x-")
+
+
+def test_shared_dir_reads_the_session_setting(spark):
+    from barsmith.session import shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
