@@ -99,3 +99,12 @@ def test_command_line_run(spark, landing, capsys):
                  "--process-date", "2023-07-11", "--buckets", "2"]) == 0
     out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["loaded_rows"] == 2 and out["process_date"] == "2023-07-11"
+
+
+def test_run_symbol_subset_and_whole_files(spark, landing):
+    pretty = DOC_A.replace(", ", ",\n    ")  # one document over many lines
+    path = landing({"A": [pretty], "B": [pretty]})
+    t = work_table(spark, "bars")
+    rep = run(spark, path, t, "2023-07-11", symbols=["B"], wholetext=True)
+    assert rep.loaded_rows == 2
+    assert {r.symbol for r in spark.table(t).collect()} == {"B"}

@@ -197,3 +197,18 @@ def test_table_preview_and_cluster_for_table(spark):
     reload_process_date(cluster_for_table(df, t), t, "2023-07-11")
     got = [r.date_from.month for r in table_preview(spark, t, 2, ["date_from"]).collect()]
     assert got == [1, 2]
+
+
+def test_jdbc_calls_reach_the_jdbc_layer_without_a_database(spark):
+    """No database is started: an unknown driver class must fail inside
+    Spark's JDBC source/sink, showing the options were passed through."""
+    from barsmith.sinks.jdbc import write_jdbc
+    from barsmith.sources.jdbc import read_jdbc
+
+    url = "jdbc:none://nowhere/db"
+    with pytest.raises(Exception, match="no.such.Driver"):
+        read_jdbc(spark, url, query="select 1", driver="no.such.Driver")
+    with pytest.raises(Exception, match="no.such.Driver"):
+        write_jdbc(sample(spark, 1), url, "t", mode="overwrite", driver="no.such.Driver")
+    with pytest.raises(ValueError):
+        write_jdbc(sample(spark, 1), url, "t", mode="upsert")
