@@ -21,8 +21,14 @@ from barsmith.operators.analytics import (
     with_previous_close,
     with_variation,
 )
-from barsmith.operators.quality import drop_duplicates, duplicate_check
-from barsmith.operators.transforms import normalize, tag, union_all, wide_to_long
+from barsmith.operators.quality import drop_duplicates, duplicate_check, last_per_key
+from barsmith.operators.transforms import (
+    long_to_wide,
+    normalize,
+    tag,
+    union_all,
+    wide_to_long,
+)
 from barsmith.plans.fixtures import bars_from_lineitem, land_payloads, lines_of
 from barsmith.plans.etl import prepare_table, run
 from barsmith.schema import MEASURES, PROCESS_DATE
@@ -133,6 +139,19 @@ def q_wide_to_long(spark, sf_dir):
     return wide_to_long(_bars(spark, sf_dir), ["symbol", "date_from"], list(MEASURES))
 
 
+def q_long_to_wide(spark, sf_dir):
+    """Round trip: bars -> one row per measure -> bars again (pivot)."""
+    ids = ["symbol", "date_from"]
+    long = wide_to_long(_bars(spark, sf_dir), ids, list(MEASURES))
+    return long_to_wide(long, ids, list(MEASURES))
+
+
+def q_last_per_key(spark, sf_dir):
+    """Each user's latest event (ties: highest id), kept by an aggregate."""
+    ev = _read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    return last_per_key(ev, ["user_id"], ["ts", "event_id"])
+
+
 def q_lenient_cast(spark, sf_dir):
     ev = _read(spark, sf_dir, "events")
     return ev.select("event_id", as_double("event_type", strict=False).alias("a"),
@@ -254,6 +273,8 @@ QUERIES: dict[str, Query] = {
     "payload_rejects": q_payload_rejects,
     "normalize_types": q_normalize_types,
     "wide_to_long": q_wide_to_long,
+    "long_to_wide": q_long_to_wide,
+    "last_per_key": q_last_per_key,
     "lenient_cast": q_lenient_cast,
     "union_symbols": q_union_symbols,
     "duplicate_check": q_duplicate_check,
@@ -331,6 +352,10 @@ ORACLES: dict[str, str] = {
     + " UNION ALL ".join(
         f"SELECT symbol, date_from, '{m}' AS field, {m} AS value FROM bars" for m in MEASURES
     ),
+    "long_to_wide": _with(_BARS) + "SELECT * FROM bars",
+    "last_per_key": "SELECT user_id, ts, event_id, event_type, value FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn "
+    "FROM events) WHERE rn = 1",
     "lenient_cast": "SELECT event_id, try_cast(event_type AS DOUBLE) AS a, value AS b FROM events",
     "union_symbols": _with(_BARS)
     + "SELECT symbol, date_from, open, high, low, close, "
