@@ -33,6 +33,11 @@ BARS_SCHEMA = T.StructType(
 )
 BAR_COLUMNS = tuple(f.name for f in BARS_SCHEMA.fields)
 
+BARS_DDL = (
+    "symbol STRING, date_from DATE, open DOUBLE, high DOUBLE, low DOUBLE, "
+    "close DOUBLE, volume DOUBLE"
+)
+
 # analysed and loaded bars (process_date is the table's partition column).
 VARIATION = "monthly_variation"
 PROCESS_DATE = "process_date"

@@ -25,14 +25,20 @@ def _default_buckets(spark: SparkSession) -> int:
 
 def create_bars_table(
     spark: SparkSession, name: str, buckets: int | None = None,
-    ddl: str = LOADED_DDL, location: str | None = None,
+    ddl: str = LOADED_DDL, location: str | None = None, partitioned: bool = True,
 ) -> None:
-    """CREATE TABLE IF NOT EXISTS; running it again changes nothing (SNK-1)."""
+    """CREATE TABLE IF NOT EXISTS; running it again changes nothing (SNK-1).
+
+    Distributed by symbol, sorted by date.  ``partitioned=False`` with a
+    ``ddl`` of the plain bar columns gives an append-only bars table (no
+    process date), as loaded without the variation.
+    """
     n = buckets or _default_buckets(spark)
     loc = f" LOCATION '{location}'" if location else ""
+    parts = f"PARTITIONED BY ({PROCESS_DATE}) " if partitioned else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-        f"PARTITIONED BY ({PROCESS_DATE}) CLUSTERED BY (symbol) SORTED BY (date_from) "
+        f"{parts}CLUSTERED BY (symbol) SORTED BY (date_from) "
         f"INTO {n} BUCKETS{loc}"
     )
 

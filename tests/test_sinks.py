@@ -212,3 +212,20 @@ def test_jdbc_calls_reach_the_jdbc_layer_without_a_database(spark):
         write_jdbc(sample(spark, 1), url, "t", mode="overwrite", driver="no.such.Driver")
     with pytest.raises(ValueError):
         write_jdbc(sample(spark, 1), url, "t", mode="upsert")
+
+
+def test_plain_bars_table_appends_typed_bars(spark, landing):
+    """Typed bars without variation or process date, appended row for row."""
+    from barsmith.operators.transforms import normalize
+    from barsmith.schema import BARS_DDL, BAR_COLUMNS
+    from barsmith.sources.payloads import ingest_payloads
+
+    doc = ('{"Monthly Time Series": {"2023-05-31": {"1. open": "1", "2. high": "2", '
+           '"3. low": "0.5", "4. close": "1.5", "5. volume": "10"}}}')
+    raw, _ = ingest_payloads(spark, landing({"IBM": [doc]}))
+    t = work_table(spark, "plain")
+    create_bars_table(spark, t, buckets=2, ddl=BARS_DDL, partitioned=False)
+    append_table(raw.transform(normalize), t)
+    append_table(raw.transform(normalize), t)  # re-running appends again
+    assert tuple(spark.table(t).columns) == BAR_COLUMNS
+    assert spark.table(t).count() == 2
