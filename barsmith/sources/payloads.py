@@ -117,7 +117,9 @@ def explode_series(parsed: DataFrame) -> DataFrame:
     another date -- O(n log n) per document, no shuffle.
     ``pos`` is the entry's 0-based position in its document.
     """
-    tagged = F.array_sort(
+    # sort_array compares natively; array_sort would evaluate a comparator
+    # lambda per comparison.
+    tagged = F.sort_array(
         F.transform(
             F.map_entries("series"),
             lambda e, i: F.struct(
