@@ -67,10 +67,11 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_etl_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: land payloads, run the ETL for D1, read the batch back."""
+    """Flagship: land payloads, run the ETL for D1 (rejects kept in their own
+    table, duplicate report over the batch), read the loaded batch back."""
     landing = _landed(spark, sf_dir)
     table = work_table(spark, "bars")
-    run(spark, landing, table, D1)
+    run(spark, landing, table, D1, reject_table=work_table(spark, "rejects"))
     return spark.table(table).where(F.col(PROCESS_DATE) == D1)
 
 
