@@ -52,3 +52,26 @@ def landing(spark):
 def plan_text(df) -> str:
     """The formatted physical plan, as ``df.explain("formatted")`` prints it."""
     return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def executed_nodes(df):
+    """(node name, output rows) of every operator in the final executed plan.
+
+    Runs ``df`` once; reads Spark's SQL metrics from the adaptive plan,
+    descending into query stages.  Test support only.
+    """
+    df.collect()
+    root = df._jdf.queryExecution().executedPlan()
+    if root.nodeName() == "AdaptiveSparkPlan":
+        root = root.finalPhysicalPlan()
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        metrics = node.metrics()
+        rows = metrics.get("numOutputRows")
+        out.append((node.nodeName(), rows.get().value() if rows.isDefined() else None))
+        if node.nodeName().endswith("QueryStage") or node.nodeName() == "ReusedQueryStage":
+            todo.append(node.plan())
+        kids = node.children()
+        todo.extend(kids.apply(i) for i in range(kids.size()))
+    return out

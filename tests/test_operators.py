@@ -200,3 +200,36 @@ def test_symbol_with_many_copied_rows_is_expanded_across_tasks(spark, partitions
     per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in per_task) == 30_000
     assert max(r["count"] for r in per_task) <= 15_000
+
+
+def test_copies_are_collapsed_before_the_shuffle(spark):
+    """30,000 copies of one row: the partial aggregate ships a handful of rows."""
+    from pyspark.sql import functions as F
+
+    from tests.conftest import executed_nodes
+
+    hot = spark.range(0, 30_000, 1, 8).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
+    other = spark.range(0, 100, 1, 8).select(F.col("id").cast("int").alias("a"), F.lit("y").alias("b"))
+    nodes = executed_nodes(duplicate_check(hot.unionByName(other)))
+    partial = [rows for name, rows in nodes if name == "HashAggregate" and rows is not None]
+    # every aggregate's output is far below the 30,100 input rows
+    assert partial and max(partial) <= 16 * 101
+
+
+def test_hot_supplier_is_reduced_before_the_shuffle(spark):
+    """A supplier with a third of all lines leaves each task as one row per month."""
+    from pyspark.sql import functions as F
+
+    from barsmith.plans.fixtures import bars_from_lineitem
+    from tests.conftest import SF_SMALL, executed_nodes
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    hot = (li.where(F.col("l_orderkey") % 3 == 0).withColumn("l_suppkey", F.lit(1))
+           .repartition(8))
+    n_in = hot.count()
+    months = hot.select(F.trunc(F.to_date("l_shipdate"), "MM")).distinct().count()
+    nodes = executed_nodes(bars_from_lineitem(hot))
+    aggs = [rows for name, rows in nodes if name == "SortAggregate"]
+    partial_out, final_out = max(aggs), min(aggs)
+    assert final_out == months
+    assert partial_out <= 8 * months < n_in  # shuffled: per task one row per month
