@@ -137,3 +137,29 @@ def test_raw_and_reject_schemas(spark, landing):
     raw, rej = ingest_payloads(spark, path)
     assert raw.schema.simpleString() == RAW_SCHEMA.simpleString()
     assert tuple(rej.columns) == REJECT_COLUMNS
+
+
+def test_null_series_and_array_of_documents(spark, landing):
+    array_doc = json.dumps([
+        {"Monthly Time Series": {"2020-01-31": {"4. close": "1"}}},
+        {"Monthly Time Series": {"2020-02-28": {"4. close": "2"}}},
+    ], indent=2)
+    path = landing({"A": [array_doc], "N": ['{"Monthly Time Series": null}']})
+    raw, rej = ingest_payloads(spark, path, wholetext=True)
+    assert sorted((r.date_from, r.close) for r in raw.collect()) == [("2020-01-31", "1"), ("2020-02-28", "2")]
+    assert [(r.symbol, r.reason) for r in rej.collect()] == [("N", "missing_series")]
+
+
+def test_symbols_needing_escapes_round_trip_through_folders(spark):
+    import datetime as dt
+
+    from barsmith.plans.fixtures import land_payloads
+    from barsmith.session import scratch_path
+
+    bars = spark.createDataFrame(
+        [(s, dt.date(2020, 1, 31), 1.0, 2.0, 0.5, 1.5, 10.0) for s in ("BRK.B", "^GSPC", "A/B")],
+        "symbol string, date_from date, open double, high double, low double, close double, volume double")
+    path = land_payloads(bars, scratch_path(spark, "esc"), notice_every=None, symbol_folders=True)
+    raw, rej = ingest_payloads(spark, path)
+    assert sorted(r.symbol for r in raw.collect()) == ["A/B", "BRK.B", "^GSPC"]
+    assert rej.count() == 0
