@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_ORACLE
-from tools.oracle_check import canon, duck
+from tools.oracle_check import canon, duck, spark_types
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_ORACLE)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql()[name]
+    rel = con.sql(sql)
+    assert spark_types(df) == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(sql)
     o_cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(o_cols)
