@@ -98,7 +98,8 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10) -> DataFra
     )
     entry = F.struct(F.date_format("date_from", "yyyy-MM-dd").alias("k"), fields.alias("v"))
     # Hash-partition by symbol once: the per-(symbol, year) aggregate reuses
-    # it (no second exchange) and each symbol folder is written by one task.
+    # it (no second exchange), and all of a symbol's documents are written by
+    # one task (one file per symbol folder in the folder layout).
     docs = cluster_by(bars, "symbol").groupBy("symbol", F.year("date_from").alias("_year")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries")
     )
