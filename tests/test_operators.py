@@ -233,3 +233,14 @@ def test_hot_supplier_is_reduced_before_the_shuffle(spark):
     partial_out, final_out = max(aggs), min(aggs)
     assert final_out == months
     assert partial_out <= 8 * months < n_in  # shuffled: per task one row per month
+
+
+def test_copied_branch_reuses_the_window_shuffle(spark):
+    """With copies present, both branches read one shuffle (ReusedExchange):
+    the scan and the copy aggregate run once."""
+    rows = [("A", D(2020, m, 1), float(m)) for m in range(1, 7)] * 2 + [("B", D(2020, 1, 1), 1.0)]
+    out = with_variation(bars(spark, rows), collapse_copies=True, partitions=4)
+    assert out.count() == 13
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
