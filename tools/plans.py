@@ -9,10 +9,13 @@ outline is that read; their writes run inside the query function.
 
 from __future__ import annotations
 
+import glob
+import json
 import os
 import re
 import sys
 import tempfile
+import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,9 +31,9 @@ READING = """How to read them:
 * Predicates on raw columns reach the scan: the symbol of `symbol_series`
   becomes `EqualTo(l_suppkey, 1)`, the date ranges of `union_symbols`
   become `l_shipdate` ranges, partition filters select one batch.
-* Sink queries (`etl_monthly`, `*_reload`, `clear_*`, `append_load`,
-  `bucketed_variation`) return a read of the table they loaded; their load
-  plans are covered by tests (one Window, exchange aligned with buckets).
+* Sink queries (`etl_*`, `*_reload`, `clear_*`, `append_load`,
+  `bucketed_variation`) return a read of the table they loaded; the plans of
+  their table writes follow, taken from Spark's event log.
 """
 
 
@@ -53,8 +56,12 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     scratch = tempfile.mkdtemp(prefix="run-plans-", dir="/tmp")
+    os.makedirs(f"{scratch}/events")
     spark = (SparkSession.builder.master("local[8]")
              .config("spark.ui.enabled", "false")
+             .config("spark.eventLog.enabled", "true")
+             .config("spark.eventLog.dir", f"{scratch}/events")
+             .config("spark.eventLog.compress", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.checkpoint.dir", f"{scratch}/ckpt")
@@ -67,19 +74,48 @@ def main() -> None:
     print(f"Physical plans of the registered queries (`tools/plans.py`, {sf_dir}, "
           "8 shuffle partitions, AQE on; initial plans, before runtime re-planning).\n")
     print(READING)
+    sections, windows = [], []
     for name, fn in E.queries().items():
+        t0 = time.time() * 1000
         df = fn(spark, sf_dir)
+        windows.append((name, t0, time.time() * 1000))
         text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         tree, scans = outline(text)
         n_ex = len(re.findall(r"Exchange \(", tree))
         aggs = sorted(set(re.findall(r"(HashAggregate|SortAggregate|ObjectHashAggregate)", tree)))
-        print(f"## {name}\n")
-        print(f"exchanges: {n_ex}; aggregates: {', '.join(aggs) or 'none'}\n")
-        print("```\n" + tree.strip() + "\n```\n")
-        for s in scans:
-            print("```\n" + s + "\n```\n")
+        body = [f"exchanges: {n_ex}; aggregates: {', '.join(aggs) or 'none'}\n",
+                "```\n" + tree.strip() + "\n```\n"]
+        body += ["```\n" + sc + "\n```\n" for sc in scans]
+        sections.append((name, body))
     spark.stop()
 
+    writes = load_plans(scratch, windows)
+    for name, body in sections:
+        print(f"## {name}\n")
+        print("\n".join(body))
+        for i, plan in enumerate(writes.get(name, []), 1):
+            print(f"load job {i} (table write, from the event log):\n")
+            print("```\n" + plan + "\n```\n")
+
+
+def load_plans(scratch: str, windows) -> dict[str, list[str]]:
+    """Physical plans of the table writes each query ran, from the event log."""
+    files = [p for p in glob.glob(f"{scratch}/events/**", recursive=True) if os.path.isfile(p)]
+    found: dict[str, list[str]] = {}
+    for path in files:
+        for line in open(path):
+            e = json.loads(line)
+            if not e["Event"].endswith("SQLExecutionStart"):
+                continue
+            plan = e.get("physicalPlanDescription", "")
+            if "InsertIntoHadoopFsRelationCommand" not in plan:
+                continue
+            tree = plan.split("\n\n\n")[0].replace("== Physical Plan ==\n", "").strip()
+            for name, t0, t1 in windows:
+                if t0 <= e["time"] <= t1:
+                    found.setdefault(name, []).append(tree)
+    return found
+
 
 if __name__ == "__main__":
     main()
