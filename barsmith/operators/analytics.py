@@ -20,8 +20,19 @@ def series_window(partition: str = "symbol", order: str = "date_from"):
 def with_previous_close(
     df: DataFrame, value: str = "close", out: str = "prev_close",
     partition: str = "symbol", order: str = "date_from",
+    collapse_copies: bool = False, chunk_rows: int = 100_000,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Previous row's ``value`` in the symbol's date order; NULL first (WIN-2)."""
+    """Previous row's ``value`` in the symbol's date order; NULL first (WIN-2).
+
+    ``collapse_copies``, ``chunk_rows`` and ``partitions`` as for
+    :func:`with_variation`: a further copy of a row gets its twin's value.
+    """
+    if collapse_copies:
+        return _over_copies(df, value, out, partition, order, chunk_rows, partitions,
+                            lambda cur, prev: prev)
+    if partitions:
+        df = cluster_by(df, partition, partitions)
     return df.withColumn(out, F.lag(value).over(series_window(partition, order)))
 
 
@@ -60,10 +71,12 @@ def with_variation(
         cols = df.columns
         return (df.select(*cols, F.lag(value).over(series_window(partition, order)).alias(prev))
                   .select(*cols, pct_change(F.col(value), F.col(prev)).alias(out)))
-    return _variation_over_copies(df, value, out, partition, order, chunk_rows, partitions)
+    return _over_copies(df, value, out, partition, order, chunk_rows, partitions, pct_change)
 
 
-def _variation_over_copies(df, value, out, partition, order, chunk_rows, partitions):
+def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combine):
+    """``combine(current, previous)`` over the rows of ``df``, copies included,
+    with the window run over distinct rows only (see ``with_variation``)."""
     cols = df.columns
     n, first, rest, chunk, i = ("__barsmith_n", "__barsmith_first", "__barsmith_rest",
                                 "__barsmith_chunk", "__barsmith_i")
@@ -75,8 +88,8 @@ def _variation_over_copies(df, value, out, partition, order, chunk_rows, partiti
         counted = cluster_by(counted, partition, partitions)
     distinct = counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
         *cols, n,
-        pct_change(F.col(value), F.col(prev)).alias(first),
-        pct_change(F.col(value), F.col(value)).alias(rest),
+        combine(F.col(value), F.col(prev)).alias(first),
+        combine(F.col(value), F.col(value)).alias(rest),
     )
     pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
 

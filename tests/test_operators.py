@@ -244,3 +244,15 @@ def test_copied_branch_reuses_the_window_shuffle(spark):
     out.collect()
     final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 100_000])
+def test_previous_close_over_copies_equals_plain_window(spark, chunk_rows):
+    rows = ([("A", D(2020, 1, 31), 10.0)] * 3 + [("A", D(2020, 2, 29), 15.0)] * 2
+            + [("B", D(2020, 1, 31), None)] * 2 + [("B", D(2020, 2, 29), 4.0)])
+    df = bars(spark, rows)
+    key = lambda r: (r.symbol, r.date_from, str(r.close), str(r.prev_close))
+    got = sorted(map(key, with_previous_close(df, collapse_copies=True, chunk_rows=chunk_rows,
+                                              partitions=2).collect()))
+    plain = sorted(map(key, with_previous_close(df).collect()))
+    assert got == plain and len(got) == len(rows)
