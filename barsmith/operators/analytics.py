@@ -60,6 +60,9 @@ def with_variation(
     ``chunk_rows``, spread over tasks by row identity, so no task emits a
     hot group -- or a symbol's many copied rows -- alone.
 
+    Copies are equal under Spark's grouping semantics: ``-0.0`` and ``0.0``
+    are the same value (returned as ``0.0``) and every NaN is one NaN.
+
     ``partitions`` fixes the window's exchange to exactly that many hash
     partitions by symbol -- the bucket count of the target table -- so each
     write task then fills one bucket file instead of one file per bucket.
