@@ -78,3 +78,63 @@ def test_repeated_dates_keep_last_entry_like_a_json_parser(spark, docs):
     raw, _ = ingest_payloads(spark, root)
     got = {(r.symbol, r.date_from, r.close, r.pos) for r in raw.collect()}
     assert got == expected
+
+
+doc_entries = st.lists(st.tuples(st.sampled_from(["2020-01-31", "2020-02-29", "2020-03-31"]),
+                                 st.sampled_from([0.0, 1.0, 2.0, 4.0])), min_size=1, max_size=4)
+document = st.one_of(
+    st.tuples(st.sampled_from(["A", "B"]), doc_entries),
+    st.tuples(st.sampled_from(["A", "B"]), st.none()),  # notice only: rejected
+)
+landings = st.lists(st.lists(document, min_size=1, max_size=3), min_size=1, max_size=3)
+
+
+def model_load(all_landings):
+    """Rows kept by the ETL and their variation, in plain Python."""
+    rows = []
+    for landing in all_landings:
+        for sym, entries in landing:
+            if entries is None:
+                continue
+            for date, close in dict(entries).items():  # a dict keeps the last entry
+                rows.append((sym, date, close))
+    out = []
+    for sym in sorted({r[0] for r in rows}):
+        series = sorted(r for r in rows if r[0] == sym)  # by date, then value
+        for i, (s, d, c) in enumerate(series):
+            p = series[i - 1][2] if i else None
+            out.append((s, d, c, None if p in (None, 0.0) else (c - p) / p * 100))
+    return sorted(out, key=str)
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(landings)
+def test_etl_run_matches_model(spark, all_landings):
+    import json
+    import os
+
+    from barsmith.plans.etl import run
+    from barsmith.session import scratch_path, work_table
+
+    if not any(e is not None for landing in all_landings for _, e in landing):
+        return  # nothing accepted: run() refuses, covered elsewhere
+    roots = []
+    for landing in all_landings:
+        root = scratch_path(spark, "prop-etl")
+        os.makedirs(root)
+        lines = []
+        for sym, entries in landing:
+            if entries is None:
+                lines.append(json.dumps({"symbol": sym, "Note": "x"}))
+            else:
+                body = ", ".join(f'"{d}": {{"4. close": "{c}", "5. volume": "1"}}' for d, c in entries)
+                lines.append(f'{{"symbol": "{sym}", "Monthly Time Series": {{{body}}}}}')
+        with open(os.path.join(root, "part-0.json"), "w") as f:
+            f.write("\n".join(lines))
+        roots.append(root)
+    t = work_table(spark, "prop")
+    run(spark, roots, t, "2023-07-11", buckets=2)
+    got = sorted(((r.symbol, r.date_from.isoformat(), r.close, r.monthly_variation)
+                  for r in spark.table(t).collect()), key=str)
+    assert got == model_load(all_landings)
