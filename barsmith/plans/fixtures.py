@@ -83,14 +83,17 @@ def notice_symbols(symbol="symbol", every: int | None = 10):
     return (symbol_number(symbol) % every) == 0
 
 
-def payload_documents(bars: DataFrame, notice_every: int | None = 10) -> DataFrame:
+def payload_documents(bars: DataFrame, notice_every: int | None = 10,
+                      fixed_writers: bool = False) -> DataFrame:
     """Bars -> payload documents ``symbol, `Monthly Time Series`, Note``.
 
     One document per symbol and year, entries newest first, every measure
     as ``decimal(18,4)`` text, like the monthly-series API.  A document
     holds at most twelve entries (one bar per month), so no group grows
     with the data.  Symbols picked by :func:`notice_symbols` carry only a
-    ``Note`` instead of a series.
+    ``Note`` instead of a series.  ``fixed_writers`` keeps the session's
+    shuffle partition count (no AQE merging): for folder output, where the
+    cost is folders per writer rather than bytes.
     """
     fields = F.struct(
         *[F.col(m).cast("decimal(18,4)").cast("string").alias(f)
@@ -100,7 +103,12 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10) -> DataFra
     # Hash-partition by symbol once: the per-(symbol, year) aggregate reuses
     # it (no second exchange), and all of a symbol's documents are written by
     # one task (one file per symbol folder in the folder layout).
-    docs = cluster_by(bars, "symbol").groupBy("symbol", F.year("date_from").alias("_year")).agg(
+    if fixed_writers:
+        n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        clustered = bars.repartition(n, "symbol")
+    else:
+        clustered = cluster_by(bars, "symbol")
+    docs = clustered.groupBy("symbol", F.year("date_from").alias("_year")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries")
     )
     notice = notice_symbols("symbol", notice_every)
@@ -120,6 +128,6 @@ def land_payloads(bars: DataFrame, path: str, notice_every: int | None = 10,
     ``symbol=<SYM>/`` folders of documents without it instead.  NULL fields
     are omitted, so a notice document has only ``symbol`` and ``Note``.
     """
-    w = payload_documents(bars, notice_every).write
+    w = payload_documents(bars, notice_every, fixed_writers=symbol_folders).write
     (w.partitionBy("symbol") if symbol_folders else w).json(path)
     return path
