@@ -7,7 +7,7 @@ from barsmith.sources.payloads import (
     read_payloads,
     split_payloads,
 )
-from barsmith.sources.tables import preview, schema_rows
+from barsmith.sources.tables import preview, schema_rows, table_preview
 
 __all__ = [
     "explode_series",
@@ -18,4 +18,5 @@ __all__ = [
     "read_payloads",
     "schema_rows",
     "split_payloads",
+    "table_preview",
 ]
