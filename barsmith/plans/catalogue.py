@@ -97,28 +97,31 @@ def q_relanded_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_check(raw.drop("pos"))
 
 
-def q_monthly_variation(spark, sf_dir):
+def q_monthly_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with their month-over-month change (WIN-3)."""
     return _bars(spark, sf_dir).transform(with_variation)
 
 
-def q_previous_close(spark, sf_dir):
+def q_previous_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each bar's previous close in its symbol's date order (WIN-1, WIN-2)."""
     return (_bars(spark, sf_dir).transform(with_previous_close)
             .select("symbol", "date_from", "close", "prev_close"))
 
 
-def q_bucketed_variation(spark, sf_dir):
+def q_bucketed_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variation over a table bucketed by symbol: the window needs no Exchange."""
     table = work_table(spark, "bucketed")
     write_bucketed(_bars(spark, sf_dir), table)
     return spark.table(table).transform(with_variation)
 
 
-def q_json_series_ingest(spark, sf_dir):
+def q_json_series_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON Lines -> raw text rows (SRC-1..3, SRC-5, SRC-7)."""
     raw, _ = ingest_payloads(spark, _landed(spark, sf_dir))
     return raw.drop("pos")
 
 
-def q_json_folder_ingest(spark, sf_dir):
+def q_json_folder_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same ingest from ``symbol=<SYM>/`` folders: symbol from the directory."""
     landing = land_payloads(_bars(spark, sf_dir), scratch_path(spark, "folders"),
                             symbol_folders=True)
@@ -126,40 +129,44 @@ def q_json_folder_ingest(spark, sf_dir):
     return raw.drop("pos")
 
 
-def q_payload_rejects(spark, sf_dir):
+def q_payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reject rows of the landed documents, counted per symbol and reason (SRC-6)."""
     _, rejected = ingest_payloads(spark, _landed(spark, sf_dir))
     return rejected.groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def q_normalize_types(spark, sf_dir):
+def q_normalize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows typed strictly: dates and doubles (PRJ-2..5, JOB-5)."""
     raw, _ = ingest_payloads(spark, _landed(spark, sf_dir))
     return raw.transform(normalize, strict=True)
 
 
-def q_wide_to_long(spark, sf_dir):
+def q_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per bar and measure (SRC-4)."""
     return wide_to_long(_bars(spark, sf_dir), ["symbol", "date_from"], list(MEASURES))
 
 
-def q_long_to_wide(spark, sf_dir):
+def q_long_to_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip: bars -> one row per measure -> bars again (pivot)."""
     ids = ["symbol", "date_from"]
     long = wide_to_long(_bars(spark, sf_dir), ids, list(MEASURES))
     return long_to_wide(long, ids, list(MEASURES))
 
 
-def q_last_per_key(spark, sf_dir):
+def q_last_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's latest event (ties: highest id), kept by an aggregate."""
     ev = _read(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     return last_per_key(ev, ["user_id"], ["ts", "event_id"])
 
 
-def q_lenient_cast(spark, sf_dir):
+def q_lenient_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lenient string -> double: failures become NULL (PRJ-3, SCL-1)."""
     ev = _read(spark, sf_dir, "events")
     return ev.select("event_id", as_double("event_type", strict=False).alias("a"),
                      F.col("value").alias("b"))
 
 
-def q_union_symbols(spark, sf_dir):
+def q_union_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three frames with different column sets and orders, matched by name.
 
     Each frame derives its bars from its own date range of ``lineitem``; the
@@ -175,30 +182,35 @@ def q_union_symbols(spark, sf_dir):
     return union_all([early, middle, late])
 
 
-def q_duplicate_check(spark, sf_dir):
+def q_duplicate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total vs distinct rows of (user_id, event_type) (AGG-1, AGG-3)."""
     return duplicate_check(_read(spark, sf_dir, "events").select("user_id", "event_type"))
 
 
-def q_drop_duplicates(spark, sf_dir):
+def q_drop_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (user_id, event_type) rows (AGG-2)."""
     return drop_duplicates(_read(spark, sf_dir, "events").select("user_id", "event_type"))
 
 
-def q_symbol_extremes(spark, sf_dir):
+def q_symbol_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date and close of each symbol's highest and lowest close (AGG-5)."""
     return symbol_extremes(_bars(spark, sf_dir))
 
 
-def q_symbol_list(spark, sf_dir):
+def q_symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct symbols (AGG-4)."""
     return symbol_list(_bars(spark, sf_dir))
 
 
-def q_symbol_series(spark, sf_dir):
+def q_symbol_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One symbol's closes; the symbol predicate is pushed into the scan."""
     symbol = "S000001"
     li = lines_of(_read(spark, sf_dir, "lineitem"), symbols=[symbol])
     return symbol_series(bars_from_lineitem(li), symbol)
 
 
-def q_preview_top_n(spark, sf_dir):
+def q_preview_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First ten bars by (symbol, date): the top-k is the feature (LIM-1)."""
     return preview(_bars(spark, sf_dir), 10, ["symbol", "date_from"])
 
 
@@ -223,7 +235,7 @@ def _varied_bars(spark, sf_dir, buckets: int | None) -> DataFrame:
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def q_process_date_reload(spark, sf_dir):
+def q_process_date_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load D1 and D2, then reload D2 with fewer rows: D2 holds only those."""
     table, buckets = _loaded_table(spark, "loaded")
     bars = _varied_bars(spark, sf_dir, buckets)
@@ -236,7 +248,8 @@ def q_process_date_reload(spark, sf_dir):
     return spark.table(table)
 
 
-def q_clear_process_date(spark, sf_dir):
+def q_clear_process_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load D1 and D2, then drop D2 (twice: a missing batch is fine)."""
     table, buckets = _loaded_table(spark, "loaded")
     bars = _varied_bars(spark, sf_dir, buckets)
     try:
@@ -248,7 +261,7 @@ def q_clear_process_date(spark, sf_dir):
     return spark.table(table)
 
 
-def q_append_load(spark, sf_dir):
+def q_append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appending the same batch twice keeps both copies."""
     table, buckets = _loaded_table(spark, "appended")
     create_bars_table(spark, table)  # a second create changes nothing
