@@ -138,3 +138,46 @@ def test_etl_run_matches_model(spark, all_landings):
     got = sorted(((r.symbol, r.date_from.isoformat(), r.close, r.monthly_variation)
                   for r in spark.table(t).collect()), key=str)
     assert got == model_load(all_landings)
+
+
+closes_nan = st.one_of(st.none(), st.just(float("nan")), st.sampled_from([1.0, 2.0, 3.0]))
+series_rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(1, 9), closes_nan),
+                       min_size=1, max_size=12, unique_by=lambda r: (r[0], r[1]))
+
+
+@SETTINGS
+@given(series_rows)
+def test_symbol_extremes_match_first_occurrence_in_newest_first_order(spark, rows):
+    import math
+
+    from barsmith.operators.analytics import symbol_extremes
+
+    df = spark.createDataFrame([(s, dt.date(2020, m, 1), c) for s, m, c in rows],
+                               "symbol string, date_from date, close double")
+    got = {r.symbol: (r.max_date and r.max_date.month, r.max_close,
+                      r.min_date and r.min_date.month, r.min_close)
+           for r in symbol_extremes(df).collect()}
+    for sym in {r[0] for r in rows}:
+        # a newest-first series; idxmax/idxmin skip NaN and take the first occurrence
+        series = sorted(((m, c) for s, m, c in rows if s == sym), reverse=True)
+        valid = [(m, c) for m, c in series if c is not None and not math.isnan(c)]
+        if valid:
+            hi = max(valid, key=lambda x: x[1])  # max() keeps the first of equal keys
+            lo = min(valid, key=lambda x: x[1])
+            expected = (hi[0], hi[1], lo[0], lo[1])
+        else:
+            expected = (None, None, None, None)
+        assert got[sym] == expected
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 1000)),
+                min_size=1, max_size=15, unique_by=lambda r: (r[0], r[1])))
+def test_last_per_key_matches_model(spark, rows):
+    from barsmith.operators.quality import last_per_key
+
+    df = spark.createDataFrame(rows, "k int, ord int, v int")
+    got = sorted(tuple(r) for r in last_per_key(df, ["k"], ["ord"]).collect())
+    expected = sorted(max((r for r in rows if r[0] == k), key=lambda r: r[1])
+                      for k in {r[0] for r in rows})
+    assert got == expected
