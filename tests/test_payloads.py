@@ -163,3 +163,23 @@ def test_symbols_needing_escapes_round_trip_through_folders(spark):
     raw, rej = ingest_payloads(spark, path)
     assert sorted(r.symbol for r in raw.collect()) == ["A/B", "BRK.B", "^GSPC"]
     assert rej.count() == 0
+
+
+def test_one_large_document_is_processed_whole(spark, landing):
+    """20,000 entries in one pretty-printed document, a quarter repeated:
+    every entry is read and the sort-based dedupe stays fast."""
+    import datetime as dt
+    import time
+
+    base = dt.date(1000, 1, 1)
+    dates = [(base + dt.timedelta(days=i)).isoformat() for i in range(15_000)]
+    entries = [(d, str(i)) for i, d in enumerate(dates)] + [(dates[i], f"r{i}") for i in range(5_000)]
+    body = ",\n".join(f'  "{d}": {{"4. close": "{c}"}}' for d, c in entries)
+    path = landing({"BIG": ['{"Monthly Time Series": {\n' + body + "\n}}"]})
+    t0 = time.time()
+    raw, _ = ingest_payloads(spark, path, wholetext=True)
+    rows = raw.collect()
+    assert time.time() - t0 < 60
+    assert len(rows) == 15_000
+    last = {d: c for d, c in entries}
+    assert all(r.close == last[r.date_from] for r in rows)
