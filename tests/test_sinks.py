@@ -229,3 +229,30 @@ def test_plain_bars_table_appends_typed_bars(spark, landing):
     append_table(raw.transform(normalize), t)  # re-running appends again
     assert tuple(spark.table(t).columns) == BAR_COLUMNS
     assert spark.table(t).count() == 2
+
+
+def test_symbol_series_on_loaded_table_reads_one_bucket(spark):
+    from barsmith.operators.analytics import symbol_series
+
+    t = work_table(spark, "pruned")
+    create_bars_table(spark, t, buckets=8)
+    df = spark.createDataFrame(
+        [(f"S{i:03d}", D(2020, m, 1), 1.0, 2.0, 0.5, float(m), 10.0) for i in range(20) for m in (1, 2)],
+        SCHEMA)
+    reload_process_date(with_variation(df, partitions=8), t, "2023-07-11")
+
+    def one():
+        return symbol_series(spark.table(t).where(F.col("process_date") == "2023-07-11"), "S007")
+
+    # Default: Spark drops a bucketed scan no join/aggregate needs, and with it
+    # bucket pruning; the filter still reaches the scan.
+    assert "EqualTo(symbol,S007)" in plan_text(one()) and one().count() == 2
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(key, "false")
+    try:
+        plan = plan_text(one())
+        assert "SelectedBucketsCount: 1 out of 8" in plan
+        assert "PartitionFilters: [isnotnull(process_date" in plan
+        assert one().count() == 2
+    finally:
+        spark.conf.unset(key)
