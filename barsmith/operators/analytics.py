@@ -28,6 +28,8 @@ def with_previous_close(
     ``collapse_copies``, ``chunk_rows`` and ``partitions`` as for
     :func:`with_variation`: a further copy of a row gets its twin's value.
     """
+    if out in df.columns:  # replace, as withColumn would
+        df = df.drop(out)
     if collapse_copies:
         return _over_copies(df, value, out, partition, order, chunk_rows, partitions,
                             lambda cur, prev: prev)
@@ -67,6 +69,8 @@ def with_variation(
     partitions by symbol -- the bucket count of the target table -- so each
     write task then fills one bucket file instead of one file per bucket.
     """
+    if out in df.columns:  # replace, as withColumn would
+        df = df.drop(out)
     if not collapse_copies:
         if partitions:
             df = cluster_by(df, partition, partitions)

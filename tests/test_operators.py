@@ -256,3 +256,13 @@ def test_previous_close_over_copies_equals_plain_window(spark, chunk_rows):
                                               partitions=2).collect()))
     plain = sorted(map(key, with_previous_close(df).collect()))
     assert got == plain and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_window_outputs_replace_existing_columns(spark, copies):
+    df = bars(spark, [("A", D(2020, 1, 31), 10.0), ("A", D(2020, 2, 29), 15.0)])
+    twice = with_variation(with_variation(df), collapse_copies=copies)
+    assert twice.columns == ["symbol", "date_from", "close", "monthly_variation"]
+    prev = with_previous_close(with_previous_close(df), collapse_copies=copies)
+    assert prev.columns.count("prev_close") == 1
+    assert sorted(str(r.monthly_variation) for r in twice.collect()) == ["50.0", "None"]

@@ -256,3 +256,16 @@ def test_symbol_series_on_loaded_table_reads_one_bucket(spark):
         assert one().count() == 2
     finally:
         spark.conf.unset(key)
+
+
+def test_per_symbol_aggregate_on_loaded_table_has_no_exchange(spark):
+    from barsmith.operators.analytics import symbol_extremes
+
+    t = work_table(spark, "agg")
+    create_bars_table(spark, t, buckets=4)
+    reload_process_date(with_variation(sample(spark, 6), partitions=4), t, "2023-07-11")
+    out = symbol_extremes(spark.table(t).where(F.col("process_date") == "2023-07-11"))
+    plan = plan_text(out)
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    r = out.first()
+    assert (r.max_close, r.min_close) == (6.0, 1.0)
