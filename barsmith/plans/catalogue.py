@@ -47,6 +47,7 @@ from barsmith.sources.tables import preview
 D1 = "2023-07-11"
 D2 = "2023-07-12"
 SPLIT_DATE = "1996-01-01"
+VOLUME_TEXT_FROM = 200.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,6 +142,15 @@ def q_normalize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.transform(normalize, strict=True)
 
 
+def q_lenient_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed volumes of VOLUME_TEXT_FROM and above arrive as text ``n/a``;
+    a lenient read keeps those bars with a NULL volume (Q10, PRJ-3)."""
+    landing = land_payloads(_bars(spark, sf_dir), scratch_path(spark, "landing-na"),
+                            malformed_volume_from=VOLUME_TEXT_FROM)
+    raw, _ = ingest_payloads(spark, landing)
+    return raw.transform(normalize, strict=False)
+
+
 def q_wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per bar and measure (SRC-4)."""
     return wide_to_long(_bars(spark, sf_dir), ["symbol", "date_from"], list(MEASURES))
@@ -286,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "json_folder_ingest": q_json_folder_ingest,
     "payload_rejects": q_payload_rejects,
     "normalize_types": q_normalize_types,
+    "lenient_ingest": q_lenient_ingest,
     "wide_to_long": q_wide_to_long,
     "long_to_wide": q_long_to_wide,
     "last_per_key": q_last_per_key,
@@ -362,6 +373,10 @@ ORACLES: dict[str, str] = {
     + "SELECT symbol, 'missing_series' AS reason, count(DISTINCT year(date_from)) AS documents "
     + f"FROM bars WHERE NOT ({_ACCEPTED}) GROUP BY symbol",
     "normalize_types": _with(_BARS) + f"SELECT * FROM bars WHERE {_ACCEPTED}",
+    "lenient_ingest": _with(_BARS)
+    + "SELECT symbol, date_from, open, high, low, close, "
+    + f"CASE WHEN volume >= {VOLUME_TEXT_FROM} THEN NULL ELSE volume END AS volume "
+    + f"FROM bars WHERE {_ACCEPTED}",
     "wide_to_long": _with(_BARS)
     + " UNION ALL ".join(
         f"SELECT symbol, date_from, '{m}' AS field, {m} AS value FROM bars" for m in MEASURES

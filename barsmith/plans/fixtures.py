@@ -84,7 +84,8 @@ def notice_symbols(symbol="symbol", every: int | None = 10):
 
 
 def payload_documents(bars: DataFrame, notice_every: int | None = 10,
-                      fixed_writers: bool = False) -> DataFrame:
+                      fixed_writers: bool = False,
+                      malformed_volume_from: float | None = None) -> DataFrame:
     """Bars -> payload documents ``symbol, `Monthly Time Series`, Note``.
 
     One document per symbol and year, entries newest first, every measure
@@ -93,12 +94,17 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10,
     with the data.  Symbols picked by :func:`notice_symbols` carry only a
     ``Note`` instead of a series.  ``fixed_writers`` keeps the session's
     shuffle partition count (no AQE merging): for folder output, where the
-    cost is folders per writer rather than bytes.
+    cost is folders per writer rather than bytes.  ``malformed_volume_from``
+    writes the volume as the text ``n/a`` for bars at or above that volume
+    (fault injection for the lenient read).
     """
-    fields = F.struct(
-        *[F.col(m).cast("decimal(18,4)").cast("string").alias(f)
-          for m, f in zip(MEASURES, PAYLOAD_FIELDS)]
-    )
+    def text(m: str):
+        t = F.col(m).cast("decimal(18,4)").cast("string")
+        if m == "volume" and malformed_volume_from is not None:
+            t = F.when(F.col(m) >= F.lit(malformed_volume_from), F.lit("n/a")).otherwise(t)
+        return t
+
+    fields = F.struct(*[text(m).alias(f) for m, f in zip(MEASURES, PAYLOAD_FIELDS)])
     entry = F.struct(F.date_format("date_from", "yyyy-MM-dd").alias("k"), fields.alias("v"))
     # Hash-partition by symbol once: the per-(symbol, year) aggregate reuses
     # it (no second exchange), and all of a symbol's documents are written by
@@ -120,7 +126,8 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10,
 
 
 def land_payloads(bars: DataFrame, path: str, notice_every: int | None = 10,
-                  symbol_folders: bool = False) -> str:
+                  symbol_folders: bool = False,
+                  malformed_volume_from: float | None = None) -> str:
     """Write payload documents as JSON Lines under ``path``.
 
     By default each document carries its ``symbol`` (flat files, splittable,
@@ -128,6 +135,7 @@ def land_payloads(bars: DataFrame, path: str, notice_every: int | None = 10,
     ``symbol=<SYM>/`` folders of documents without it instead.  NULL fields
     are omitted, so a notice document has only ``symbol`` and ``Note``.
     """
-    w = payload_documents(bars, notice_every, fixed_writers=symbol_folders).write
+    w = payload_documents(bars, notice_every, fixed_writers=symbol_folders,
+                          malformed_volume_from=malformed_volume_from).write
     (w.partitionBy("symbol") if symbol_folders else w).json(path)
     return path

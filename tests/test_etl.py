@@ -108,3 +108,20 @@ def test_run_symbol_subset_and_whole_files(spark, landing):
     rep = run(spark, path, t, "2023-07-11", symbols=["B"], wholetext=True)
     assert rep.loaded_rows == 2
     assert {r.symbol for r in spark.table(t).collect()} == {"B"}
+
+
+def test_strict_run_fails_on_landed_text_volume_lenient_keeps_rows(spark):
+    from barsmith.plans.fixtures import bars_from_lineitem, land_payloads
+    from barsmith.session import scratch_path
+    from tests.conftest import SF_SMALL
+
+    bars = bars_from_lineitem(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"))
+    path = land_payloads(bars, scratch_path(spark, "na"), notice_every=None,
+                         malformed_volume_from=200.0)
+    t = work_table(spark, "na")
+    with pytest.raises(Exception, match="malformed number: 'n/a'"):
+        run(spark, path, t, "2023-07-11")
+    rep = run(spark, path, t, "2023-07-11", strict=False)
+    assert rep.loaded_rows == 826
+    n_null = spark.table(t).where("volume IS NULL").count()
+    assert n_null == bars.where("volume >= 200").count() > 0
