@@ -53,8 +53,9 @@ def table_buckets(spark: SparkSession, name: str) -> int | None:
 def cluster_for_table(df: DataFrame, name: str, column: str = "symbol") -> DataFrame:
     """Hash-partition ``df`` by the bucket column into the table's bucket count.
 
-    Each write task then holds exactly one bucket and writes one file per
-    partition; without it every task writes one file per bucket.
+    Every bucket then sits in exactly one write task (AQE may give a task
+    several whole buckets), so each bucket is one file per partition;
+    without it every task writes one file per bucket it touches.
     """
     n = table_buckets(df.sparkSession, name)
     return cluster_by(df, column, n) if n else df
@@ -110,7 +111,7 @@ def write_bucketed(df: DataFrame, name: str, buckets: int | None = None,
     """Save ``df`` as a table bucketed by symbol, sorted by date (SRT-2).
 
     Rows are first hash-partitioned into the bucket count (the same hash as
-    bucketing), so each task writes a single bucket file.
+    bucketing), so every bucket is written by one task, as one file.
     """
     n = buckets or _default_buckets(df.sparkSession)
     (cluster_by(df, "symbol", n).write.format("parquet").mode(mode)
