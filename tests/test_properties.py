@@ -107,7 +107,7 @@ def model_load(all_landings):
     return sorted(out, key=str)
 
 
-@settings(max_examples=8, deadline=None,
+@settings(max_examples=15, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(landings)
 def test_etl_run_matches_model(spark, all_landings):
