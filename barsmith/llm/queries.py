@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import line_quality, trie_dedup
+from barsmith.llm import entropy_mix, line_quality, splitter_shards, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -13,14 +13,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_dedup.report(read_documents(spark, sf_dir))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled splitters (law ``bytes``) over all of ``documents``."""
+    return splitter_shards.report(read_documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and cross-document line frequency over all of ``documents``."""
     return line_quality.report(read_documents(spark, sf_dir))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entropy balancing of all ``documents`` to the source targets."""
+    return entropy_mix.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_sharding": op5_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
