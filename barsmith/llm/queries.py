@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import entropy_mix, line_quality, splitter_shards, trie_dedup
+from barsmith.llm import dac_output, entropy_mix, line_quality, splitter_shards, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary lies; every executor has the same installation."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patricia-trie owners over all of ``documents``."""
     return trie_dedup.report(read_documents(spark, sf_dir))
@@ -18,6 +25,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitter_shards.report(read_documents(spark, sf_dir))
 
 
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directly addressable token files of all ``documents``, read back."""
+    return dac_output.report(read_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and cross-document line frequency over all of ``documents``."""
     return line_quality.report(read_documents(spark, sf_dir))
@@ -29,6 +41,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_token_output": op7_token_output,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op9_quality_rules": op9_quality_rules,

@@ -69,13 +69,17 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> Words:
     if len(cut):  # words that run on across a document boundary
         starts = np.sort(np.concatenate([starts, cut]))
         ends = np.sort(np.concatenate([ends, cut]))
+    return Words(span_hashes(data, starts, ends, lower), starts, ends, np.searchsorted(starts, offs))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Hash of each byte span data[starts[i]:ends[i]]."""
     table = _BYTE[_LOWER] if lower else _BYTE
-    sums = np.empty(n + 1, np.uint64)
+    sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(table[data] * powers(n), out=sums[1:])
-    inverse = powers(n, pow(_P, -1, 1 << 64))
-    hashes = mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    return Words(hashes, starts, ends, np.searchsorted(starts, offs))
+    np.cumsum(table[data] * powers(len(data)), out=sums[1:])
+    inverse = powers(len(data) + 1, pow(_P, -1, 1 << 64))
+    return mix64((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
