@@ -39,6 +39,8 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 
+BATCH_BYTES = 4 << 20  # text measured at a time
+
 
 @dataclass(frozen=True)
 class LineLimits:
@@ -91,26 +93,28 @@ def _line_rows(raw: bytes) -> tuple[list[dict], int, int, bytes]:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        carried = [c for c in batch.schema.names if c not in ("row", "host", "text")]
-        data, offs = utf8(batch.column("text"))
-        raw = data.tobytes()
-        chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        blank = np.isin(data, np.frombuffer(SPACE_BYTES, np.uint8))
-        symbols = np.isin(data, np.frombuffer(SYMBOLS, np.uint8))
-        repeats = [_repeat_words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]) for i, j in slices(offs, SLICE_BYTES)]
-        parsed = [_line_rows(raw[a:b]) for a, b in zip(offs[:-1], offs[1:])]
-        yield pa.RecordBatch.from_arrays([
-            batch.column("row"), batch.column("host"),
-            pa.array([p[1] for p in parsed], pa.int64()),
-            pa.array(chars - per_doc(blank, offs), pa.int64()),
-            pa.array(per_doc(symbols, offs), pa.int64()),
-            pa.array([p[2] for p in parsed], pa.int64()),
-            pa.array(np.concatenate(repeats) if repeats else [], pa.int64()),
-            pa.array([_signed(p[3]) for p in parsed], pa.int64()),
-            pa.array([p[0] for p in parsed], _LINES),
-            *[batch.column(c) for c in carried],
-        ], names=["row", "host", *_MEASURES, "text_key", "lines", *carried])
+    for whole in batches:
+        carried = [c for c in whole.schema.names if c not in ("row", "host", "text")]
+        for i, j in slices(utf8(whole.column("text"))[1], BATCH_BYTES):
+            batch = whole.slice(i, j - i)
+            data, offs = utf8(batch.column("text"))
+            raw = data.tobytes()
+            chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            blank = np.isin(data, np.frombuffer(SPACE_BYTES, np.uint8))
+            symbols = np.isin(data, np.frombuffer(SYMBOLS, np.uint8))
+            repeats = [_repeat_words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a]) for a, b in slices(offs, SLICE_BYTES)]
+            parsed = [_line_rows(raw[a:b]) for a, b in zip(offs[:-1], offs[1:])]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row"), batch.column("host"),
+                pa.array([p[1] for p in parsed], pa.int64()),
+                pa.array(chars - per_doc(blank, offs), pa.int64()),
+                pa.array(per_doc(symbols, offs), pa.int64()),
+                pa.array([p[2] for p in parsed], pa.int64()),
+                pa.array(np.concatenate(repeats), pa.int64()),
+                pa.array([_signed(p[3]) for p in parsed], pa.int64()),
+                pa.array([p[0] for p in parsed], _LINES),
+                *[batch.column(c) for c in carried],
+            ], names=["row", "host", *_MEASURES, "text_key", "lines", *carried])
 
 
 def _numbered(docs: DataFrame) -> DataFrame:

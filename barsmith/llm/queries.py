@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import dac_output, entropy_mix, line_quality, splitter_shards, trie_dedup
+from barsmith.llm import dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge-dropout pieces of all ``documents``, decoded again."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    return piece_dropout.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patricia-trie owners over all of ``documents``."""
     return trie_dedup.report(read_documents(spark, sf_dir))
@@ -41,6 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op7_token_output": op7_token_output,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
