@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barsmith.llm.runtime import mix64, ship, slices, utf8
 from barsmith.llm.wordhash import span_hashes
@@ -335,7 +336,6 @@ def encode(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPO
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids", "n_pieces", "ids_crc32", "lossless")]
     rows = docs.select(*carried, F.col("text").alias("__text"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__doc"))
-    schema = docs.select(*carried).schema
-    for name, kind in (("ids", "array<int>"), ("n_pieces", "long"), ("ids_crc32", "long"), ("lossless", "boolean")):
-        schema = schema.add(name, kind)
+    made = T.StructType.fromDDL("ids array<int>, n_pieces long, ids_crc32 long, lossless boolean")
+    schema = T.StructType([*docs.select(*carried).schema.fields, *made.fields])
     return rows.mapInArrow(_coder(model, seed, dropout, variants), schema)
