@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -46,7 +46,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_mix.report(read_documents(spark, sf_dir))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backoff-automaton scores of all ``documents``."""
+    return backoff_lm.score(read_documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op1_sentencepiece": op1_sentencepiece,
     "op7_token_output": op7_token_output,
     "op4_exact_dedup": op4_exact_dedup,
