@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -51,7 +51,13 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.score(read_documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LPF substring dedup of all documents' bytes."""
+    return suffix_dedup.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op1_sentencepiece": op1_sentencepiece,
     "op7_token_output": op7_token_output,
