@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, entropy_mix, line_quality, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -56,7 +56,13 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(read_documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """De Bruijn substring dedup of all documents' words."""
+    return debruijn_dedup.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op6_substring_dedup": op6_substring_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
     "op1_sentencepiece": op1_sentencepiece,
