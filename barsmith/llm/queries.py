@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, minhash_forest, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -61,7 +61,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn_dedup.report(read_documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash-forest links of all documents at Jaccard 0.8."""
+    return minhash_forest.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op8_jaccard_join": op8_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op2_lm_scoring": op2_lm_scoring,
