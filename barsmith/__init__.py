@@ -9,7 +9,6 @@ operators  DataFrame -> DataFrame transforms (normalize, union, quality,
 sinks      catalog tables (create, append, partition reload/clear,
            bucketed writes) and JDBC writes
 plans      composed jobs (the ETL run) and the query catalogue
-streaming  nothing: the surveyed workload is a daily batch
 """
 
 __version__ = "0.1.0"

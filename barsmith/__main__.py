@@ -2,7 +2,7 @@
 
     spark-submit --py-files barsmith.zip barsmith/__main__.py run \\
         --payloads s3://landing/2023-07-11 --table finance.bars \\
-        [--process-date 2023-07-11] [--lenient] [--buckets 512] \\
+        --buckets 512 [--process-date 2023-07-11] [--lenient] \\
         [--rejects finance.bar_rejects] [--whole-files]
 
 or ``python -m barsmith run ...`` where pyspark is installed.
@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--table", required=True, help="target table, e.g. finance.bars")
     r.add_argument("--process-date", default=None, help="yyyy-MM-dd; default today")
     r.add_argument("--lenient", action="store_true", help="malformed values become NULL")
-    r.add_argument("--buckets", type=int, default=None, help="bucket count for a new table")
+    r.add_argument("--buckets", type=int, required=True, help="bucket count for a new table")
     r.add_argument("--rejects", default=None, help="table for reject rows")
     r.add_argument("--whole-files", action="store_true",
                    help="one (possibly multi-line) JSON document per file")

@@ -14,6 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE_FORMAT = "yyyy-MM-dd"
+# What counts as a number: sign, digits, exponent; infinities and NaN.  A bare
+# cast would also read type suffixes (12d) and hexadecimal floats.
+NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 _ISO_DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 
@@ -30,7 +33,7 @@ def _strict(raw: Column, converted: Column, what: str) -> Column:
 def as_double(c: Column | str, strict: bool = True) -> Column:
     """string -> double (SCL-1)."""
     raw = _col(c)
-    converted = raw.try_cast("double")
+    converted = F.when(raw.rlike(NUMBER), raw.try_cast("double"))
     return _strict(raw, converted, "number") if strict else converted
 
 

@@ -12,7 +12,6 @@ from barsmith.operators.transforms import (
     cluster_by,
     long_to_wide,
     normalize,
-    rename,
     tag,
     union_all,
     wide_to_long,
@@ -25,7 +24,6 @@ __all__ = [
     "last_per_key",
     "long_to_wide",
     "normalize",
-    "rename",
     "symbol_extremes",
     "symbol_list",
     "symbol_series",

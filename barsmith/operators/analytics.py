@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barsmith.functions.columns import pct_change
 from barsmith.operators.transforms import cluster_by
 from barsmith.schema import VARIATION
+from barsmith.session import shared_dir
 
 
 def series_window(partition: str = "symbol", order: str = "date_from"):
@@ -81,23 +82,37 @@ def with_variation(
     return _over_copies(df, value, out, partition, order, chunk_rows, partitions, pct_change)
 
 
-def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combine):
-    """``combine(current, previous)`` over the rows of ``df``, copies included,
-    with the window run over distinct rows only (see ``with_variation``)."""
-    cols = df.columns
-    n, first, rest, chunk, i = ("__barsmith_n", "__barsmith_first", "__barsmith_rest",
-                                "__barsmith_chunk", "__barsmith_i")
+_N, _FIRST, _REST = "__barsmith_n", "__barsmith_first", "__barsmith_rest"
+
+
+def windowed_copies(df, value, partition, order, partitions, combine):
+    """Distinct rows of ``df``: how often each occurs and what its first copy,
+    and every further one, is combined with."""
+    cols, n, first, rest = df.columns, _N, _FIRST, _REST
     tiebreak = [c for c in cols if c not in (partition, order)]
     w = Window.partitionBy(partition).orderBy(order, *tiebreak)
     prev = "__barsmith_prev"
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
     if partitions:
         counted = cluster_by(counted, partition, partitions)
-    distinct = counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
+    return counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
         *cols, n,
         combine(F.col(value), F.col(prev)).alias(first),
         combine(F.col(value), F.col(value)).alias(rest),
     )
+
+
+def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combine):
+    """``combine(current, previous)`` over the rows of ``df``, copies included,
+    with the window run over distinct rows only (see ``with_variation``).
+
+    The windowed frame is checkpointed to the shared folder, so its sort and
+    window run once for both branches below."""
+    cols, n, first, rest = df.columns, _N, _FIRST, _REST
+    chunk, i = "__barsmith_chunk", "__barsmith_i"
+    tiebreak = [c for c in cols if c not in (partition, order)]
+    shared_dir(df.sparkSession)
+    distinct = windowed_copies(df, value, partition, order, partitions, combine).checkpoint()
     pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
 
     # Rows without copies -- the usual case -- leave the window task as they are.
@@ -135,15 +150,15 @@ def symbol_extremes(df: DataFrame, value: str = "close", date: str = "date_from"
     """Per symbol: date and value of the highest and lowest ``value`` (AGG-5).
 
     NULL and NaN values are skipped.  Ties go to the smallest ``tie`` column
-    (the entry's payload position) when given, else to the latest date --
+    (the entry's payload position) when given, then to the latest date --
     the first occurrence in a newest-first series.
     An aggregate with partial combine, not a ranking window.
     """
     v = F.col(value)
     ok = v.isNotNull() & ~F.isnan(v)
     if tie is not None:
-        hi_key = F.struct(v, -F.col(tie))
-        lo_key = F.struct(v, F.col(tie))
+        hi_key = F.struct(v, -F.col(tie), F.col(date))
+        lo_key = F.struct(v, F.col(tie), -F.unix_date(F.col(date)))
     else:
         hi_key = F.struct(v, F.col(date))
         lo_key = F.struct(v, -F.unix_date(F.col(date)))

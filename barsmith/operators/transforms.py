@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,11 +32,6 @@ def tag(df: DataFrame, column: str, value) -> DataFrame:
     return df.withColumn(column, F.lit(value))
 
 
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename columns; names with dots or spaces need no quoting here (PRJ-2, PRJ-7)."""
-    return df.withColumnsRenamed(dict(mapping))
-
-
 def normalize(raw: DataFrame, strict: bool = True, keep_pos: bool = False) -> DataFrame:
     """F2 text rows -> F3 typed bars (PRJ-3..5, SCL-1..2).
 
@@ -81,7 +76,8 @@ def long_to_wide(
 ) -> DataFrame:
     """Rows -> columns, inverse of :func:`wide_to_long`.
 
-    The pivot values are given, so no extra job collects distinct names.
-    With one value per (ids, name) the aggregate only moves it into place.
+    One conditional aggregate per given name: a single exchange, and partial
+    aggregation brings the rows of one key together before it.
     """
-    return df.groupBy(*ids).pivot(name_col, list(names)).agg(F.max(value_col))
+    return df.groupBy(*ids).agg(
+        *[F.max(F.when(F.col(name_col) == n, F.col(value_col))).alias(n) for n in names])

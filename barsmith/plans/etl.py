@@ -22,6 +22,7 @@ from barsmith.operators.analytics import with_variation
 from barsmith.operators.quality import duplicate_check
 from barsmith.operators.transforms import normalize
 from barsmith.schema import BAR_COLUMNS, PROCESS_DATE
+from barsmith.session import shared_dir
 from barsmith.sinks.tables import create_bars_table, reload_process_date, table_buckets
 from barsmith.sources.payloads import explode_series, read_payloads, split_payloads
 
@@ -64,7 +65,7 @@ def load_batch(raw: DataFrame, table: str, process_date: str, *, strict: bool =
     bucket count, so the write needs no further shuffle.
     """
     n = prepare_table(raw.sparkSession, table, buckets)
-    reload_process_date(transform(raw, strict, partitions=n), table, process_date)
+    reload_process_date(transform(raw, strict, partitions=n), table, process_date, clustered=True)
 
 
 def prepare_table(spark: SparkSession, table: str, buckets: int | None = None) -> int | None:
@@ -92,18 +93,25 @@ def run(
     strict: bool = True,
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
-    buckets: int | None = None,
+    buckets: int | None,
     reject_table: str | None = None,
     fail_if_empty: bool = True,
 ) -> RunReport:
-    """Extract -> transform -> load one batch (JOB-1)."""
-    d = resolve_process_date(spark, process_date)
-    parsed = read_payloads(spark, payload_path, wholetext=wholetext, symbols=symbols)
-    accepted, rejected = split_payloads(parsed)
-    if fail_if_empty and accepted.limit(1).count() == 0:
-        raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")
+    """Extract -> transform -> load one batch (JOB-1).
 
-    load_batch(explode_series(accepted), table, d, strict=strict, buckets=buckets)
+    ``buckets``: bucket count of a table created here -- and so the number of
+    write tasks; choose it for the table's volume (about 128 MB a bucket and
+    batch).  An existing table keeps its own.  Rejects are written before a
+    run without any accepted document raises.
+    """
+    d = resolve_process_date(spark, process_date)
+    symbols = None if symbols is None else list(symbols)
+    shared_dir(spark)
+    # One JSON pass: both outputs are taken from the parsed documents.  Rejects
+    # are never filtered by symbol, so only a run without them may prune the scan.
+    parsed = read_payloads(spark, payload_path, wholetext=wholetext,
+                           symbols=None if reject_table else symbols).checkpoint()
+    accepted, rejected = split_payloads(parsed, symbols)
 
     n_rejected = None
     if reject_table is not None:
@@ -113,7 +121,10 @@ def run(
         )
         reload_process_date(rejected, reject_table, d)
         n_rejected = spark.table(reject_table).where(F.col(PROCESS_DATE) == d).count()
+    if fail_if_empty and not accepted.take(1):
+        raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")
 
+    load_batch(explode_series(accepted), table, d, strict=strict, buckets=buckets)
     q = quality_report(spark, table, d).first()
     return RunReport(d, table, int(q["total_rows"]), int(q["distinct_rows"]),
                      bool(q["has_duplicates"]), n_rejected)

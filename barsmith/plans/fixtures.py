@@ -3,7 +3,7 @@
 The given tables hold no price series, so one is derived: one symbol per
 supplier, one bar per calendar month of ship dates.  ``open``/``close`` are
 the prices of the month's first/last line by
-(l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) -- a unique key
+(l_shipdate, l_orderkey, l_linenumber, l_partkey) -- unique within a supplier
 in the given data -- ``high``/``low`` the extreme prices, ``volume`` the
 summed quantity, ``date_from`` the month's last ship date.
 
@@ -22,7 +22,7 @@ from barsmith.functions.columns import symbol_from_key
 from barsmith.operators.transforms import cluster_by
 from barsmith.schema import MEASURES, PAYLOAD_FIELDS, SERIES_KEY
 
-LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey")
 
 
 def symbol_key(symbol: str, prefix: str = "S") -> int:
@@ -73,10 +73,10 @@ def symbol_number(symbol="symbol"):
 
 
 def notice_symbols(symbol="symbol", every: int | None = 10):
-    """Fault injection for the landed fixture: these symbols get notice bodies.
+    """Fault injection for the landed fixture: these symbols also get notice bodies.
 
-    All symbols are landed and processed; this only chooses which payloads
-    are malformed so the reject path sees real traffic.  ``None``: none.
+    Every symbol's series is landed; the notices come on top, so the reject
+    path sees real traffic.  ``None``: none.
     """
     if not every:
         return F.lit(False)
@@ -91,10 +91,10 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10,
     One document per symbol and year, entries newest first, every measure
     as ``decimal(18,4)`` text, like the monthly-series API.  A document
     holds at most twelve entries (one bar per month), so no group grows
-    with the data.  Symbols picked by :func:`notice_symbols` carry only a
-    ``Note`` instead of a series.  ``fixed_writers`` keeps the session's
-    shuffle partition count (no AQE merging): for folder output, where the
-    cost is folders per writer rather than bytes.  ``malformed_volume_from``
+    with the data.  For symbols picked by :func:`notice_symbols` each document
+    is followed by another that holds only a ``Note``.  ``fixed_writers`` keeps
+    the session's shuffle partition count (no AQE merging): for folder output,
+    where the cost is folders per writer rather than bytes.  ``malformed_volume_from``
     writes the volume as the text ``n/a`` for bars at or above that volume
     (fault injection for the lenient read).
     """
@@ -117,25 +117,33 @@ def payload_documents(bars: DataFrame, notice_every: int | None = 10,
     docs = clustered.groupBy("symbol", F.year("date_from").alias("_year")).agg(
         F.sort_array(F.collect_list(entry), asc=False).alias("entries")
     )
-    notice = notice_symbols("symbol", notice_every)
-    return docs.select(
+    kinds = F.when(notice_symbols("symbol", notice_every), F.array(F.lit(False), F.lit(True))).otherwise(
+        F.array(F.lit(False)))
+    return docs.select("symbol", "entries", F.explode(kinds).alias("is_notice")).select(
         "symbol",
-        F.when(~notice, F.map_from_entries("entries")).alias(SERIES_KEY),
-        F.when(notice, F.lit("x")).alias("Note"),
+        F.when(~F.col("is_notice"), F.map_from_entries("entries")).alias(SERIES_KEY),
+        F.when(F.col("is_notice"), F.lit("x")).alias("Note"),
     )
 
 
 def land_payloads(bars: DataFrame, path: str, notice_every: int | None = 10,
                   symbol_folders: bool = False,
-                  malformed_volume_from: float | None = None) -> str:
+                  malformed_volume_from: float | None = None,
+                  hash_folders: int | None = None) -> str:
     """Write payload documents as JSON Lines under ``path``.
 
     By default each document carries its ``symbol`` (flat files, splittable,
     nothing to list per symbol); ``symbol_folders=True`` writes
-    ``symbol=<SYM>/`` folders of documents without it instead.  NULL fields
-    are omitted, so a notice document has only ``symbol`` and ``Note``.
+    ``symbol=<SYM>/`` folders of documents without it instead: a folder per
+    symbol, for few symbols.  ``hash_folders`` writes that many ``part=<n>/``
+    folders by a hash of the symbol, whatever the number of symbols.  NULL
+    fields are omitted, so a notice document has only ``symbol`` and ``Note``.
     """
-    w = payload_documents(bars, notice_every, fixed_writers=symbol_folders,
-                          malformed_volume_from=malformed_volume_from).write
-    (w.partitionBy("symbol") if symbol_folders else w).json(path)
+    docs = payload_documents(bars, notice_every, fixed_writers=symbol_folders,
+                             malformed_volume_from=malformed_volume_from)
+    if hash_folders:
+        docs = docs.withColumn("part", F.pmod(F.hash("symbol"), F.lit(hash_folders)))
+        docs.write.partitionBy("part").json(path)
+    else:
+        (docs.write.partitionBy("symbol") if symbol_folders else docs.write).json(path)
     return path

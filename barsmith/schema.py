@@ -41,11 +41,7 @@ BARS_DDL = (
 # analysed and loaded bars (process_date is the table's partition column).
 VARIATION = "monthly_variation"
 PROCESS_DATE = "process_date"
-LOADED_COLUMNS = BAR_COLUMNS + (VARIATION, PROCESS_DATE)
 LOADED_DDL = (
     "symbol STRING, date_from DATE, open DOUBLE, high DOUBLE, low DOUBLE, "
     "close DOUBLE, volume DOUBLE, monthly_variation DOUBLE, process_date STRING"
 )
-
-# reject rows.
-REJECT_COLUMNS = ("symbol", "reason", "value")

@@ -45,6 +45,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/barsmith/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named and nothing reads any more."""
+    if "/barsmith/" not in path:
+        raise ValueError(f"not a scratch path: {path!r}")
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_table(spark: SparkSession, label: str) -> str:
     """A fresh table name in a database stored under the shared folder."""
     loc = f"{shared_dir(spark)}/barsmith/{WORK_DATABASE}.db"

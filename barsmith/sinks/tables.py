@@ -5,14 +5,13 @@ load batch) and bucketed by ``symbol``, sorted by ``date_from`` inside each
 bucket: a later per-symbol window reads it without an Exchange.
 Writes are Spark jobs whose output committer publishes the files only when
 the job succeeds, so a lost executor means a retried task, never half-written
-files.
+files, and a failed reload leaves the batch that was there.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from barsmith.functions.columns import process_date_literal
 from barsmith.operators.transforms import cluster_by
@@ -67,37 +66,43 @@ def _in_table_order(spark: SparkSession, df: DataFrame, name: str,
     return df.select(*cols)
 
 
-def append_table(df: DataFrame, name: str) -> None:
+def append_table(df: DataFrame, name: str, clustered: bool = False) -> None:
     """Append all rows; executors write in parallel (SNK-2, SNK-7).
 
     ``insertInto`` is positional, so columns are first put in table order.
-    Re-running appends the rows again.
+    Rows are clustered by bucket first, unless ``clustered`` says that they
+    already are.  Re-running appends the rows again.
     """
     spark = df.sparkSession
-    _in_table_order(spark, df, name).write.insertInto(name)
+    out = _in_table_order(spark, df, name)
+    (out if clustered else cluster_for_table(out, name)).write.insertInto(name)
 
 
-def reload_process_date(df: DataFrame, name: str, process_date: str) -> None:
-    """Replace exactly one batch: INSERT OVERWRITE of a static partition (SNK-6).
+def reload_process_date(df: DataFrame, name: str, process_date: str, clustered: bool = False) -> None:
+    """Replace exactly one batch; other batches are untouched (SNK-6).
 
-    The partition is cleared even when ``df`` is empty (a dynamic overwrite
-    would leave the old rows) and other batches are untouched.  Spark drops
-    the old batch when the command starts and publishes the new files when
-    the job commits; failed tasks and lost executors are retried inside the
-    job.  Should the whole job fail, the batch stays empty until the next
-    run, and re-running is idempotent.
+    A dynamic partition overwrite: tasks write to a staging folder, and only
+    when the whole job has succeeded does its committer replace the old
+    batch's folder by the new one.  A failed job leaves the old batch as it
+    was; lost executors are retried inside the job, and re-running is
+    idempotent.  A batch that turns out to be empty -- its rows are counted
+    while they are written -- is cleared after the job.  ``clustered`` as for
+    :func:`append_table`.
     """
     d = process_date_literal(process_date)
     spark = df.sparkSession
-    view = f"barsmith_batch_{uuid.uuid4().hex[:12]}"
-    _in_table_order(spark, df, name, exclude=(PROCESS_DATE,)).createOrReplaceTempView(view)
+    written = Observation()
+    out = _in_table_order(spark, df.withColumn(PROCESS_DATE, F.lit(d)), name)
+    out = (out if clustered else cluster_for_table(out, name)).observe(written, F.count(F.lit(1)).alias("n"))
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
     try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION ({PROCESS_DATE} = '{d}') "
-            f"SELECT * FROM {view}"
-        )
+        out.write.insertInto(name, overwrite=True)
     finally:
-        spark.catalog.dropTempView(view)
+        spark.conf.set(mode, before)
+    if written.get["n"] == 0:
+        clear_process_date(spark, name, d)
 
 
 def clear_process_date(spark: SparkSession, name: str, process_date: str) -> None:

@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.schema import FIELD_RENAMES, PAYLOAD_TYPE, SERIES_KEY
+from barsmith.schema import ENTRY_TYPE, FIELD_RENAMES, PAYLOAD_TYPE, SERIES_KEY
 
 # Reject reasons.
 REASON_MALFORMED = "malformed_json"
 REASON_MISSING = "missing_series"
 REASON_EMPTY = "empty_series"
 REASON_NO_SYMBOL = "missing_symbol"
-
+REASON_ENTRY = "malformed_entry"
 
 CORRUPT = "_corrupt_record"
 
@@ -47,14 +47,16 @@ def read_payloads(
     """Scan all landed documents under ``path`` (one or several landings)
     in one distributed read.
 
-    Returns ``symbol, series, _corrupt_record``: ``series`` is the typed
+    Returns ``symbol, series, bad, _corrupt_record``: ``series`` is the typed
     MAP<date string, STRUCT<five strings>> or NULL when the document has
-    none; ``_corrupt_record`` holds the text of a document that is not JSON.
+    none; ``bad`` maps dates to the text of entries that are not objects;
+    ``_corrupt_record`` holds the text of a document that cannot be read.
     The JSON source parses each document once, during the scan, and reads
     only the fields of the explicit schema (so symbol text such as ``0001``
-    stays a string).  ``symbols`` restricts the scan; with symbol folders
-    the predicate prunes directories (``PartitionFilters``), with JSON Lines
-    it is pushed into the JSON parser.
+    stays a string); only a document that this fails on is parsed again,
+    entry by entry.  ``symbols`` restricts the scan, rejects included; with
+    symbol folders the predicate prunes directories (``PartitionFilters``),
+    with JSON Lines it is pushed into the JSON parser.
     """
     schema = (
         T.StructType(list(PAYLOAD_TYPE.fields))
@@ -75,34 +77,54 @@ def read_payloads(
     df = reduce(DataFrame.unionByName, [reader.json(p) for p in roots])
     if symbols is not None:
         df = df.where(F.col("symbol").isin(list(symbols)))
-    return df.select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT)
+    return _by_entry(df.select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT))
+
+
+def _by_entry(df: DataFrame) -> DataFrame:
+    """Save the good entries of documents that hold a bad one (see ``read_payloads``)."""
+    again = F.from_json(F.col(CORRUPT), f"symbol STRING, `{SERIES_KEY}` MAP<STRING, STRING>")
+    df = df.withColumn("again", F.when(F.col(CORRUPT).isNotNull(), again))
+    texts = F.col("again").getField(SERIES_KEY)
+    saved = texts.isNotNull()
+    is_object = lambda v: v.isNull() | v.rlike(r"^\s*\{")
+    good = F.transform_values(F.map_filter(texts, lambda k, v: is_object(v)), lambda k, v: F.from_json(v, ENTRY_TYPE))
+    return df.select(
+        F.coalesce("symbol", F.col("again.symbol")).alias("symbol"),
+        F.when(saved, good).otherwise(F.col("series")).alias("series"),
+        F.map_filter(texts, lambda k, v: ~is_object(v)).alias("bad"),
+        F.when(~saved, F.col(CORRUPT)).alias(CORRUPT),
+    )
 
 
 def _reject_reason() -> Column:
+    only_bad = F.coalesce(F.size("bad"), F.lit(0)) > 0
     return (
         F.when(F.col(CORRUPT).isNotNull(), F.lit(REASON_MALFORMED))
         .when(F.col("series").isNull(), F.lit(REASON_MISSING))
-        .when(F.size("series") == 0, F.lit(REASON_EMPTY))
+        .when((F.size("series") == 0) & ~only_bad, F.lit(REASON_EMPTY))
         .when(F.col("symbol").isNull(), F.lit(REASON_NO_SYMBOL))
     )
 
 
-def _accepted() -> Column:
-    return (F.col("series").isNotNull() & (F.size("series") > 0)
-            & F.col(CORRUPT).isNull() & F.col("symbol").isNotNull())
-
+def split_payloads(parsed: DataFrame, symbols: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted documents, reject rows ``symbol, reason, value``) (SRC-6, SRC-7).
 
-def split_payloads(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted documents, reject rows ``symbol, reason, value``) (SRC-6).
-
-    A document is accepted when it holds a non-empty series and a symbol;
-    ``value`` keeps the text of malformed documents for inspection.  Request
+    A document is accepted when it holds a good entry and a symbol (one of
+    ``symbols``, if given: rejects are never filtered).  Besides documents
+    without these, every bad entry of any document is a reject of its own;
+    ``value`` keeps the text of malformed documents and entries.  Request
     failures of a live API have no landed file and therefore no row.
     """
-    ok = _accepted()
-    accepted = parsed.where(ok)
-    rejected = parsed.where(~ok).select(
-        "symbol", _reject_reason().alias("reason"), F.col(CORRUPT).alias("value"))
+    accepted = parsed.where(F.col(CORRUPT).isNull() & (F.size("series") > 0) & F.col("symbol").isNotNull())
+    if symbols is not None:
+        accepted = accepted.where(F.col("symbol").isin(list(symbols)))
+    whole = F.when(_reject_reason().isNotNull(),
+                   F.array(F.struct(_reject_reason().alias("reason"), F.col(CORRUPT).alias("value"))))
+    entries = F.transform(F.map_entries("bad"), lambda e: F.struct(
+        F.lit(REASON_ENTRY).alias("reason"), F.concat(e["key"], F.lit(": "), e["value"]).alias("value")))
+    none = F.array().cast("array<struct<reason:string,value:string>>")
+    every = F.concat(F.coalesce(whole, none), F.coalesce(entries, none))
+    rejected = parsed.select("symbol", F.explode(every).alias("r")).select("symbol", "r.reason", "r.value")
     return accepted, rejected
 
 
@@ -154,7 +176,7 @@ def ingest_payloads(
     wholetext: bool = False,
     symbols: Iterable[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """read -> explode accepted documents, and the reject rows."""
-    accepted, rejected = split_payloads(
-        read_payloads(spark, path, wholetext=wholetext, symbols=symbols))
+    """read -> explode accepted documents (of ``symbols``), and all reject rows."""
+    accepted, _ = split_payloads(read_payloads(spark, path, wholetext=wholetext, symbols=symbols), symbols)
+    _, rejected = split_payloads(read_payloads(spark, path, wholetext=wholetext))
     return explode_series(accepted), rejected

@@ -10,7 +10,9 @@ from barsmith.operators.analytics import (
     with_variation,
 )
 from barsmith.operators.quality import drop_duplicates, duplicate_check, last_per_key
-from barsmith.operators.transforms import long_to_wide, rename, tag, union_all, wide_to_long
+from barsmith.functions.columns import pct_change
+from barsmith.operators.analytics import windowed_copies
+from barsmith.operators.transforms import long_to_wide, tag, union_all, wide_to_long
 from barsmith.sources.tables import preview, schema_rows
 from tests.conftest import plan_text
 
@@ -113,12 +115,33 @@ def test_union_by_name_reordered_and_missing(spark):
         union_all([])
 
 
-def test_tag_and_rename(spark):
-    df = spark.createDataFrame([("1",)], "`4. close` string")
-    out = tag(rename(df, {"4. close": "close"}), "symbol", "IBM")
+def test_tag(spark):
+    out = tag(spark.createDataFrame([("1",)], "close string"), "symbol", "IBM")
     assert out.columns == ["close", "symbol"] and tuple(out.first()) == ("1", "IBM")
 
 
+def test_long_to_wide_needs_one_exchange(spark):
+    long = spark.createDataFrame([("A", "open", 1.0)], "symbol string, field string, value double")
+    assert plan_text(long_to_wide(long, ["symbol"], ["open", "close"])).count("Exchange (") <= 1
+
+
+def test_union_of_ranges_keeps_undated_bars_and_scans_once(spark, tmp_path):
+    import datetime as dt
+
+    from barsmith.plans.catalogue import q_union_symbols
+
+    rows = [(1, 1, 1, d, 2.0, 10.0, 1) for d in
+            (dt.datetime(1995, 1, 3), dt.datetime(1998, 1, 3), dt.datetime(2001, 1, 3), None)]
+    spark.createDataFrame(
+        rows, "l_orderkey long, l_partkey long, l_suppkey long, l_shipdate timestamp_ntz, l_quantity double, "
+        "l_extendedprice double, l_linenumber long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = q_union_symbols(spark, str(tmp_path))
+    assert sorted((str(r.date_from), r.batch) for r in out.collect()) == [
+        ("1995-01-03", "early"), ("1998-01-03", "middle"), ("2001-01-03", "late"), ("None", "early")]
+    plan = plan_text(out)
+    assert "FileScan" not in plan and "Scan parquet" not in plan and "Exchange" not in plan
+
+
 def test_wide_long_round_trip(spark):
     df = spark.createDataFrame([("A", D(2020, 1, 31), 1.0, 2.0), ("B", D(2020, 1, 31), 3.0, None)],
                                "symbol string, date_from date, open double, close double")
@@ -161,10 +184,10 @@ def test_variation_over_copies_equals_plain_window(spark, chunk_rows):
 
 def test_variation_over_copies_aggregates_before_window(spark):
     df = bars(spark, [("A", D(2020, 1, 31), 10.0)])
-    plan = plan_text(with_variation(df, collapse_copies=True))
+    plan = plan_text(windowed_copies(df, "close", "symbol", "date_from", None, pct_change))
     # partial count runs before the first exchange; the window sees distinct rows
     assert plan.index("partial_count") > plan.index("Window (")
-    assert "Generate" in plan
+    assert "Generate" in plan_text(with_variation(df, collapse_copies=True))
 
 
 @pytest.mark.parametrize("partitions", [None, 4])
@@ -235,15 +258,15 @@ def test_hot_supplier_is_reduced_before_the_shuffle(spark):
     assert partial_out <= 8 * months < n_in  # shuffled: per task one row per month
 
 
-def test_copied_branch_reuses_the_window_shuffle(spark):
-    """With copies present, both branches read one shuffle (ReusedExchange):
-    the scan and the copy aggregate run once."""
+def test_both_copy_branches_read_the_windowed_checkpoint(spark):
+    """With copies present, both branches read one checkpoint: the scan, the
+    copy aggregate, the sort and the window run once."""
     rows = [("A", D(2020, m, 1), float(m)) for m in range(1, 7)] * 2 + [("B", D(2020, 1, 1), 1.0)]
     out = with_variation(bars(spark, rows), collapse_copies=True, partitions=4)
     assert out.count() == 13
     out.collect()
     final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
+    assert "Window" not in final and "Aggregate" not in final and "ExistingRDD" in final
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 100_000])

@@ -130,13 +130,13 @@ def test_symbol_filter_pushed_into_json_lines_scan(spark, landing):
 
 
 def test_raw_and_reject_schemas(spark, landing):
-    from barsmith.schema import RAW_SCHEMA, REJECT_COLUMNS
+    from barsmith.schema import RAW_SCHEMA
 
     path = landing({"A": ['{"Monthly Time Series": {"2023-05-31": {"4. close": "1"}}}'],
                     "N": ['{"Note": "x"}']})
     raw, rej = ingest_payloads(spark, path)
     assert raw.schema.simpleString() == RAW_SCHEMA.simpleString()
-    assert tuple(rej.columns) == REJECT_COLUMNS
+    assert rej.columns == ["symbol", "reason", "value"]
 
 
 def test_null_series_and_array_of_documents(spark, landing):
@@ -183,3 +183,50 @@ def test_one_large_document_is_processed_whole(spark, landing):
     assert len(rows) == 15_000
     last = {d: c for d, c in entries}
     assert all(r.close == last[r.date_from] for r in rows)
+
+
+def test_bad_entry_is_rejected_alone(spark, landing):
+    """A valid document with one bad month keeps its good one."""
+    doc = ('{"Monthly Time Series": {"2023-05-31": {"4. close": "1"}, "2023-04-28": "oops", '
+           '"2023-03-31": [1], "2023-02-28": {"4. close": "2"}}}')
+    only_bad = '{"Monthly Time Series": {"2023-05-31": 7}}'
+    raw, rej = ingest_payloads(spark, landing({"A": [doc], "B": [only_bad]}))
+    assert sorted((r.symbol, r.date_from, r.close) for r in raw.collect()) == [
+        ("A", "2023-02-28", "2"), ("A", "2023-05-31", "1")]
+    assert sorted(tuple(r) for r in rej.collect()) == [
+        ("A", "malformed_entry", "2023-03-31: [1]"), ("A", "malformed_entry", "2023-04-28: oops"),
+        ("B", "malformed_entry", "2023-05-31: 7")]
+
+
+def test_bad_entry_in_json_lines_with_symbol_filter(spark, landing):
+    import os
+    lines = [json.dumps({"symbol": s, "Monthly Time Series": {"2020-01-31": {"4. close": "1"}, "2020-02-29": "x"}})
+             for s in ("A", "B")] + ['{"symbol": "A", "Monthly']
+    path = landing({})
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write("\n".join(lines))
+    for symbols, want in ((None, ["A", "B"]), (["A"], ["A"])):
+        raw, rej = ingest_payloads(spark, path, symbols=symbols)
+        assert sorted(r.symbol for r in raw.collect()) == want
+        # rejects are the same with and without a filter
+        assert sorted(r.reason for r in rej.collect()) == ["malformed_entry", "malformed_entry", "malformed_json"]
+
+
+def test_hash_folders_round_trip(spark):
+    import datetime as dt
+
+    from barsmith.plans.fixtures import land_payloads
+    from barsmith.session import drop_path, scratch_path
+
+    bars = spark.createDataFrame(
+        [(f"S{i:06d}", dt.date(2020, 1, 31), 1.0, 2.0, 0.5, 1.5, 10.0) for i in range(200)],
+        "symbol string, date_from date, open double, high double, low double, close double, volume double")
+    path = land_payloads(bars, scratch_path(spark, "hash"), hash_folders=4)
+    import os
+    assert sorted(d for d in os.listdir(path.replace("file:", "")) if "=" in d) == [f"part={i}" for i in range(4)]
+    raw, rej = ingest_payloads(spark, path)
+    assert raw.count() == 200 and raw.select("symbol").distinct().count() == 200
+    assert rej.count() == 20  # the notices come on top of the series
+    drop_path(spark, path)
+    assert not os.path.exists(path.replace("file:", ""))

@@ -184,13 +184,13 @@ def test_copied_rows_load_writes_few_files_per_task(spark, landing):
 
 
 def test_table_preview_and_cluster_for_table(spark):
-    from barsmith.schema import LOADED_COLUMNS
+    from barsmith.schema import BAR_COLUMNS
     from barsmith.sinks.tables import cluster_for_table
     from barsmith.sources.tables import table_preview
 
     t = work_table(spark, "t")
     create_bars_table(spark, t, buckets=3)
-    assert tuple(spark.table(t).columns) == LOADED_COLUMNS
+    assert tuple(spark.table(t).columns) == (*BAR_COLUMNS, "monthly_variation", "process_date")
     df = sample(spark, 5)
     assert "hashpartitioning(symbol" in plan_text(cluster_for_table(df, t)) and \
         ", 3)" in plan_text(cluster_for_table(df, t))
@@ -269,3 +269,34 @@ def test_per_symbol_aggregate_on_loaded_table_has_no_exchange(spark):
     assert "Exchange" not in plan and "Bucketed: true" in plan
     r = out.first()
     assert (r.max_close, r.min_close) == (6.0, 1.0)
+
+
+def test_failed_reload_keeps_the_old_batch(spark):
+    from barsmith.functions.columns import as_double
+
+    t = work_table(spark, "atomic")
+    create_bars_table(spark, t, buckets=4)
+    reload_process_date(sample(spark, 2), t, "2023-07-11")
+    bad = sample(spark, 2).withColumn("close", as_double(F.lit("oops")))
+    for clustered in (False, True):  # failing before and inside the write stage
+        with pytest.raises(Exception, match="malformed number"):
+            reload_process_date(bad, t, "2023-07-11", clustered=clustered)
+        assert batch(spark, t, "2023-07-11").count() == 2
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    reload_process_date(sample(spark, 2).limit(0), t, "2023-07-11")
+    assert spark.table(t).count() == 0
+
+
+def test_unclustered_loads_write_one_file_per_bucket(spark):
+    import glob
+
+    rows = [(f"S{i:03d}", D(2020, m, 1), 1.0, 2.0, 0.5, float(m), 10.0) for i in range(50) for m in range(1, 13)]
+    df = with_variation(spark.createDataFrame(rows, SCHEMA)).repartition(16)
+    for load in (lambda t: append_table(df.withColumn("process_date", F.lit("2023-07-11")), t),
+                 lambda t: reload_process_date(df, t, "2023-07-11")):
+        t = work_table(spark, "few")
+        create_bars_table(spark, t, buckets=8)
+        load(t)
+        loc = spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where("col_name = 'Location'").first()[1]
+        assert len(glob.glob(loc.replace("file:", "") + "/process_date=2023-07-11/*.parquet")) <= 8
+        assert spark.table(t).count() == 600
