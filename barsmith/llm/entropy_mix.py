@@ -80,6 +80,11 @@ def source_targets(cells: DataFrame) -> DataFrame:
                       F.least(F.col("cap"), F.col("w") * F.coalesce("at", F.lit(float("inf")))).alias("target"))
 
 
+def _whole_source():
+    """All cells of a source, summed in the order of their sizes: reruns agree to the last bit."""
+    return Window.partitionBy(*_SOURCE).orderBy("size").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def _rate(lam: Column) -> Column:
     """Tilted rate; multipliers are bounded, so the exponent is clipped, not infinite."""
     return F.least(F.lit(float(MAX_RATE)), F.exp(F.least(lam * F.col("x"), F.lit(2.0))))
@@ -87,7 +92,7 @@ def _rate(lam: Column) -> Column:
 
 def document_rates(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """Cells with their rate: Newton steps on every source's multiplier at once."""
-    own = Window.partitionBy(*_SOURCE)
+    own = _whole_source()
     words = F.col("size") * F.col("n")
     state = cells.join(targets, list(_SOURCE)).where("size > 0")
     mean = F.sum(F.col("size") * words).over(own) / F.col("source_size")
@@ -122,11 +127,11 @@ def document_rates(cells: DataFrame, targets: DataFrame) -> DataFrame:
 
 def cell_copies(rated: DataFrame) -> DataFrame:
     """Cells with ``copies``: whole copies whose words come near each target."""
-    own = Window.partitionBy(*_SOURCE)
-    upto = own.orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, 0)
+    own, larger = _whole_source(), Window.partitionBy(*_SOURCE).orderBy(F.desc("size"))
+    upto = larger.rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.sum(F.col("n") * F.col("rate")).over(upto)
     out = rated.withColumn("upto", F.round(wanted)).withColumn(
-        "copies", (F.col("upto") - F.coalesce(F.lag("upto").over(own.orderBy(F.desc("size"))), F.lit(0.0))).cast("long"))
+        "copies", (F.col("upto") - F.coalesce(F.lag("upto").over(larger), F.lit(0.0))).cast("long"))
     for _ in range(CORRECTIONS):
         out = out.withColumn("left", F.col("target") - F.sum(F.col("size") * F.col("copies")).over(own))
         room = F.when(F.col("left") > 0, MAX_RATE * F.col("n") - F.col("copies")).otherwise(F.col("copies"))

@@ -171,15 +171,15 @@ def apply(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     ``docs`` should be a stored table: its rows are numbered in two reads.
     """
     cols = docs.columns
-    numbered = _numbered(docs)
-    verdicts = line_verdicts(numbered, limits).select(
-        F.col("row").alias("__row"), F.col("removed").alias("__removed"), F.col("kept").alias("__kept"))
-    lines = F.split("text", "\n", -1)
-    shorter = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__removed"), i)), "\n")
-    kept = numbered.join(verdicts, F.col("row") == F.col("__row")).where("__kept")
-    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(shorter)
-    out = {"text": text}
+    verdicts = line_verdicts(_numbered(docs.select("source", "text")), limits).where("kept").select(
+        F.col("row").alias("__id"), F.col("removed").alias("__removed"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"),
+                        F.monotonically_increasing_id().alias("__id"))
+    text = F.col("__row.text")
+    shorter = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("__removed"), i)), "\n")
+    cut = F.col("__removed").isNotNull()
+    out = {"text": F.when(cut, shorter).otherwise(text)}
     if "n_chars" in cols:
-        out["n_chars"] = F.when(F.col("__removed").isNull(), F.col("n_chars")).otherwise(
-            F.length(shorter).cast("long"))
-    return kept.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in cols])
+        out["n_chars"] = F.when(cut, F.length(shorter).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row.n_chars"))
+    return whole.join(verdicts, "__id").select(
+        *[out.get(c, F.col("__row").getField(c)).alias(c) for c in cols])

@@ -218,7 +218,8 @@ class PieceModel:
         sym = self.char_id[points]
         n = len(n_chars)
         starts_of, symbols_of, owner_of = [], [], []
-        for low, high in ((0, 6), (6, 10), (10, 16), (16, 28), (28, SHORT)):
+        bands = [0, *[b for b in (6, 10, 16, 28) if b < SHORT], SHORT]
+        for low, high in zip(bands, bands[1:]):
             group = np.flatnonzero((n_chars > low) & (n_chars <= high))
             if len(group):
                 spot = np.minimum(upto[group][:, None] + np.arange(high), len(sym) - 1)
@@ -331,7 +332,9 @@ def _coder(path: str, seed: int, dropout: float, variants: int):
 
 
 def encode(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
-    """``docs`` without its text, plus ids, n_pieces, ids_crc32 and lossless (the decoder gave the text back)."""
+    """``docs`` without its text, plus ids, n_pieces, ids_crc32 and lossless (the decoder gave the text back).
+
+    Columns of ``docs`` with one of these names are replaced."""
     ship(docs.sparkSession)
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids", "n_pieces", "ids_crc32", "lossless")]
     rows = docs.select(*carried, F.col("text").alias("__text"),

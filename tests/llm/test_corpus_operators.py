@@ -1,0 +1,303 @@
+"""LM scoring, substring dedup (bytes, words), Jaccard join, pipeline: against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from barsmith.llm import backoff_lm, components, debruijn_dedup, minhash_forest, suffix_dedup
+from tests.llm.conftest import AWKWARD, corpus
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+START = object()
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# ------------------------------------------------------------------ language model
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, corpus(60), [(0, "held out only", "s")], []],
+                         ids=["awkward", "random", "no training", "empty"])
+def test_lm_scores(documents, rows):
+    got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
+                  for r in backoff_lm.score(documents(rows)).collect())
+    held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
+    toks = [(d, [*WORD.findall((t or "").translate(LOW)), None]) for d, t, _ in rows]
+    uni = Counter(w for d, ws in toks if not held(d) for w in ws)
+    bi = Counter(p for d, ws in toks if not held(d) for p in zip([START, *ws], ws))
+    n, v = sum(uni.values()), len(uni)
+    n1, n2 = (sum(c == k for c in uni.values()) for k in (1, 2))
+    disc = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 else 0.05
+    mu = backoff_lm.MU
+
+    def p(w, h):
+        if not n:
+            return 1.0
+        root = (uni[w] - disc) / n if uni[w] else disc * v / n
+        leaving = uni[None] if h is START else uni[h]
+        return (bi[h, w] + mu * root) / (leaving + mu) if leaving else root
+
+    want = Counter()
+    for d, ws in toks:
+        base = sum(math.log10((uni[w] + .1) / (n + .1 * (v + 1))) for w in ws)
+        score = sum(math.log10(p(w, h)) for h, w in zip([START, *ws], ws))
+        want[d, held(d), len(ws), sum(uni[w] > 0 for w in ws), n, round(base, 6), round(score, 6)] += 1
+    assert got == want
+
+
+def test_lm_states_sum_to_one():
+    """Arcs plus failure arc of every state: probabilities over the known words and the unknown one."""
+    words, n, v, disc = np.array([3, 5, 9], np.uint64), 12, 3, 0.5
+    counts = np.array([6, 4, 2], np.uint64)
+    unknown = np.uint64(1)  # asked about, never seen
+    symbols = np.sort(np.append(words, unknown))
+    uni = np.array([0, 6, 4, 2], np.uint64)
+    for h in (3, 5, 9):
+        w = symbols
+        state = np.full(len(w), h, np.uint64)
+        pair = backoff_lm.mix64(state * backoff_lm._PAIR + w)
+        order = np.argsort(pair)
+        arcs = np.array([0, 1, 0, 1], np.uint64) if h == 9 else np.array([0, 2, 1, counts[words == h][0] - 3], np.uint64)
+        auto = backoff_lm.Automaton(symbols, uni, pair[order], arcs[order], n, v, disc)
+        t = backoff_lm.Tokens(w, state, pair, np.array([0, len(w)]))
+        assert (10 ** auto.traverse(t)[1]).sum() == pytest.approx(1)
+
+
+# ------------------------------------------------------------------ substrings
+
+
+def _bytes_dedup(rows):
+    texts = sorted(((d is None, d or 0), d, (t or "").encode()) for d, t, _ in rows)
+    first = {}
+    for key, _, b in texts:
+        for s in range(len(b) - 49):
+            first.setdefault(b[s:s + 50], key)
+    for key, d, b in texts:
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - 49):
+            if first[b[s:s + 50]] < key:
+                gone[s:s + 50] = True
+        spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(b) else 0
+        kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        yield d, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()
+
+
+def _words_dedup(rows):
+    texts = [(d, [w.encode() for w in WORD.findall(t or "")]) for d, t, _ in rows]
+    times = Counter(tuple(w[s:s + 35]) for _, w in texts for s in range(len(w) - 34))
+    for d, w in texts:
+        gone = [False] * len(w)
+        for s in range(len(w) - 34):
+            if times[tuple(w[s:s + 35])] > 1:
+                gone[s:s + 35] = [True] * 35
+        yield d, len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()
+
+
+def _tangled(seed):
+    """Copies, overlapping excerpts of a few long texts, cycles and branches."""
+    rnd = random.Random(seed)
+    source = [[f"{rnd.choice('abcdefgh')}{rnd.randrange(40)}" for _ in range(300)] for _ in range(3)]
+    rows = []
+    for i in range(60):
+        parts = []
+        for _ in range(rnd.randrange(1, 4)):
+            s = rnd.choice(source)
+            a = rnd.randrange(280)
+            parts += s[a:a + rnd.randrange(20, 200)]
+            if rnd.random() < .4:
+                parts.append(f"own{i}")
+        if i % 9 == 0:
+            parts = (["x", "y", "z"] * 40)[: rnd.randrange(30, 110)]
+        rows.append((rnd.randrange(50), " ".join(parts), "s"))  # doc_ids repeat
+    return rows
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, corpus(80), _tangled(1), []], ids=["awkward", "random", "tangled", "empty"])
+def test_suffix_dedup(documents, rows):
+    docs = documents(rows)
+    assert Counter(map(tuple, suffix_dedup.report(docs).collect())) == Counter(_bytes_dedup(rows))
+    if rows is AWKWARD:
+        for r in suffix_dedup.dedup(docs).collect():
+            assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, corpus(80), _tangled(1), _tangled(2), []],
+                         ids=["awkward", "random", "tangled", "tangled2", "empty"])
+def test_substring_dedup(documents, rows):
+    docs = documents(rows)
+    assert Counter(map(tuple, debruijn_dedup.report(docs).collect())) == Counter(_words_dedup(rows))
+
+
+def test_paths_spell_repeated_spans(documents):
+    rows = _tangled(3)
+    out = debruijn_dedup.dedup(documents(rows)).collect()
+    texts = Counter((r.doc_id, r.n_words) for r in out)
+    occurs = defaultdict(set)
+    for r in out:
+        for s in r.spans:
+            assert s.n_words >= debruijn_dedup.SPAN and s.first_word + s.n_words <= r.n_words
+            occurs[s.path].add((r.doc_id, r.n_words, s.first_word))
+    assert sum(texts.values()) == len(rows)
+    # compaction: far fewer paths than repeated windows
+    windows = sum(s.n_words - 34 for r in out for s in r.spans)
+    assert 0 < len(occurs) < windows / 10
+
+
+def test_compaction_of_a_chain_a_branch_and_a_cycle(spark):
+    rows = [(1, 2, 10, 11), (2, 3, 11, 12), (3, 1, 12, 13),   # a chain
+            (4, 1, 13, 14), (5, 1, 13, 15),                    # node 13 branches
+            (6, 2, 20, 21), (7, 2, 21, 20)]                    # a cycle
+    f = spark.createDataFrame(rows, "fragment long, edges int, start_node long, end_node long")
+    got = {r.fragment: (r.path, r.place) for r in debruijn_dedup.compact(f).collect()}
+    assert got == {1: (1, 0), 2: (1, 2), 3: (1, 5), 4: (4, 0), 5: (5, 0), 6: (6, 0), 7: (7, 0)}
+
+
+def test_longest_previous_factor_against_a_stack():
+    rnd = random.Random(4)
+    for _ in range(300):
+        n = rnd.randrange(1, 30)
+        value = np.array([rnd.randrange(6) for _ in range(n)])
+        lcp = np.array([0] + [rnd.randrange(4) for _ in range(n - 1)])
+        want = []
+        for i in range(n):
+            best = 0
+            for step in (-1, 1):
+                j, common = i, 10 ** 9
+                while 0 <= j + step < n:
+                    common = min(common, lcp[j if step < 0 else j + 1])
+                    j += step
+                    if value[j] < value[i]:
+                        best = max(best, common)
+                        break
+            want.append(best)
+        assert suffix_dedup.longest_previous_factor(value, lcp).tolist() == want
+
+
+# ------------------------------------------------------------------ near copies
+
+
+def _shingles(text):
+    w = WORD.findall(text or "")
+    return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def _jaccard(rows, threshold=0.8):
+    sets = [_shingles(t) for _, t, _ in rows]
+    key = lambda i: (rows[i][0] is None, rows[i][0] or 0, i)
+    label = list(range(len(rows)))
+    links, texts = Counter(), defaultdict(set)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and len(a & b) >= threshold * len(a | b) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+                if a != b:
+                    texts[i].add(b)
+                    texts[j].add(a)
+    groups = defaultdict(list)
+    for i, x in enumerate(label):
+        groups[x].append(i)
+    for i, (d, _, _) in enumerate(rows):
+        yield d, rows[min(groups[label[i]], key=key)][0], links[i], len(texts[i])
+
+
+def _near(n, seed=2):
+    """Near copies with one to a few changed words, many to a group."""
+    rnd = random.Random(seed)
+    base = [" ".join(f"{rnd.choice('abcdef')}{rnd.randrange(60)}" for _ in range(120)) for _ in range(3)]
+    rows = []
+    for i in range(n):
+        w = rnd.choice(base).split()
+        for _ in range(rnd.randrange(4)):
+            w[rnd.randrange(len(w))] = f"new{rnd.randrange(99)}"
+        rows.append((i, " ".join(w), "s"))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, corpus(80), _near(80), []], ids=["awkward", "random", "near", "empty"])
+def test_jaccard_join(documents, rows):
+    docs = documents(rows)
+    got = minhash_forest.report(docs).collect()
+    assert Counter(map(tuple, got)) == Counter(_jaccard(rows))
+    kept = minhash_forest.dedup(docs)
+    assert kept.columns == docs.columns
+    linked = Counter(r.class_id for r in got if r.n_links)
+    assert kept.count() == len(linked) + sum(r.n_links == 0 for r in got) or rows is AWKWARD
+
+
+def test_jaccard_join_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "BLOCK", 7)
+    rows = _near(60, 9)
+    assert Counter(map(tuple, minhash_forest.report(documents(rows)).collect())) == Counter(_jaccard(rows))
+
+
+def test_prefix_depth_reaches_the_recall():
+    d = minhash_forest.prefix_depth()
+    recall = lambda k: 1 - (1 - 0.8 ** k) ** minhash_forest.TREES
+    assert recall(d) >= minhash_forest.RECALL and (d == minhash_forest.DEPTH or recall(d + 1) < minhash_forest.RECALL)
+
+
+def test_components(spark):
+    rnd = random.Random(8)
+    edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(150)] + [(300 + i, 301 + i) for i in range(40)] + [(5, 5)]
+    label = {x: x for e in edges for x in e}
+    for _ in range(300):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {k: v for k, v in label.items() if any(k in e and e[0] != e[1] for e in edges)}
+    a, b = np.array(edges).T
+    local = components.local_labels(400, a, b)
+    assert all(local[k] == v for k, v in label.items())
+
+
+# ------------------------------------------------------------------ pipeline
+
+
+def test_pipeline_stages(spark, documents, tmp_path):
+    import corpus_pipeline as C
+    from barsmith.llm import entropy_mix
+    from barsmith.llm.line_quality import LineLimits
+    from tests.llm.test_small_operators import _quality
+
+    rows = [r for r in AWKWARD if r[0] is not None] + [(100 + d, t, s) for d, t, s in corpus(120)]
+    base = documents(rows)
+    columns = base.columns
+    docs = base
+    seen = []
+    for name, stage in C.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        if name != C.STAGES[-1][0]:
+            assert out.columns == columns and out.schema == docs.schema
+        path = f"{tmp_path}/{len(seen)}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        seen.append(docs)
+    ids = lambda df: Counter(r.doc_id for r in df.select("doc_id").collect())
+    quality, exact, near, mixed, pieces = seen
+    want, _ = _quality(rows, LineLimits())
+    assert ids(quality) == Counter(w[0] for w in want if w[7])
+    texts = defaultdict(list)
+    for r in quality.collect():
+        texts[re.sub(r"[\x20\x09-\x0D]", "", r.text)].append((-len(r.text), r.doc_id))
+    assert ids(exact) == Counter(min(v)[1] for v in texts.values())
+    left = [(r.doc_id, r.text, r.source) for r in exact.collect()]
+    assert ids(near) == Counter(d for d, c, _, _ in _jaccard(left) if d == c)
+    copies = {r.doc_id: r.copies for r in entropy_mix.report(near).collect()}
+    assert ids(mixed) == Counter({d: c for d, c in copies.items() if c})
+    assert ids(pieces) == ids(mixed) and all(r.lossless for r in pieces.collect())
+
+
+def test_pipeline_runs_on_an_empty_table(spark, documents, tmp_path):
+    import corpus_pipeline as C
+
+    documents([]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
