@@ -40,16 +40,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barsmith.llm.runtime import ship, shuffle_partitions, slices, utf8
+from barsmith.llm.runtime import release, ship, shuffle_partitions, slices, utf8
 from barsmith.llm.wordhash import span_hashes
 from barsmith.session import scratch_path
 
 END_ID = 0
 CHUNK_BITS = (8, 4, 4)
 BLOCK_BITS = 512
-FILE_TOKENS = 1 << 22
-ENCODE_BYTES = 1 << 24
-KEPT_PIECES = 3_000_000
+FILE_TOKENS = 1 << 21
+ENCODE_BYTES = 1 << 21
+KEPT_PIECES = 1_000_000
+BATCH_TEXTS = 8  # texts of 16 KB given to the library at a time: its results are large
 _MAGIC = b"DAC1"
 
 # ------------------------------------------------------------------ directly addressable codes
@@ -267,7 +268,9 @@ class ByteBpe:
         n_joined = int(joins.sum())
         texts = [raw[at[i]:at[j]].tobytes().decode() for i, j in slices(at[:n_joined + 1], 1 << 14)] if n_joined else []
         texts += [raw[at[i]:at[i + 1]].tobytes().decode() for i in range(n_joined, k)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.t.encode_batch(texts, add_special_tokens=False)])
+        ids = np.concatenate([
+            np.array(e.ids, np.uint32) for i in range(0, len(texts), BATCH_TEXTS)
+            for e in self.t.encode_batch(texts[i:i + BATCH_TEXTS], add_special_tokens=False)])
         ends = np.cumsum(self.width[ids])
         upto = np.searchsorted(ends, at[1:], "right")  # tokens that end within the first pieces
         counts = np.diff(np.concatenate([[0], upto]))
@@ -325,8 +328,10 @@ def _writer(folder: str, tokenizer: str):
                 docs, held = docs + d, held + len(i)
                 ids.append(i)
                 sizes.append(n)
+            release()
         if docs:
             yield flush()
+        release()
 
     return write
 
@@ -351,7 +356,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = f.all().astype("<u4")
             n = f.s["doc_tokens"].astype(np.int64)
             ends = np.cumsum(n)
-            raw = memoryview(ids.tobytes())
+            raw = memoryview(ids).cast("B")
             yield pa.RecordBatch.from_arrays([
                 pa.array(f.doc_ids(), pa.int64()), pa.array(start + ends - n, pa.int64()), pa.array(n, pa.int64()),
                 pa.array([zlib.crc32(raw[4 * (e - k):4 * e]) for e, k in zip(ends.tolist(), n.tolist())], pa.int64()),

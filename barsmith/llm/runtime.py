@@ -87,6 +87,18 @@ def slices(offs: np.ndarray, most: int):
         i = j
 
 
+def release() -> None:
+    """Give freed memory back to the system: an executor's Python workers share its limit,
+    and idle ones are kept for later tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 # ------------------------------------------------------------------ packed arrays
 
 

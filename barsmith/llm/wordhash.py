@@ -11,9 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from barsmith.llm.runtime import SPACE_BYTES, mix64
+from barsmith.llm.runtime import SPACE_BYTES, mix64, slices
 
-SLICE_BYTES = 1 << 20  # text handled at a time: its arrays stay in the CPU's cache
+SLICE_BYTES = 1 << 19  # text handled at a time: its arrays stay in the CPU's cache
 
 _P = 0x9E3779B97F4A7C15  # odd, so invertible modulo 2**64
 _SPACE = np.zeros(256, bool)
@@ -72,6 +72,19 @@ def words(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> Words:
     return Words(span_hashes(data, starts, ends, lower), starts, ends, np.searchsorted(starts, offs))
 
 
+def words_of_all(data: np.ndarray, offs: np.ndarray) -> Words:
+    """``words`` of many documents, taken slice by slice to bound the memory."""
+    parts, upto = [], 0
+    for i, j in slices(offs, SLICE_BYTES):
+        w = words(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
+        parts.append((w.hashes, w.starts + offs[i], w.ends + offs[i], w.docs[:-1] + upto))
+        upto += len(w.hashes)
+    if not parts:
+        return words(data, offs)
+    hashes, starts, ends, docs = (np.concatenate(p) for p in zip(*parts))
+    return Words(hashes, starts, ends, np.append(docs, upto))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
     """Hash of each byte span data[starts[i]:ends[i]]."""
     table = _BYTE[_LOWER] if lower else _BYTE
@@ -114,13 +127,21 @@ def whole_windows(w: Words, k: int) -> np.ndarray:
 
 def covered(n: int, starts: np.ndarray, k: int) -> np.ndarray:
     """Which of ``n`` positions lie in a window of ``k`` beginning at one of ``starts``."""
-    delta = np.zeros(n + 1, np.int32)
-    np.add.at(delta, starts, 1)
-    np.subtract.at(delta, np.minimum(starts + k, n), 1)
-    return np.cumsum(delta[:-1]) > 0
+    return under_spans(n, starts, np.minimum(starts + k, n))
+
+
+def under_spans(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``n`` positions lie in one of the spans starts[i] .. ends[i] - 1."""
+    depth = np.zeros(n + 1, np.int32)
+    np.add.at(depth, starts, 1)
+    np.subtract.at(depth, ends, 1)
+    return np.cumsum(depth[:-1], dtype=np.int32, out=depth[:-1]) > 0
 
 
 def per_doc(values: np.ndarray, docs: np.ndarray) -> np.ndarray:
     """Sum of ``values`` over each document's range."""
-    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    return sums[docs[1:]] - sums[docs[:-1]]
+    out = np.zeros(len(docs) - 1, np.int64)
+    some = docs[1:] > docs[:-1]
+    if some.any():
+        out[some] = np.add.reduceat(values, docs[:-1][some], dtype=np.int64)
+    return out
