@@ -127,4 +127,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND NOT (gone IS NOT NULL AND (words_left < 10 OR words_left < 0.3 * n_words)) AS kept,
        CAST(words_left AS BIGINT) AS words_left
 FROM base""",
+    "op3_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+win AS (
+  SELECT doc_id, i, substr(hx, 2 * i - 1, 100) AS g
+  FROM (SELECT doc_id, hx, unnest(range(1, length(hx) // 2 - 48)) AS i FROM d WHERE length(hx) >= 100)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first_doc FROM win)
+  WHERE first_doc < doc_id),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM later)),
+runs AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (gap) AS n_spans
+  FROM (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <> 1, true) AS gap FROM gone)
+  GROUP BY doc_id),
+kept AS (
+  SELECT b.doc_id, string_agg(b.x, '' ORDER BY b.p) AS hx
+  FROM (SELECT doc_id, p, substr(hx, 2 * p - 1, 2) AS x
+        FROM (SELECT d.doc_id, hx, unnest(range(1, length(hx) // 2 + 1)) AS p FROM d JOIN runs ON d.doc_id = runs.doc_id)) b
+  ANTI JOIN gone ON b.doc_id = gone.doc_id AND b.p = gone.p
+  GROUP BY b.doc_id)
+SELECT d.doc_id, length(d.hx) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN d.hx ELSE coalesce(kept.hx, '') END)) AS kept_sha256
+FROM d LEFT JOIN runs ON d.doc_id = runs.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op6_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, list_slice(ws, i, i + 34) AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM twice)),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (
+  SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.p) AS t
+  FROM words w ANTI JOIN gone ON w.doc_id = gone.doc_id AND w.p = gone.p GROUP BY w.doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN counts ON d.doc_id = counts.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op8_jaccard_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, list_slice(ws, i, i + 4) AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0))),
+sizes AS (SELECT doc_id, count(*) AS n, md5(string_agg(CAST(g AS VARCHAR), '|' ORDER BY g)) AS k FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y, p.k AS kx, q.k AS ky FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE c >= 0.8 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+classes AS (SELECT x AS doc_id, min(y) AS class_id FROM reach GROUP BY x),
+counts AS (SELECT x AS doc_id, count(*) AS n_links, count(DISTINCT CASE WHEN kx <> ky THEN ky END) AS n_texts FROM links GROUP BY x)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n_texts, 0) AS n_linked_texts
+FROM classes LEFT JOIN counts USING (doc_id)""",
 }
