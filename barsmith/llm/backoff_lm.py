@@ -32,16 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.blocks import blocked, bucket_rows, buckets, key_blob
+from barsmith.llm.blocks import blocked, bucket_rows, key_blob, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, unpack_sorted, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, per_doc, words
 
 MU = 20.0
 END, START = np.uint64(0x8A5CD789635D2DFF), np.uint64(0x121FD2155C472F96)
-_UNI, _BI = 0, 1
+_KINDS = ("uni", "bi")
 _PAIR = np.uint64(0x9FB21C651E98DF25)
-_ASK = "bucket int, kind int, g int, keys binary, counts binary"
-_ANSWER = "g int, kind int, bucket int, totals binary, n long, v long, n1 long, n2 long"
+_ASK = "bucket int, g int, uni_keys binary, uni_counts binary, bi_keys binary, bi_counts binary"
+_ANSWER = "g int, bucket int, uni binary, bi binary, n long, v long, n1 long, n2 long"
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -77,42 +77,40 @@ def _ask(n_buckets: int):
     def ask(table: pa.Table) -> pa.Table:
         t = tokens_of(table.column("text"))
         learn = np.repeat(~table.column("held_out").to_numpy(), np.diff(t.docs))
-        rows = []
-        for kind, keys in ((_UNI, t.word), (_BI, t.pair)):
+        rows: dict[int, dict] = {}
+        for kind, keys in zip(_KINDS, (t.word, t.pair)):
             distinct, place = np.unique(keys, return_inverse=True)
             counts = np.bincount(place, weights=learn, minlength=len(distinct)).astype(np.uint32)
-            rows += [(b, kind, key_blob(distinct[s]), pack(counts[s])) for b, s in bucket_rows(distinct, n_buckets)]
+            for b, s in bucket_rows(distinct, n_buckets):
+                rows.setdefault(b, {})[kind] = (key_blob(distinct[s]), pack(counts[s]))
         g = table.column("g")[0].as_py()
-        return pa.table({
-            "bucket": pa.array([r[0] for r in rows], pa.int32()), "kind": pa.array([r[1] for r in rows], pa.int32()),
-            "g": pa.array([g] * len(rows), pa.int32()), "keys": pa.array([r[2] for r in rows], pa.binary()),
-            "counts": pa.array([r[3] for r in rows], pa.binary())})
+        cols = {"bucket": pa.array(list(rows), pa.int32()), "g": pa.array([g] * len(rows), pa.int32())}
+        for kind in _KINDS:
+            for i, name in enumerate(("keys", "counts")):
+                cols[f"{kind}_{name}"] = pa.array([r.get(kind, (None, None))[i] for r in rows.values()], pa.binary())
+        return pa.table(cols)
 
     return ask
 
 
 def _count(table: pa.Table) -> pa.Table:
     """Totals of a bucket's keys, aligned to each block's; one row (g = -1) of unigram statistics."""
-    out = []
-    bucket = table.column("bucket")[0].as_py()
-    kinds = table.column("kind").to_numpy()
-    for kind in np.unique(kinds):
-        part = table.filter(pa.array(kinds == kind))
-        asked = [unpack_sorted(b) for b in part.column("keys").to_pylist()]
-        counts = [unpack(b, np.uint32) for b in part.column("counts").to_pylist()]
+    n = table.num_rows
+    totals, stats = {}, (0, 0, 0, 0)
+    for kind in _KINDS:
+        asked = [unpack_sorted(b) if b else np.zeros(0, np.uint64) for b in table.column(f"{kind}_keys").to_pylist()]
+        counts = [unpack(b, np.uint32) if b else np.zeros(0, np.uint32) for b in table.column(f"{kind}_counts").to_pylist()]
         distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
-        totals = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
+        total = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
         ends = np.cumsum([len(a) for a in asked])
-        for g, a, b in zip(part.column("g").to_pylist(), ends - [len(a) for a in asked], ends):
-            out.append((g, int(kind), pack(totals[place[a:b]]), 0, 0, 0, 0))
-        if kind == _UNI:
-            out.append((-1, int(kind), None, int(totals.sum()), int((totals > 0).sum()),
-                        int((totals == 1).sum()), int((totals == 2).sum())))
-    names = ("g", "kind", "totals", "n", "v", "n1", "n2")
-    types = (pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 4)
-    cols = {n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(zip(names, types))}
-    cols["bucket"] = pa.array([bucket] * len(out), pa.int32())
-    return pa.table({n: cols[n] for n in ("g", "kind", "bucket", "totals", "n", "v", "n1", "n2")})
+        totals[kind] = [pack(total[place[e - len(a):e]]) if len(a) else None for a, e in zip(asked, ends)]
+        if kind == "uni":
+            stats = tuple(int(x) for x in (total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()))
+    cols = {"g": pa.array([*table.column("g").to_pylist(), -1], pa.int32()),
+            "bucket": pa.array([table.column("bucket")[0].as_py()] * (n + 1), pa.int32())}
+    cols |= {k: pa.array([*totals[k], None], pa.binary()) for k in _KINDS}
+    cols |= {name: pa.array([0] * n + [x], pa.int64()) for name, x in zip(("n", "v", "n1", "n2"), stats)}
+    return pa.table(cols)
 
 
 @dataclass
@@ -149,11 +147,11 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
     if not docs.num_rows:
         return _scores.empty_table()
     t = tokens_of(docs.column("text"))
-    got = sorted(answers.select(["kind", "bucket", "totals"]).to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
-    counts = [np.concatenate([unpack(r["totals"], np.uint64) for r in got if r["kind"] == k]) for k in (_UNI, _BI)]
+    got = sorted(answers.select(["bucket", *_KINDS]).to_pylist(), key=lambda r: r["bucket"])
+    uni, bi = (np.concatenate([unpack(r[k], np.uint64) for r in got if r[k]]) for k in _KINDS)
     n, v, n1, n2 = answers.column("all")[0].as_py().values()
     discount = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 else 0.05
-    auto = Automaton(np.unique(t.word), counts[_UNI], np.unique(t.pair), counts[_BI], n, v, discount)
+    auto = Automaton(np.unique(t.word), uni, np.unique(t.pair), bi, n, v, discount)
     known, weight = auto.traverse(t)
     base = np.log10((known + 0.1) / (n + 0.1 * (v + 1)))
     return pa.table({
@@ -175,10 +173,10 @@ def _sums(values: np.ndarray, docs: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
-    blocks = blocked(slim)
-    asked = blocks.groupBy("g").applyInArrow(_ask(buckets(docs)), _ASK)
-    answers = asked.groupBy("bucket").applyInArrow(_count, _ANSWER)
+    blocks, n = blocked(slim)
+    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), _ASK)
+    answers = asked.groupBy("bucket").applyInArrow(tidy(_count), _ANSWER)
     stats = answers.where("g = -1").agg(
         F.struct(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n1", "n2")]).alias("stats"))
-    told = answers.where("g >= 0").select("g", "kind", "bucket", "totals", stats.scalar().alias("all"))
-    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(_score, _SCORES)
+    told = answers.where("g >= 0").select("g", "bucket", *_KINDS, stats.scalar().alias("all"))
+    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_score), _SCORES)

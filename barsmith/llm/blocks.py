@@ -1,12 +1,13 @@
 """Blocks of documents that ask hash-partitioned buckets about their keys.
 
-``blocked`` deals documents to blocks by a hash, ``GROUPS`` per shuffle
-partition.  A block reduces its texts to distinct 64-bit keys and sends each
-bucket one row: its sorted keys, packed, with what it knows of them.  A bucket
-gathers the rows of all blocks and sends every block an answer aligned to its
-keys, so answers carry no keys.  A key, however frequent, arrives once per
-block: hot keys need no salting.  The block's texts are read again (Spark
-reuses the exchange) when the answers come back by ``cogroup``.
+``blocked`` deals documents to blocks by a hash: about ``BLOCK_BYTES`` of text
+each, at least one and at most ``MOST`` for each shuffle partition.  A block
+reduces its texts to distinct 64-bit keys and sends each bucket one row: its
+sorted keys, packed, with what it knows of them.  A bucket gathers the rows of
+all blocks and sends every block an answer aligned to its keys, so answers
+carry no keys.  A key, however frequent, arrives once per block: hot keys need
+no salting.  The block's texts are read again (Spark reuses the exchange) when
+the answers come back by ``cogroup``.
 """
 
 from __future__ import annotations
@@ -16,20 +17,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.runtime import pack_sorted, ship, shuffle_partitions
+from barsmith.llm.runtime import pack_sorted, release, ship, shuffle_partitions
 
-GROUPS = 2  # blocks, and buckets, for each shuffle partition
+BLOCK_BYTES = 2 << 20
+MOST = 16  # blocks for each shuffle partition
 
 
-def blocked(docs: DataFrame) -> DataFrame:
-    """``docs`` with its block ``g``."""
+def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(``docs`` with its block ``g``, number of blocks, which is that of buckets too);
+    the text's size is summed first."""
     ship(docs.sparkSession)
-    n = GROUPS * shuffle_partitions(docs.sparkSession)
-    return docs.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
+    p = shuffle_partitions(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = min(max(size // BLOCK_BYTES, p), MOST * p)
+    return docs.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
 
 
-def buckets(docs: DataFrame) -> int:
-    return GROUPS * shuffle_partitions(docs.sparkSession)
+def tidy(work):
+    """``work``, giving its memory back after every group."""
+    def run(*tables: pa.Table) -> pa.Table:
+        out = work(*tables)
+        release()
+        return out
+
+    # Spark tells a plain function from a keyed one by the number of its parameters
+    return (lambda a: run(a)) if work.__code__.co_argcount == 1 else (lambda a, b: run(a, b))
 
 
 def bucket_bounds(keys: np.ndarray, n: int) -> np.ndarray:
