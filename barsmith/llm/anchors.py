@@ -11,7 +11,7 @@ the units from an anchor's first window to the end of its last.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,15 @@ class Anchors:
     doc: np.ndarray    # document number
 
     def take(self, i) -> "Anchors":
-        return Anchors(self.key[i], self.at[i], self.first[i], self.last[i], self.doc[i])
+        return Anchors(*[getattr(self, f.name)[i] for f in fields(self)])
+
+    def moved(self, units: int, docs: int) -> "Anchors":
+        """Positions as they are ``units`` and ``docs`` further on."""
+        return Anchors(self.key, self.at + units, self.first + units, self.last + units, self.doc + docs)
+
+    @staticmethod
+    def join(parts: list["Anchors"]) -> "Anchors":
+        return Anchors(*[np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(Anchors)])
 
 
 def find_anchors(units: np.ndarray, docs: np.ndarray, span: int, gram: int) -> Anchors:

@@ -24,7 +24,6 @@ the empty text in the crc32.  With no training tokens every probability is 1.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np

@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, ranges, repeated_of
-from barsmith.llm.blocks import blocked, bucket_rows, buckets
+from barsmith.llm.blocks import blocked, bucket_rows, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, utf8
-from barsmith.llm.wordhash import SLICE_BYTES, window_hashes, words
+from barsmith.llm.wordhash import SLICE_BYTES, per_doc, under_spans, window_hashes, words_of_all
 from barsmith.session import shared_dir
 
 SPAN = 35
@@ -52,19 +52,13 @@ class _Block:
 
     def __init__(self, docs: pa.Table) -> None:
         self.data, offs = utf8(docs.column("text"))
-        hashes, starts, ends, sizes, parts, n = [], [], [], [], [], 0
-        for i, j in slices(offs, SLICE_BYTES):
-            w = words(self.data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-            a = find_anchors(w.hashes, w.docs, SPAN, GRAM)
-            parts.append(Anchors(a.key, a.at + n, a.first + n, a.last + n, a.doc + i))
-            hashes.append(w.hashes)
-            starts.append(w.starts + offs[i])
-            ends.append(w.ends + offs[i])
-            sizes.append(np.diff(w.docs))
-            n += len(w.hashes)
-        self.hashes, self.starts, self.ends = (np.concatenate(x) for x in (hashes, starts, ends))
-        self.docs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        self.anchors = Anchors(*[np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "at", "first", "last", "doc")])
+        w = words_of_all(self.data, offs)
+        self.hashes, self.starts, self.ends, self.docs = w.hashes, w.starts, w.ends, w.docs
+        parts = []
+        for i, j in slices(w.docs, SLICE_BYTES >> 2):
+            a = find_anchors(w.hashes[w.docs[i]:w.docs[j]], w.docs[i:j + 1] - w.docs[i], SPAN, GRAM)
+            parts.append(a.moved(w.docs[i], i))
+        self.anchors = Anchors.join(parts)
 
     def contexts(self, told: pa.Table, n_buckets: int) -> "_Contexts":
         a = self.anchors.take(repeated_of(self.anchors.key, told, n_buckets))
@@ -148,7 +142,7 @@ def _fragments(table: pa.Table) -> pa.Table:
     before, after = (np.concatenate([unpack(r[c], np.uint64) for r in rows]) for c in ("before", "after"))
     text = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(r["text"]), np.uint8) for r in rows])
     offs = np.concatenate([[0], np.cumsum(np.concatenate([unpack(r["sizes"], np.uint32) for r in rows]).astype(np.int64))])
-    w = words(text, offs)
+    w = words_of_all(text, offs)
     ctx = np.repeat(np.arange(len(size)), size)
     spot = ranges(w.docs[:-1], size)  # the first word of every window
     edge = window_hashes(w.hashes, SPAN)[spot]
@@ -217,10 +211,11 @@ def compact(fragments: DataFrame) -> DataFrame:
             (F.col("next") != F.col("head")).alias("moved")).checkpoint()
         state = moved.select("fragment", "head", "place")
         if not moved.where("moved").take(1):
-            return state.withColumnRenamed("head", "path")
-    # what still moves lies on a cycle
-    return moved.select("fragment", F.when(F.col("moved"), F.col("fragment")).otherwise(F.col("head")).alias("path"),
-                        F.when(F.col("moved"), 0).otherwise(F.col("place")).alias("place"))
+            break
+    # what still moves, or came back to itself, lies on a cycle
+    path = F.when(F.col("moved"), F.col("fragment")).otherwise(F.col("head"))
+    return moved.select("fragment", path.alias("path"),
+                        F.when(path == F.col("fragment"), 0).otherwise(F.col("place")).alias("place"))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
@@ -255,12 +250,9 @@ def _remove(n_buckets: int):
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(start)) - 1 if len(head) else head
         first, length = start[head], start[tail] + edges[tail] - start[head] + SPAN - 1
-        delta = np.zeros(len(block.hashes) + 1, np.int64)
-        np.add.at(delta, first, 1)
-        np.subtract.at(delta, first + length, 1)
-        gone = np.cumsum(delta[:-1]) > 0
+        gone = under_spans(len(block.hashes), first, first + length)
         raw = block.data.tobytes()
-        counts = np.concatenate([[0], np.cumsum(gone)])[block.docs]
+        removed = per_doc(gone, block.docs)
         spans = np.searchsorted(first, block.docs)
         rows = []
         for d, doc in enumerate(docs.column("doc_id").to_pylist()):
@@ -269,7 +261,7 @@ def _remove(n_buckets: int):
             text = b" ".join([raw[p:q] for p, q in zip(block.starts[kept].tolist(), block.ends[kept].tolist())])
             found = [{"first_word": int(first[s] - x), "n_words": int(length[s]), "path": int(path[head[s]])}
                      for s in range(spans[d], spans[d + 1])]
-            rows.append((doc, int(y - x), int(counts[d + 1] - counts[d]), hashlib.sha256(text).hexdigest(),
+            rows.append((doc, int(y - x), int(removed[d]), hashlib.sha256(text).hexdigest(),
                          text.decode(), found))
         return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_OUT)], names=_OUT.names)
 
@@ -278,17 +270,17 @@ def _remove(n_buckets: int):
 
 def dedup(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256, the kept words, and the repeated spans with their path."""
-    n = buckets(docs)
     shared_dir(docs.sparkSession)
-    blocks = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    again = blocks.groupBy("g").applyInArrow(_ask(n), ASK).groupBy("bucket").applyInArrow(find_repeated, REPEATED)
-    contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(_send(n), _CONTEXTS)
-    runs = contexts.groupBy("bucket").applyInArrow(_fragments, _RUNS).checkpoint()
+    blocks, n = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), ASK)
+    again = asked.groupBy("bucket").applyInArrow(tidy(find_repeated), REPEATED)
+    contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(tidy(_send(n)), _CONTEXTS)
+    runs = contexts.groupBy("bucket").applyInArrow(tidy(_fragments), _RUNS).checkpoint()
     paths = compact(runs.select("fragment", "edges", "start_node", "end_node").distinct())
     told = again.select("g", "bucket", "bits").unionByName(
         runs.join(paths, "fragment").select("g", "bucket", "context", "first", "edges", "path", "place"),
         allowMissingColumns=True)
-    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(_remove(n), _OUT_DDL)
+    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_remove(n)), _OUT_DDL)
 
 
 def report(docs: DataFrame) -> DataFrame:

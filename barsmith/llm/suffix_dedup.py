@@ -30,13 +30,13 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import (ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, ranges,
                                   repeated_of)
-from barsmith.llm.blocks import blocked, bucket_rows, buckets
+from barsmith.llm.blocks import blocked, bucket_rows, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, utf8
-from barsmith.llm.wordhash import _BYTE, SLICE_BYTES, span_hashes
+from barsmith.llm.wordhash import _BYTE, SLICE_BYTES, per_doc, span_hashes, under_spans
 
 SPAN = 50
 GRAM = 20
-SORT_WINDOWS = 200_000  # windows sorted at a time
+SORT_WINDOWS = 40_000  # windows sorted at a time
 _LAST = np.iinfo(np.int64).max  # a null doc_id
 _CONTEXTS = "bucket int, g int, keys binary, lead binary, size binary, owner binary, bytes binary"
 
@@ -45,21 +45,26 @@ def _doc_ids(column) -> np.ndarray:
     return np.array([_LAST if d is None else d for d in column.to_pylist()], np.int64)
 
 
-def _anchors(data: np.ndarray, offs: np.ndarray) -> Anchors:
-    """Anchors of a whole block, found slice by slice; positions are bytes of the block."""
-    parts = []
+def _anchors(data: np.ndarray, offs: np.ndarray) -> tuple[Anchors, np.ndarray]:
+    """Anchors of a whole block, found slice by slice, and a hash of each one's context."""
+    parts, kinds = [], []
     for i, j in slices(offs, SLICE_BYTES):
-        a = find_anchors(_BYTE[data[offs[i]:offs[j]]], offs[i:j + 1] - offs[i], SPAN, GRAM)
-        parts.append(Anchors(a.key, a.at + offs[i], a.first + offs[i], a.last + offs[i], a.doc + i))
-    return Anchors(*[np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "at", "first", "last", "doc")])
+        part = data[offs[i]:offs[j]]
+        a = find_anchors(_BYTE[part], offs[i:j + 1] - offs[i], SPAN, GRAM)
+        kinds.append(_kind(part, a.first, a.last + SPAN, a.at - a.first))
+        parts.append(a.moved(offs[i], i))
+    return Anchors.join(parts), np.concatenate(kinds)
+
+
+def _kind(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """Contexts are equal if their bytes are, and the anchor's place in them."""
+    return mix64(span_hashes(data, starts, ends) + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 class _Contexts:
     """Distinct contexts of a block's repeated anchors, in key order, and which one each anchor has."""
 
-    def __init__(self, data: np.ndarray, a: Anchors, ids: np.ndarray) -> None:
-        lead = a.at - a.first
-        kind = mix64(span_hashes(data, a.first, a.last + SPAN) + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    def __init__(self, a: Anchors, kind: np.ndarray, ids: np.ndarray) -> None:
         order = np.lexsort((ids[a.doc], kind, a.key))  # the smallest doc_id of equal contexts comes first
         new = np.ones(len(order), bool)
         new[1:] = (a.key[order[1:]] != a.key[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]])
@@ -71,18 +76,18 @@ class _Contexts:
 
 
 def _repeats(docs: pa.Table, told: pa.Table, n_buckets: int):
-    """(data, offs, doc_ids, anchors that occur again, their contexts) of a block."""
+    """(data, offs, doc_ids, contexts of the anchors that occur again) of a block."""
     data, offs = utf8(docs.column("text"))
     ids = _doc_ids(docs.column("doc_id"))
-    a = _anchors(data, offs)
-    a = a.take(repeated_of(a.key, told, n_buckets))
-    return data, offs, ids, _Contexts(data, a, ids)
+    a, kind = _anchors(data, offs)
+    again = repeated_of(a.key, told, n_buckets)
+    return data, offs, ids, _Contexts(a.take(again), kind[again], ids)
 
 
 def _ask(n_buckets: int):
     def ask(docs: pa.Table) -> pa.Table:
         data, offs = utf8(docs.column("text"))
-        a = _anchors(data, offs)
+        a, _ = _anchors(data, offs)
         return ask_repeated(a.key, _doc_ids(docs.column("doc_id"))[a.doc], docs.column("g")[0].as_py(), n_buckets)
 
     return ask
@@ -132,12 +137,13 @@ def longest_previous_factor(owner: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return np.maximum(previous_smaller(owner, lcp), previous_smaller(owner[::-1], after)[::-1])
 
 
-def _earlier(key, lead, size, owner, data, offs) -> np.ndarray:
-    """A bit for each window of each context: does it start in a document before the owner?
+def _earlier(key, lead, size, owner, data, offs):
+    """Tells, for a run of contexts, a bit for each window: does it start in a document before the owner?
 
     Contexts that are equal share one place in the suffix order; its smallest owner stands for it."""
     n = len(key)
-    kind = mix64(span_hashes(data, offs[:-1], offs[1:]) + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    kind = np.concatenate([_kind(data[offs[i]:offs[j]], offs[i:j] - offs[i], offs[i + 1:j + 1] - offs[i], lead[i:j])
+                           for i, j in slices(offs, SLICE_BYTES)])
     order = np.lexsort((owner, kind, key))
     new = np.ones(n, bool)
     new[1:] = (key[order[1:]] != key[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]])
@@ -146,12 +152,10 @@ def _earlier(key, lead, size, owner, data, offs) -> np.ndarray:
     of[order] = np.cumsum(new) - 1
     # contexts whose anchor has no other context have no other match
     _, group, times = np.unique(key[head], return_inverse=True, return_counts=True)
-    marks = [np.zeros(0, bool)] * len(head)
-    alone = times[group] == 1
-    counts = size[head].astype(np.int64)
-    for i in np.flatnonzero(alone):
-        marks[i] = np.zeros(counts[i], bool)
-    todo = np.flatnonzero(~alone)
+    counts = size[head]
+    at = np.concatenate([[0], np.cumsum(counts)])
+    marks = np.zeros(int(at[-1]), bool)
+    todo = np.flatnonzero(times[group] > 1)
     upto = np.concatenate([[0], np.cumsum(counts[todo])])
     i = 0
     while i < len(todo):  # whole anchors at a time
@@ -160,13 +164,15 @@ def _earlier(key, lead, size, owner, data, offs) -> np.ndarray:
         while j < len(todo) and group[todo[j]] == group[todo[j - 1]]:
             j += 1
         part = todo[i:j]
-        got = _lpf_marks(group[part], lead[head[part]], counts[part], owner[head[part]], offs[head[part]], data)
-        for c, m in zip(part, np.split(got, np.cumsum(counts[part])[:-1])):
-            marks[c] = m
+        marks[ranges(at[part], counts[part])] = _lpf_marks(
+            group[part], lead[head[part]], counts[part], owner[head[part]], offs[head[part]], data)
         i = j
-    first_owner = owner[head][of]
-    out = [np.ones(int(size[i]), bool) if owner[i] > first_owner[i] else marks[of[i]] for i in range(n)]
-    return np.concatenate(out) if out else np.zeros(0, bool)
+    whole = owner > owner[head][of]  # an equal context in an earlier document
+
+    def bits(s: slice) -> np.ndarray:
+        return np.repeat(whole[s], size[s]) | marks[ranges(at[of[s]], size[s])]
+
+    return bits
 
 
 def _lpf_marks(group, lead, counts, owner, first, data) -> np.ndarray:
@@ -190,15 +196,15 @@ def _lpf_marks(group, lead, counts, owner, first, data) -> np.ndarray:
 def _resolve(table: pa.Table) -> pa.Table:
     import zstandard
 
-    rows = table.to_pylist()
+    rows = table.select(["keys", "lead", "size", "owner", "bytes"]).to_pylist()
     key = [unpack(r["keys"], np.uint64) for r in rows]
     lead, size = (np.concatenate([unpack(r[c], np.uint8) for r in rows]).astype(np.int64) for c in ("lead", "size"))
     owner = np.concatenate([unpack(r["owner"], np.int64) for r in rows])
     data = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bytes"]), np.uint8) for r in rows])
     offs = np.concatenate([[0], np.cumsum(size + SPAN - 1)])
-    marks = _earlier(np.concatenate(key), lead, size, owner, data, offs)
-    ends = np.cumsum(size)[np.cumsum([len(k) for k in key]) - 1]
-    bits = [np.packbits(m).tobytes() for m in np.split(marks, ends[:-1])]
+    earlier = _earlier(np.concatenate(key), lead, size, owner, data, offs)
+    ends = np.cumsum([len(k) for k in key])
+    bits = [np.packbits(earlier(slice(e - len(k), e))).tobytes() for k, e in zip(key, ends)]
     return pa.table({"g": table.column("g"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
@@ -225,20 +231,16 @@ def _digest(n_buckets: int, with_text: bool):
         size = c.windows[c.of]
         hit = marks[ranges(at[c.of], size)] | np.repeat(ids[c.a.doc] > c.owner[c.of], size)
         start = ranges(c.a.first, size)[hit]
-        delta = np.zeros(len(data) + 1, np.int32)
-        np.add.at(delta, start, 1)
-        np.subtract.at(delta, start + SPAN, 1)
-        gone = np.cumsum(delta[:-1]) > 0
+        gone = under_spans(len(data), start, start + SPAN)
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         inner = offs[:-1][offs[:-1] < len(data)]
         begins[inner] = gone[inner]
-        removed, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, begins))
-        left = np.concatenate([[0], np.cumsum(~gone)])[offs]
+        removed, spans = per_doc(gone, offs), per_doc(begins, offs)
+        left = np.concatenate([[0], np.cumsum(np.diff(offs) - removed)])
         raw = data[~gone].tobytes()
         kept = [raw[x:y] for x, y in zip(left[:-1], left[1:])]
-        cols = [docs.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed[offs[1:]] - removed[offs[:-1]]),
-                pa.array(spans[offs[1:]] - spans[offs[:-1]]),
+        cols = [docs.column("doc_id"), pa.array(np.diff(offs)), pa.array(removed), pa.array(spans),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
         if with_text:
             cols.append(pa.array(kept, pa.binary()))
@@ -249,15 +251,15 @@ def _digest(n_buckets: int, with_text: bool):
 
 def dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the bytes kept."""
-    n = buckets(docs)
-    blocks = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    again = blocks.groupBy("g").applyInArrow(_ask(n), ASK).groupBy("bucket").applyInArrow(find_repeated, REPEATED)
-    contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(_send(n), _CONTEXTS)
-    earlier = contexts.groupBy("bucket").applyInArrow(_resolve, REPEATED)
+    blocks, n = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), ASK)
+    again = asked.groupBy("bucket").applyInArrow(tidy(find_repeated), REPEATED)
+    contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(tidy(_send(n)), _CONTEXTS)
+    earlier = contexts.groupBy("bucket").applyInArrow(tidy(_resolve), REPEATED)
     told = again.withColumn("kind", F.lit(0)).unionByName(earlier.withColumn("kind", F.lit(1)))
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(
-        _digest(n, with_text), ddl + (", kept binary" if with_text else ""))
+        tidy(_digest(n, with_text)), ddl + (", kept binary" if with_text else ""))
 
 
 def report(docs: DataFrame) -> DataFrame:
