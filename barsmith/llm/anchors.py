@@ -7,6 +7,10 @@ mostly share theirs, so a text has far fewer anchors than windows.  Blocks ask
 the buckets which anchor keys occur again (``ask_repeated``); only windows of
 such anchors need a closer look, and their texts alone travel, as *contexts*:
 the units from an anchor's first window to the end of its last.
+
+Equal contexts travel once per block.  An anchor whose contexts differ from
+document to document (the ends of a line that very many documents share) is
+*hot*: its windows travel one by one, keyed by their own hash.
 """
 
 from __future__ import annotations
@@ -17,10 +21,11 @@ import numpy as np
 import pyarrow as pa
 
 from barsmith.llm.blocks import bucket_rows, key_blob
-from barsmith.llm.runtime import unpack_sorted
+from barsmith.llm.runtime import pack, unpack, unpack_sorted
 from barsmith.llm.wordhash import window_hashes
 
-ASK = "bucket int, g int, keys binary, multi binary"
+ASK = "bucket int, g int, keys binary, multi binary, contexts binary"
+HOT = 1000  # contexts of one anchor, beyond two a block, that may meet in one bucket
 REPEATED = "g int, bucket int, bits binary"
 
 
@@ -72,46 +77,71 @@ def find_anchors(units: np.ndarray, docs: np.ndarray, span: int, gram: int) -> A
                    np.searchsorted(docs, start[head], "right") - 1)
 
 
-def ask_repeated(keys: np.ndarray, owner: np.ndarray | None, g: int, n_buckets: int) -> pa.Table:
-    """One row per bucket: the block's distinct keys, and which of them already occur twice
-    in the block (under different owners, if ``owner`` is given)."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
+def ask_repeated(keys: np.ndarray, owner: np.ndarray | None, kind: np.ndarray, g: int, n_buckets: int) -> pa.Table:
+    """One row per bucket: the block's distinct keys, which of them already occur twice in the block
+    (under different owners, if ``owner`` is given), and how many contexts (``kind``) each has."""
+    order = np.lexsort((kind, keys))
+    ordered, kinds = keys[order], kind[order]
     new = np.ones(len(keys), bool)
     new[1:] = ordered[1:] != ordered[:-1]
     head = np.flatnonzero(new)
+    contexts = new.copy()
+    contexts[1:] |= kinds[1:] != kinds[:-1]
     if not len(head):
-        multi = np.zeros(0, bool)
-    elif owner is None:
-        multi = np.diff(np.append(head, len(keys))) > 1
+        multi, n = np.zeros(0, bool), np.zeros(0, np.uint32)
     else:
-        mine = owner[order]
-        multi = np.minimum.reduceat(mine, head) != np.maximum.reduceat(mine, head)
+        n = np.add.reduceat(contexts, head, dtype=np.uint32)
+        if owner is None:
+            multi = np.diff(np.append(head, len(keys))) > 1
+        else:
+            mine = owner[order]
+            multi = np.minimum.reduceat(mine, head) != np.maximum.reduceat(mine, head)
     distinct = ordered[head]
-    rows = [(b, key_blob(distinct[s]), np.packbits(multi[s]).tobytes()) for b, s in bucket_rows(distinct, n_buckets)]
+    rows = [(b, key_blob(distinct[s]), np.packbits(multi[s]).tobytes(), pack(n[s])) for b, s in bucket_rows(distinct, n_buckets)]
     return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "g": pa.array([g] * len(rows), pa.int32()),
-                     "keys": pa.array([r[1] for r in rows], pa.binary()), "multi": pa.array([r[2] for r in rows], pa.binary())})
+                     "keys": pa.array([r[1] for r in rows], pa.binary()), "multi": pa.array([r[2] for r in rows], pa.binary()),
+                     "contexts": pa.array([r[3] for r in rows], pa.binary())})
 
 
 def find_repeated(table: pa.Table) -> pa.Table:
-    """A bucket's answer: for each block, a bit per key it asked about."""
+    """A bucket's answer: for each block, two bits per key it asked about: does the anchor occur
+    again, and has it so many different contexts (``HOT``) that its windows must part ways?"""
     asked = [unpack_sorted(b) for b in table.column("keys").to_pylist()]
     multi = [np.unpackbits(np.frombuffer(b, np.uint8))[:len(a)] for a, b in zip(asked, table.column("multi").to_pylist())]
+    n = np.concatenate([unpack(b, np.uint32) for b in table.column("contexts").to_pylist()])
     distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
     seen = np.bincount(place, weights=1 + np.concatenate(multi), minlength=len(distinct)) > 1
+    blocks = np.bincount(place, minlength=len(distinct))
+    contexts = np.bincount(place, weights=n, minlength=len(distinct))
+    hot = (contexts > HOT) & (contexts > 2 * blocks)
     ends = np.cumsum([len(a) for a in asked])
-    bits = [np.packbits(seen[place[e - len(a):e]]).tobytes() for a, e in zip(asked, ends)]
+    bits = [np.packbits(np.concatenate([seen[place[e - len(a):e]], hot[place[e - len(a):e]]])).tobytes()
+            for a, e in zip(asked, ends)]
     return pa.table({"g": table.column("g"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
-def repeated_of(keys: np.ndarray, answers: pa.Table, n_buckets: int) -> np.ndarray:
-    """Which of the block's ``keys`` (one per anchor) occur again."""
+def repeated_of(keys: np.ndarray, answers: pa.Table, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the block's ``keys`` (one per anchor) occur again, and which are hot."""
     distinct, place = np.unique(keys, return_inverse=True)
-    seen = np.zeros(len(distinct), bool)
+    told = np.zeros((2, len(distinct)), bool)
     bits = dict(zip(answers.column("bucket").to_pylist(), answers.column("bits").to_pylist()))
     for b, s in bucket_rows(distinct, n_buckets):
-        seen[s] = np.unpackbits(np.frombuffer(bits[b], np.uint8))[:s.stop - s.start].astype(bool)
-    return seen[place]
+        n = s.stop - s.start
+        told[:, s] = np.unpackbits(np.frombuffer(bits[b], np.uint8))[:2 * n].reshape(2, n)
+    return told[0][place], told[1][place]
+
+
+def part_windows(a: Anchors, hot: np.ndarray, window_hash) -> Anchors:
+    """Anchors with each window of a hot one as an anchor of its own, keyed by the window itself:
+    however many contexts the anchor has, equal windows meet and different ones spread.
+
+    ``window_hash(starts)`` hashes whole windows."""
+    hot_ones = np.flatnonzero(hot)
+    size = (a.last - a.first + 1)[hot_ones]
+    start = ranges(a.first[hot_ones], size)
+    which = np.repeat(hot_ones, size)
+    own = Anchors(window_hash(start), a.at[which], start, start, a.doc[which])
+    return Anchors.join([a.take(np.flatnonzero(~hot)), own])
 
 
 def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:

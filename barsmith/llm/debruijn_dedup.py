@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.anchors import ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, ranges, repeated_of
+from barsmith.llm.anchors import ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, part_windows, ranges, repeated_of
 from barsmith.llm.blocks import blocked, bucket_rows, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, per_doc, under_spans, window_hashes, words_of_all
@@ -45,6 +45,7 @@ GRAM = 12
 _CONTEXTS = "bucket int, g int, windows binary, times binary, before binary, after binary, sizes binary, text binary"
 _RUNS = ("g int, bucket int, context int, first int, edges int, fragment long, start_node long, end_node long")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_BRANCH = np.uint64(0xB5297A4D3F84C2E1)  # several different edges
 
 
 class _Block:
@@ -61,41 +62,65 @@ class _Block:
         self.anchors = Anchors.join(parts)
 
     def contexts(self, told: pa.Table, n_buckets: int) -> "_Contexts":
-        a = self.anchors.take(repeated_of(self.anchors.key, told, n_buckets))
-        return _Contexts(self, a)
-
-
-class _Contexts:
-    """Distinct contexts of repeated anchors, in key order, and which one each anchor has."""
-
-    def __init__(self, block: _Block, a: Anchors) -> None:
-        self.a = a
+        again, hot = repeated_of(self.anchors.key, told, n_buckets)
+        a, hot = self.anchors.take(again), hot[again]
+        whole = len(a.key) - int(hot.sum())
+        if hot.any():
+            edges = window_hashes(self.hashes, SPAN)
+            a = part_windows(a, hot, lambda s: edges[s])
+        return _Contexts(a, *self.neighbours(a, whole))
+
+    def neighbours(self, a: Anchors, whole: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(kind, edge before, edge after) of each anchor's context; equal contexts have equal kinds.
+
+        The edge before the first and after the last window is 0 at a document's ends.  Anchors from
+        number ``whole`` on are single windows of hot anchors: where their neighbours differ inside
+        the block, ``_BRANCH`` stands for all, so that such a window leaves the block once."""
         if not len(a.key):
-            self.head = self.of = self.times = np.zeros(0, np.int64)
-            self.before = self.after = np.zeros(0, np.uint64)
-            return
-        edges = window_hashes(block.hashes, SPAN)
-        begin, end = block.docs[a.doc], block.docs[a.doc + 1]
-        # the edge before the first and after the last window; 0 at the document's ends
+            return a.key, a.key, a.key
+        edges = window_hashes(self.hashes, SPAN)
+        begin, end = self.docs[a.doc], self.docs[a.doc + 1]
         before = np.where(a.first > begin, edges[np.maximum(a.first - 1, 0)], np.uint64(0))
         after = np.where(a.last + SPAN < end, edges[np.minimum(a.last + 1, len(edges) - 1)], np.uint64(0))
+        if whole < len(a.key):
+            _, of = np.unique(a.key[whole:], return_inverse=True)
+            for side in (before, after):
+                side[whole:][_branches(of, int(of.max()) + 1, side[whole:])[of]] = _BRANCH
+        # every window of a context lies in its first and last, as these overlap
         kind = mix64(edges[a.first] * _ODD + edges[a.last]) ^ mix64(
             before * _ODD + after + (a.last - a.first).astype(np.uint64)) ^ (a.at - a.first).astype(np.uint64)
-        # every window of a context lies in its first and last, as these overlap
+        return kind, before, after
+
+
+class _Contexts:
+    """Distinct contexts of repeated anchors, in key order, and which one each anchor has."""
+
+    def __init__(self, a: Anchors, kind: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
         order = np.lexsort((kind, a.key))
         new = np.ones(len(order), bool)
         new[1:] = (a.key[order[1:]] != a.key[order[:-1]]) | (kind[order[1:]] != kind[order[:-1]])
         at = np.flatnonzero(new)
-        self.head = order[new]
+        self.a, self.head = a, order[new]
         self.of = np.empty(len(order), np.int64)
         self.of[order] = np.cumsum(new) - 1
         self.times = np.diff(np.append(at, len(order)))
         self.before, self.after = before[self.head], after[self.head]
 
 
+def _branches(edge: np.ndarray, n: int, other: np.ndarray) -> np.ndarray:
+    """Which of ``n`` distinct edges meet more than one neighbour on this side."""
+    order = np.argsort(edge, kind="stable")
+    head = np.flatnonzero(np.append(True, edge[order[1:]] != edge[order[:-1]]))
+    mine = other[order]
+    return (np.minimum.reduceat(mine, head) != np.maximum.reduceat(mine, head)) | (
+        np.add.reduceat(mine == _BRANCH, head) > 0)
+
+
 def _ask(n_buckets: int):
     def ask(docs: pa.Table) -> pa.Table:
-        return ask_repeated(_Block(docs).anchors.key, None, docs.column("g")[0].as_py(), n_buckets)
+        block = _Block(docs)
+        kind, _, _ = block.neighbours(block.anchors, len(block.anchors.key))
+        return ask_repeated(block.anchors.key, None, kind, docs.column("g")[0].as_py(), n_buckets)
 
     return ask
 
@@ -123,14 +148,6 @@ def _send(n_buckets: int):
     return send
 
 
-def _branches(edge: np.ndarray, n: int, other: np.ndarray) -> np.ndarray:
-    """Which of ``n`` distinct edges meet more than one neighbour on this side."""
-    order = np.argsort(edge, kind="stable")
-    head = np.flatnonzero(np.append(True, edge[order[1:]] != edge[order[:-1]]))
-    mine = other[order]
-    return np.minimum.reduceat(mine, head) != np.maximum.reduceat(mine, head)
-
-
 def _fragments(table: pa.Table) -> pa.Table:
     """A bucket's repeated edges as fragments: one row per occurrence in a context."""
     import zstandard

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.anchors import (ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, ranges,
-                                  repeated_of)
+from barsmith.llm.anchors import (ASK, REPEATED, Anchors, ask_repeated, find_anchors, find_repeated, part_windows,
+                                  ranges, repeated_of)
 from barsmith.llm.blocks import blocked, bucket_rows, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, utf8
 from barsmith.llm.wordhash import _BYTE, SLICE_BYTES, per_doc, span_hashes, under_spans
@@ -61,6 +61,20 @@ def _kind(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarr
     return mix64(span_hashes(data, starts, ends) + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _kinds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """``_kind`` of spans anywhere in a block, by the slice of text that they start in."""
+    out = np.empty(len(starts), np.uint64)
+    slot = starts // SLICE_BYTES
+    order = np.argsort(slot, kind="stable")
+    at = np.searchsorted(slot[order], np.arange(int(slot.max()) + 2 if len(slot) else 0))
+    for i, j in zip(at[:-1], at[1:]):
+        some = order[i:j]
+        if len(some):
+            base = starts[some].min()
+            out[some] = _kind(data[base:ends[some].max()], starts[some] - base, ends[some] - base, lead[some])
+    return out
+
+
 class _Contexts:
     """Distinct contexts of a block's repeated anchors, in key order, and which one each anchor has."""
 
@@ -79,16 +93,19 @@ def _repeats(docs: pa.Table, told: pa.Table, n_buckets: int):
     """(data, offs, doc_ids, contexts of the anchors that occur again) of a block."""
     data, offs = utf8(docs.column("text"))
     ids = _doc_ids(docs.column("doc_id"))
-    a, kind = _anchors(data, offs)
-    again = repeated_of(a.key, told, n_buckets)
-    return data, offs, ids, _Contexts(a.take(again), kind[again], ids)
+    a, _ = _anchors(data, offs)
+    again, hot = repeated_of(a.key, told, n_buckets)
+    a = a.take(again)
+    if hot[again].any():
+        a = part_windows(a, hot[again], lambda s: _kinds(data, s, s + SPAN, np.zeros(len(s), np.int64)))
+    return data, offs, ids, _Contexts(a, _kinds(data, a.first, a.last + SPAN, a.at - a.first), ids)
 
 
 def _ask(n_buckets: int):
     def ask(docs: pa.Table) -> pa.Table:
         data, offs = utf8(docs.column("text"))
-        a, _ = _anchors(data, offs)
-        return ask_repeated(a.key, _doc_ids(docs.column("doc_id"))[a.doc], docs.column("g")[0].as_py(), n_buckets)
+        a, kind = _anchors(data, offs)
+        return ask_repeated(a.key, _doc_ids(docs.column("doc_id"))[a.doc], kind, docs.column("g")[0].as_py(), n_buckets)
 
     return ask
 
