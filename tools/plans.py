@@ -29,11 +29,12 @@ READING = """How to read them:
 * Variation: one more Exchange on symbol, then Sort + Window.  None on the
   bucketed table (`bucketed_variation` reads it with a bucketed scan).
 * Predicates on raw columns reach the scan: the symbol of `symbol_series`
-  becomes `EqualTo(l_suppkey, 1)`, the date ranges of `union_symbols`
-  become `l_shipdate` ranges, partition filters select one batch.
+  becomes `EqualTo(l_suppkey, 1)`, partition filters select one batch.
+* `union_symbols` and the copy-aware variation read a checkpoint: the job
+  that computed it is listed with the query's writes.
 * Sink queries (`etl_*`, `*_reload`, `clear_*`, `append_load`,
   `bucketed_variation`) return a read of the table they loaded; the plans of
-  their table writes follow, taken from Spark's event log.
+  their table writes and checkpoints follow, taken from Spark's event log.
 """
 
 
@@ -68,14 +69,14 @@ def main() -> None:
              .config("spark.sql.warehouse.dir", f"{scratch}/wh")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from barsmith.plans.catalogue import QUERIES
 
     print("# PLANS\n")
-    print(f"Physical plans of the registered queries (`tools/plans.py`, {sf_dir}, "
+    print(f"Physical plans of the bar queries (`tools/plans.py`, {sf_dir}, "
           "8 shuffle partitions, AQE on; initial plans, before runtime re-planning).\n")
     print(READING)
     sections, windows = [], []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         t0 = time.time() * 1000
         df = fn(spark, sf_dir)
         windows.append((name, t0, time.time() * 1000))
@@ -94,7 +95,7 @@ def main() -> None:
         print(f"## {name}\n")
         print("\n".join(body))
         for i, plan in enumerate(writes.get(name, []), 1):
-            print(f"load job {i} (table write, from the event log):\n")
+            print(f"job {i} (table write or checkpoint, from the event log):\n")
             print("```\n" + plan + "\n```\n")
 
 
@@ -108,7 +109,7 @@ def load_plans(scratch: str, windows) -> dict[str, list[str]]:
             if not e["Event"].endswith("SQLExecutionStart"):
                 continue
             plan = e.get("physicalPlanDescription", "")
-            if "InsertIntoHadoopFsRelationCommand" not in plan:
+            if "InsertIntoHadoopFsRelationCommand" not in plan and "checkpoint" not in e.get("description", ""):
                 continue
             tree = plan.split("\n\n\n")[0].replace("== Physical Plan ==\n", "").strip()
             for name, t0, t1 in windows:
