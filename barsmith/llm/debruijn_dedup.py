@@ -38,7 +38,7 @@ from barsmith.llm.anchors import ASK, REPEATED, Anchors, ask_repeated, find_anch
 from barsmith.llm.blocks import blocked, bucket_rows, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, per_doc, under_spans, window_hashes, words_of_all
-from barsmith.session import shared_dir
+from barsmith.session import drop_path, scratch_path, shared_dir
 
 SPAN = 35
 GRAM = 12
@@ -205,9 +205,17 @@ def compact(fragments: DataFrame) -> DataFrame:
     ``fragments`` holds distinct ``fragment, edges, start_node, end_node``.  A
     node where one fragment ends and one starts links the two; pointers to the
     fragment before double every round until all reach their path's head, so
-    rounds grow with the logarithm of the longest path.
+    rounds grow with the logarithm of the longest path.  Each round is written
+    to the shared folder and read again: a checkpoint would carry the joins'
+    constraints on, and they double every round.
     """
-    shared_dir(fragments.sparkSession)
+    spark = fragments.sparkSession
+
+    def stored(df: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, "paths")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
     ends = fragments.select(F.col("end_node").alias("node"), F.struct("fragment", "edges").alias("ending"),
                             F.lit(None).cast("long").alias("starting"))
     starts = fragments.select(F.col("start_node").alias("node"), F.lit(None).cast("struct<fragment:long,edges:int>"),
@@ -218,14 +226,16 @@ def compact(fragments: DataFrame) -> DataFrame:
              .where("n_in = 1 AND n_out = 1 AND ending.fragment <> starting")
              .select(F.col("starting").alias("fragment"), F.col("ending.fragment").alias("head"),
                      F.col("ending.edges").cast("long").alias("place")))
-    state = fragments.select("fragment").join(links, "fragment", "left").select(
-        "fragment", F.coalesce("head", "fragment").alias("head"), F.coalesce("place", F.lit(0)).alias("place")).checkpoint()
+    state, last = stored(fragments.select("fragment").join(links, "fragment", "left").select(
+        "fragment", F.coalesce("head", "fragment").alias("head"), F.coalesce("place", F.lit(0)).alias("place")))
     rounds = max(state.count(), 2).bit_length() + 1
     for _ in range(rounds):
         ahead = state.select(F.col("fragment").alias("head"), F.col("head").alias("next"), F.col("place").alias("more"))
-        moved = state.join(ahead, "head").select(
+        before = last
+        moved, last = stored(state.join(ahead, "head").select(
             "fragment", F.col("next").alias("head"), (F.col("place") + F.col("more")).alias("place"),
-            (F.col("next") != F.col("head")).alias("moved")).checkpoint()
+            (F.col("next") != F.col("head")).alias("moved")))
+        drop_path(spark, before)
         state = moved.select("fragment", "head", "place")
         if not moved.where("moved").take(1):
             break
