@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.runtime import SPACE_BYTES, ship, slices, utf8
+from barsmith.llm.runtime import SPACE_BYTES, release, ship, slices, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, covered, per_doc, whole_windows, window_hashes, words
 from barsmith.session import shared_dir
 
@@ -94,6 +94,7 @@ def _line_rows(raw: bytes) -> tuple[list[dict], int, int, bytes]:
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
+        release()
         carried = [c for c in whole.schema.names if c not in ("row", "host", "text")]
         for i, j in slices(utf8(whole.column("text"))[1], BATCH_BYTES):
             batch = whole.slice(i, j - i)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import ranges
 from barsmith.llm.components import connected, local_labels
-from barsmith.llm.runtime import mix64, pack_sorted, ship, shuffle_partitions, slices, unpack_sorted, utf8
+from barsmith.llm.runtime import mix64, pack_sorted, release, ship, shuffle_partitions, slices, unpack_sorted, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, whole_windows, window_hashes, words
 from barsmith.session import shared_dir
 
@@ -84,6 +84,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 def _sign(depth: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            release()
             data, offs = utf8(batch.column("text"))
             for i, j in slices(offs, SLICE_BYTES):
                 h, at = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.runtime import mix64, ship, slices, utf8
+from barsmith.llm.runtime import mix64, release, ship, slices, utf8
 from barsmith.llm.wordhash import span_hashes
 
 SEED = 20240917
@@ -310,6 +310,7 @@ def _coder(path: str, seed: int, dropout: float, variants: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel.cached(path)
         for batch in batches:
+            release()
             carried = [c for c in batch.schema.names if c not in ("__text", "__doc")]
             data, offs = utf8(batch.column("__text"))
             docs = batch.column("__doc").to_numpy(zero_copy_only=False)

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.runtime import SPACE_BYTES, ship, shuffle_partitions, text_or_empty, utf8
+from barsmith.llm.runtime import SPACE_BYTES, release, ship, shuffle_partitions, text_or_empty, utf8
 
 TRIE_BYTES = 32 << 20
 _LAST = 1 << 63  # stands for a null doc_id: after all others
@@ -121,6 +121,7 @@ def _id(i: int) -> int | None:
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents -> one row per distinct normalised text of each batch."""
     for batch in batches:
+        release()
         data, offs = utf8(batch.column("text"))
         raw = data.tobytes()
         chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
