@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barsmith.llm.runtime import WORD_REGEX, text_or_empty
-from barsmith.session import shared_dir
+from barsmith.session import shared_dir, stored_rows
 
 # Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
@@ -173,11 +173,10 @@ def report(docs: DataFrame) -> DataFrame:
 def apply(docs: DataFrame) -> DataFrame:
     """``docs`` with every row repeated once per copy, rows without a copy gone.
 
-    ``docs`` should be a stored table: its rows are numbered in two reads.
+    Rows are numbered once, in a stored table.
     """
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = docs.select(F.struct(*cols).alias("__row"), F.monotonically_increasing_id().alias("__id"))
-    slim = docs.select("doc_id", "source", "text", F.monotonically_increasing_id().alias("__id"))
-    copies = mix(slim, carry=("doc_id", "__id")).where("copies > 0").select("__id", "copies")
-    return (numbered.join(copies, "__id")
-            .select("__row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__row.*"))
+    stored = stored_rows(docs)
+    slim = stored.select("row", "whole.doc_id", "whole.source", "whole.text")
+    copies = mix(slim, carry=("doc_id", "row")).where("copies > 0").select("row", "copies")
+    return (stored.join(copies, "row")
+            .select("whole", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("whole.*"))

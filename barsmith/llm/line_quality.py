@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from barsmith.llm.runtime import SPACE_BYTES, release, ship, slices, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, covered, per_doc, whole_windows, window_hashes, words
-from barsmith.session import shared_dir
+from barsmith.session import shared_dir, stored_rows
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -169,18 +169,16 @@ def apply(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     """``docs`` without rejected documents and without lines over the limit.
 
     ``n_chars``, where present, follows a shortened text; other columns stay.
-    ``docs`` should be a stored table: its rows are numbered in two reads.
+    Rows are numbered once, in a stored table.
     """
     cols = docs.columns
-    verdicts = line_verdicts(_numbered(docs.select("source", "text")), limits).where("kept").select(
-        F.col("row").alias("__id"), F.col("removed").alias("__removed"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"),
-                        F.monotonically_increasing_id().alias("__id"))
-    text = F.col("__row.text")
-    shorter = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("__removed"), i)), "\n")
-    cut = F.col("__removed").isNotNull()
+    stored = stored_rows(docs)
+    verdicts = line_verdicts(stored.select("row", "whole.source", "whole.text"), limits).where("kept").select("row", "removed")
+    text = F.col("whole.text")
+    shorter = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n")
+    cut = F.col("removed").isNotNull()
     out = {"text": F.when(cut, shorter).otherwise(text)}
     if "n_chars" in cols:
-        out["n_chars"] = F.when(cut, F.length(shorter).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("__row.n_chars"))
-    return whole.join(verdicts, "__id").select(
-        *[out.get(c, F.col("__row").getField(c)).alias(c) for c in cols])
+        out["n_chars"] = F.when(cut, F.length(shorter).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("whole.n_chars"))
+    return stored.join(verdicts, "row").select(
+        *[out.get(c, F.col("whole").getField(c)).alias(c) for c in cols])

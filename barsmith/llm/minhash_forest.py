@@ -20,8 +20,8 @@ at least ``threshold``.
 Result: the class of a document is its connected component under the links.
 Null and empty texts hold no shingle: no links, a class of their own.  Rows
 are numbered, so repeated rows and repeated or null doc_ids are documents of
-their own; a class is named by its smallest doc_id (null last).  ``docs``
-should be a stored table: its rows are numbered in two reads.
+their own; a class is named by its smallest doc_id (null last).  Rows are
+numbered once, in a stored table that every later read takes them from.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from barsmith.llm.anchors import ranges
 from barsmith.llm.components import connected, local_labels
 from barsmith.llm.runtime import mix64, pack_sorted, release, ship, shuffle_partitions, slices, unpack_sorted, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, whole_windows, window_hashes, words
-from barsmith.session import shared_dir
+from barsmith.session import shared_dir, stored_rows
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -257,11 +257,16 @@ def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: row, doc_id, class_id, keeper (the class's row that stays), n_links
     (other documents at the threshold or above) and n_linked_texts (their distinct shingle sets,
     its own not counted)."""
-    spark = docs.sparkSession
+    return _join(stored_rows(docs, "doc_id", "text"), threshold)
+
+
+def _join(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``join`` of the rows of ``stored_rows``."""
+    spark = stored.sparkSession
     ship(spark)
     shared_dir(spark)
     n = shuffle_partitions(spark)
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    numbered = stored.select("row", F.col("whole.doc_id").cast("long").alias("doc_id"), F.col("whole.text").alias("text"))
     signed = numbered.mapInArrow(_sign(prefix_depth(threshold)), _SIGNED).checkpoint()
 
     same = ["key_a", "key_b", "n_shingles"]
@@ -307,8 +312,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class, all columns (a stored table, see above)."""
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    stay = join(docs.select("doc_id", "text")).where("row = keeper").select(F.col("row").alias("__id"))
-    numbered = docs.select(F.struct(*cols).alias("__row"), F.monotonically_increasing_id().alias("__id"))
-    return numbered.join(stay, "__id").select("__row.*")
+    """``docs`` with one row of each class, all columns."""
+    stored = stored_rows(docs)
+    stay = _join(stored).where("row = keeper").select("row")
+    return stored.join(stay, "row").select("whole.*")
