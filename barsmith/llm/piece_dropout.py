@@ -4,11 +4,13 @@ The text is cut where pieces never cross: before each run of spaces (a piece
 holds spaces only at its front).  Such a chunk is segmented by the agenda of
 byte-pair merging -- best score first, then leftmost -- but each candidate
 merge, when its two symbols first meet, is skipped for good if a keyed hash of
-(seed, variant, chunk, position, merged piece) falls below ``dropout``.  Every
-occurrence of a chunk draws one of ``variants`` by a keyed hash of (seed,
-document, place), so the same word is cut in several ways while each distinct
-(chunk, variant) is segmented once per slice of text.  With ``dropout`` 0 the
-result equals the sentencepiece library's.
+(seed, document, copy, place, position, merged piece) falls below ``dropout``.
+The place is the occurrence's own, so every occurrence of a chunk is cut by its
+own draws.  A skip matters only where the plain run would have merged: each
+distinct chunk's plain run is kept for a slice of text with its merges, an
+occurrence whose hashes skip none of them takes that result, and any other is
+segmented on its own.  With ``dropout`` 0 the result equals the sentencepiece
+library's.
 
 Chunks of up to ``SHORT`` symbols run together in numpy, one merge each per
 round; longer ones (texts without spaces) use a heap, O(n log n).
@@ -16,8 +18,9 @@ round; longer ones (texts without spaces) use a heap, O(n log n).
 Unknown characters become byte pieces.  A literal U+2581, which the library
 would turn into a space, also does, so decoding is lossless for every text.
 
-Null and empty texts have no pieces.  Repeated rows get equal pieces; null
-doc_ids count as document 0.
+Null and empty texts have no pieces.  A document is its doc_id (null counts as
+0) and text.  ``encode`` gives repeated rows equal pieces; ``encode_copies``
+numbers equal rows first, so copies made by mixing are cut each in its own way.
 """
 
 from __future__ import annotations
@@ -29,18 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsmith.llm.runtime import mix64, release, ship, slices, utf8
-from barsmith.llm.wordhash import span_hashes
+from barsmith.llm.anchors import ranges
+from barsmith.session import stored_rows
 
 SEED = 20240917
 DROPOUT = 0.1
-VARIANTS = 4
 SHORT = 48
 SLICE = 1 << 23
+GRID = 1 << 18  # symbols of chunks segmented at a time
+DRAWS = 1 << 16  # occurrences whose hashes are drawn at a time
 
 _SPACE = "▁"  # how the vocabulary writes a space
 _NONE = np.int64(1 << 62)
@@ -141,10 +146,11 @@ class PieceModel:
             order[h < np.uint64(limit)] = _NONE
         return order, merged
 
-    def _rounds(self, sym: np.ndarray, key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    def _rounds(self, sym: np.ndarray, key: np.ndarray, limit: int, made: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Segment n chunks of up to L symbols at once; sym is n x L, padded with -1.
 
-        Returns the symbols and the start of each (L marks the padding)."""
+        Returns the symbols and the start of each (L marks the padding); ``made`` gathers
+        (rows, starts, merged pieces) of the merges."""
         n, width = sym.shape
         out, out_start = sym.copy(), np.broadcast_to(np.arange(width), sym.shape).copy()
         start = out_start.copy()
@@ -168,6 +174,8 @@ class PieceModel:
                 if not len(rows):
                     break
             sym[me, at] = merged[me, at]
+            if made is not None:
+                made.append((rows, start[me, at], sym[me, at]))
             # close the gap that the right symbol leaves
             move = place[None, :] > at[:, None]
             sym[:, :-1] = np.where(move, sym[:, 1:], sym[:, :-1])
@@ -208,8 +216,12 @@ class PieceModel:
         keep = np.flatnonzero(alive)
         return np.array(ids, np.int64)[keep], keep
 
-    def segment(self, data: np.ndarray, offs: np.ndarray, keys: np.ndarray, dropout: float):
-        """Pieces of each chunk data[offs[i]:offs[i+1]]: (ids, ids per chunk)."""
+    def segment(self, data: np.ndarray, offs: np.ndarray, keys: np.ndarray, dropout: float, made: list | None = None):
+        """Pieces of each chunk data[offs[i]:offs[i+1]]: (ids, ids per chunk).
+
+        ``made`` gathers (chunks, starts, merged pieces) of the merges in chunks of up to ``SHORT`` symbols."""
+        if not len(offs) - 1:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         limit = min(int(dropout * 2.0 ** 64), (1 << 64) - 1)
         points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
         begins = (data & 0xC0) != 0x80
@@ -220,17 +232,20 @@ class PieceModel:
         starts_of, symbols_of, owner_of = [], [], []
         bands = [0, *[b for b in (6, 10, 16, 28) if b < SHORT], SHORT]
         for low, high in zip(bands, bands[1:]):
-            group = np.flatnonzero((n_chars > low) & (n_chars <= high))
-            if len(group):
+            band = np.flatnonzero((n_chars > low) & (n_chars <= high))
+            for group in np.split(band, range(GRID // high, len(band), GRID // high)) if len(band) else ():
+                mine = None if made is None else []
                 spot = np.minimum(upto[group][:, None] + np.arange(high), len(sym) - 1)
                 inside = np.arange(high) < n_chars[group][:, None]
                 # symbols are piece ids, -1 pads, and an unknown character is -2
                 grid = np.where(inside, np.where(sym[spot] < 0, -2, sym[spot]), -1).astype(np.int32)
-                got, start = self._rounds(grid, keys[group], limit) if high > 1 else (grid, np.zeros_like(grid))
+                got, start = self._rounds(grid, keys[group], limit, mine) if high > 1 else (grid, np.zeros_like(grid))
                 r, c = np.nonzero(start < high)
                 owner_of.append(group[r])
                 symbols_of.append(got[r, c].astype(np.int64))
                 starts_of.append(start[r, c] + upto[group[r]])
+                if mine:
+                    made.extend((group[rows], at, piece) for rows, at, piece in mine)
         for g in np.flatnonzero(n_chars > SHORT):
             got, start = self._heap(np.where(sym[upto[g]:upto[g + 1]] < 0, -2, sym[upto[g]:upto[g + 1]]).astype(np.int64),
                                     keys[g], limit)
@@ -255,9 +270,30 @@ class PieceModel:
 
     # -------------------------------------------------------------- texts
 
+    def _varied(self, code: np.ndarray, keys: np.ndarray, n_kinds: int, made: list, long: np.ndarray, limit: int) -> np.ndarray:
+        """Which occurrences (chunk number, key) differ from the plain run: a merge of it is
+        skipped.  Those that are ``long``, whose merges aren't kept, always count."""
+        if made:
+            chunk, start, piece = (np.concatenate(x).astype(np.int64) for x in zip(*made))
+        else:
+            chunk = start = piece = np.zeros(0, np.int64)
+        order = np.argsort(chunk, kind="stable")
+        draw = start[order].astype(np.uint64) * _K1 + piece[order].astype(np.uint64) * _K2
+        size = np.bincount(chunk, minlength=n_kinds)
+        first = np.cumsum(size) - size
+        out = long.copy()
+        short = np.flatnonzero(~long)
+        for i in range(0, len(short), DRAWS):
+            some = short[i:i + DRAWS]
+            n = size[code[some]]
+            owner = np.repeat(some, n)
+            skipped = mix64(keys[owner] + draw[ranges(first[code[some]], n)]) < np.uint64(limit)
+            out[owner[skipped]] = True
+        return out
+
     def encode(self, data: np.ndarray, offs: np.ndarray, docs: np.ndarray, seed: int = SEED,
-               dropout: float = DROPOUT, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text); ``docs`` keys each text's choice of variants."""
+               dropout: float = DROPOUT, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text); ``docs`` and ``copies`` (0 by default) key each text's draws."""
         full = offs[1:] > offs[:-1]
         lead = offs[:-1][full]  # each text that isn't empty begins with a space
         spaced = np.insert(data, lead, 32)
@@ -272,26 +308,37 @@ class PieceModel:
         chunks = pa.Array.from_buffers(pa.binary(), len(starts), [None, edges, pa.py_buffer(np.ascontiguousarray(spaced))])
         coded = chunks.dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        ranges = np.searchsorted(starts, bounds)
-        doc = np.repeat(np.arange(len(offs) - 1), np.diff(ranges))
-        salt = mix64(docs.astype(np.int64).astype(np.uint64) * _K1 + np.uint64(seed % (1 << 64)))
+        ranges_of = np.searchsorted(starts, bounds)
+        doc = np.repeat(np.arange(len(offs) - 1), np.diff(ranges_of))
+        kinds = len(coded.dictionary)
+        raw, at = utf8(coded.dictionary)
         if dropout <= 0:
-            variants = 1
-        which = mix64(salt[doc] + (np.arange(len(starts)) - ranges[doc]).astype(np.uint64) * _K2) % np.uint64(variants)
-        pair = code * variants + which.astype(np.int64)
-        used = np.zeros(len(coded.dictionary) * variants, bool)
-        used[pair] = True
-        kinds = np.flatnonzero(used)
-        words = coded.dictionary.take(pa.array(kinds // variants))
-        raw, at = utf8(words)
-        key = mix64(span_hashes(raw, at[:-1], at[1:]) + np.uint64(seed * int(_K1) % (1 << 64)) + (kinds % variants).astype(np.uint64) * _K2)
-        ids, counts = self.segment(raw, at, key, dropout)
-        number = (np.cumsum(used) - 1)[pair]
+            ids, counts = self.segment(raw, at, np.zeros(kinds, np.uint64), 0)
+            number = code
+        else:
+            limit = min(int(dropout * 2.0 ** 64), (1 << 64) - 1)
+            text = data.tobytes()
+            crc = np.array([zlib.crc32(text[a:b]) for a, b in zip(offs[:-1], offs[1:])], np.uint64)
+            salt = mix64(docs.astype(np.int64).astype(np.uint64) * _K1 + np.uint64(seed % (1 << 64)))
+            salt = mix64(salt + crc * _K2)
+            if copies is not None:
+                salt = mix64(salt ^ copies.astype(np.int64).astype(np.uint64) * _K1)
+            keys = mix64(salt[doc] + (np.arange(len(starts)) - ranges_of[doc]).astype(np.uint64) * _K2)
+            begins = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            long = np.diff(begins[at]) > SHORT
+            short = np.flatnonzero(~long)
+            number = np.cumsum(~long)[code] - 1
+            made: list = []
+            ids, counts = self.segment(*utf8(coded.dictionary.take(pa.array(short))), np.zeros(len(short), np.uint64), 0, made)
+            own = np.flatnonzero(self._varied(number, keys, len(short), made, long[code], limit))
+            number[own] = len(short) + np.arange(len(own))
+            more, n_more = self.segment(*utf8(chunks.take(pa.array(own))), keys[own], dropout)
+            ids, counts = np.concatenate([ids, more]), np.concatenate([counts, n_more])
         first = (np.cumsum(counts) - counts)[number]
         size = counts[number]
         ends = np.cumsum(size)
         spread = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
-        total = np.concatenate([[0], ends])[ranges]
+        total = np.concatenate([[0], ends])[ranges_of]
         return ids[spread], np.diff(total)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -306,17 +353,17 @@ class PieceModel:
         return np.delete(data, lead), offs - taken
 
 
-def _coder(path: str, seed: int, dropout: float, variants: int):
+def _coder(path: str, seed: int, dropout: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceModel.cached(path)
         for batch in batches:
             release()
-            carried = [c for c in batch.schema.names if c not in ("__text", "__doc")]
+            carried = [c for c in batch.schema.names if c not in ("__text", "__doc", "__copy")]
             data, offs = utf8(batch.column("__text"))
-            docs = batch.column("__doc").to_numpy(zero_copy_only=False)
+            docs, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__doc", "__copy"))
             for i, j in slices(offs, SLICE):
                 part, at = data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                ids, counts = model.encode(part, at, docs[i:j], seed, dropout, variants)
+                ids, counts = model.encode(part, at, docs[i:j], seed, dropout, copies[i:j])
                 back, ends = model.decode(ids, counts)
                 spot = np.concatenate([[0], np.cumsum(counts)])
                 raw, came, ids4 = part.tobytes(), back.tobytes(), memoryview(ids.astype("<u4").tobytes())
@@ -332,14 +379,39 @@ def _coder(path: str, seed: int, dropout: float, variants: int):
     return run
 
 
-def encode(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT, copy: Column | None = None) -> DataFrame:
     """``docs`` without its text, plus ids, n_pieces, ids_crc32 and lossless (the decoder gave the text back).
 
-    Columns of ``docs`` with one of these names are replaced."""
+    ``copy`` is the copy number of a row (0 by default).  Columns of ``docs`` with one of these names are replaced."""
     ship(docs.sparkSession)
     carried = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "ids", "n_pieces", "ids_crc32", "lossless")]
     rows = docs.select(*carried, F.col("text").alias("__text"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__doc"))
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("__doc"),
+                       (F.lit(0) if copy is None else copy).cast("long").alias("__copy"))
     made = T.StructType.fromDDL("ids array<int>, n_pieces long, ids_crc32 long, lossless boolean")
     schema = T.StructType([*docs.select(*carried).schema.fields, *made.fields])
-    return rows.mapInArrow(_coder(model, seed, dropout, variants), schema)
+    return rows.mapInArrow(_coder(model, seed, dropout), schema)
+
+
+def copy_numbers(stored: DataFrame) -> DataFrame:
+    """(row, copy) of the rows of ``stored_rows`` that equal another: their places among their equals.
+
+    Equal rows are counted per task of the numbering first, so none of many copies meet in one task
+    beyond those that one task read."""
+    keyed = stored.select("row", F.xxhash64("whole").alias("key"), F.shiftright("row", 33).alias("part"))
+    counts = keyed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("key", "part", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("key", "part").orderBy("row")) - 1
+    placed = keyed.join(counts.where("n > 1 OR offset > 0"), ["key", "part"])
+    return placed.select("row", (F.col("offset") + place).alias("copy")).where("copy > 0")
+
+
+def encode_copies(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
+    """``encode`` with equal rows numbered from 0: every copy draws for itself.  Equal rows are
+    interchangeable, so the numbers are those that the mixing stage would have given."""
+    stored = stored_rows(docs)
+    rows = stored.join(copy_numbers(stored), "row", "left")
+    copy = "__copy_of_row"
+    out = encode(rows.select("whole.*", F.coalesce("copy", F.lit(0)).alias(copy)), model, seed, dropout, F.col(copy))
+    return out.drop(copy)

@@ -37,8 +37,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts become merge-dropout piece ids."""
-    return piece_dropout.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    """Texts become merge-dropout piece ids; the copies of a document are cut each in its own way."""
+    return piece_dropout.encode_copies(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
 STAGES = [
