@@ -6,10 +6,11 @@ at least ``threshold``.
 
 1. Each document gets ``TREES * DEPTH`` MinHash values.  Documents with equal
    shingle sets collapse into one class; its members are linked to each other.
-2. Every tree is a prefix trie over ``DEPTH`` values: classes sorted by that
-   prefix meet under common prefixes.  Matched prefixes are shortened from
-   ``DEPTH`` until a pair at the threshold meets in some tree with probability
-   of at least ``RECALL``: 1 - (1 - t**depth)**TREES.
+2. Fixed-depth banding replaces the forest's tries: classes meet where the
+   first values of a tree are equal.  Their number is the largest up to
+   ``DEPTH`` at which a pair at the threshold meets in some tree with chance
+   of at least ``RECALL``: 1 - (1 - t**depth)**TREES.  It follows from these
+   constants, not from the data; classes that met nobody get no shorter match.
 3. Where classes meet, the share of equal MinHash values rules out pairs far
    below the threshold (``SLACK``: over five standard deviations); the others
    tie their classes into candidate groups, as stars, never as all pairs.
