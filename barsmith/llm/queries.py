@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, minhash_forest, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, merkle_manifest, minhash_forest, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -66,6 +66,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.report(read_documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all ``documents``, some rows tampered with."""
+    return merkle_manifest.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
@@ -77,9 +82,65 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+def _crc32(x: str) -> str:
+    """SQL of the crc32 of ``x``, text of ASCII digits: eight shifts a byte."""
+    codes = f"list_transform(string_split({x}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    byte = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {codes}), lambda a, b: {byte}))"
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (SELECT *, coalesce('=' || lang, '-') AS tree FROM documents),
+f AS (
+  SELECT doc_id, tree, n_chars,
+         list_transform([CAST(doc_id AS VARCHAR), source, lang], lambda x: coalesce(octet_length(encode(x)) || ':' || x, '-')) AS head,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail, """ + _crc32("CAST(doc_id AS VARCHAR)") + r""" % 7 = 0 AS hit
+  FROM d),
+l AS (
+  SELECT doc_id, tree, hit,
+         sha256(array_to_string(head, '') || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(array_to_string(head, '') || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) AS changed
+  FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM l),
+low AS (
+  SELECT tree, 0 AS h, rank, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM r
+  UNION ALL
+  SELECT tree, h + 1, rank // 2, sha256(string_agg(node, '' ORDER BY rank)), CAST(ceil(any_value(n) / 2) AS BIGINT)
+  FROM low WHERE n > 1 GROUP BY tree, h, rank // 2),
+subs AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS rank FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS h, rank, node, count(*) OVER () AS n FROM subs
+  UNION ALL
+  SELECT h + 1, rank // 2, sha256(string_agg(node, '' ORDER BY rank)), CAST(ceil(any_value(n) / 2) AS BIGINT)
+  FROM high WHERE n > 1 GROUP BY h, rank // 2),
+climb AS (
+  SELECT r.doc_id, r.tree, r.leaf, r.rank AS at, 0 AS h, false AS top, s.node AS subroot, s.rank AS sub_rank,
+         '' AS proof, CASE WHEN hit THEN changed ELSE leaf END AS node
+  FROM r JOIN subs s ON r.tree = s.tree
+  UNION ALL
+  SELECT c.doc_id, c.tree, c.leaf,
+         CASE WHEN NOT c.top AND low_n = 1 THEN c.sub_rank ELSE c.at // 2 END,
+         CASE WHEN NOT c.top AND low_n = 1 THEN 0 ELSE c.h + 1 END, c.top OR low_n = 1, c.subroot, c.sub_rank,
+         c.proof || CASE WHEN NOT c.top AND low_n = 1 THEN '' ELSE coalesce(other, '') END,
+         CASE WHEN NOT c.top AND low_n = 1 THEN c.node
+              WHEN c.at % 2 = 1 THEN sha256(coalesce(other, '') || c.node) ELSE sha256(c.node || coalesce(other, '')) END
+  FROM (
+    SELECT c.*, CASE WHEN c.top THEN hn.n ELSE ln.n END AS low_n, CASE WHEN c.top THEN ho.node ELSE lo.node END AS other
+    FROM climb c
+    LEFT JOIN low ln ON NOT c.top AND ln.tree = c.tree AND ln.h = c.h AND ln.rank = c.at
+    LEFT JOIN low lo ON NOT c.top AND lo.tree = c.tree AND lo.h = c.h AND lo.rank = xor(c.at, 1)
+    LEFT JOIN high hn ON c.top AND hn.h = c.h AND hn.rank = c.at
+    LEFT JOIN high ho ON c.top AND ho.h = c.h AND ho.rank = xor(c.at, 1)) c
+  WHERE NOT (c.top AND low_n = 1)),
+done AS (SELECT * FROM climb WHERE top AND h = (SELECT max(h) FROM high)),
+root AS (SELECT node FROM high WHERE n = 1)
+SELECT doc_id, leaf, subroot, (SELECT node FROM root) AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+       node = (SELECT node FROM root) AS verified
+FROM done""",
     "op4_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body,
