@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, merkle_manifest, minhash_forest, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, merkle_manifest, minhash_forest, periodic_runs, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -71,6 +71,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.report(read_documents(spark, sf_dir))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all ``documents`` (some made periodic), found in a Re-Pair grammar."""
+    return periodic_runs.report(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 def _crc32(x: str) -> str:
