@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, merkle_manifest, minhash_forest, periodic_runs, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
+from barsmith.llm import backoff_lm, dac_output, debruijn_dedup, entropy_mix, line_quality, merkle_manifest, minhash_bayes, minhash_forest, periodic_runs, piece_dropout, splitter_shards, suffix_dedup, trie_dedup
 from barsmith.llm.runtime import read_documents
 
 
@@ -71,6 +71,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.report(read_documents(spark, sf_dir))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all ``documents``, by banded MinHash and Bayesian verification."""
+    return minhash_bayes.report(read_documents(spark, sf_dir))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all ``documents`` (some made periodic), found in a Re-Pair grammar."""
     return periodic_runs.report(read_documents(spark, sf_dir))
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -157,6 +163,24 @@ g AS (
          count(*) OVER (PARTITION BY body) AS group_size
   FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g""",
+    "op12_minhash_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, hash(list_slice(ws, i, i + 1)) AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS i FROM d WHERE len(ws) > 0))),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id
+JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id""",
     "op9_quality_rules": r"""
 WITH d AS (SELECT doc_id, source AS host, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),

@@ -137,3 +137,61 @@ def mix64(h: np.ndarray) -> np.ndarray:
         h *= np.uint64(mul)
     h ^= h >> np.uint64(33)
     return h
+
+
+# ------------------------------------------------------------------ stored tables
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there: lineage ends, later reads agree."""
+    from barsmith.session import scratch_path
+
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_rows(docs: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` of ``docs`` (all columns by default) as (``row``: its number, ``whole``: a struct),
+    numbered once, written to the shared folder and read from there.
+
+    A row's number depends on how a read is split into tasks, which follows the
+    cores registered when it is planned.  Numbers that are joined again must
+    therefore come from this table, never from a second numbering."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in cols or docs.columns])
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), whole.alias("whole")), "rows")
+
+
+# ------------------------------------------------------------------ groups in sorted batches
+
+
+def whole_groups(batches, keys: tuple[str, ...], most: int = 20_000):
+    """Tables of whole groups from batches sorted by ``keys``, several small groups to a table."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < most:
+            continue
+        table = pa.Table.from_batches(held)
+        last = np.ones(table.num_rows, bool)
+        for k in keys:
+            c = table.column(k).to_numpy()
+            last &= c == c[-1]
+        cut = int(np.argmax(last))  # the last group may go on in the next batch
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        if table.num_rows:
+            yield table
+
+
+def group_bounds(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where each group of a table sorted by ``keys`` begins, and the table's end."""
+    new = np.ones(table.num_rows, bool)
+    new[1:] = False
+    for k in keys:
+        c = table.column(k).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.append(np.flatnonzero(new), table.num_rows)
