@@ -5,7 +5,9 @@ document.  A byte-level BPE never merges across its pre-tokens, and a single
 space between two non-space characters always begins a pre-token.  So a batch
 is cut there, its distinct pieces are encoded once, and the documents' ids are
 put together from them; texts with the rare other white space around a cut
-keep it inside a piece.  (Tested equal to encoding every text by itself.)
+keep it inside a piece.  A text that holds one of the vocabulary's added tokens
+(``<|endoftext|>``, anywhere) is encoded whole by the unaltered library, which
+gives such a token its own id.  (Tested equal to encoding every text by itself.)
 
 File format ``.dac`` (little endian), one file per run of documents:
 magic ``DAC1``, then uint32 header length, JSON header, then the sections named
@@ -178,8 +180,11 @@ class ByteBpe:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)  # as the library reads it
+        self.added = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.t = Tokenizer.from_file(path)  # for pieces of texts without added tokens
+        self.t.encode_special_tokens = True  # pieces joined by chance into such a token are no such token
+        self.joining = not any(b" " in t for t in self.added)
         size = self.t.get_vocab_size()
         self.width = np.array([len(self.t.id_to_token(i) or "") for i in range(size)], np.int64)
         self._forget()
@@ -194,6 +199,37 @@ class ByteBpe:
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, ids per document)."""
+        rare = self._holding_added(data, offs)
+        if not len(rare):
+            return self._plain(data, offs)
+        ids, counts, at = [], [], 0
+        for d in np.append(rare, len(offs) - 1):  # the documents before d, then d itself
+            if d > at:
+                some, n = self._plain(data[offs[at]:offs[d]], offs[at:d + 1] - offs[at])
+                ids.append(some)
+                counts.append(n)
+            if d < len(offs) - 1:
+                text = data[offs[d]:offs[d + 1]].tobytes().decode()
+                ids.append(np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32))
+                counts.append([len(ids[-1])])
+            at = d + 1
+        return np.concatenate(ids), np.concatenate(counts).astype(np.int64)
+
+    def _holding_added(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Documents with an added token's text, in order."""
+        raw, found = data.tobytes(), set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                d = int(np.searchsorted(offs, at, "right")) - 1
+                inside = at + len(token) <= offs[d + 1]
+                if inside:
+                    found.add(d)
+                at = raw.find(token, int(offs[d + 1]) if inside else at + 1)
+        return np.array(sorted(found), np.int64)
+
+    def _plain(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of documents without added tokens."""
         n = len(data)
         if not n:
             return np.zeros(0, np.uint32), np.zeros(len(offs) - 1, np.int64)
@@ -259,7 +295,7 @@ class ByteBpe:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         width = np.diff(offs)
         begins, ends_solid = _solid(data)
-        joins = (width > 1) & (data[offs[:-1]] == 32)
+        joins = (width > 1) & (data[offs[:-1]] == 32) & self.joining
         joins &= begins[np.minimum(offs[:-1] + 1, len(data) - 1)] & ends_solid[offs[1:] - 1]
         order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
         chunks = pieces.take(pa.array(order))
