@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barsmith.functions.columns import pct_change
 from barsmith.operators.transforms import cluster_by
 from barsmith.schema import VARIATION
-from barsmith.session import shared_dir
+from barsmith.session import scratch_path, shared_dir
 
 
 def series_window(partition: str = "symbol", order: str = "date_from"):
@@ -18,22 +18,57 @@ def series_window(partition: str = "symbol", order: str = "date_from"):
     return Window.partitionBy(partition).orderBy(order)
 
 
+def previous_over_ranges(df: DataFrame, value: str, out: str, partition: str = "symbol",
+                         order: str | Sequence[str] = "date_from", ranges: int | None = None) -> DataFrame:
+    """Previous row's ``value`` per ``partition`` without bringing its rows together (WIN-2).
+
+    For symbols that may hold a large share of all rows, which a window task
+    would have to sort alone.  Rows are dealt by range of (symbol, order) into
+    ``ranges`` tasks (default: the shuffle partitions) and stored in order; the
+    lag runs inside each range, and a range's first row of a symbol takes the
+    last value of the symbol's range before it.  Only those border rows, one
+    for each range and symbol, meet by symbol.  Ties in ``order`` are broken by
+    the other columns; equal rows are spread too, and which of them comes
+    first makes no difference.  NULL symbols are one symbol.
+    """
+    spark = df.sparkSession
+    at, part, first, last, tie = (f"__barsmith_{c}" for c in ("at", "part", "first", "last", "tie"))
+    cols = [c for c in df.columns if c != out]
+    by = [order] if isinstance(order, str) else list(order)
+    keys = [partition, *by, *[c for c in cols if c not in (partition, *by)]]
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranges")
+    (df.select(*cols, F.monotonically_increasing_id().alias(tie))
+     .repartitionByRange(n, *keys, tie).sortWithinPartitions(*keys, tie).drop(tie)
+     .withColumn(at, F.monotonically_increasing_id()).write.parquet(path))
+    placed = spark.read.parquet(path).withColumn(part, F.shiftright(at, 33))
+    inside = Window.partitionBy(part, partition).orderBy(at)
+    lagged = placed.withColumn(out, F.lag(value).over(inside)).withColumn(first, F.row_number().over(inside) == 1)
+    borders = placed.groupBy(part, partition).agg(F.max_by(F.struct(value), at).alias(last))
+    carried = borders.select(F.col(part).alias("__barsmith_p"), F.col(partition).alias("__barsmith_s"),
+                             F.lag(last).over(Window.partitionBy(partition).orderBy(part)).alias(last))
+    met = lagged.join(carried, (F.col(part) == F.col("__barsmith_p")) & F.col(partition).eqNullSafe(F.col("__barsmith_s")))
+    return met.select(*cols, F.when(F.col(first), F.col(last)[value]).otherwise(F.col(out)).alias(out))
+
+
 def with_previous_close(
     df: DataFrame, value: str = "close", out: str = "prev_close",
     partition: str = "symbol", order: str = "date_from",
     collapse_copies: bool = False, chunk_rows: int = 100_000,
-    partitions: int | None = None,
+    partitions: int | None = None, spread: bool = False,
 ) -> DataFrame:
     """Previous row's ``value`` in the symbol's date order; NULL first (WIN-2).
 
-    ``collapse_copies``, ``chunk_rows`` and ``partitions`` as for
+    ``collapse_copies``, ``chunk_rows``, ``partitions`` and ``spread`` as for
     :func:`with_variation`: a further copy of a row gets its twin's value.
     """
     if out in df.columns:  # replace, as withColumn would
         df = df.drop(out)
     if collapse_copies:
         return _over_copies(df, value, out, partition, order, chunk_rows, partitions,
-                            lambda cur, prev: prev)
+                            lambda cur, prev: prev, spread)
+    if spread:
+        return previous_over_ranges(df, value, out, partition, order)
     if partitions:
         df = cluster_by(df, partition, partitions)
     return df.withColumn(out, F.lag(value).over(series_window(partition, order)))
@@ -43,7 +78,7 @@ def with_variation(
     df: DataFrame, value: str = "close", out: str = VARIATION,
     partition: str = "symbol", order: str = "date_from",
     collapse_copies: bool = False, chunk_rows: int = 100_000,
-    partitions: int | None = None,
+    partitions: int | None = None, spread: bool = False,
 ) -> DataFrame:
     """Month-over-month change in percent (WIN-3).
 
@@ -69,9 +104,18 @@ def with_variation(
     ``partitions`` fixes the window's exchange to exactly that many hash
     partitions by symbol -- the bucket count of the target table -- so each
     write task then fills one bucket file instead of one file per bucket.
+
+    ``spread=True`` is for symbols with very many distinct rows: the previous
+    value comes from :func:`previous_over_ranges`, whose tasks hold a range of
+    rows each, however many of them belong to one symbol.  Without it a
+    symbol's rows are sorted by one task.
     """
     if out in df.columns:  # replace, as withColumn would
         df = df.drop(out)
+    if spread and not collapse_copies:
+        prev, cols = "__barsmith_prev", df.columns
+        return previous_over_ranges(df, value, prev, partition, order).select(
+            *cols, pct_change(F.col(value), F.col(prev)).alias(out))
     if not collapse_copies:
         if partitions:
             df = cluster_by(df, partition, partitions)
@@ -79,13 +123,13 @@ def with_variation(
         cols = df.columns
         return (df.select(*cols, F.lag(value).over(series_window(partition, order)).alias(prev))
                   .select(*cols, pct_change(F.col(value), F.col(prev)).alias(out)))
-    return _over_copies(df, value, out, partition, order, chunk_rows, partitions, pct_change)
+    return _over_copies(df, value, out, partition, order, chunk_rows, partitions, pct_change, spread)
 
 
 _N, _FIRST, _REST = "__barsmith_n", "__barsmith_first", "__barsmith_rest"
 
 
-def windowed_copies(df, value, partition, order, partitions, combine):
+def windowed_copies(df, value, partition, order, partitions, combine, spread=False):
     """Distinct rows of ``df``: how often each occurs and what its first copy,
     and every further one, is combined with."""
     cols, n, first, rest = df.columns, _N, _FIRST, _REST
@@ -93,16 +137,20 @@ def windowed_copies(df, value, partition, order, partitions, combine):
     w = Window.partitionBy(partition).orderBy(order, *tiebreak)
     prev = "__barsmith_prev"
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(n))
-    if partitions:
-        counted = cluster_by(counted, partition, partitions)
-    return counted.select(*cols, n, F.lag(value).over(w).alias(prev)).select(
+    if spread:
+        lagged = previous_over_ranges(counted, value, prev, partition, [order, *tiebreak])
+    else:
+        if partitions:
+            counted = cluster_by(counted, partition, partitions)
+        lagged = counted.select(*cols, n, F.lag(value).over(w).alias(prev))
+    return lagged.select(
         *cols, n,
         combine(F.col(value), F.col(prev)).alias(first),
         combine(F.col(value), F.col(value)).alias(rest),
     )
 
 
-def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combine):
+def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combine, spread=False):
     """``combine(current, previous)`` over the rows of ``df``, copies included,
     with the window run over distinct rows only (see ``with_variation``).
 
@@ -112,8 +160,10 @@ def _over_copies(df, value, out, partition, order, chunk_rows, partitions, combi
     chunk, i = "__barsmith_chunk", "__barsmith_i"
     tiebreak = [c for c in cols if c not in (partition, order)]
     shared_dir(df.sparkSession)
-    distinct = windowed_copies(df, value, partition, order, partitions, combine).checkpoint()
+    distinct = windowed_copies(df, value, partition, order, partitions, combine, spread).checkpoint()
     pick = F.when(F.col(i) == 1, F.col(first)).otherwise(F.col(rest)).alias(out)
+    if spread and partitions:  # the ranges do not follow the target's buckets
+        distinct = cluster_by(distinct, partition, partitions)
 
     # Rows without copies -- the usual case -- leave the window task as they are.
     single = distinct.where(F.col(n) == 1).select(*cols, F.col(first).alias(out))

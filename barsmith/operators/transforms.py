@@ -27,6 +27,21 @@ def cluster_by(df: DataFrame, column: str, partitions: int | None = None) -> Dat
     return df.repartition(partitions, column)
 
 
+def expand_copies(df: DataFrame, count: str, chunk_rows: int = 100_000) -> DataFrame:
+    """Each row as often as its ``count`` column says, without that column.
+
+    A row becomes descriptors of at most ``chunk_rows`` copies each, spread
+    over a fixed number of tasks by row and chunk, so no task emits one hot
+    row's copies alone."""
+    cols = [c for c in df.columns if c != count]
+    chunk, i = "__barsmith_chunk", "__barsmith_i"
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = df.withColumn(chunk, F.explode(F.sequence(F.lit(0), F.floor((F.col(count) - 1) / chunk_rows))))
+    size = F.least(F.lit(chunk_rows), F.col(count) - F.col(chunk) * chunk_rows)
+    return (chunks.repartition(n, *cols, chunk)
+            .select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias(i)).select(*cols))
+
+
 def tag(df: DataFrame, column: str, value) -> DataFrame:
     """Add a constant column (PRJ-1)."""
     return df.withColumn(column, F.lit(value))

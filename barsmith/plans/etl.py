@@ -47,25 +47,26 @@ def resolve_process_date(spark: SparkSession, param=None) -> str:
     return d
 
 
-def transform(raw: DataFrame, strict: bool = True, partitions: int | None = None) -> DataFrame:
+def transform(raw: DataFrame, strict: bool = True, partitions: int | None = None, spread: bool = False) -> DataFrame:
     """Raw text rows -> typed bars with ``monthly_variation`` (JOB-4, JOB-5).
 
     Landed input may repeat documents, so copies are collapsed before the
     window and expanded after it (duplicates are kept, as they were read).
-    ``partitions``: the target table's bucket count (see ``with_variation``).
+    ``partitions``: the target table's bucket count; ``spread``: for symbols
+    with very many distinct rows (see ``with_variation``).
     """
     return raw.transform(normalize, strict=strict).transform(
-        with_variation, collapse_copies=True, partitions=partitions)
+        with_variation, collapse_copies=True, partitions=partitions, spread=spread)
 
 
 def load_batch(raw: DataFrame, table: str, process_date: str, *, strict: bool = True,
-               buckets: int | None = None) -> None:
+               buckets: int | None = None, spread: bool = False) -> None:
     """Create the table if missing, then replace one batch with ``raw``
     transformed (JOB-3).  The variation's exchange takes the table's
     bucket count, so the write needs no further shuffle.
     """
     n = prepare_table(raw.sparkSession, table, buckets)
-    reload_process_date(transform(raw, strict, partitions=n), table, process_date, clustered=True)
+    reload_process_date(transform(raw, strict, partitions=n, spread=spread), table, process_date, clustered=True)
 
 
 def prepare_table(spark: SparkSession, table: str, buckets: int | None = None) -> int | None:
@@ -96,12 +97,14 @@ def run(
     buckets: int | None,
     reject_table: str | None = None,
     fail_if_empty: bool = True,
+    spread: bool = False,
 ) -> RunReport:
     """Extract -> transform -> load one batch (JOB-1).
 
     ``buckets``: bucket count of a table created here -- and so the number of
     write tasks; choose it for the table's volume (about 128 MB a bucket and
-    batch).  An existing table keeps its own.  Rejects are written before a
+    batch).  An existing table keeps its own.  ``spread``: symbols may hold very
+    many distinct rows (see ``with_variation``).  Rejects are written before a
     run without any accepted document raises.
     """
     d = resolve_process_date(spark, process_date)
@@ -124,7 +127,7 @@ def run(
     if fail_if_empty and not accepted.take(1):
         raise ValueError(f"no accepted payload under {payload_path}; batch {d} left as it was")
 
-    load_batch(explode_series(accepted), table, d, strict=strict, buckets=buckets)
+    load_batch(explode_series(accepted), table, d, strict=strict, buckets=buckets, spread=spread)
     q = quality_report(spark, table, d).first()
     return RunReport(d, table, int(q["total_rows"]), int(q["distinct_rows"]),
                      bool(q["has_duplicates"]), n_rejected)

@@ -5,7 +5,9 @@ load batch) and bucketed by ``symbol``, sorted by ``date_from`` inside each
 bucket: a later per-symbol window reads it without an Exchange.
 Writes are Spark jobs whose output committer publishes the files only when
 the job succeeds, so a lost executor means a retried task, never half-written
-files, and a failed reload leaves the batch that was there.
+files.  A reload writes a new version of its batch and then moves the
+partition's location to it (``versions``): a job or a driver that dies at any
+point leaves the batch that was there.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from barsmith.functions.columns import process_date_literal
 from barsmith.operators.transforms import cluster_by
 from barsmith.schema import LOADED_DDL, PROCESS_DATE
+from barsmith.sinks.versions import publish_version, write_version
 
 
 def _default_buckets(spark: SparkSession) -> int:
@@ -79,30 +82,27 @@ def append_table(df: DataFrame, name: str, clustered: bool = False) -> None:
 
 
 def reload_process_date(df: DataFrame, name: str, process_date: str, clustered: bool = False) -> None:
-    """Replace exactly one batch; other batches are untouched (SNK-6).
-
-    A dynamic partition overwrite: tasks write to a staging folder, and only
-    when the whole job has succeeded does its committer replace the old
-    batch's folder by the new one.  A failed job leaves the old batch as it
-    was; lost executors are retried inside the job, and re-running is
-    idempotent.  A batch that turns out to be empty -- its rows are counted
-    while they are written -- is cleared after the job.  ``clustered`` as for
-    :func:`append_table`.
+    """Replace exactly one batch; other batches are untouched (SNK-6, SNK-7).
+
+    The new batch is written as a version of its own, then the partition is
+    pointed to it (see ``versions``).  A failed job or a driver killed before
+    that leaves the old batch as it was; lost executors are retried inside the
+    job, and re-running is idempotent.  A batch that turns out to be empty --
+    its rows are counted while they are written -- is cleared instead.
+    ``clustered`` as for :func:`append_table`.  Replaced versions stay until
+    :func:`~barsmith.sinks.versions.vacuum_versions`.
     """
     d = process_date_literal(process_date)
     spark = df.sparkSession
+    partition = {PROCESS_DATE: d}
     written = Observation()
-    out = _in_table_order(spark, df.withColumn(PROCESS_DATE, F.lit(d)), name)
+    out = _in_table_order(spark, df, name, exclude=(PROCESS_DATE,))
     out = (out if clustered else cluster_for_table(out, name)).observe(written, F.count(F.lit(1)).alias("n"))
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        out.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    folder = write_version(out, name, partition)
     if written.get["n"] == 0:
         clear_process_date(spark, name, d)
+    else:
+        publish_version(spark, name, partition, folder)
 
 
 def clear_process_date(spark: SparkSession, name: str, process_date: str) -> None:

@@ -58,17 +58,7 @@ def read_payloads(
     symbol folders the predicate prunes directories (``PartitionFilters``),
     with JSON Lines it is pushed into the JSON parser.
     """
-    schema = (
-        T.StructType(list(PAYLOAD_TYPE.fields))
-        .add(CORRUPT, T.StringType())
-        .add("symbol", T.StringType())
-    )
-    reader = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", wholetext)
-    )
+    reader = _json_options(spark.read, wholetext)
     # Each landing root is its own scan: roots holding symbol= folders cannot
     # share one partition discovery.
     roots = [path] if isinstance(path, str) else list(path)
@@ -80,7 +70,34 @@ def read_payloads(
     return _by_entry(df.select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT))
 
 
-def _by_entry(df: DataFrame) -> DataFrame:
+def _json_options(reader, wholetext: bool):
+    schema = (
+        T.StructType(list(PAYLOAD_TYPE.fields))
+        .add(CORRUPT, T.StringType())
+        .add("symbol", T.StringType())
+    )
+    return (
+        reader.schema(schema)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", wholetext)
+    )
+
+
+def payload_stream(spark: SparkSession, path: str, *, wholetext: bool = False,
+                   max_files: int | None = None) -> DataFrame:
+    """The documents under ``path`` as a stream of files, subfolders included, parsed as
+    ``read_payloads`` parses them, plus ``landed_file``.  ``symbol`` is a field of the document:
+    folder names are not read."""
+    reader = _json_options(spark.readStream, wholetext).option("recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    df = reader.json(path).select("symbol", F.col(SERIES_KEY).alias("series"), CORRUPT,
+                                  F.col("_metadata.file_path").alias("landed_file"))
+    return _by_entry(df, "landed_file")
+
+
+def _by_entry(df: DataFrame, *carried: str) -> DataFrame:
     """Save the good entries of documents that hold a bad one (see ``read_payloads``)."""
     again = F.from_json(F.col(CORRUPT), f"symbol STRING, `{SERIES_KEY}` MAP<STRING, STRING>")
     df = df.withColumn("again", F.when(F.col(CORRUPT).isNotNull(), again))
@@ -93,6 +110,7 @@ def _by_entry(df: DataFrame) -> DataFrame:
         F.when(saved, good).otherwise(F.col("series")).alias("series"),
         F.map_filter(texts, lambda k, v: ~is_object(v)).alias("bad"),
         F.when(~saved, F.col(CORRUPT)).alias(CORRUPT),
+        *carried,
     )
 
 

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
-from barsmith.plans.catalogue import QUERIES
+from barsmith.plans import catalogue, loads
 from tests.conftest import SF_ORACLE
 from tools.oracle_check import canon, duck, spark_types
 
+QUERIES = {**catalogue.QUERIES, **loads.QUERIES}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -46,7 +48,7 @@ def test_landing_queries_keep_every_bar(spark):
     bars = _bars(spark, SF_ORACLE).count()
     assert bars == 8261
     for name in ("etl_monthly", "json_series_ingest", "json_folder_ingest", "normalize_types", "lenient_ingest",
-                 "union_symbols", "monthly_variation"):
+                 "union_symbols", "monthly_variation", "incremental_intake"):
         assert QUERIES[name](spark, SF_ORACLE).count() == bars, name
     assert QUERIES["etl_relanded"](spark, SF_ORACLE).count() == 2 * bars
     assert QUERIES["relanded_duplicates"](spark, SF_ORACLE).first().total_rows == 2 * bars
