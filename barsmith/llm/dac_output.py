@@ -17,14 +17,17 @@ directory (ones before every 512-bit block) maps a position to its place in
 the next level, so any single token is read without decoding a block:
 ``DacFile.token(i)``.  Two more sections hold doc_ids and token counts.
 
-Documents are range-partitioned by doc_id and sorted; each task writes files
-of at most ``FILE_TOKENS`` ids to the folder of ``spark.checkpoint.dir`` under
-a temporary name and renames them, so a retried or speculative task leaves the
-same file.  The returned manifest, itself written as a table, lists them.
+Documents are range-partitioned by doc_id and row and sorted; each task writes
+files of at most ``FILE_TOKENS`` ids to the folder of ``spark.checkpoint.dir``.
+Every attempt of a task names its files anew, and the manifest, a table that
+Spark commits, holds the names of the attempts that count: no file is ever
+renamed or overwritten, and what a lost attempt left is not read.
 Reading uses Spark's ``binaryFile`` source.
 
 Null text counts as empty (just the end id).  Null doc_ids come first;
-repeated rows are documents of their own.
+repeated rows are documents of their own.  Rows that share a doc_id, or have
+none, are put in the order they are read in, so any number of them spreads
+over several ranges.
 """
 
 from __future__ import annotations
@@ -343,12 +346,10 @@ def _writer(folder: str, tokenizer: str):
 
         def flush():
             nonlocal seq, docs, ids, sizes, held
-            name = f"part-{part:06d}-{seq:06d}.dac"
+            name = f"part-{part:06d}-{seq:06d}-{uuid.uuid4().hex[:12]}.dac"
             tokens = np.concatenate(ids)
-            tmp = f"{root}/_{name}.{uuid.uuid4().hex}"
-            with store.open_output_stream(tmp) as f:
+            with store.open_output_stream(f"{root}/{name}") as f:
                 f.write(dac_bytes(tokens, docs, np.concatenate(sizes)))
-            store.move(tmp, f"{root}/{name}")
             row = pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([part], pa.int32()), pa.array([seq], pa.int32()),
                  pa.array([len(docs)], pa.int64()), pa.array([len(tokens)], pa.int64())],
@@ -375,8 +376,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     """Encode and write; returns the manifest ``name, part, seq, docs, tokens, start``."""
     spark = docs.sparkSession
     ship(spark)
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(
-        shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("__row"))
+    ordered = keyed.repartitionByRange(shuffle_partitions(spark), "doc_id", "__row").sortWithinPartitions(
+        "doc_id", "__row").drop("__row")
     (ordered.mapInArrow(_writer(folder, tokenizer), "name string, part int, seq int, docs long, tokens long")
      .write.parquet(f"{folder}/_manifest"))
     manifest = spark.read.parquet(f"{folder}/_manifest")
