@@ -13,7 +13,8 @@ segmented on its own.  With ``dropout`` 0 the result equals the sentencepiece
 library's.
 
 Chunks of up to ``SHORT`` symbols run together in numpy, one merge each per
-round; longer ones (texts without spaces) use a heap, O(n log n).
+round; longer ones (texts without spaces) use a heap, O(n log n).  ``decode``
+turns a stored table of ids into texts again.
 
 Unknown characters become byte pieces.  A literal U+2581, which the library
 would turn into a space, also does, so decoding is lossless for every text.
@@ -36,9 +37,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.runtime import mix64, release, ship, slices, utf8
+from barsmith.llm.runtime import mix64, mix64_one, release, ship, slices, stored, stored_rows, utf8
 from barsmith.llm.anchors import ranges
-from barsmith.session import stored_rows
 
 SEED = 20240917
 DROPOUT = 0.1
@@ -81,6 +81,7 @@ class PieceModel:
                 self.char_id[ord(p)] = i
         self.char_id[32], self.char_id[ord(_SPACE)] = self.char_id[ord(_SPACE)], -1
         scores = np.array([sp.get_score(i) for i in range(size)])
+        self.merges: dict[int, tuple[int, int]] | None = None
         self.rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
         # (left, right) -> merged piece, in an open-addressing table
         self.bits = 20
@@ -191,11 +192,20 @@ class PieceModel:
                 order[r, j], merged[r, j] = self._candidates(sym[r, j], sym[r, j + 1], start[r, j], key[r], limit)
         return out, out_start
 
+    def _merges(self) -> dict[int, tuple[int, int]]:
+        """left << 32 | right -> (rank << 32, merged piece): the same table for single look-ups."""
+        if self.merges is None:
+            held = np.flatnonzero(self.table_key >= 0)
+            keys, made = self.table_key[held], self.table_val[held]
+            self.merges = dict(zip(keys.tolist(), zip((self.rank[made] << 32).tolist(), made.tolist())))
+        return self.merges
+
     def _heap(self, sym: np.ndarray, key: int, limit: int) -> np.ndarray:
         """The same agenda for one long chunk; returns (symbols, starts)."""
         n = len(sym)
         ids, nxt, prv = sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
         one = np.array([key], np.uint64)
+        known, key, k1, k2 = self._merges(), int(key), int(_K1), int(_K2)
         order, merged = self._candidates(sym[:-1], sym[1:], np.arange(n - 1), np.repeat(one, n - 1), limit)
         agenda = [(int(o), i, ids[i], ids[i + 1], int(m)) for i, (o, m) in enumerate(zip(order, merged)) if o < _NONE]
         heapq.heapify(agenda)
@@ -209,10 +219,9 @@ class PieceModel:
             if nxt[j] < n:
                 prv[nxt[j]] = i
             for a, b in ((i, nxt[i]), (prv[i], i)):
-                if a >= 0 and b < n:
-                    o, m = self._candidates(np.array([ids[a]]), np.array([ids[b]]), np.array([a]), one, limit)
-                    if o[0] < _NONE:
-                        heapq.heappush(agenda, (int(o[0]), a, ids[a], ids[b], int(m[0])))
+                found = known.get(ids[a] << 32 | ids[b]) if a >= 0 and b < n and ids[a] >= 0 and ids[b] >= 0 else None
+                if found and not (limit and mix64_one(key + a * k1 + found[1] * k2) < limit):
+                    heapq.heappush(agenda, (found[0] | a, a, ids[a], ids[b], found[1]))
         keep = np.flatnonzero(alive)
         return np.array(ids, np.int64)[keep], keep
 
@@ -393,6 +402,46 @@ def encode(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPO
     return rows.mapInArrow(_coder(model, seed, dropout), schema)
 
 
+def _decoder(path: str, column: str, text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = PieceModel.cached(path)
+        for batch in batches:
+            release()
+            ids = batch.column(column)
+            ids = ids if isinstance(ids, pa.Array) else ids.combine_chunks()
+            counts = np.diff(ids.offsets.to_numpy()) * np.array(ids.is_valid())
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            spot = np.concatenate([[0], np.cumsum(counts)])
+            for i, j in slices(spot, SLICE // 4):
+                data, offs = model.decode(flat[spot[i]:spot[j]], counts[i:j])
+                made = pa.Array.from_buffers(pa.utf8(), j - i, [None, pa.py_buffer(offs.astype(np.int32)),
+                                                                pa.py_buffer(np.ascontiguousarray(data))])
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(i, j - i) for c in batch.schema.names if c != text], made],
+                    names=[*[c for c in batch.schema.names if c != text], text])
+
+    return run
+
+
+def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "text") -> DataFrame:
+    """``df`` with the text that its piece ids stand for; the inverse of ``encode``.
+
+    Null or empty ids give an empty text.  A column named like ``text`` is replaced."""
+    ship(df.sparkSession)
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c != text])
+    schema = T.StructType([*kept.schema.fields, T.StructField(text, T.StringType())])
+    return kept.mapInArrow(_decoder(model, ids, text), schema)
+
+
+def report(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
+    """``encode`` of ``docs``, written as a table and decoded from it: ``lossless`` says that the stored
+    ids gave back the whole text (null: empty)."""
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    written = stored(encode(docs.withColumn("__digest", digest), model, seed, dropout), "pieces")
+    back = decode(written, model, "ids", "__back")
+    return back.withColumn("lossless", F.sha2(F.col("__back").cast("binary"), 256) == F.col("__digest")).drop("__digest", "__back")
+
+
 def copy_numbers(stored: DataFrame) -> DataFrame:
     """(row, copy) of the rows of ``stored_rows`` that equal another: their places among their equals.
 
@@ -410,8 +459,8 @@ def copy_numbers(stored: DataFrame) -> DataFrame:
 def encode_copies(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
     """``encode`` with equal rows numbered from 0: every copy draws for itself.  Equal rows are
     interchangeable, so the numbers are those that the mixing stage would have given."""
-    stored = stored_rows(docs)
-    rows = stored.join(copy_numbers(stored), "row", "left")
+    numbered = stored_rows(docs)
+    rows = numbered.join(copy_numbers(numbered), "row", "left")
     copy = "__copy_of_row"
     out = encode(rows.select("whole.*", F.coalesce("copy", F.lit(0)).alias(copy)), model, seed, dropout, F.col(copy))
     return out.drop(copy)

@@ -16,9 +16,9 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge-dropout pieces of all ``documents``, decoded again."""
+    """Merge-dropout pieces of all ``documents``, stored and decoded from there."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
-    return piece_dropout.encode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return piece_dropout.report(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

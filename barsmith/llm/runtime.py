@@ -139,6 +139,14 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def mix64_one(h: int) -> int:
+    """``mix64`` of one Python integer (taken modulo 2**64)."""
+    h &= 0xFFFFFFFFFFFFFFFF
+    h = ((h ^ h >> 33) * 0xFF51AFD7ED558CCD) & 0xFFFFFFFFFFFFFFFF
+    h = ((h ^ h >> 33) * 0xC4CEB9FE1A85EC53) & 0xFFFFFFFFFFFFFFFF
+    return h ^ h >> 33
+
+
 # ------------------------------------------------------------------ stored tables
 
 

@@ -105,11 +105,24 @@ def test_sentencepiece_query(documents, rows):
     assert {r.doc_id for r in got if r.n_pieces == 0} == ({4, 5, 7} if rows else set())
 
 
+def library():
+    """The tokenizers library as it reads the file, nothing altered."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path(BYTES))
+
+
+SPECIAL = ["<|endoftext|>", "a <|endoftext|> b", "word<|endoftext|>word", " <|endoftext|>", "<|endoftext|><|endoftext|> x",
+           "<|endof text|> <|endoftext| > <|endoftext", "it's<|endoftext|>'s", "é<|endoftext|>\n", "<|endoftext|>" * 40]
+
+
 def test_pieces_equal_encoding_each_text():
     bpe = dac_output.ByteBpe(tokenizer_path(BYTES))
-    texts = odd_texts(4000) + [t for _, t, _ in corpus(40)]
+    texts = odd_texts(4000) + SPECIAL + [t for _, t, _ in corpus(40)] + SPECIAL
+    texts += ["<|endof", "text|>", "<|endoftext|>"]  # a token's text across two documents is none
     data, offs = utf8(pa.array(texts))
-    want = [e.ids for e in bpe.t.encode_batch(texts, add_special_tokens=False)]
+    want = [e.ids for e in library().encode_batch(texts, add_special_tokens=False)]
+    assert sum(50256 in w for w in want) > 15
     for _ in range(2):  # the second time, from what is kept
         ids, n = bpe.encode(data, offs)
         assert n.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
@@ -120,7 +133,7 @@ def test_kept_pieces_are_bounded(monkeypatch):
     bpe = dac_output.ByteBpe(tokenizer_path(BYTES))
     for _, t, _ in corpus(20):
         ids, _ = bpe.encode(*utf8(pa.array([t])))
-        assert ids.tolist() == bpe.t.encode(t, add_special_tokens=False).ids
+        assert ids.tolist() == library().encode(t, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("bits", [(8, 8), (8, 4, 4), (4, 4, 8), (16,)])
@@ -139,14 +152,17 @@ def test_codes_give_random_access(bits):
         dac_output.DacFile(b"nope" * 9)
 
 
-@pytest.mark.parametrize("rows", [AWKWARD, corpus(90), []], ids=["awkward", "random", "empty"])
+MARKED = [(i, t, "s") for i, t in enumerate(SPECIAL)]
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, MARKED, corpus(90), []], ids=["awkward", "marked", "random", "empty"])
 def test_token_files_query(documents, rows, monkeypatch):
     monkeypatch.setattr(dac_output, "FILE_TOKENS", 2000)
-    bpe = dac_output.ByteBpe(tokenizer_path(BYTES))
+    lib = library()
     got = dac_output.report(documents(rows), tokenizer_path(BYTES)).collect()
     assert len(got) == len(rows)
     want = sorted(
-        (((d is not None, d or 0), d, [*bpe.t.encode(t or "", add_special_tokens=False).ids, 0]) for d, t, _ in rows),
+        (((d is not None, d or 0), d, [*lib.encode(t or "", add_special_tokens=False).ids, 0]) for d, t, _ in rows),
         key=lambda x: x[0])
     have = sorted(got, key=lambda r: r.start)
     at = 0
@@ -154,3 +170,65 @@ def test_token_files_query(documents, rows, monkeypatch):
         assert (r.doc_id, r.start, r.n_tokens) == (d, at, len(ids))
         assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
         at += len(ids)
+
+
+def test_rows_of_one_doc_id_spread_over_ranges(spark, documents):
+    """Hot null and repeated doc_ids: no range holds them all, and every row is written once."""
+    rows = [(None, f"null {i}", "s") for i in range(300)] + [(7, "same text", "s")] * 300 + [(i, "x", "s") for i in range(8, 300)]
+    from barsmith.session import scratch_path
+
+    folder = scratch_path(spark, "t-tokens")
+    manifest = dac_output.write_tokens(documents(rows), tokenizer_path(BYTES), folder)
+    parts = {r.part: r["sum(docs)"] for r in manifest.groupBy("part").sum("docs").collect()}
+    assert sum(parts.values()) == len(rows) and max(parts.values()) < 250
+    got = dac_output.read_tokens(manifest, folder).collect()
+    assert sum(r.doc_id is None for r in got) == 300 and sum(r.doc_id == 7 for r in got) == 300
+    starts = sorted((r.start, r.n_tokens) for r in got)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
+def test_files_of_lost_attempts_are_not_read(spark, documents):
+    from barsmith.session import scratch_path
+
+    folder = scratch_path(spark, "t-tokens")
+    manifest = dac_output.write_tokens(documents(corpus(30)), tokenizer_path(BYTES), folder)
+    path = folder.replace("file:", "")
+    import glob
+    import shutil
+
+    one = sorted(glob.glob(f"{path}/part-*.dac"))[0]
+    shutil.copy(one, one.replace(".dac", "0.dac"))  # as if an attempt had written the same documents before it was lost
+    assert dac_output.read_tokens(manifest, folder).count() == 30
+
+
+def test_stored_ids_decode_to_the_texts(documents):
+    rows = AWKWARD + [(100 + i, t, "s") for i, t in enumerate(odd_texts(200))]
+    df = documents(rows)
+    back = piece_dropout.decode(piece_dropout.encode(df, tokenizer_path(PIECES)), tokenizer_path(PIECES))
+    assert back.columns[-1] == "text" and "row" in back.columns
+    assert sorted((r.doc_id or -1, r.text) for r in back.collect()) == sorted((d or -1, t or "") for d, t, _ in rows)
+    report = piece_dropout.report(df, tokenizer_path(PIECES)).collect()
+    assert len(report) == len(rows) and all(r.lossless for r in report)
+
+
+def test_decoding_null_ids(spark):
+    df = spark.createDataFrame([(1, None, "old"), (2, [], "old")], "doc_id long, ids array<int>, text string")
+    out = piece_dropout.decode(df, tokenizer_path(PIECES)).collect()
+    assert [(r.doc_id, r.text) for r in out] == [(1, ""), (2, "")]
+
+
+def test_texts_without_spaces_are_within_ten_times_of_spaced_ones(model):
+    import time
+
+    rnd = random.Random(1)
+    letters = "".join(rnd.choice("etaoinshrdlu") for _ in range(200_000))
+    spaced = " ".join(letters[i:i + 6] for i in range(0, len(letters), 6))
+    took = []
+    for text in (spaced, letters):
+        args = (*utf8(pa.array([text])), np.array([1]))
+        model.encode(*utf8(pa.array([text[:500]])), np.array([1]))
+        began = time.process_time()
+        ids, n = model.encode(*args)
+        took.append(time.process_time() - began)
+        assert model.decode(ids, n)[0].tobytes() == text.encode()
+    assert took[1] < 10 * took[0] + 1
