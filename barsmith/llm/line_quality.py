@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barsmith.llm.runtime import SPACE_BYTES, release, ship, slices, utf8
+from barsmith.llm.runtime import SPACE_BYTES, release, ship, slices, stored_rows, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, covered, per_doc, whole_windows, window_hashes, words
-from barsmith.session import shared_dir, stored_rows
+from barsmith.session import shared_dir
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -165,6 +165,22 @@ def report(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
         "doc_id", *_MEASURES, "base_failed", "kept", F.col("words_left").cast("long").alias("words_left"))
 
 
+def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their removed lines; linear in a text's lines."""
+    for batch in batches:
+        texts = batch.column("text")
+        removed = batch.column("removed")
+        at = np.flatnonzero(np.array(removed.is_valid()))
+        if len(at):
+            cut = texts.to_pylist()
+            for i in at.tolist():
+                gone = set(removed[i].as_py())
+                cut[i] = "\n".join(line for k, line in enumerate(cut[i].split("\n")) if k not in gone)
+            texts = pa.array(cut, pa.string())
+        yield pa.RecordBatch.from_arrays([texts, batch.column("whole"), removed], names=["text", "whole", "removed"])
+    release()
+
+
 def apply(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     """``docs`` without rejected documents and without lines over the limit.
 
@@ -174,11 +190,11 @@ def apply(docs: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
     cols = docs.columns
     stored = stored_rows(docs)
     verdicts = line_verdicts(stored.select("row", "whole.source", "whole.text"), limits).where("kept").select("row", "removed")
-    text = F.col("whole.text")
-    shorter = F.array_join(F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(F.col("removed"), i)), "\n")
-    cut = F.col("removed").isNotNull()
-    out = {"text": F.when(cut, shorter).otherwise(text)}
+    kept = stored.join(verdicts, "row").select("whole", "removed", F.col("whole.text").alias("text"))
+    shape = T.StructType([docs.select("text").schema["text"], *kept.select("whole", "removed").schema.fields])
+    done = kept.mapInArrow(_without_lines, shape)
+    out = {"text": F.col("text")}
     if "n_chars" in cols:
-        out["n_chars"] = F.when(cut, F.length(shorter).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("whole.n_chars"))
-    return stored.join(verdicts, "row").select(
-        *[out.get(c, F.col("whole").getField(c)).alias(c) for c in cols])
+        out["n_chars"] = F.when(F.col("removed").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(
+            F.col("whole.n_chars"))
+    return done.select(*[out.get(c, F.col("whole").getField(c)).alias(c) for c in cols])
