@@ -15,7 +15,13 @@ several per Spark job, until every constraint holds.
 Rates become whole copies: cumulative rounding over the cells of a source
 (large sizes first), four corrections by the largest size that still fits the
 words left over, and inside a cell an even split over salted groups of
-documents in hash order, so a hot source or size never meets in one task.
+documents in hash order, so a hot source or size never meets in one task.  The
+hash is of doc_id and text; where the doc_id is null, of the row, so any number
+of rows without one spreads (rows of equal size take equal copies in sum either way).
+
+Bounds: the water filling sorts all sources, and the Newton steps all sizes of
+one source, in one task; both are distinct values of the histogram, never
+documents (a source of 10^9 documents of up to 100,000 words has at most 10^5).
 
 Null text has size 0; documents of size 0 keep one copy and take no words.
 Repeated rows are separate documents.  ``apply`` repeats a row once per copy.
@@ -27,8 +33,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barsmith.llm.runtime import WORD_REGEX, text_or_empty
-from barsmith.session import shared_dir, stored_rows
+from barsmith.llm.runtime import WORD_REGEX, stored_rows, text_or_empty
+from barsmith.session import shared_dir
 
 # Fixed values of the mix.
 WEIGHTS = (5, 2, 1)
@@ -46,11 +52,13 @@ _SOURCE = ("no_source", "src")  # null-safe key of a source
 def sized(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Carried columns, source key, size in words, salt; cut from the texts by a checkpoint."""
     shared_dir(docs.sparkSession)
+    # drawn by content, so reruns agree; null doc_ids, which any number of equal rows may share, by row
+    which = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
     size = F.regexp_count(text_or_empty(), F.lit(WORD_REGEX)).cast("long")
     return docs.select(
         *carry, F.col("source").isNull().alias("no_source"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"),
-        size.alias("size"), F.xxhash64("doc_id").alias("h"),
+        size.alias("size"), F.xxhash64("doc_id", text_or_empty(), which).alias("h"),
     ).withColumn("salt", F.pmod("h", F.lit(SALTS))).checkpoint()
 
 
