@@ -1,22 +1,28 @@
 """Language-model scoring with a weighted backoff automaton (operator 2).
 
-Tokens: words in lower case (A-Z), then one end per document.  The model is a
-bigram one learnt from the training documents (crc32 of the doc_id as text,
-mod 10, is not 0):
+Tokens: words in lower case (A-Z), then one end per document.  The model is an
+n-gram one of ``order`` (``ORDER`` by default) learnt from the training documents
+(crc32 of the doc_id as text, mod 10, is not 0):
 
 * root state: p(w) = (c(w) - D) / N for known words; what is discounted,
   D * V / N, is the probability of the one unknown word.  D = n1 / (n1 + 2 n2)
   from the counts of words seen once and twice.
-* one state per word h (and one for a document's start): an arc to w for each
-  seen pair, weight log10 (c(hw) + MU p(w)) / (c(h) + MU), and a failure arc to
-  the root, weight log10 MU / (c(h) + MU).  Each state's weights sum to one.
-
-Scoring reads a document left to right, carries the state, takes the arc or
-the failure arc and adds up the weights.  The automaton of the corpus does not
-fit a task, nor is it broadcast: counts live in buckets of the keys' hashes,
-and every block of documents asks for the states and arcs its texts touch (see
-``blocks``); that part of the automaton is built and traversed in the block.
-All n-grams of all training documents are counted; none is pruned.
+* one state per context h of 1 to order - 1 tokens that training documents
+  hold (a document's start is a token): an arc to w for each seen n-gram, weight
+  log10 (c(hw) + MU p'(w)) / (c(h) + MU), p' being the next shorter context's
+  probability, and a failure arc to that context's state, weight
+  log10 MU / (c(h) + MU).  Each state's weights sum to one.
+
+Scoring reads a document left to right.  The state carried is the longest
+context just read that the model has; a token takes its arc, or failure arcs
+down the chain of shorter states until one has the arc, the root at last, and
+their weights are added up.  Which state a token leaves behind depends on the
+tokens up to it alone, so all tokens of a block take the same link of their
+chains together.  The automaton of the corpus does not fit a task, nor is it
+broadcast: counts live in buckets of the keys' hashes, and every block of
+documents asks for the states and arcs its texts touch (see ``blocks``); that
+part of the automaton is built and traversed in the block.  All n-grams of all
+training documents are counted; none is pruned.
 
 Null text counts as empty (its only token is the end); a null doc_id counts as
 the empty text in the crc32.  With no training tokens every probability is 1.
@@ -35,12 +41,18 @@ from barsmith.llm.blocks import blocked, bucket_rows, key_blob, tidy
 from barsmith.llm.runtime import mix64, pack, slices, unpack, unpack_sorted, utf8
 from barsmith.llm.wordhash import SLICE_BYTES, per_doc, words
 
+ORDER = 3
 MU = 20.0
 END, START = np.uint64(0x8A5CD789635D2DFF), np.uint64(0x121FD2155C472F96)
-_KINDS = ("uni", "bi")
-_PAIR = np.uint64(0x9FB21C651E98DF25)
-_ASK = "bucket int, g int, uni_keys binary, uni_counts binary, bi_keys binary, bi_counts binary"
-_ANSWER = "g int, bucket int, uni binary, bi binary, n long, v long, n1 long, n2 long"
+_GRAM = np.uint64(0x9FB21C651E98DF25)
+
+
+def _ask_ddl(order: int) -> str:
+    return "bucket int, g int, " + ", ".join(f"keys{k} binary, counts{k} binary" for k in range(order))
+
+
+def _answer_ddl(order: int) -> str:
+    return "g int, bucket int, " + ", ".join(f"counts{k} binary" for k in range(order)) + ", n long, v long, n1 long, n2 long"
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -49,15 +61,35 @@ def held_out(doc_id: str = "doc_id"):
 
 @dataclass
 class Tokens:
-    """Token keys of a block's documents, each document followed by its end."""
+    """Tokens of a block's documents, each document followed by its end, and the n-grams that end at them."""
+
+    grams: list[np.ndarray]  # grams[k]: key of the k + 1 tokens up to each; grams[0]: of the token
+    docs: np.ndarray         # token range of each document
 
-    word: np.ndarray   # key of each token
-    state: np.ndarray  # key of the token before, START at a document's front
-    pair: np.ndarray   # key of (state, word)
-    docs: np.ndarray   # token range of each document
+    def place(self) -> np.ndarray:
+        """Each token's place in its document."""
+        return np.arange(len(self.grams[0])) - np.repeat(self.docs[:-1], np.diff(self.docs))
 
+    def whole(self, k: int) -> np.ndarray:
+        """Which tokens end an n-gram of k + 1 tokens; the start of a document counts as one."""
+        return self.place() >= k - 1 if k > 1 else np.ones(len(self.grams[0]), bool)
 
-def tokens_of(text) -> Tokens:
+
+def gram_keys(word: np.ndarray, docs: np.ndarray, order: int) -> list[np.ndarray]:
+    """Keys of the n-grams of 1 to ``order`` tokens: an n-gram extends the one that ends before its last token."""
+    grams = [word]
+    for _ in range(order - 1):
+        before = np.empty_like(word)
+        before[1:] = grams[-1][:-1]
+        if len(grams) == 1:
+            before[docs[:-1]] = START
+        else:  # no n-gram so long ends at a document's first token
+            before[docs[:-1]] = 0
+        grams.append(mix64(before * _GRAM + word))
+    return grams
+
+
+def tokens_of(text, order: int) -> Tokens:
     data, offs = utf8(text)
     parts, sizes = [], []
     for i, j in slices(offs, SLICE_BYTES):
@@ -66,98 +98,110 @@ def tokens_of(text) -> Tokens:
         sizes.append(np.diff(w.docs) + 1)
     word = np.concatenate(parts)
     docs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    state = np.empty_like(word)
-    state[1:] = word[:-1]
-    state[docs[:-1]] = START
-    return Tokens(word, state, mix64(state * _PAIR + word), docs)
+    return Tokens(gram_keys(word, docs, order), docs)
 
 
-def _ask(n_buckets: int):
+def _ask(n_buckets: int, order: int):
     def ask(table: pa.Table) -> pa.Table:
-        t = tokens_of(table.column("text"))
+        t = tokens_of(table.column("text"), order)
         learn = np.repeat(~table.column("held_out").to_numpy(), np.diff(t.docs))
         rows: dict[int, dict] = {}
-        for kind, keys in zip(_KINDS, (t.word, t.pair)):
-            distinct, place = np.unique(keys, return_inverse=True)
-            counts = np.bincount(place, weights=learn, minlength=len(distinct)).astype(np.uint32)
+        for k in range(order):
+            at = np.flatnonzero(t.whole(k))
+            distinct, place = np.unique(t.grams[k][at], return_inverse=True)
+            counts = np.bincount(place, weights=learn[at], minlength=len(distinct)).astype(np.uint32)
             for b, s in bucket_rows(distinct, n_buckets):
-                rows.setdefault(b, {})[kind] = (key_blob(distinct[s]), pack(counts[s]))
+                rows.setdefault(b, {})[k] = (key_blob(distinct[s]), pack(counts[s]))
         g = table.column("g")[0].as_py()
         cols = {"bucket": pa.array(list(rows), pa.int32()), "g": pa.array([g] * len(rows), pa.int32())}
-        for kind in _KINDS:
+        for k in range(order):
             for i, name in enumerate(("keys", "counts")):
-                cols[f"{kind}_{name}"] = pa.array([r.get(kind, (None, None))[i] for r in rows.values()], pa.binary())
+                cols[f"{name}{k}"] = pa.array([r.get(k, (None, None))[i] for r in rows.values()], pa.binary())
         return pa.table(cols)
 
     return ask
 
 
-def _count(table: pa.Table) -> pa.Table:
+def _count(order: int):
     """Totals of a bucket's keys, aligned to each block's; one row (g = -1) of unigram statistics."""
-    n = table.num_rows
-    totals, stats = {}, (0, 0, 0, 0)
-    for kind in _KINDS:
-        asked = [unpack_sorted(b) if b else np.zeros(0, np.uint64) for b in table.column(f"{kind}_keys").to_pylist()]
-        counts = [unpack(b, np.uint32) if b else np.zeros(0, np.uint32) for b in table.column(f"{kind}_counts").to_pylist()]
-        distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
-        ends = np.cumsum([len(a) for a in asked])
-        totals[kind] = [pack(total[place[e - len(a):e]]) if len(a) else None for a, e in zip(asked, ends)]
-        if kind == "uni":
-            stats = tuple(int(x) for x in (total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()))
-    cols = {"g": pa.array([*table.column("g").to_pylist(), -1], pa.int32()),
-            "bucket": pa.array([table.column("bucket")[0].as_py()] * (n + 1), pa.int32())}
-    cols |= {k: pa.array([*totals[k], None], pa.binary()) for k in _KINDS}
-    cols |= {name: pa.array([0] * n + [x], pa.int64()) for name, x in zip(("n", "v", "n1", "n2"), stats)}
-    return pa.table(cols)
+    def count(table: pa.Table) -> pa.Table:
+        n = table.num_rows
+        totals, stats = {}, (0, 0, 0, 0)
+        for k in range(order):
+            asked = [unpack_sorted(b) if b else np.zeros(0, np.uint64) for b in table.column(f"keys{k}").to_pylist()]
+            counts = [unpack(b, np.uint32) if b else np.zeros(0, np.uint32) for b in table.column(f"counts{k}").to_pylist()]
+            distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
+            total = np.bincount(place, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
+            ends = np.cumsum([len(a) for a in asked])
+            totals[k] = [pack(total[place[e - len(a):e]]) if len(a) else None for a, e in zip(asked, ends)]
+            if k == 0:
+                stats = tuple(int(x) for x in (total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()))
+        cols = {"g": pa.array([*table.column("g").to_pylist(), -1], pa.int32()),
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * (n + 1), pa.int32())}
+        cols |= {f"counts{k}": pa.array([*totals[k], None], pa.binary()) for k in range(order)}
+        cols |= {name: pa.array([0] * n + [x], pa.int64()) for name, x in zip(("n", "v", "n1", "n2"), stats)}
+        return pa.table(cols)
+
+    return count
 
 
 @dataclass
 class Automaton:
-    """The states and arcs that a block touches, as arrays sorted by key."""
+    """The states and arcs that a block touches: per length, n-gram keys, sorted, and training counts."""
 
-    symbols: np.ndarray  # word keys (a state's key is its word's)
-    uni: np.ndarray      # training count of each
-    arcs: np.ndarray     # pair keys
-    bi: np.ndarray       # training count of each
+    keys: list[np.ndarray]
+    counts: list[np.ndarray]
     n: int
     v: int
     discount: float
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        return self.uni[np.searchsorted(self.symbols, keys)]
+    def count(self, k: int, t: Tokens) -> np.ndarray:
+        """Training count of the n-gram of k + 1 tokens that ends at each token; 0 where there is none so long."""
+        out = np.zeros(len(t.grams[0]))
+        at = np.flatnonzero(t.whole(k))
+        out[at] = self.counts[k][np.searchsorted(self.keys[k], t.grams[k][at])]
+        return out
 
     def traverse(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """(training count, log10 weight) of every token, all documents left to right.
-
-        The state after a token is that token's, so the whole run is array work."""
-        known = self.count(t.word).astype(np.float64)
+        """(training count, log10 weight) of every token, all documents left to right."""
+        known = self.count(0, t)
         if not self.n:
             return known, np.zeros(len(known))
         root = np.where(known > 0, (known - self.discount) / self.n, self.discount * self.v / self.n)
-        leaving = self.count(np.where(t.state == START, END, t.state)).astype(np.float64)  # as many starts as ends
-        arc = self.bi[np.searchsorted(self.arcs, t.pair)].astype(np.float64)
-        seen = np.log10((arc + MU * root) / (leaving + MU))
-        fails = np.log10(MU / (leaving + MU)) + np.log10(root)
-        return known, np.where(arc > 0, seen, np.where(leaving > 0, fails, np.log10(root)))
-
-
-def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    if not docs.num_rows:
-        return _scores.empty_table()
-    t = tokens_of(docs.column("text"))
-    got = sorted(answers.select(["bucket", *_KINDS]).to_pylist(), key=lambda r: r["bucket"])
-    uni, bi = (np.concatenate([unpack(r[k], np.uint64) for r in got if r[k]]) for k in _KINDS)
-    n, v, n1, n2 = answers.column("all")[0].as_py().values()
-    discount = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 else 0.05
-    auto = Automaton(np.unique(t.word), uni, np.unique(t.pair), bi, n, v, discount)
-    known, weight = auto.traverse(t)
-    base = np.log10((known + 0.1) / (n + 0.1 * (v + 1)))
-    return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
-        "n_tokens": pa.array(np.diff(t.docs), pa.int64()), "n_known": pa.array(per_doc(known > 0, t.docs), pa.int64()),
-        "train_tokens": pa.array([n] * docs.num_rows, pa.int64()),
-        "base_score": pa.array(_sums(base, t.docs)), "score": pa.array(_sums(weight, t.docs))}).cast(_scores)
+        weight, arcs = np.log10(root), known
+        place = t.place()
+        for k in range(1, len(self.keys)):  # the chain of the state before each token, shortest first
+            state = np.zeros(len(known))  # count of the context of k tokens: that of the n-gram ending before
+            state[1:] = arcs[:-1]
+            # as many starts as ends; no longer context ends where a document begins
+            state[place == 0] = self.counts[0][np.searchsorted(self.keys[0], END)] if k == 1 else 0
+            arcs = self.count(k, t)
+            seen = np.log10((arcs + MU * 10.0 ** weight) / (state + MU))
+            fails = np.log10(MU / (state + MU)) + weight
+            weight = np.where(arcs > 0, seen, np.where(state > 0, fails, weight))
+        return known, weight
+
+
+def _score(order: int):
+    def score_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return _scores.empty_table()
+        t = tokens_of(docs.column("text"), order)
+        kinds = [f"counts{k}" for k in range(order)]
+        got = sorted(answers.select(["bucket", *kinds]).to_pylist(), key=lambda r: r["bucket"])
+        counts = [np.concatenate([np.zeros(0, np.uint64), *[unpack(r[k], np.uint64) for r in got if r[k]]]) for k in kinds]
+        n, v, n1, n2 = answers.column("all")[0].as_py().values()
+        discount = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 else 0.05
+        auto = Automaton([np.unique(t.grams[k][t.whole(k)]) for k in range(order)], counts, n, v, discount)
+        known, weight = auto.traverse(t)
+        base = np.log10((known + 0.1) / (n + 0.1 * (v + 1)))
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
+            "n_tokens": pa.array(np.diff(t.docs), pa.int64()), "n_known": pa.array(per_doc(known > 0, t.docs), pa.int64()),
+            "train_tokens": pa.array([n] * docs.num_rows, pa.int64()),
+            "base_score": pa.array(_sums(base, t.docs)), "score": pa.array(_sums(weight, t.docs))}).cast(_scores)
+
+    return score_block
 
 
 _scores = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -169,13 +213,13 @@ def _sums(values: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, docs[:-1])  # no document is without a token
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
     blocks, n = blocked(slim)
-    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), _ASK)
-    answers = asked.groupBy("bucket").applyInArrow(tidy(_count), _ANSWER)
+    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n, order)), _ask_ddl(order))
+    answers = asked.groupBy("bucket").applyInArrow(tidy(_count(order)), _answer_ddl(order))
     stats = answers.where("g = -1").agg(
         F.struct(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n1", "n2")]).alias("stats"))
-    told = answers.where("g >= 0").select("g", "bucket", *_KINDS, stats.scalar().alias("all"))
-    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_score), _SCORES)
+    told = answers.where("g >= 0").select("g", "bucket", *[f"counts{k}" for k in range(order)], stats.scalar().alias("all"))
+    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_score(order)), _SCORES)

@@ -1,13 +1,18 @@
 """Blocks of documents that ask hash-partitioned buckets about their keys.
 
-``blocked`` deals documents to blocks by a hash: about ``BLOCK_BYTES`` of text
-each, at least one and at most ``MOST`` for each shuffle partition.  A block
+``blocked`` stores the rows with a number and deals them by its hash to blocks
+of about ``BLOCK_BYTES`` of text each, at least one for each shuffle partition.
+Blocks, and buckets, of which there are as many, grow in number with the text
+and never in size, and rows that are equal in every column spread too.  A block
 reduces its texts to distinct 64-bit keys and sends each bucket one row: its
-sorted keys, packed, with what it knows of them.  A bucket gathers the rows of
-all blocks and sends every block an answer aligned to its keys, so answers
-carry no keys.  A key, however frequent, arrives once per block: hot keys need
-no salting.  The block's texts are read again (Spark reuses the exchange) when
-the answers come back by ``cogroup``.
+sorted keys, packed, with what it knows of them; never more rows than it has
+keys.  A bucket gathers the rows of all blocks and sends every block an answer
+aligned to its keys, so answers carry no keys.  A key, however frequent,
+arrives once per block: hot keys need no salting.  The block's texts are read
+again (Spark reuses the exchange) when the answers come back by ``cogroup``.
+
+With B blocks a row holds about 1/B of a block's keys, so packing pays less as
+the text grows: executors with more memory take a larger ``BLOCK_BYTES``.
 """
 
 from __future__ import annotations
@@ -17,20 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barsmith.llm.runtime import pack_sorted, release, ship, shuffle_partitions
+from barsmith.llm.runtime import pack_sorted, release, ship, shuffle_partitions, stored_rows
 
 BLOCK_BYTES = 2 << 20
-MOST = 16  # blocks for each shuffle partition
 
 
 def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(``docs`` with its block ``g``, number of blocks, which is that of buckets too);
-    the text's size is summed first."""
+    """(``docs``, stored, with its block ``g``; number of blocks, which is that of buckets too)."""
     ship(docs.sparkSession)
-    p = shuffle_partitions(docs.sparkSession)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = min(max(size // BLOCK_BYTES, p), MOST * p)
-    return docs.withColumn("g", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")), n
+    rows = stored_rows(docs)
+    size = rows.agg(F.sum(F.octet_length("whole.text"))).first()[0] or 0
+    n = max(size // BLOCK_BYTES, shuffle_partitions(docs.sparkSession))
+    return rows.select("whole.*", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("g")), n
 
 
 def tidy(work):

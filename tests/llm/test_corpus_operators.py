@@ -21,51 +21,73 @@ LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # ------------------------------------------------------------------ language model
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 @pytest.mark.parametrize("rows", [AWKWARD, corpus(60), [(0, "held out only", "s")], []],
                          ids=["awkward", "random", "no training", "empty"])
-def test_lm_scores(documents, rows):
+def test_lm_scores(documents, rows, order):
     got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
-                  for r in backoff_lm.score(documents(rows)).collect())
+                  for r in backoff_lm.score(documents(rows), order).collect())
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
     toks = [(d, [*WORD.findall((t or "").translate(LOW)), None]) for d, t, _ in rows]
     uni = Counter(w for d, ws in toks if not held(d) for w in ws)
-    bi = Counter(p for d, ws in toks if not held(d) for p in zip([START, *ws], ws))
+    seen, leaving = Counter(), Counter()  # n-grams of two tokens and more, and their contexts
+    for d, ws in toks:
+        if not held(d):
+            line = (START, *ws)
+            for i in range(1, len(line)):
+                for k in range(1, min(order - 1, i) + 1):
+                    seen[line[i - k:i + 1]] += 1
+                    leaving[line[i - k:i]] += 1
     n, v = sum(uni.values()), len(uni)
     n1, n2 = (sum(c == k for c in uni.values()) for k in (1, 2))
     disc = min(max(n1 / (n1 + 2 * n2), 0.05), 0.95) if n1 else 0.05
     mu = backoff_lm.MU
 
-    def p(w, h):
+    def p(h, w):
         if not n:
             return 1.0
-        root = (uni[w] - disc) / n if uni[w] else disc * v / n
-        leaving = uni[None] if h is START else uni[h]
-        return (bi[h, w] + mu * root) / (leaving + mu) if leaving else root
+        if not h:
+            return (uni[w] - disc) / n if uni[w] else disc * v / n
+        shorter = p(h[1:], w)
+        return (seen[*h, w] + mu * shorter) / (leaving[h] + mu) if leaving[h] else shorter
 
     want = Counter()
     for d, ws in toks:
         base = sum(math.log10((uni[w] + .1) / (n + .1 * (v + 1))) for w in ws)
-        score = sum(math.log10(p(w, h)) for h, w in zip([START, *ws], ws))
+        line = (START, *ws)
+        score = sum(math.log10(p(line[max(0, i - order + 1):i], line[i])) for i in range(1, len(line)))
         want[d, held(d), len(ws), sum(uni[w] > 0 for w in ws), n, round(base, 6), round(score, 6)] += 1
     assert got == want
 
 
 def test_lm_states_sum_to_one():
-    """Arcs plus failure arc of every state: probabilities over the known words and the unknown one."""
-    words, n, v, disc = np.array([3, 5, 9], np.uint64), 12, 3, 0.5
-    counts = np.array([6, 4, 2], np.uint64)
-    unknown = np.uint64(1)  # asked about, never seen
-    symbols = np.sort(np.append(words, unknown))
-    uni = np.array([0, 6, 4, 2], np.uint64)
-    for h in (3, 5, 9):
-        w = symbols
-        state = np.full(len(w), h, np.uint64)
-        pair = backoff_lm.mix64(state * backoff_lm._PAIR + w)
-        order = np.argsort(pair)
-        arcs = np.array([0, 1, 0, 1], np.uint64) if h == 9 else np.array([0, 2, 1, counts[words == h][0] - 3], np.uint64)
-        auto = backoff_lm.Automaton(symbols, uni, pair[order], arcs[order], n, v, disc)
-        t = backoff_lm.Tokens(w, state, pair, np.array([0, len(w)]))
-        assert (10 ** auto.traverse(t)[1]).sum() == pytest.approx(1)
+    """Arcs plus failure arcs of every state of a trigram model: probabilities over all words and the unknown one."""
+    rnd = random.Random(8)
+    texts = [[rnd.choice("abcde") for _ in range(rnd.randrange(1, 30))] for _ in range(12)]
+    code = {w: np.uint64(i + 11) for i, w in enumerate("abcde")} | {None: backoff_lm.END, "unknown": np.uint64(5)}
+
+    def tokens(lines):
+        word = np.array([code[w] for ws in lines for w in ws], np.uint64)
+        docs = np.concatenate([[0], np.cumsum([len(ws) for ws in lines])])
+        return backoff_lm.Tokens(backoff_lm.gram_keys(word, docs, 3), docs)
+
+    train = tokens([[*ws, None] for ws in texts])
+    contexts = {tuple(ws[max(0, i - 2):i]) for ws in texts for i in range(len(ws) + 1)} | {("unknown",), ("a", "unknown")}
+    every = ["a", "b", "c", "d", "e", None, "unknown"]
+    asked = tokens([[*h, w] for h in sorted(contexts) for w in every])  # at a document's front and, cut off, inside
+    inside = [["c", "d", *h, w] for h in sorted(contexts) for w in every]
+    for t in (asked, tokens(inside)):
+        keys = [np.unique(np.concatenate([t.grams[k][t.whole(k)], train.grams[k][train.whole(k)]])) for k in range(3)]
+        counts = []
+        for k in range(3):
+            have, times = np.unique(train.grams[k][train.whole(k)], return_counts=True)
+            c = np.zeros(len(keys[k]), np.uint64)
+            c[np.searchsorted(keys[k], have)] = times
+            counts.append(c)
+        n = int(counts[0].sum())
+        auto = backoff_lm.Automaton(keys, counts, n, int((counts[0] > 0).sum()), 0.5)
+        last = auto.traverse(t)[1][t.docs[1:] - 1]
+        assert (10 ** last).reshape(-1, len(every)).sum(1) == pytest.approx(1)
 
 
 # ------------------------------------------------------------------ substrings
