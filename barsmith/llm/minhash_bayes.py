@@ -11,10 +11,11 @@ one shingle); two are linked when their Jaccard similarity is ``THRESHOLD`` or m
    compared pair by pair.  One member of its largest component is its centre,
    chosen by a hash that all bands share; the members outside that component
    are compared with it.  Then the components are joined anew, the centre is
-   done, and bands that still hold several components take another.  When a
-   turn leaves more than ``STALL`` of the members outside, all pairs left are
-   compared at once, in blocks: those members with all others, pairs of one
-   component never.
+   done, and bands that still hold several components take another.  As soon
+   as the pairs left -- the members outside with all others of their band --
+   are at most ``WORK`` for each member, or a turn leaves more than ``STALL`` of
+   the members outside, all of them are compared at once, in blocks; pairs of
+   one component never are.
 3. **Sequential verification.**  A candidate pair's signatures are compared
    batch by batch.  After m of n values agree, the similarity's posterior
    (uniform prior) is Beta(m + 1, n - m + 1); a pair leaves as soon as the
@@ -42,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barsmith.llm.anchors import ranges
 from barsmith.llm.components import connected
 from barsmith.llm.runtime import (
     group_bounds, mix64, release, ship, shuffle_partitions, slices, stored, stored_rows, utf8, whole_groups,
@@ -54,7 +56,9 @@ BANDS = 32
 ROWS = 5
 BATCH = 32      # signature values compared at a time
 MISS = 1e-6     # chance of losing a pair at the threshold, per batch
+WORK = 64       # pairs for each member of the bands that may be compared at once
 STALL = 2 / 3   # share of members outside their band's largest component that a useful turn leaves, at most
+SMALL = 16      # members of a cell up to which the pairs of all cells are compared together
 BLOCK = 512     # members of a band compared in one piece
 _VALUES = BANDS * ROWS
 _SIGNED = "row long, doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, signature binary"
@@ -222,7 +226,8 @@ def _star(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
     largest component; ``rest``: the member is not."""
     told = _named(members, labels)
     return told.join(_crowds(told, turn), "band").select(
-        "band", "row", F.col("crowd.c.row").alias("centre"), (F.col("label") != F.col("crowd.label")).alias("rest")).where("row <> centre")
+        "band", "row", F.col("crowd.c.row").alias("centre"), (F.col("label") != F.col("crowd.label")).alias("rest"),
+        F.col("all").alias("others")).where("row <> centre")
 
 
 def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -249,26 +254,45 @@ def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
 _CELL = ("band", "kind", "x", "y")
 
 
+def _cell_pairs(at: np.ndarray, ok) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (p < q) inside the groups at[g] .. at[g + 1] - 1 that ``ok`` accepts."""
+    size = np.diff(at)
+    small = np.flatnonzero((size > 1) & (size <= SMALL))
+    for gap in range(1, SMALL):  # the pairs of all small groups, by distance
+        some = small[size[small] > gap]
+        p = ranges(at[some], size[some] - gap)
+        yield from _accepted(p, p + gap, ok)
+    for i, j in zip(at[:-1][size > SMALL].tolist(), at[1:][size > SMALL].tolist()):
+        for a in range(i, j, BLOCK):
+            p, q = np.meshgrid(np.arange(a, min(a + BLOCK, j)), np.arange(i, j), indexing="ij")
+            above = p < q
+            yield from _accepted(p[above], q[above], ok)
+
+
+def _accepted(p: np.ndarray, q: np.ndarray, ok, most: int = 1 << 16):
+    keep = ok(p, q)
+    p, q = p[keep], q[keep]
+    for k in range(0, len(p), most):
+        yield p[k:k + most], q[k:k + most]
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted cells -> the pairs of different components that the posterior leaves."""
     for table in whole_groups(batches, _CELL):
-        at = group_bounds(table, _CELL)
         row, label, mine, kind, x, y = (table.column(c).to_numpy() for c in ("row", "label", "mine", "kind", "x", "y"))
         rest = np.array(table.column("rest"), bool)
         sig = _signatures(table.column("signature"))
-        for i, j in zip(at[:-1], at[1:]):
-            for a in range(i, j, BLOCK):  # rows of the cell's pairs
-                p, q = np.meshgrid(np.arange(a, min(a + BLOCK, j)), np.arange(i, j), indexing="ij")
-                ok = (p < q) & (label[p] != label[q])
-                ok &= rest[p] != rest[q] if not kind[i] else (mine[p] != mine[q] if x[i] != y[i] else True)
-                p, q = p[ok], q[ok]
-                for k in range(0, len(p), 1 << 16):
-                    u, v = p[k:k + (1 << 16)], q[k:k + (1 << 16)]
-                    on, same = _agree(sig[u], sig[v])
-                    u, v = row[u[on]], row[v[on]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(same)], names=["u", "v", "matches"])
-    release()
+
+        def ok(p, q):
+            own = np.where(kind[p] == 0, rest[p] != rest[q], (x[p] == y[p]) | (mine[p] != mine[q]))
+            return own & (label[p] != label[q])
+
+        for p, q in _cell_pairs(group_bounds(table, _CELL), ok):
+            on, same = _agree(sig[p], sig[q])
+            u, v = row[p[on]], row[q[on]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(same)], names=["u", "v", "matches"])
+        release()
 
 
 def _components(reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -278,12 +302,14 @@ def _components(reps: DataFrame, texts: DataFrame) -> DataFrame:
     crowded = spread.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(spread.join(crowded.select("band"), "band").select("band", "row"), "bands")
     signatures = reps.select("row", "signature")
-    links, labels, backlog, before, turn = None, None, None, None, 0
+    size = members.count()
+    labels, backlog, before, turn = None, None, None, 0
     while True:
         star = stored(_star(members, labels, turn), "star")
-        members, left = star.select("band", "row"), star.where("rest").count()
-        stalled = before is not None and left > STALL * before
-        if left and stalled:  # every pair that is left, at once
+        members = star.select("band", "row")
+        left, work = star.where("rest").agg(F.count(F.lit(1)), F.coalesce(F.sum("others"), F.lit(0))).first()
+        finish = before is not None and (work <= WORK * size or left > STALL * before)
+        if left and finish:  # every pair that is left, at once
             cells = _cells(members.union(star.select("band", F.col("centre").alias("row"))).distinct(), labels)
             pairs = cells.join(signatures, "row").repartition(n, *_CELL).sortWithinPartitions(*_CELL).mapInArrow(
                 _compare, "u long, v long, matches long").distinct()
@@ -299,11 +325,11 @@ def _components(reps: DataFrame, texts: DataFrame) -> DataFrame:
         else:
             best, backlog = pairs, None
         found = stored(confirmed(best, texts), "links")
-        links = found if links is None else links.union(found)
         if backlog is not None:
             backlog = stored(backlog, "backlog")
-        labels = connected(links).checkpoint()
-        if turn > 0 and (left == 0 or stalled):
+        joined = found if labels is None else found.union(labels.select(F.col("node").alias("u"), F.col("label").alias("v")))
+        labels = stored(connected(joined), "labels")
+        if finish:
             return labels
         before, turn = left, turn + 1
 

@@ -84,9 +84,16 @@ def test_families_near_the_threshold(documents, edits):
     assert got(documents(rows)) == expected(rows)
 
 
+def test_turns_of_stars_alone(documents, monkeypatch):
+    """With no pairs allowed at once, stars go on for as long as they help."""
+    monkeypatch.setattr(B, "WORK", 0)
+    monkeypatch.setattr(B, "STALL", 10.0)
+    rows = _families(13, 4, 20, 6)
+    assert got(documents(rows)) == expected(rows)
+
+
 def test_comparison_in_blocks(documents, monkeypatch):
     """Everything the first turn leaves goes through cells of a few members each."""
-    monkeypatch.setattr(B, "STALL", -1.0)
     calls = []
     cells = B._cells
     monkeypatch.setattr(B, "_cells", lambda m, lab: calls.append(1) or cells(m, lab))
