@@ -21,6 +21,7 @@ from barsmith.plans.states import merge_states, refresh_states
 from barsmith.schema import MEASURES, PAYLOAD_FIELDS, PROCESS_DATE, SERIES_KEY
 from barsmith.session import scratch_path, shared_dir, work_table
 from barsmith.sinks.ledger import append_once
+from barsmith.sinks.ranged import read_ranged, write_ranged
 from barsmith.sinks.tables import reload_process_date
 from barsmith.sinks.versions import vacuum_versions, write_version
 from barsmith.sources.drift import drift_report, landed_fields, read_documents_as_variants
@@ -28,6 +29,7 @@ from barsmith.sources.payloads import explode_series, split_payloads
 from barsmith.streaming.intake import intake, read_intake
 
 BIG_VOLUME = 50
+ONE_SYMBOL, LAST_DATE = "S000001", "1999-12-31"
 LINE_ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice")
 
 
@@ -113,6 +115,12 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_report(landed_fields(read_documents_as_variants(spark, landings)))
 
 
+def q_ranged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All bars in a range layout; one symbol's bars of some years, read from the files that hold them (SRT-2, FLT-1)."""
+    path = write_ranged(_bars(spark, sf_dir), scratch_path(spark, "ranged"))
+    return read_ranged(spark, path, ONE_SYMBOL, SPLIT_DATE, LAST_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "versioned_reload": q_versioned_reload,
     "hot_series_lag": q_hot_series_lag,
@@ -120,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "incremental_intake": q_incremental_intake,
     "merged_extremes": q_merged_extremes,
     "schema_drift": q_schema_drift,
+    "ranged_read": q_ranged_read,
 }
 
 _RELOADED = (f"loaded AS (SELECT *, '{D1}' AS process_date FROM varied WHERE {_BEFORE} "
@@ -161,4 +170,6 @@ ORACLES: dict[str, str] = {
     "any_value(max_date) AS max_date, any_value(min_close) AS min_close, any_value(min_date) AS min_date "
     "FROM loaded l JOIN hi ON hi.symbol = l.symbol AND hi.rn = 1 JOIN lo ON lo.symbol = l.symbol AND lo.rn = 1 GROUP BY l.symbol",
     "schema_drift": _drift_sql(),
+    "ranged_read": _with(_BARS)
+    + f"SELECT * FROM bars WHERE symbol = '{ONE_SYMBOL}' AND date_from BETWEEN DATE '{SPLIT_DATE}' AND DATE '{LAST_DATE}'",
 }

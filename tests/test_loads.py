@@ -14,6 +14,7 @@ from barsmith.plans.states import drop_states, merge_states, refresh_states, sym
 from barsmith.session import scratch_path, work_table
 from barsmith.sinks import tables
 from barsmith.sinks.ledger import append_once, missing_rows
+from barsmith.sinks.ranged import ranged_files, read_ranged, write_ranged
 from barsmith.sinks.tables import append_table, clear_process_date, create_bars_table, reload_process_date
 from barsmith.sinks.versions import (
     partition_location, partition_spec, publish_version, table_layout, vacuum_versions, versions, write_version,
@@ -319,6 +320,38 @@ def test_a_refresh_reads_one_batch_and_an_empty_batch_clears(spark, table):
     assert [r.symbol for r in merge_states(spark.table(states)).collect()] == ["A"]
 
 
+# --------------------------------------------------------------------------- range layout
+
+
+def test_a_symbol_read_opens_the_files_that_hold_it(spark):
+    rows = [(f"S{i:03d}", D(2020, 1, 1) + dt.timedelta(days=k), float(k)) for i in range(40) for k in range(25)]
+    rows += [("S017", D(2021, 1, 1) + dt.timedelta(days=k), float(k)) for k in range(2000)] + [(None, None, 1.0), ("S001", None, 2.0)]
+    df = spark.createDataFrame(rows, "symbol string, date_from date, close double")
+    path = write_ranged(df, scratch_path(spark, "ranged"), files=20)
+    assert ranged_files(spark, path).count() == 20
+    whole = spark.read.parquet(f"{path}/data")
+    assert rows_of(whole) == rows_of(df)
+    for symbol, start, end in (("S001", None, None), ("S017", "2022-01-01", "2022-01-31"), ("S017", None, "2020-01-05"),
+                               ("S039", "2020-01-20", None), ("S017", None, None), ("none", None, None)):
+        got = read_ranged(spark, path, symbol, start, end)
+        want = df.where(F.col("symbol") == symbol)
+        want = want.where(F.col("date_from") >= start) if start else want
+        want = want.where(F.col("date_from") <= end) if end else want
+        assert rows_of(got) == rows_of(want), (symbol, start, end)
+    assert len(read_ranged(spark, path, "S001").inputFiles()) <= 2
+    assert len(read_ranged(spark, path, "S017", "2022-01-01", "2022-01-31").inputFiles()) <= 2
+    assert len(read_ranged(spark, path, "S017").inputFiles()) > 5  # a hot symbol is spread
+
+
+def test_a_read_of_very_many_files_scans_the_folder(spark, monkeypatch):
+    from barsmith.sinks import ranged
+
+    monkeypatch.setattr(ranged, "NAMED_FILES", 2)
+    df = spark.createDataFrame([("A", D(2020, 1, 1) + dt.timedelta(days=k), float(k)) for k in range(100)], "symbol string, date_from date, close double")
+    path = write_ranged(df, scratch_path(spark, "ranged"), files=6)
+    assert rows_of(read_ranged(spark, path, "A", "2020-01-02")) == rows_of(df.where("date_from >= '2020-01-02'"))
+
+
 # --------------------------------------------------------------------------- drift
 
 
