@@ -36,9 +36,11 @@ from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import ranges
 from barsmith.llm.components import connected, local_labels
-from barsmith.llm.runtime import mix64, pack_sorted, release, ship, shuffle_partitions, slices, unpack_sorted, utf8
+from barsmith.llm.runtime import (
+    mix64, pack_sorted, release, ship, shuffle_partitions, slices, stored_rows, unpack_sorted, utf8,
+)
 from barsmith.llm.wordhash import SLICE_BYTES, whole_windows, window_hashes, words
-from barsmith.session import shared_dir, stored_rows
+from barsmith.session import shared_dir
 
 SHINGLE = 5
 THRESHOLD = 0.8

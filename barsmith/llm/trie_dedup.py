@@ -4,10 +4,13 @@ Texts are equal when identical after deleting every character of
 ``[\\x20\\x09-\\x0D]``.  Of equal texts the row with the most code points in
 its original text stays, then the smallest doc_id.
 
-1. Each Arrow batch normalises its texts and inserts them into a small trie,
-   so a group of copies leaves a task as one row per batch (with its size and
-   best row), however large the group is.
-2. These rows are hash-partitioned by (length, content hash) and arrive sorted
+1. Each task normalises its texts and inserts them into a trie that holds up to
+   ``TASK_BYTES``, so a group of copies leaves a task as one row (with its size
+   and best row) each time the trie is emptied, however large the group is.
+   These rows are stored.  A text that has more than ``HOT`` of them, because
+   very many tasks hold copies, is merged by salted (length, hash) first, so no
+   task is sent all its bodies.
+2. The rows are hash-partitioned by (length, content hash) and arrive sorted
    by it.  Each task inserts ``length + hash + full bytes`` into a compressed
    radix trie whose terminal nodes hold the best row and the count.  When the
    trie exceeds its byte budget, the subtrees of all keys before the current
@@ -18,7 +21,7 @@ its original text stays, then the smallest doc_id.
 
 Null text counts as empty.  A null doc_id sorts after all others.  Rows that
 repeat a kept row (same doc_id, same text) are all reported as kept, and
-``dedup`` returns one of them.  Extra columns pass through ``dedup``.
+``dedup`` returns one of them, by a hash of their columns: reruns agree.  Extra columns pass through ``dedup``.
 """
 
 from __future__ import annotations
@@ -31,10 +34,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barsmith.llm.runtime import SPACE_BYTES, release, ship, shuffle_partitions, text_or_empty, utf8
+from barsmith.llm.runtime import SPACE_BYTES, release, ship, shuffle_partitions, stored, text_or_empty, utf8
 
 TRIE_BYTES = 32 << 20
+TASK_BYTES = 16 << 20
+HOT = 500   # rows of one text, each from another emptied trie, that may go to one task
+SALTS = 64
+BROADCAST = 100_000  # hot texts, of about 90 bytes each, that are broadcast
 _LAST = 1 << 63  # stands for a null doc_id: after all others
 
 _GROUP_DDL = ("text_len long, text_hash long, body binary, text_sha256 string, "
@@ -118,58 +126,73 @@ def _id(i: int) -> int | None:
     return None if i == _LAST else i
 
 
+def _groups(trie: RadixTrie) -> pa.RecordBatch:
+    """A trie's texts as rows: how they are sent and stored."""
+    out = list(trie.items())
+    return pa.RecordBatch.from_arrays([
+        pa.array([len(k) - 16 for k, _ in out], pa.int64()),
+        pa.array([struct.unpack(">q", k[8:16])[0] for k, _ in out], pa.int64()),
+        pa.array([k[16:] for k, _ in out], pa.binary()),
+        pa.array([v[4].hex() for _, v in out], pa.string()),
+        pa.array([-v[0] for _, v in out], pa.int64()),
+        pa.array([_id(v[1]) for _, v in out], pa.int64()),
+        pa.array([v[2] for _, v in out], pa.int64()),
+        pa.array([v[3] for _, v in out], pa.int64()),
+    ], names=[c.split()[0] for c in _GROUP_DDL.split(", ")])
+
+
+def _owners(trie: RadixTrie) -> pa.RecordBatch:
+    """A trie's texts as owner rows."""
+    values = [v for _, v in trie.items()]
+    return pa.RecordBatch.from_arrays([
+        pa.array([v[4].hex() for v in values], pa.string()),
+        pa.array([_id(v[1]) for v in values], pa.int64()),
+        pa.array([-v[0] for v in values], pa.int64()),
+        pa.array([v[2] for v in values], pa.int64()),
+        pa.array([v[3] for v in values], pa.int64()),
+    ], names=[c.split()[0] for c in _OWNER_DDL.split(", ")])
+
+
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents -> one row per distinct normalised text of each batch."""
+    """Documents -> one row per distinct normalised text, each time the trie is full."""
+    trie = RadixTrie()
     for batch in batches:
         release()
         data, offs = utf8(batch.column("text"))
         raw = data.tobytes()
         chars = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
-        trie = RadixTrie()
         for i, doc in enumerate(batch.column("doc_id").to_pylist()):
             body = raw[offs[i]:offs[i + 1]].translate(None, SPACE_BYTES)
             digest = hashlib.sha256(body).digest()
             trie.insert(_key(body, digest), (-chars[i], _LAST if doc is None else doc, 1, 1, digest), _merge)
-        out = list(trie.items())
-        if out:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([len(k) - 16 for k, _ in out], pa.int64()),
-                pa.array([struct.unpack(">q", k[8:16])[0] for k, _ in out], pa.int64()),
-                pa.array([k[16:] for k, _ in out], pa.binary()),
-                pa.array([v[4].hex() for _, v in out]),
-                pa.array([-v[0] for _, v in out], pa.int64()),
-                pa.array([_id(v[1]) for _, v in out], pa.int64()),
-                pa.array([v[2] for _, v in out], pa.int64()),
-                pa.array([v[3] for _, v in out], pa.int64()),
-            ], names=[c.split()[0] for c in _GROUP_DDL.split(", ")])
-
-
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (length, hash) -> one owner row per distinct text."""
-    trie, last = RadixTrie(), None
-
-    def emit():
-        values = [v for _, v in trie.items()]
-        return pa.RecordBatch.from_arrays([
-            pa.array([v[4].hex() for v in values]),
-            pa.array([_id(v[1]) for v in values], pa.int64()),
-            pa.array([-v[0] for v in values], pa.int64()),
-            pa.array([v[2] for v in values], pa.int64()),
-            pa.array([v[3] for v in values], pa.int64()),
-        ], names=[c.split()[0] for c in _OWNER_DDL.split(", ")])
-
-    for batch in batches:
-        for r in batch.to_pylist():
-            prefix = (r["text_len"], r["text_hash"])
-            if prefix != last and trie.bytes > TRIE_BYTES:
-                yield emit()
+            if trie.bytes > TASK_BYTES:
+                yield _groups(trie)
                 trie = RadixTrie()
-            last = prefix
-            digest = bytes.fromhex(r["text_sha256"])
-            doc = _LAST if r["best_id"] is None else r["best_id"]
-            trie.insert(_key(r["body"], digest), (-r["best_chars"], doc, r["n_best"], r["n"], digest), _merge)
     if trie.children:
-        yield emit()
+        yield _groups(trie)
+
+
+def _merging(emit):
+    """Rows sorted by (length, hash) -> ``emit`` of their merged texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, last = RadixTrie(), None
+        for batch in batches:
+            for r in batch.to_pylist():
+                prefix = (r["text_len"], r["text_hash"])
+                if prefix != last and trie.bytes > TRIE_BYTES:
+                    yield emit(trie)
+                    trie = RadixTrie()
+                last = prefix
+                digest = bytes.fromhex(r["text_sha256"])
+                doc = _LAST if r["best_id"] is None else r["best_id"]
+                trie.insert(_key(r["body"], digest), (-r["best_chars"], doc, r["n_best"], r["n"], digest), _merge)
+        if trie.children:
+            yield emit(trie)
+
+    return run
+
+
+_own = _merging(_owners)
 
 
 def text_digest(c: str = "text"):
@@ -180,9 +203,22 @@ def text_digest(c: str = "text"):
 def owners(docs: DataFrame) -> DataFrame:
     """One row per distinct text: its digest, the row that stays, the group's size."""
     ship(docs.sparkSession)
-    groups = docs.select(_doc_id(), "text").mapInArrow(_collapse, _GROUP_DDL)
-    keyed = (groups.repartition(shuffle_partitions(docs.sparkSession), "text_len", "text_hash")
-             .sortWithinPartitions("text_len", "text_hash"))
+    n = shuffle_partitions(docs.sparkSession)
+    groups = stored(docs.select(_doc_id(), "text").mapInArrow(_collapse, _GROUP_DDL), "texts")
+    by_text = ["text_len", "text_hash", "text_sha256"]
+    hot = stored(groups.groupBy(*by_text).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > HOT).select(*by_text), "hot")
+    some = hot.count()
+    if not some:
+        keyed = groups
+    else:  # too many to broadcast: all rows take the way over the salt
+        few = some <= BROADCAST
+        chosen = groups.join(F.broadcast(hot), by_text, "left_semi") if few else groups
+        merged = (chosen.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+                  .repartition(n, "text_len", "text_hash", "salt").sortWithinPartitions("text_len", "text_hash")
+                  .mapInArrow(_merging(_groups), _GROUP_DDL))
+        rest = groups.join(F.broadcast(hot), by_text, "left_anti") if few else groups.where("false")
+        keyed = rest.select(*merged.columns).union(merged)
+    keyed = keyed.repartition(n, "text_len", "text_hash").sortWithinPartitions("text_len", "text_hash")
     return keyed.mapInArrow(_own, _OWNER_DDL)
 
 
@@ -213,5 +249,6 @@ def dedup(docs: DataFrame) -> DataFrame:
                        text_digest().alias("__sha"))
     own = owners(docs)
     stay = mine.join(own, mine["__sha"] == own["text_sha256"]).where(_stays(F.col("__id"), F.col("__chars")))
-    again = stay.where("n_best > 1").groupBy("__sha").agg(F.first("__row").alias("__row"))
+    order = F.xxhash64(*[F.col(f"__row.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)])
+    again = stay.where("n_best > 1").groupBy("__sha").agg(F.min_by("__row", order).alias("__row"))
     return stay.where("n_best = 1").select("__row").unionByName(again.select("__row")).select("__row.*")

@@ -55,6 +55,37 @@ def test_trie_flushes_whole_subtrees(monkeypatch, documents):
     assert sorted((r["keep_id"], r["group_size"]) for r in out) == [(2, 4), (3, 2), (4, 2)]
 
 
+@pytest.mark.parametrize("broadcast", [100, 0])
+def test_a_text_of_very_many_tasks_is_merged_by_salt_first(documents, monkeypatch, broadcast):
+    monkeypatch.setattr(trie_dedup, "BROADCAST", broadcast)
+    monkeypatch.setattr(trie_dedup, "HOT", 1)
+    monkeypatch.setattr(trie_dedup, "TASK_BYTES", 0)  # every row leaves alone: each copy is a row
+    monkeypatch.setattr(trie_dedup, "SALTS", 3)
+    rows = [(i, "hot text" + " " * (i % 5), "s") for i in range(300)] + [(1000 + i, f"own {i % 40}", "s") for i in range(60)]
+    got = {r["doc_id"]: r for r in trie_dedup.report(documents(rows).repartition(7)).collect()}
+    assert len(got) == 360
+    assert {(got[i]["keep_id"], got[i]["group_size"]) for i in range(300)} == {(4, 300)}
+    assert [i for i in got if got[i]["kept"]] and sum(r["kept"] for r in got.values()) == 41
+    assert {got[1000 + i]["group_size"] for i in range(20)} == {2}
+
+
+def test_the_row_that_stays_among_equals_is_the_same_in_every_run(spark):
+    rows = [(1, "a b", "en", f"s{i}", 3) for i in range(40)]
+    want = {tuple(r) for r in trie_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)).collect()}
+    again = {tuple(r) for r in trie_dedup.dedup(spark.createDataFrame(rows[::-1], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)).collect()}
+    assert want == again and len(want) == 1
+
+
+def test_many_lines_are_cut_in_linear_time(documents):
+    """Boilerplate documents of thousands of lines: the cut texts hold the other lines, in order."""
+    common = [f"common{i} line{i} here{i}" for i in range(4000)]
+    rows = [(i, "\n".join(common + [f"own{i}x{k} words{i}x{k} there{k}" for k in range(4000)]), "s") for i in range(24)]
+    out = line_quality.apply(documents(rows)).collect()
+    assert len(out) == 24
+    for r in out:
+        assert r["text"].split("\n") == rows[r["doc_id"]][1].split("\n")[4000:] and r["n_chars"] == len(r["text"])
+
+
 @pytest.mark.parametrize("rows", [AWKWARD, corpus(), []], ids=["awkward", "random", "empty"])
 def test_sharding(documents, rows):
     got = splitter_shards.report(documents(rows)).collect()
