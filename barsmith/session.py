@@ -45,23 +45,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/barsmith/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stored_rows(docs, *cols: str):
-    """``cols`` of ``docs`` (all columns by default) as (``row``: its number, ``whole``: a struct),
-    numbered once, written to the shared folder and read from there.
-
-    A row's number depends on how a read is split into tasks, which follows the
-    cores registered when it is planned.  Numbers that are joined again must
-    therefore come from this table, never from a second numbering."""
-    from pyspark.sql import functions as F
-
-    spark = docs.sparkSession
-    path = scratch_path(spark, "rows")
-    whole = F.struct(*[F.col(f"`{c}`") for c in cols or docs.columns])
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), whole.alias("whole"))
-    numbered.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(numbered.schema).parquet(path)
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``scratch_path`` named and nothing reads any more."""
     if "/barsmith/" not in path:
