@@ -59,6 +59,7 @@ MISS = 1e-6     # chance of losing a pair at the threshold, per batch
 WORK = 64       # pairs for each member of the bands that may be compared at once
 STALL = 2 / 3   # share of members outside their band's largest component that a useful turn leaves, at most
 SMALL = 16      # members of a cell up to which the pairs of all cells are compared together
+CONFIRM_BYTES = 4 << 20  # text of pairs confirmed at a time
 BLOCK = 512     # members of a band compared in one piece
 _VALUES = BANDS * ROWS
 _SIGNED = "row long, doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, signature binary"
@@ -164,26 +165,39 @@ def pruned(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return both.select("u", "v", "sig_u", "sig_v").mapInArrow(_prune, "u long, v long, matches long")
 
 
-def linked(data_a, offs_a, data_b, offs_b, threshold: float = THRESHOLD) -> np.ndarray:
-    """Which text pairs (a[i], b[i]) have full sets of at least the threshold's similarity."""
-    (ha, at_a), (hb, at_b) = shingle_sets(data_a, offs_a), shingle_sets(data_b, offs_b)
-    n = len(offs_a) - 1
-    pair = np.concatenate([np.repeat(np.arange(n), np.diff(at_a)), np.repeat(np.arange(n), np.diff(at_b))])
-    h = np.concatenate([ha, hb])
-    order = np.lexsort((h, pair))
-    h, pair = h[order], pair[order]
-    twice = np.flatnonzero((h[1:] == h[:-1]) & (pair[1:] == pair[:-1]))
-    common = np.bincount(pair[twice], minlength=n)
-    either = np.diff(at_a) + np.diff(at_b) - common
-    return 100 * common >= round(100 * threshold) * either
+def common_shingles(h: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Size of the intersection of the sets h[at[x]:at[x + 1]] of each pair a[i], b[i]."""
+    distinct, rank = np.unique(h, return_inverse=True)
+    held = np.zeros(len(distinct), bool)
+    out = np.zeros(len(a), np.int64)
+    order = np.argsort(b, kind="stable")
+    edges = np.flatnonzero(np.diff(b[order], prepend=-1))
+    for pairs in np.split(order, edges[1:]) if len(order) else ():  # one set marked, all its partners looked up
+        mine = rank[at[b[pairs[0]]]:at[b[pairs[0]] + 1]]
+        held[mine] = True
+        size = at[a[pairs] + 1] - at[a[pairs]]
+        upto = np.concatenate([[0], np.cumsum(held[rank[ranges(at[a[pairs]], size)]])])
+        ends = np.cumsum(size)
+        out[pairs] = upto[ends] - upto[ends - size]
+        held[mine] = False
+    return out
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        (da, oa), (db, ob) = utf8(batch.column("text_u")), utf8(batch.column("text_v"))
-        for i, j in slices(oa + ob, 2 * SLICE_BYTES):
-            ok = np.flatnonzero(linked(da[oa[i]:oa[j]], oa[i:j + 1] - oa[i], db[ob[i]:ob[j]], ob[i:j + 1] - ob[i])) + i
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(ok)) for c in ("u", "v")], names=["u", "v"])
+        size = np.concatenate([[0], np.cumsum(sum(np.diff(utf8(batch.column(c))[1]) for c in ("text_u", "text_v")))])
+        for i, j in slices(size, CONFIRM_BYTES):
+            part = batch.slice(i, j - i)
+            u, v = (part.column(c).to_numpy() for c in ("u", "v"))
+            rows, first, place = np.unique(np.concatenate([v, u]), return_index=True, return_inverse=True)
+            texts = pa.concat_arrays([part.column("text_v"), part.column("text_u")]).take(pa.array(first))  # each once
+            data, offs = utf8(texts)
+            h, at = shingle_sets(data, offs)
+            b, a = place[:len(v)], place[len(v):]
+            common = common_shingles(h, at, a, b)
+            n = np.diff(at)
+            ok = np.flatnonzero(100 * common >= round(100 * THRESHOLD) * (n[a] + n[b] - common))
+            yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
         release()
 
 

@@ -153,6 +153,17 @@ def test_measured_recall_near_the_threshold():
     assert n > 200 and hit == n
 
 
+def test_common_shingles_are_counted_exactly():
+    rnd = random.Random(2)
+    sets = [sorted(rnd.sample(range(60), rnd.randrange(0, 40))) for _ in range(12)]
+    h = np.array([x for s in sets for x in s], np.uint64)
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    a, b = np.array([(i, j) for i in range(12) for j in range(12) if (i * 7 + j) % 3]).T
+    assert B.common_shingles(h, at, a, b).tolist() == [len(set(sets[i]) & set(sets[j])) for i, j in zip(a, b)]
+    none = np.zeros(0, np.int64)
+    assert B.common_shingles(h, at, none, none).tolist() == []
+
+
 def test_dedup_keeps_one_row_of_each_component(documents):
     rows = _families(2, 3, 20, 3) + [(None, "a b c", "s"), (None, "a b c", "s"), (5000, None, "s"), (5000, None, "s")]
     df = documents(rows)
