@@ -26,6 +26,7 @@ from barsmith.sinks.tables import reload_process_date
 from barsmith.sinks.versions import vacuum_versions, write_version
 from barsmith.sources.drift import drift_report, landed_fields, read_documents_as_variants
 from barsmith.sources.payloads import explode_series, split_payloads
+from barsmith.sources.tables import profile
 from barsmith.streaming.intake import intake, read_intake
 
 BIG_VOLUME = 50
@@ -121,6 +122,13 @@ def q_ranged_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ranged(spark, path, ONE_SYMBOL, SPLIT_DATE, LAST_DATE)
 
 
+def q_loaded_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loaded table inspected: its columns, types and NULLs (JOB-6)."""
+    table, buckets = _loaded_table(spark, "profiled")
+    _two_batches(table, _varied_bars(spark, sf_dir, buckets))
+    return profile(spark.table(table)).drop("least", "greatest")  # their text differs between engines
+
+
 QUERIES: dict[str, Query] = {
     "versioned_reload": q_versioned_reload,
     "hot_series_lag": q_hot_series_lag,
@@ -129,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "merged_extremes": q_merged_extremes,
     "schema_drift": q_schema_drift,
     "ranged_read": q_ranged_read,
+    "loaded_profile": q_loaded_profile,
 }
 
 _RELOADED = (f"loaded AS (SELECT *, '{D1}' AS process_date FROM varied WHERE {_BEFORE} "
@@ -151,7 +160,17 @@ def _drift_sql() -> str:
     return _with(_BARS, n) + " UNION ALL ".join(rows)
 
 
+def _profile_sql() -> str:
+    both = (f"loaded AS (SELECT *, CASE WHEN {_BEFORE} THEN '{D1}' ELSE '{D2}' END AS process_date FROM varied)")
+    columns = [("symbol", "string"), ("date_from", "date"), *[(m, "double") for m in MEASURES],
+               ("monthly_variation", "double"), (PROCESS_DATE, "string")]
+    rows = [f"SELECT {i} AS position, '{c}' AS col_name, '{t}' AS data_type, count({c}) AS non_null, "
+            f"count(*) - count({c}) AS nulls FROM loaded" for i, (c, t) in enumerate(columns)]
+    return _with(_BARS, _VARIATION, both) + " UNION ALL ".join(rows)
+
+
 ORACLES: dict[str, str] = {
+    "loaded_profile": _profile_sql(),
     "versioned_reload": _with(_BARS, _VARIATION, _RELOADED) + "SELECT * FROM loaded",
     "hot_series_lag": "SELECT l_linestatus, " + ", ".join(LINE_ORDER) + ", prev_price, "
     "(l_extendedprice - prev_price) / nullif(prev_price, 0) * 100 AS price_change FROM (SELECT *, "

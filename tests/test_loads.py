@@ -352,6 +352,18 @@ def test_a_read_of_very_many_files_scans_the_folder(spark, monkeypatch):
     assert rows_of(read_ranged(spark, path, "A", "2020-01-02")) == rows_of(df.where("date_from >= '2020-01-02'"))
 
 
+def test_profile_of_every_kind_of_column(spark):
+    from barsmith.sources.tables import profile
+
+    df = spark.createDataFrame([(1, None, [1], {"a": 1}, D(2020, 1, 2)), (3, "x", None, {"b": 2}, None), (2, "y", [], None, D(2019, 1, 2))],
+                               "n int, `odd name` string, a array<int>, m map<string,int>, d date")
+    got = [tuple(r) for r in profile(df).collect()]
+    assert got == [(0, "n", "int", 3, 0, "1", "3"), (1, "odd name", "string", 2, 1, "x", "y"), (2, "a", "array<int>", 2, 1, None, None),
+                   (3, "m", "map<string,int>", 2, 1, None, None), (4, "d", "date", 2, 1, "2019-01-02", "2020-01-02")]
+    assert [r.non_null for r in profile(df.limit(0)).collect()] == [0] * 5
+    assert plan_text(profile(df)).count("partial_count") >= 1
+
+
 # --------------------------------------------------------------------------- drift
 
 
