@@ -22,9 +22,12 @@ one shingle); two are linked when their Jaccard similarity is ``THRESHOLD`` or m
    posterior chance of similarity at the threshold or above is under ``MISS``.
 4. **Exact check.**  Survivors are confirmed on the full shingle sets of both
    whole texts.  In the first turn only a document's best candidate is
-   checked; the others follow unless they have come together by then.
+   checked; the others follow unless they have come together by then.  Blocks
+   check the best pairs of two components first and stop when they are joined,
+   so that links leave them one for each two components, never pair by pair.
 
-Components are joined by star contraction (``components``).  Each is named by
+The first turn's links, one from each document to a lower one, are followed to
+their roots; later ones are joined by star contraction (``components``).  Each is named by
 its smallest doc_id.  Null and wordless texts have an empty set, no links and a
 component of their own.  Rows are numbered once, in a stored table; repeated
 rows and repeated or null doc_ids are documents of their own (a component of
@@ -44,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import ranges
-from barsmith.llm.components import connected
+from barsmith.llm.components import connected, local_labels
 from barsmith.llm.runtime import (
     group_bounds, mix64, release, ship, shuffle_partitions, slices, stored, stored_rows, utf8, whole_groups,
 )
@@ -56,7 +59,7 @@ BANDS = 32
 ROWS = 5
 BATCH = 32      # signature values compared at a time
 MISS = 1e-6     # chance of losing a pair at the threshold, per batch
-WORK = 64       # pairs for each member of the bands that may be compared at once
+WORK = 512      # pairs for each member of the bands that may be compared at once
 STALL = 2 / 3   # share of members outside their band's largest component that a useful turn leaves, at most
 SMALL = 16      # members of a cell up to which the pairs of all cells are compared together
 CONFIRM_BYTES = 4 << 20  # text of pairs confirmed at a time
@@ -102,10 +105,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys[0, some] = np.add.reduceat(mix64(h), at[some])
                 keys[1, some] = np.add.reduceat(mix64(h ^ np.uint64(0x5851F42D4C957F2D)), at[some])
             band = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.zeros((j - i, 1), np.uint64)
-            values = sig.reshape(j - i, BANDS, ROWS)
+            kept = np.ascontiguousarray(sig.astype(np.uint16))  # bands are equal where the kept values are
+            values = kept.reshape(j - i, BANDS, ROWS).astype(np.uint64)
             for k in range(ROWS):
                 band = mix64(band * np.uint64(0xD6E8FEB86659FD93) + values[:, :, k])
-            bits = np.ascontiguousarray(sig.astype(np.uint16)).tobytes()
+            bits = kept.tobytes()
             width = 2 * _VALUES
             yield pa.RecordBatch.from_arrays([
                 batch.column("row").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)),
@@ -183,6 +187,12 @@ def common_shingles(h: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray)
     return out
 
 
+def linked(h: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs of sets have the threshold's similarity or more."""
+    common, n = common_shingles(h, at, a, b), np.diff(at)
+    return 100 * common >= round(100 * THRESHOLD) * (n[a] + n[b] - common)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size = np.concatenate([[0], np.cumsum(sum(np.diff(utf8(batch.column(c))[1]) for c in ("text_u", "text_v")))])
@@ -194,9 +204,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offs = utf8(texts)
             h, at = shingle_sets(data, offs)
             b, a = place[:len(v)], place[len(v):]
-            common = common_shingles(h, at, a, b)
-            n = np.diff(at)
-            ok = np.flatnonzero(100 * common >= round(100 * THRESHOLD) * (n[a] + n[b] - common))
+            ok = np.flatnonzero(linked(h, at, a, b))
             yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
         release()
 
@@ -236,11 +244,11 @@ def _crowds(told: DataFrame, turn: int) -> DataFrame:
 
 
 def _star(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """Members (band, row) of bands with several components, without the band's centre, which is in its
+    """Members (band, slot, row) of bands with several components, without the band's centre, which is in its
     largest component; ``rest``: the member is not."""
     told = _named(members, labels)
     return told.join(_crowds(told, turn), "band").select(
-        "band", "row", F.col("crowd.c.row").alias("centre"), (F.col("label") != F.col("crowd.label")).alias("rest"),
+        "band", "slot", "row", F.col("crowd.c.row").alias("centre"), (F.col("label") != F.col("crowd.label")).alias("rest"),
         F.col("all").alias("others")).where("row <> centre")
 
 
@@ -253,7 +261,7 @@ def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
     bands = _crowds(told, 0)
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     dealt = told.join(bands, "band").select(
-        "band", "row", "label", (F.col("label") != F.col("crowd.label")).alias("rest"),
+        "band", "slot", "row", "label", (F.col("label") != F.col("crowd.label")).alias("rest"),
         blocks(F.col("crowd.n")).alias("crowds"), blocks(F.col("all") - F.col("crowd.n")).alias("rests"))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("row"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("crowds"))).cast("int"))
     cell = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
@@ -262,7 +270,7 @@ def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
     to_crowd = F.transform(F.sequence(F.lit(0), F.col("crowds") - 1), lambda k: cell(0, mine, k))
     to_self = F.transform(F.sequence(F.lit(0), F.col("rests") - 1), lambda k: cell(1, F.least(mine, k), F.greatest(mine, k)))
     return dealt.withColumn("cell", F.explode(F.when(F.col("rest"), F.concat(to_crowd, to_self)).otherwise(to_rest))).select(
-        "band", "cell.kind", "cell.x", "cell.y", "row", "label", "rest", "mine")
+        "band", "cell.kind", "cell.x", "cell.y", "slot", "row", "label", "rest", "mine")
 
 
 _CELL = ("band", "kind", "x", "y")
@@ -290,62 +298,131 @@ def _accepted(p: np.ndarray, q: np.ndarray, ok, most: int = 1 << 16):
         yield p[k:k + most], q[k:k + most]
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted cells -> the pairs of different components that the posterior leaves."""
+def _survivors(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of different components in a table of whole cells that the posterior leaves, and how many
+    values agree.  A pair counts in the first band that it shares, where it meets as well."""
+    label, mine, kind, x, y, slot = (table.column(c).to_numpy() for c in ("label", "mine", "kind", "x", "y", "slot"))
+    rest = np.array(table.column("rest"), bool)
+    sig = _signatures(table.column("signature"))
+
+    def ok(p, q):
+        own = np.where(kind[p] == 0, rest[p] != rest[q], (x[p] == y[p]) | (mine[p] != mine[q]))
+        return own & (label[p] != label[q])
+
+    out = [(np.zeros(0, np.int64),) * 3]
+    for p, q in _cell_pairs(group_bounds(table, _CELL), ok):
+        on, same = _agree(sig[p], sig[q])
+        p, q = p[on], q[on]
+        shared = (sig[p] == sig[q]).reshape(-1, BANDS, ROWS).all(2)
+        first = shared.argmax(1) == slot[p]
+        out.append((p[first], q[first], same[first]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted cells -> their rows that are in a pair the posterior leaves."""
     for table in whole_groups(batches, _CELL):
-        row, label, mine, kind, x, y = (table.column(c).to_numpy() for c in ("row", "label", "mine", "kind", "x", "y"))
-        rest = np.array(table.column("rest"), bool)
-        sig = _signatures(table.column("signature"))
-
-        def ok(p, q):
-            own = np.where(kind[p] == 0, rest[p] != rest[q], (x[p] == y[p]) | (mine[p] != mine[q]))
-            return own & (label[p] != label[q])
-
-        for p, q in _cell_pairs(group_bounds(table, _CELL), ok):
-            on, same = _agree(sig[p], sig[q])
-            u, v = row[p[on]], row[q[on]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v)), pa.array(same)], names=["u", "v", "matches"])
+        p, q, _ = _survivors(table)
+        yield from table.take(pa.array(np.unique(np.concatenate([p, q])))).combine_chunks().to_batches()
+        release()
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted cells with texts -> links that join their components: one for each two that are joined.
+
+    For each two components the most similar pair is checked first, then four times as many, and so
+    on while they are apart; a pair whose ends have come together is not checked."""
+    for table in whole_groups(batches, _CELL, most=2_000):
+        p, q, same = _survivors(table)
+        row = table.column("row").to_numpy()
+        names, part = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        h, at = shingle_sets(*utf8(table.column("text")))
+        joins = [(np.zeros(0, np.int64),) * 2]
+        order = np.argsort(-same, kind="stable")
+        p, q, width = p[order], q[order], 1
+        while True:
+            now = local_labels(len(names), *(np.concatenate(c) for c in zip(*joins)))
+            a, b = now[part[p]], now[part[q]]
+            apart = a != b
+            p, q, a, b = p[apart], q[apart], a[apart], b[apart]
+            if not len(p):
+                break
+            key = np.minimum(a, b) * len(names) + np.maximum(a, b)
+            order = np.argsort(key, kind="stable")
+            head = np.concatenate([[True], np.diff(key[order]) > 0])
+            place = np.arange(len(order)) - np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+            try_ = np.zeros(len(p), bool)
+            try_[order[place < width]] = True
+            at_ = np.flatnonzero(try_)
+            hit = at_[linked(h, at, p[at_], q[at_])]
+            _, one = np.unique(key[hit], return_index=True)
+            hit = hit[one]
+            joins.append((part[p[hit]], part[q[hit]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(row[p[hit]], row[q[hit]])),
+                                              pa.array(np.minimum(row[p[hit]], row[q[hit]]))], names=["u", "v"])
+            p, q, width = p[~try_], q[~try_], width * 4
         release()
 
 
+def settled(cells: DataFrame, signatures: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components of ``_cells``, all their pairs considered."""
+    n = shuffle_partitions(cells.sparkSession)
+    signed = cells.join(signatures, "row").select(*_CELL, "slot", "row", "label", "rest", "mine", "signature")
+    near = signed.repartition(n, *_CELL).sortWithinPartitions(*_CELL).mapInArrow(_flag, signed.schema)
+    read = near.join(texts.select("row", F.coalesce("text", F.lit("")).alias("text")), "row")
+    return read.repartition(n, *_CELL).sortWithinPartitions(*_CELL).mapInArrow(_settle, "u long, v long")
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """``node, label`` of a forest of edges u -> v, v < u, one for each u: pointers doubled until all are at roots."""
+    now = stored(edges.select("u", "v"), "pointers")
+    while True:
+        further = now.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        if not now.join(further, "v", "left_semi").take(1):
+            break
+        now = stored(now.join(further, "v", "left").select("u", F.coalesce("w", "v").alias("v")), "pointers")
+    pairs = now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    return pairs.union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
+
+
 def _components(reps: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, label`` of every linked row of ``reps`` (row, bands, signature)."""
-    n = shuffle_partitions(reps.sparkSession)
-    spread = reps.select("row", F.explode("bands").alias("band"))
+    spread = reps.select("row", F.posexplode("bands").alias("slot", "band"))
     crowded = spread.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = stored(spread.join(crowded.select("band"), "band").select("band", "row"), "bands")
+    members = stored(spread.join(crowded.select("band"), "band").select("band", "slot", "row"), "bands")
     signatures = reps.select("row", "signature")
     size = members.count()
-    labels, backlog, before, turn = None, None, None, 0
+    # the first turn: every member against its band's centre, the best candidate of each document first
+    star = stored(_star(members, None, 0), "star")
+    near = stored(pruned(_to_centres(star), signatures), "pairs")
+    best = near.groupBy("u").agg(F.max_by("v", F.struct("matches", -F.col("v"))).alias("v"))
+    first = stored(confirmed(best, texts), "links")
+    labels = stored(_roots(first), "labels")
+    backlog, before, turn = near.join(best, ["u", "v"], "left_anti").select("u", "v"), star.count(), 0
     while True:
-        star = stored(_star(members, labels, turn), "star")
-        members = star.select("band", "row")
+        turn += 1
+        star = stored(_star(star.select("band", "slot", "row"), labels, turn), "star")
         left, work = star.where("rest").agg(F.count(F.lit(1)), F.coalesce(F.sum("others"), F.lit(0))).first()
-        finish = before is not None and (work <= WORK * size or left > STALL * before)
+        finish = work <= WORK * size or left > STALL * before
+        if not finish:
+            near = pruned(_to_centres(star), signatures).select("u", "v")
+            backlog = near if backlog is None else near.union(backlog).distinct()
+        found = None if backlog is None else confirmed(_apart(backlog, labels), texts)
         if left and finish:  # every pair that is left, at once
-            cells = _cells(members.union(star.select("band", F.col("centre").alias("row"))).distinct(), labels)
-            pairs = cells.join(signatures, "row").repartition(n, *_CELL).sortWithinPartitions(*_CELL).mapInArrow(
-                _compare, "u long, v long, matches long").distinct()
-        else:
-            new = star.where("rest").select(F.greatest("row", "centre").alias("u"), F.least("row", "centre").alias("v"))
-            pairs = pruned(new.distinct(), signatures)
-        if backlog is not None:
-            pairs = pairs.union(backlog).distinct()
-        pairs = stored(_apart(pairs, labels), "pairs")
-        if turn == 0:  # the best candidate of each document first
-            best = pairs.groupBy("u").agg(F.max_by("v", F.struct("matches", -F.col("v"))).alias("v"))
-            backlog = pairs.join(best, ["u", "v"], "left_anti")
-        else:
-            best, backlog = pairs, None
-        found = stored(confirmed(best, texts), "links")
-        if backlog is not None:
-            backlog = stored(backlog, "backlog")
-        joined = found if labels is None else found.union(labels.select(F.col("node").alias("u"), F.col("label").alias("v")))
-        labels = stored(connected(joined), "labels")
+            every = star.select("band", "slot", "row").union(star.select("band", "slot", F.col("centre").alias("row"))).distinct()
+            rest = settled(_cells(every, labels), signatures, texts)
+            found = rest if found is None else found.union(rest)
+        if found is not None:
+            both = stored(found, "links").union(labels.select(F.col("node").alias("u"), F.col("label").alias("v")))
+            labels = stored(connected(both), "labels")
         if finish:
             return labels
-        before, turn = left, turn + 1
+        backlog, before = None, left
+
+
+def _to_centres(star: DataFrame) -> DataFrame:
+    """Candidate pairs u > v: the members outside a band's largest component with its centre."""
+    return star.where("rest").select(F.greatest("row", "centre").alias("u"), F.least("row", "centre").alias("v")).distinct()
 
 
 # ------------------------------------------------------------------ results

@@ -85,7 +85,7 @@ def test_families_near_the_threshold(documents, edits):
 
 
 def test_turns_of_stars_alone(documents, monkeypatch):
-    """With no pairs allowed at once, stars go on for as long as they help."""
+    """With no pairs allowed at once, stars go on until bands hold one component each."""
     monkeypatch.setattr(B, "WORK", 0)
     monkeypatch.setattr(B, "STALL", 10.0)
     rows = _families(13, 4, 20, 6)
@@ -104,9 +104,9 @@ def test_comparison_in_blocks(documents, monkeypatch):
 def test_cells_hold_every_pair_once(spark, monkeypatch):
     """Pairs of different components meet in exactly one cell; a component's own pairs need none."""
     monkeypatch.setattr(B, "BLOCK", 4)
-    members = [(7, r) for r in range(30)] + [(8, 1), (8, 2)]
+    members = [(7, 0, r) for r in range(30)] + [(8, 1, 1), (8, 1, 2)]
     labels = [(r, 0) for r in range(17)] + [(20, 19), (21, 19)]
-    m = spark.createDataFrame(members, "band long, row long")
+    m = spark.createDataFrame(members, "band long, slot int, row long")
     lab = spark.createDataFrame(labels, "node long, label long")
     groups = {}
     for r in B._cells(m, lab).collect():
@@ -164,6 +164,30 @@ def test_common_shingles_are_counted_exactly():
     assert B.common_shingles(h, at, none, none).tolist() == []
 
 
+def test_pointers_lead_to_roots(spark):
+    edges = [(i, i - 1) for i in range(1, 20)] + [(40, 30), (41, 30), (50, 41)]
+    got = {tuple(r) for r in B._roots(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {(i, 0) for i in range(20)} | {(i, 30) for i in (30, 40, 41, 50)}
+
+
+def test_settled_links_are_linear_in_the_members(documents):
+    """A large group of near copies, many pairs of it below the threshold: rows of links, not of pairs."""
+    from barsmith.llm.runtime import ship, stored_rows
+    from pyspark.sql import functions as F
+
+    rows = _families(21, 2, 90, 14)
+    df = documents(rows)
+    ship(df.sparkSession)
+    texts = stored_rows(df, "doc_id", "text").select("row", F.col("whole.doc_id").alias("doc_id"), F.col("whole.text").alias("text"))
+    signed = texts.mapInArrow(B._sign, B._SIGNED)
+    members = signed.select("row", F.posexplode("bands").alias("slot", "band"))
+    cells = B._cells(members, signed.select(F.col("row").alias("node"), F.col("row").alias("label")))
+    links = B.settled(cells, signed.select("row", "signature"), texts).collect()
+    assert 100 < len(links) < 40 * len(rows)  # of up to 2 * 90 * 89 / 2 pairs in each of 32 bands
+    sets = {r["row"]: shingles(r["text"]) for r in texts.collect()}
+    assert all(100 * len(sets[r["u"]] & sets[r["v"]]) >= 80 * len(sets[r["u"]] | sets[r["v"]]) for r in links)
+
+
 def test_dedup_keeps_one_row_of_each_component(documents):
     rows = _families(2, 3, 20, 3) + [(None, "a b c", "s"), (None, "a b c", "s"), (5000, None, "s"), (5000, None, "s")]
     df = documents(rows)
