@@ -22,7 +22,8 @@ chains together.  The automaton of the corpus does not fit a task, nor is it
 broadcast: counts live in buckets of the keys' hashes, and every block of
 documents asks for the states and arcs its texts touch (see ``blocks``); that
 part of the automaton is built and traversed in the block.  All n-grams of all
-training documents are counted; none is pruned.
+training documents are counted; none is pruned.  Keys are hashes, cut to the
+bits that the size of the corpus needs (``SPARE_BITS``).
 
 Null text counts as empty (its only token is the end); a null doc_id counts as
 the empty text in the crc32.  With no training tokens every probability is 1.
@@ -43,6 +44,8 @@ from barsmith.llm.wordhash import SLICE_BYTES, per_doc, words
 
 ORDER = 3
 MU = 20.0
+BLOCK_BYTES = 4 << 20  # larger blocks hold fewer n-grams twice
+SPARE_BITS = 22        # of a key, beyond those that number the n-grams: one in 4 million may meet another
 END, START = np.uint64(0x8A5CD789635D2DFF), np.uint64(0x121FD2155C472F96)
 _GRAM = np.uint64(0x9FB21C651E98DF25)
 
@@ -65,6 +68,10 @@ class Tokens:
 
     grams: list[np.ndarray]  # grams[k]: key of the k + 1 tokens up to each; grams[0]: of the token
     docs: np.ndarray         # token range of each document
+    drop: int = 0            # low bits that keys lack
+
+    def end(self) -> np.uint64:
+        return END >> np.uint64(self.drop) << np.uint64(self.drop)
 
     def place(self) -> np.ndarray:
         """Each token's place in its document."""
@@ -89,7 +96,12 @@ def gram_keys(word: np.ndarray, docs: np.ndarray, order: int) -> list[np.ndarray
     return grams
 
 
-def tokens_of(text, order: int) -> Tokens:
+def dropped_bits(size: int) -> int:
+    """Low bits of keys that a corpus of ``size`` bytes of text, so at most half as many tokens, can do without."""
+    return max(64 - SPARE_BITS - max(size // 2, 1).bit_length(), 0)
+
+
+def tokens_of(text, order: int, drop: int = 0) -> Tokens:
     data, offs = utf8(text)
     parts, sizes = [], []
     for i, j in slices(offs, SLICE_BYTES):
@@ -98,12 +110,13 @@ def tokens_of(text, order: int) -> Tokens:
         sizes.append(np.diff(w.docs) + 1)
     word = np.concatenate(parts)
     docs = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    return Tokens(gram_keys(word, docs, order), docs)
+    low = np.uint64(drop)
+    return Tokens([g >> low << low for g in gram_keys(word, docs, order)], docs, drop)
 
 
-def _ask(n_buckets: int, order: int):
+def _ask(n_buckets: int, order: int, drop: int):
     def ask(table: pa.Table) -> pa.Table:
-        t = tokens_of(table.column("text"), order)
+        t = tokens_of(table.column("text"), order, drop)
         learn = np.repeat(~table.column("held_out").to_numpy(), np.diff(t.docs))
         rows: dict[int, dict] = {}
         for k in range(order):
@@ -174,7 +187,7 @@ class Automaton:
             state = np.zeros(len(known))  # count of the context of k tokens: that of the n-gram ending before
             state[1:] = arcs[:-1]
             # as many starts as ends; no longer context ends where a document begins
-            state[place == 0] = self.counts[0][np.searchsorted(self.keys[0], END)] if k == 1 else 0
+            state[place == 0] = self.counts[0][np.searchsorted(self.keys[0], t.end())] if k == 1 else 0
             arcs = self.count(k, t)
             seen = np.log10((arcs + MU * 10.0 ** weight) / (state + MU))
             fails = np.log10(MU / (state + MU)) + weight
@@ -182,11 +195,11 @@ class Automaton:
         return known, weight
 
 
-def _score(order: int):
+def _score(order: int, drop: int):
     def score_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _scores.empty_table()
-        t = tokens_of(docs.column("text"), order)
+        t = tokens_of(docs.column("text"), order, drop)
         kinds = [f"counts{k}" for k in range(order)]
         got = sorted(answers.select(["bucket", *kinds]).to_pylist(), key=lambda r: r["bucket"])
         counts = [np.concatenate([np.zeros(0, np.uint64), *[unpack(r[k], np.uint64) for r in got if r[k]]]) for k in kinds]
@@ -216,10 +229,11 @@ def _sums(values: np.ndarray, docs: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
-    blocks, n = blocked(slim)
-    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n, order)), _ask_ddl(order))
+    blocks, n, size = blocked(slim, BLOCK_BYTES, store=False)
+    drop = dropped_bits(size)
+    asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n, order, drop)), _ask_ddl(order))
     answers = asked.groupBy("bucket").applyInArrow(tidy(_count(order)), _answer_ddl(order))
     stats = answers.where("g = -1").agg(
         F.struct(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n1", "n2")]).alias("stats"))
     told = answers.where("g >= 0").select("g", "bucket", *[f"counts{k}" for k in range(order)], stats.scalar().alias("all"))
-    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_score(order)), _SCORES)
+    return blocks.groupBy("g").cogroup(told.groupBy("g")).applyInArrow(tidy(_score(order, drop)), _SCORES)

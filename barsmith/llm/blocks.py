@@ -1,6 +1,6 @@
 """Blocks of documents that ask hash-partitioned buckets about their keys.
 
-``blocked`` stores the rows with a number and deals them by its hash to blocks
+``blocked`` deals rows, by a number stored with them or by their content, to blocks
 of about ``BLOCK_BYTES`` of text each, at least one for each shuffle partition.
 Blocks, and buckets, of which there are as many, grow in number with the text
 and never in size, and rows that are equal in every column spread too.  A block
@@ -27,13 +27,23 @@ from barsmith.llm.runtime import pack_sorted, release, ship, shuffle_partitions,
 BLOCK_BYTES = 2 << 20
 
 
-def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(``docs``, stored, with its block ``g``; number of blocks, which is that of buckets too)."""
+def blocked(docs: DataFrame, block_bytes: int = 0, store: bool = True) -> tuple[DataFrame, int, int]:
+    """(``docs`` with its block ``g``, number of blocks, which is that of buckets too, bytes of text).
+
+    ``store`` writes the rows with their numbers first, for work of several jobs.  Without it, for
+    one job that reads one exchange, rows are dealt by doc_id and text, and by their number where
+    the doc_id is null."""
     ship(docs.sparkSession)
-    rows = stored_rows(docs)
-    size = rows.agg(F.sum(F.octet_length("whole.text"))).first()[0] or 0
-    n = max(size // BLOCK_BYTES, shuffle_partitions(docs.sparkSession))
-    return rows.select("whole.*", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("g")), n
+    if store:
+        rows = stored_rows(docs)
+        size = rows.agg(F.sum(F.octet_length("whole.text"))).first()[0] or 0
+        dealt, by = rows.select("row", "whole.*"), F.xxhash64("row")
+    else:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        which = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0))
+        dealt, by = docs, F.xxhash64("doc_id", "text", which)
+    n = max(size // (block_bytes or BLOCK_BYTES), shuffle_partitions(docs.sparkSession))
+    return dealt.select(*docs.columns, F.pmod(by, F.lit(n)).cast("int").alias("g")), n, size
 
 
 def tidy(work):

@@ -298,7 +298,7 @@ def _remove(n_buckets: int):
 def dedup(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256, the kept words, and the repeated spans with their path."""
     shared_dir(docs.sparkSession)
-    blocks, n = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    blocks, n, _ = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), ASK)
     again = asked.groupBy("bucket").applyInArrow(tidy(find_repeated), REPEATED)
     contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(tidy(_send(n)), _CONTEXTS)

@@ -268,7 +268,7 @@ def _digest(n_buckets: int, with_text: bool):
 
 def dedup(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the bytes kept."""
-    blocks, n = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    blocks, n, _ = blocked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     asked = blocks.groupBy("g").applyInArrow(tidy(_ask(n)), ASK)
     again = asked.groupBy("bucket").applyInArrow(tidy(find_repeated), REPEATED)
     contexts = blocks.groupBy("g").cogroup(again.groupBy("g")).applyInArrow(tidy(_send(n)), _CONTEXTS)

@@ -60,6 +60,22 @@ def test_lm_scores(documents, rows, order):
     assert got == want
 
 
+def test_lm_keys_keep_the_bits_that_the_corpus_needs():
+    assert backoff_lm.dropped_bits(0) == 41 and backoff_lm.dropped_bits(1 << 30) == 64 - 22 - 30
+    assert backoff_lm.dropped_bits(10 ** 14) == 0  # 100 TB: whole keys
+
+
+def test_lm_blocks_are_dealt_once(documents):
+    """Both reads of the texts are one exchange, so null doc_ids, dealt by row, meet their own answers."""
+    from tests.conftest import plan_text
+
+    rows = [(None, f"word{i % 7} and {i}", "s") for i in range(80)] + [(i, "some other words", "s") for i in range(20)]
+    out = backoff_lm.score(documents(rows))
+    assert out.count() == 100
+    out.collect()
+    assert plan_text(out).count("ReusedExchange") >= 2
+
+
 def test_lm_states_sum_to_one():
     """Arcs plus failure arcs of every state of a trigram model: probabilities over all words and the unknown one."""
     rnd = random.Random(8)
