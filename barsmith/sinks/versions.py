@@ -35,7 +35,7 @@ class TableLayout:
 def table_layout(spark: SparkSession, name: str) -> TableLayout:
     """Where a catalog table lies and how its files are bucketed."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(
-        "col_name IN ('Location', 'Num Buckets', 'Bucket Columns', 'Sort Columns')").collect()
+        "col_name IN ('Location', 'Num Buckets', 'Bucket Columns', 'Sort Columns')").take(4)
     told = {r["col_name"]: r["data_type"] for r in rows}
 
     def columns(key: str) -> tuple[str, ...]:
@@ -56,7 +56,7 @@ def partition_location(spark: SparkSession, name: str, partition: dict[str, str]
     spec = partition_spec(partition)
     if not spark.sql(f"SHOW PARTITIONS {name} PARTITION ({spec})").take(1):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").where("col_name = 'Location'").collect()
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").where("col_name = 'Location'").take(1)
     return rows[0]["data_type"]
 
 
