@@ -43,7 +43,7 @@ from barsmith.llm.anchors import ranges
 SEED = 20240917
 DROPOUT = 0.1
 SHORT = 48
-SLICE = 1 << 23
+SLICE = 1 << 22
 GRID = 1 << 18  # symbols of chunks segmented at a time
 DRAWS = 1 << 16  # occurrences whose hashes are drawn at a time
 
