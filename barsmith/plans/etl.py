@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barsmith.functions.columns import process_date_literal
@@ -39,11 +39,14 @@ class RunReport:
     rejected_documents: int | None
 
 
-def resolve_process_date(spark: SparkSession, param=None) -> str:
-    """The run's process date: the parameter, else today (JOB-2)."""
+def resolve_process_date(spark: SparkSession, param=None, clock: Column | None = None) -> str:
+    """The run's process date: the parameter, else today (JOB-2, SCL-5).
+
+    ``clock``: what today is, as a date or timestamp expression; the session's current date if not given."""
     d = process_date_literal(param)
     if d is None:
-        d = spark.sql("SELECT date_format(current_date(), 'yyyy-MM-dd') AS d").first()["d"]
+        today = F.current_date() if clock is None else clock
+        d = spark.range(1).select(F.date_format(today, "yyyy-MM-dd").alias("d")).first()["d"]
     return d
 
 

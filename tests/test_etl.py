@@ -16,6 +16,19 @@ def test_resolve_process_date(spark):
     assert resolve_process_date(spark, "2023-07-11") == "2023-07-11"
 
 
+def test_process_date_follows_the_clock_of_the_session_zone(spark):
+    """One instant, two sessions' zones: today is the zone's own date."""
+    instant = F.timestamp_seconds(F.lit(1689118200))  # 2023-07-11 23:30 UTC
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z, day in (("UTC", "2023-07-11"), ("Europe/Berlin", "2023-07-12"), ("America/Lima", "2023-07-11")):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert resolve_process_date(spark, None, instant) == day
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert resolve_process_date(spark, "2020-01-02", instant) == "2020-01-02"
+
+
 def test_run_loads_batch_and_rejects(spark, landing):
     path = landing({"A": [DOC_A], "N": ['{"Note": "x"}']})
     t, r = work_table(spark, "bars"), work_table(spark, "rejects")
