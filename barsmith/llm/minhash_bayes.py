@@ -63,9 +63,10 @@ WORK = 512      # pairs for each member of the bands that may be compared at onc
 STALL = 2 / 3   # share of members outside their band's largest component that a useful turn leaves, at most
 SMALL = 16      # members of a cell up to which the pairs of all cells are compared together
 CONFIRM_BYTES = 4 << 20  # text of pairs confirmed at a time
-BLOCK = 512     # members of a band compared in one piece
+BLOCK = 2048    # members of a band compared in one piece, so many rows of pairs at a time:
+STEP = 128
 _VALUES = BANDS * ROWS
-_SIGNED = "row long, doc_id long, n_shingles long, key_a long, key_b long, bands array<long>, signature binary"
+_SIGNED = "row long, doc_id long, n_shingles long, key_a long, key_b long, signature binary"
 _MULTIPLIERS = mix64(np.arange(1, _VALUES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
 
 
@@ -105,20 +106,38 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys[0, some] = np.add.reduceat(mix64(h), at[some])
                 keys[1, some] = np.add.reduceat(mix64(h ^ np.uint64(0x5851F42D4C957F2D)), at[some])
             band = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.zeros((j - i, 1), np.uint64)
-            kept = np.ascontiguousarray(sig.astype(np.uint16))  # bands are equal where the kept values are
-            values = kept.reshape(j - i, BANDS, ROWS).astype(np.uint64)
-            for k in range(ROWS):
-                band = mix64(band * np.uint64(0xD6E8FEB86659FD93) + values[:, :, k])
-            bits = kept.tobytes()
+            bits = np.ascontiguousarray(sig.astype(np.uint16)).tobytes()
             width = 2 * _VALUES
             yield pa.RecordBatch.from_arrays([
                 batch.column("row").slice(i, j - i), batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)),
                 pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)),
-                pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * BANDS, pa.int32()), pa.array(band.reshape(-1).view(np.int64))),
                 pa.array([bits[x * width:(x + 1) * width] for x in range(j - i)], pa.binary()),
             ], names=[c.split()[0] for c in _SIGNED.split(", ")])
 
 
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(utf8(column)[0].tobytes(), np.uint16).reshape(-1, _VALUES)
+
+
+def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Signatures -> the key of every band: equal where the band's kept values are."""
+    for batch in batches:
+        values = _signatures(batch.column("signature")).reshape(-1, BANDS, ROWS).astype(np.uint64)
+        n = len(values)
+        key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.zeros((n, 1), np.uint64)
+        for k in range(ROWS):
+            key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + values[:, :, k])
+        keys = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(key.reshape(-1).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("row"), keys], names=["row", "bands"])
+    release()
+
+
+def bands_of(signatures: DataFrame) -> DataFrame:
+    """``row, slot, band`` of rows with their signature: one row for each band."""
+    keyed = signatures.select("row", "signature").mapInArrow(_band, "row long, bands array<long>")
+    return keyed.select("row", F.posexplode("bands").alias("slot", "band"))
+
+
 # ------------------------------------------------------------------ sequential verification
 
 
@@ -149,10 +168,6 @@ def _agree(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return on, same[on]
 
 
-def _signatures(column) -> np.ndarray:
-    return np.frombuffer(utf8(column)[0].tobytes(), np.uint16).reshape(-1, _VALUES)
-
-
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         on, same = _agree(_signatures(batch.column("sig_u")), _signatures(batch.column("sig_v")))
@@ -285,8 +300,8 @@ def _cell_pairs(at: np.ndarray, ok) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         p = ranges(at[some], size[some] - gap)
         yield from _accepted(p, p + gap, ok)
     for i, j in zip(at[:-1][size > SMALL].tolist(), at[1:][size > SMALL].tolist()):
-        for a in range(i, j, BLOCK):
-            p, q = np.meshgrid(np.arange(a, min(a + BLOCK, j)), np.arange(i, j), indexing="ij")
+        for a in range(i, j, STEP):
+            p, q = np.meshgrid(np.arange(a, min(a + STEP, j)), np.arange(a, j), indexing="ij")
             above = p < q
             yield from _accepted(p[above], q[above], ok)
 
@@ -385,12 +400,11 @@ def _roots(edges: DataFrame) -> DataFrame:
     return pairs.union(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _components(reps: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node, label`` of every linked row of ``reps`` (row, bands, signature)."""
-    spread = reps.select("row", F.posexplode("bands").alias("slot", "band"))
+def _components(signatures: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, label`` of every linked row of ``reps`` (row); ``signatures``: row, signature."""
+    spread = bands_of(signatures.join(reps, "row", "left_semi"))
     crowded = spread.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(spread.join(crowded.select("band"), "band").select("band", "slot", "row"), "bands")
-    signatures = reps.select("row", "signature")
     size = members.count()
     # the first turn: every member against its band's centre, the best candidate of each document first
     star = stored(_star(members, None, 0), "star")
@@ -441,8 +455,7 @@ def _groups(rows: DataFrame) -> DataFrame:
     signed = stored(texts.mapInArrow(_sign, _SIGNED), "signed")
     same = ["key_a", "key_b", "n_shingles"]
     first = stored(signed.where("n_shingles > 0").groupBy(*same).agg(F.min("row").alias("row")), "classes")
-    reps = stored(signed.join(first.select("row"), "row", "left_semi").select("row", "bands", "signature"), "signatures")
-    labels = _components(reps, texts)
+    labels = _components(signed.select("row", "signature"), first.select("row"), texts)
     classes = _named(first, labels, out="group").withColumnRenamed("row", "rep")
     placed = signed.select("row", "doc_id", *same).join(classes, same, "left").select(
         "row", "doc_id", "n_shingles", F.coalesce("group", "row").alias("group"))

@@ -62,7 +62,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MinHash-forest links of all documents at Jaccard 0.8."""
+    """Jaccard links of all documents at 0.8, by MinHash prefixes of fixed depth."""
     return minhash_forest.report(read_documents(spark, sf_dir))
 
 

@@ -180,7 +180,7 @@ def test_settled_links_are_linear_in_the_members(documents):
     ship(df.sparkSession)
     texts = stored_rows(df, "doc_id", "text").select("row", F.col("whole.doc_id").alias("doc_id"), F.col("whole.text").alias("text"))
     signed = texts.mapInArrow(B._sign, B._SIGNED)
-    members = signed.select("row", F.posexplode("bands").alias("slot", "band"))
+    members = B.bands_of(signed)
     cells = B._cells(members, signed.select(F.col("row").alias("node"), F.col("row").alias("label")))
     links = B.settled(cells, signed.select("row", "signature"), texts).collect()
     assert 100 < len(links) < 40 * len(rows)  # of up to 2 * 90 * 89 / 2 pairs in each of 32 bands
