@@ -35,6 +35,11 @@ READING = """How to read them:
 * Sink queries (`etl_*`, `*_reload`, `clear_*`, `append_load`,
   `bucketed_variation`) return a read of the table they loaded; the plans of
   their table writes and checkpoints follow, taken from Spark's event log.
+* Batches are written through a staging table definition over the version's
+  folder, so their write reads `saveAsTable` there; publishing is a catalog
+  command without a plan.
+* `hot_series_lag`: one exchange by range (written in order), one by (range,
+  symbol) for window, borders and join; only borders are dealt by symbol.
 """
 
 
@@ -69,14 +74,14 @@ def main() -> None:
              .config("spark.sql.warehouse.dir", f"{scratch}/wh")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from barsmith.plans.catalogue import QUERIES
+    from barsmith.plans import catalogue, loads
 
     print("# PLANS\n")
     print(f"Physical plans of the bar queries (`tools/plans.py`, {sf_dir}, "
           "8 shuffle partitions, AQE on; initial plans, before runtime re-planning).\n")
     print(READING)
     sections, windows = [], []
-    for name, fn in QUERIES.items():
+    for name, fn in {**catalogue.QUERIES, **loads.QUERIES}.items():
         t0 = time.time() * 1000
         df = fn(spark, sf_dir)
         windows.append((name, t0, time.time() * 1000))
