@@ -7,7 +7,7 @@ its original text stays, then the smallest doc_id.
 1. Each task normalises its texts and inserts them into a trie that holds up to
    ``TASK_BYTES``, so a group of copies leaves a task as one row (with its size
    and best row) each time the trie is emptied, however large the group is.
-   These rows are stored.  A text that has more than ``HOT`` of them, because
+   These rows are stored until their owners are.  A text that has more than ``HOT`` of them, because
    very many tasks hold copies, is merged by salted (length, hash) first, so no
    task is sent all its bodies.
 2. The rows are hash-partitioned by (length, content hash) and arrive sorted
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barsmith.llm.runtime import SPACE_BYTES, release, ship, shuffle_partitions, stored, text_or_empty, utf8
+from barsmith.session import drop_path, scratch_path
 
 TRIE_BYTES = 32 << 20
 TASK_BYTES = 16 << 20
@@ -203,8 +204,10 @@ def text_digest(c: str = "text"):
 def owners(docs: DataFrame) -> DataFrame:
     """One row per distinct text: its digest, the row that stays, the group's size."""
     ship(docs.sparkSession)
-    n = shuffle_partitions(docs.sparkSession)
-    groups = stored(docs.select(_doc_id(), "text").mapInArrow(_collapse, _GROUP_DDL), "texts")
+    spark = docs.sparkSession
+    n, path = shuffle_partitions(spark), scratch_path(spark, "texts")
+    docs.select(_doc_id(), "text").mapInArrow(_collapse, _GROUP_DDL).write.option("compression", "zstd").parquet(path)
+    groups = spark.read.schema(_GROUP_DDL).parquet(path)
     by_text = ["text_len", "text_hash", "text_sha256"]
     hot = stored(groups.groupBy(*by_text).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > HOT).select(*by_text), "hot")
     some = hot.count()
@@ -219,7 +222,9 @@ def owners(docs: DataFrame) -> DataFrame:
         rest = groups.join(F.broadcast(hot), by_text, "left_anti") if few else groups.where("false")
         keyed = rest.select(*merged.columns).union(merged)
     keyed = keyed.repartition(n, "text_len", "text_hash").sortWithinPartitions("text_len", "text_hash")
-    return keyed.mapInArrow(_own, _OWNER_DDL)
+    own = stored(keyed.mapInArrow(_own, _OWNER_DDL), "owners")
+    drop_path(spark, path)  # the bodies; owners hold digests
+    return own
 
 
 def _doc_id():
