@@ -53,3 +53,17 @@ def local_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         open_ = label[a] != label[b]
         a, b = a[open_], b[open_]
     return label
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which edges (a[i], b[i]) join parts of ``n`` nodes that those before them leave apart: a forest."""
+    root, out = list(range(n)), []
+    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append(i)
+    return np.array(out, np.int64)

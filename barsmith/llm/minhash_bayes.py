@@ -23,8 +23,8 @@ one shingle); two are linked when their Jaccard similarity is ``THRESHOLD`` or m
 4. **Exact check.**  Survivors are confirmed on the full shingle sets of both
    whole texts.  In the first turn only a document's best candidate is
    checked; the others follow unless they have come together by then.  Blocks
-   check the best pairs of two components first and stop when they are joined,
-   so that links leave them one for each two components, never pair by pair.
+   check each component's best pair first and drop the pairs whose ends have
+   come together; what leaves them is a forest, fewer links than members.
 
 The first turn's links, one from each document to a lower one, are followed to
 their roots; later ones are joined by star contraction (``components``).  Each is named by
@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barsmith.llm.anchors import ranges
-from barsmith.llm.components import connected, local_labels
+from barsmith.llm.components import connected, local_labels, spanning
 from barsmith.llm.runtime import (
     group_bounds, mix64, release, ship, shuffle_partitions, slices, stored, stored_rows, utf8, whole_groups,
 )
@@ -343,36 +343,34 @@ def _flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted cells with texts -> links that join their components: one for each two that are joined.
+    """Sorted cells with texts -> links that join their components, a forest: fewer than there are components.
 
-    For each two components the most similar pair is checked first, then four times as many, and so
-    on while they are apart; a pair whose ends have come together is not checked."""
+    Each component first checks its most similar pair with a lower one, then four times as many, and so
+    on while there are any; a pair whose ends have come together is not checked."""
     for table in whole_groups(batches, _CELL, most=2_000):
         p, q, same = _survivors(table)
         row = table.column("row").to_numpy()
         names, part = np.unique(table.column("label").to_numpy(), return_inverse=True)
         h, at = shingle_sets(*utf8(table.column("text")))
-        joins = [(np.zeros(0, np.int64),) * 2]
+        now, width = np.arange(len(names)), 1
         order = np.argsort(-same, kind="stable")
-        p, q, width = p[order], q[order], 1
+        p, q = p[order], q[order]
         while True:
-            now = local_labels(len(names), *(np.concatenate(c) for c in zip(*joins)))
             a, b = now[part[p]], now[part[q]]
             apart = a != b
             p, q, a, b = p[apart], q[apart], a[apart], b[apart]
             if not len(p):
                 break
-            key = np.minimum(a, b) * len(names) + np.maximum(a, b)
-            order = np.argsort(key, kind="stable")
-            head = np.concatenate([[True], np.diff(key[order]) > 0])
+            upper = np.maximum(a, b)
+            order = np.argsort(upper, kind="stable")
+            head = np.concatenate([[True], np.diff(upper[order]) > 0])
             place = np.arange(len(order)) - np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
             try_ = np.zeros(len(p), bool)
             try_[order[place < width]] = True
             at_ = np.flatnonzero(try_)
             hit = at_[linked(h, at, p[at_], q[at_])]
-            _, one = np.unique(key[hit], return_index=True)
-            hit = hit[one]
-            joins.append((part[p[hit]], part[q[hit]]))
+            hit = hit[spanning(len(names), a[hit], b[hit])]
+            now = local_labels(len(names), a[hit], b[hit])[now]
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(row[p[hit]], row[q[hit]])),
                                               pa.array(np.minimum(row[p[hit]], row[q[hit]]))], names=["u", "v"])
             p, q, width = p[~try_], q[~try_], width * 4

@@ -188,6 +188,42 @@ def test_settled_links_are_linear_in_the_members(documents):
     assert all(100 * len(sets[r["u"]] & sets[r["v"]]) >= 80 * len(sets[r["u"]] | sets[r["v"]]) for r in links)
 
 
+def _in_one_table(texts):
+    """The links that ``_settle`` finds in cells that hold all ``texts`` in every band."""
+    import pyarrow as pa
+
+    n = len(texts)
+    signed = pa.Table.from_batches(B._sign(iter([pa.record_batch(
+        {"row": pa.array(range(n), pa.int64()), "doc_id": pa.array(range(n), pa.int64()), "text": pa.array(texts)})])))
+    sig = signed.column("signature").combine_chunks()
+    cells = [pa.record_batch({
+        "band": pa.array([s] * n, pa.int64()), "kind": pa.array([1] * n), "x": pa.array([0] * n), "y": pa.array([0] * n),
+        "slot": pa.array([s] * n), "row": pa.array(range(n), pa.int64()), "label": pa.array(range(n), pa.int64()),
+        "rest": pa.array([True] * n), "mine": pa.array([0] * n), "signature": sig, "text": pa.array(texts)}) for s in range(B.BANDS)]
+    return pa.Table.from_batches(B._settle(iter(cells)), pa.schema([("u", pa.int64()), ("v", pa.int64())])).to_pylist()
+
+
+@pytest.mark.parametrize("members", [30, 60])
+def test_settled_links_of_a_group_are_a_forest(members):
+    """Near copies of one text, most pairs linked: the links that leave grow with the group, not with its pairs."""
+    rows = sorted(_families(17, 1, members, 5))
+    sets = [shingles(t) for _, t, _ in rows]
+    every = [(i, j) for i in range(members) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    links = [(r["u"], r["v"]) for r in _in_one_table([t for _, t, _ in rows])]
+    label = lambda pairs: B.local_labels(members, *np.array(pairs).reshape(-1, 2).T).tolist()
+    assert len(every) > 4 * members and set(links) <= set(every)
+    assert label(links) == label(every) and len(links) == members - len(set(label(every)))
+
+
+def test_spanning_edges_join_what_all_edges_join():
+    rnd = np.random.default_rng(3)
+    for m in (0, 10, 40, 400):
+        a, b = rnd.integers(0, 60, (2, m))
+        some = B.spanning(60, a, b)
+        assert len(some) == 60 - len(set(B.local_labels(60, a, b).tolist()))
+        assert (B.local_labels(60, a[some], b[some]) == B.local_labels(60, a, b)).all()
+
+
 def test_dedup_keeps_one_row_of_each_component(documents):
     rows = _families(2, 3, 20, 3) + [(None, "a b c", "s"), (None, "a b c", "s"), (5000, None, "s"), (5000, None, "s")]
     df = documents(rows)
